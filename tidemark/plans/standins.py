@@ -6,7 +6,9 @@ the jobs read. ``standin_sql`` holds the same mapping as SQL.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from functools import reduce, wraps
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,24 @@ CATEGORY1 = [("11", "手机"), ("12", "家用电器"), ("13", "图书、音像
 COMPARE = [(1, "手机", "科技与数码"), (2, "家用电器", "性价比"), (3, "图书、音像、电子书刊", "学习与发展"), (4, "手机", "时尚与潮流")]
 
 
+_PLANS: WeakKeyDictionary = WeakKeyDictionary()
+
+
+def once(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Build the (lazy) plan once per session: the test tables do not change, and analysis takes a while."""
+
+    @wraps(make)
+    def cached(spark: SparkSession, *args, **kwargs) -> DataFrame:
+        plans = _PLANS.setdefault(spark, {})
+        key = (make.__name__, args, tuple(sorted(kwargs.items())))
+        if key not in plans:
+            plans[key] = make(spark, *args, **kwargs)
+        return plans[key]
+
+    return cached
+
+
+@once
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -62,6 +82,7 @@ def _tag_ms(key: str, factor: int) -> Column:
 # -- shop tables ------------------------------------------------------------------------------------------
 
 
+@once
 def order_info(spark: SparkSession, sf: str, tag_month: bool = False) -> DataFrame:
     """Orders; ``tag_month`` places them in the month of the events."""
     buyers = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey")
@@ -77,6 +98,7 @@ def order_info(spark: SparkSession, sf: str, tag_month: bool = False) -> DataFra
         ms.alias("ts_ms"))
 
 
+@once
 def lines(spark: SparkSession, sf: str, tag_month: bool = False) -> DataFrame:
     """Order lines with their versions and the flags other tables derive from."""
     cents, qty = F.col("cents"), F.col("qty")
@@ -153,6 +175,7 @@ def comment_info(spark: SparkSession, sf: str) -> DataFrame:
         _text(_ms("ts")).alias("create_time"), _ms("ts").alias("ts_ms"))
 
 
+@once
 def cart_envelopes(spark: SparkSession, sf: str) -> DataFrame:
     """Cart changes: snapshots, inserts and updates with their old quantity."""
     eid = F.col("event_id")
@@ -194,12 +217,14 @@ SHOP = {
 }
 
 
+@once
 def change_log(spark: SparkSession, sf: str) -> DataFrame:
     """One change log of all shop tables. Selecting one table of it prunes the others from the plan."""
     parts = [cdc_snapshot(make(spark, sf), name) for name, make in SHOP.items()]
     return reduce(DataFrame.unionByName, [*parts, cart_envelopes(spark, sf)])
 
 
+@once
 def tag_change_log(spark: SparkSession, sf: str) -> DataFrame:
     """Change log of the tagging jobs: orders, lines and users within one month."""
     parts = [
@@ -317,6 +342,7 @@ DIM_TABLES = ["nation", "region", "supplier", "customer", "part"]
 DIM_COLUMNS = ["id,name,region_id", "id,name", "id,name,nation_id", "id,name,segment", "id,name,brand"]
 
 
+@once
 def config_envelopes(spark: SparkSession, sf: str) -> DataFrame:
     """Routing configuration changes, one per nation row: five tables, each read once and then updated; the last is
     deleted in the end."""
@@ -333,6 +359,7 @@ def config_envelopes(spark: SparkSession, sf: str) -> DataFrame:
                         before=F.when(gone, text_map(fields)), after=F.when(~gone, text_map(fields)))
 
 
+@once
 def dim_envelopes(spark: SparkSession, sf: str) -> DataFrame:
     """Changes of dimension source tables: snapshots of all, then customer updates, deletes and re-creations."""
     nation = table(spark, sf, "nation").select(
