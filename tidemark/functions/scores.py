@@ -75,55 +75,54 @@ def weighted(row: str, weight: str) -> list[Decimal]:
     return [Decimal(v) * Decimal(weight) for v in row.split()]
 
 
-def _array(row: str, weight: str) -> Column:
-    return F.array(*[F.lit(str(v)).cast(SCORE) for v in weighted(row, weight)])
+def _array(row: str, weight: str) -> str:
+    values = ", ".join(f"{v:.3f}" for v in weighted(row, weight))
+    return f"CAST(array({values}) AS array<{SCORE}>)"
 
 
-def _table(key: Column, rows: dict[str, str], weight: str) -> Column:
-    out = F.when(key.isNull(), F.lit(None).cast(f"array<{SCORE}>"))
+def _table(key: str, rows: dict[str, str], weight: str) -> str:
+    """A score table as a CASE over the column ``key``; keys outside the table give null."""
+    by_row: dict[str, list[str]] = {}
     for name, row in rows.items():
-        out = out.when(key == name, _array(row, weight))
-    return out
+        by_row.setdefault(row, []).append(f"'{name}'")
+    cases = " ".join(f"WHEN `{key}` IN ({', '.join(names)}) THEN {_array(row, weight)}" for row, names in by_row.items())
+    return f"CASE {cases} END"
 
 
-def device_scores(os: Column) -> Column:
+def device_scores(os: str) -> Column:
     """Six scores; null for an operating system outside the table."""
-    return _table(os, DEVICE, DEVICE_WEIGHT)
+    return F.expr(_table(os, DEVICE, DEVICE_WEIGHT))
 
 
-def search_scores(category: Column, variant: bool = False) -> Column:
+def search_scores(category: str, variant: bool = False) -> Column:
     table = SEARCH_VARIANT if variant else SEARCH
-    return F.coalesce(_table(category, table, SEARCH_WEIGHT), _array(NO_SEARCH, SEARCH_WEIGHT))
+    return F.expr(f"coalesce({_table(category, table, SEARCH_WEIGHT)}, {_array(NO_SEARCH, SEARCH_WEIGHT)})")
 
 
-def pay_time_scores(slot: Column) -> Column:
-    return _table(slot, PAY_TIME, TIME_WEIGHT)
+def pay_time_scores(slot: str) -> Column:
+    return F.expr(_table(slot, PAY_TIME, TIME_WEIGHT))
 
 
-def amount_scores(amount: Column) -> Column:
+def amount_scores(amount: str) -> Column:
     """A missing amount counts as 0; exactly 1000 belongs to the last class, as do 4000 and above."""
-    value = F.coalesce(amount, F.lit(0))
-    return (
-        F.when(value < 1000, _array(AMOUNT_LOW, AMOUNT_WEIGHT))
-        .when((value > 1000) & (value < 4000), _array(AMOUNT_MIDDLE, AMOUNT_WEIGHT))
-        .otherwise(_array(AMOUNT_HIGH, AMOUNT_WEIGHT))
-    )
+    return F.expr(f"""
+        CASE WHEN coalesce(`{amount}`, 0) < 1000 THEN {_array(AMOUNT_LOW, AMOUNT_WEIGHT)}
+             WHEN `{amount}` > 1000 AND `{amount}` < 4000 THEN {_array(AMOUNT_MIDDLE, AMOUNT_WEIGHT)}
+             ELSE {_array(AMOUNT_HIGH, AMOUNT_WEIGHT)} END""")
 
 
-def brand_scores(brand: Column) -> Column:
-    known = _table(brand, BRAND, BRAND_WEIGHT)
-    return F.when(brand.isNotNull(), F.coalesce(known, _array(OTHER_BRAND, BRAND_WEIGHT)))
+def brand_scores(brand: str) -> Column:
+    other = _array(OTHER_BRAND, BRAND_WEIGHT)
+    return F.expr(f"CASE WHEN `{brand}` IS NOT NULL THEN coalesce({_table(brand, BRAND, BRAND_WEIGHT)}, {other}) END")
 
 
-def category_scores(category: Column) -> Column:
-    return (
-        F.when(category.isNull(), F.lit(None).cast(f"array<{SCORE}>"))
-        .when(category.isin(YOUNG_CATEGORIES), _array(YOUNG_CATEGORY, CATEGORY_WEIGHT))
-        .when(category.isin(HOME_CATEGORIES), _array(HOME_CATEGORY, CATEGORY_WEIGHT))
-        .otherwise(_array(OTHER_CATEGORY, CATEGORY_WEIGHT))
-    )
+def category_scores(category: str) -> Column:
+    rows = {c: YOUNG_CATEGORY for c in YOUNG_CATEGORIES} | {c: HOME_CATEGORY for c in HOME_CATEGORIES}
+    other = _array(OTHER_CATEGORY, CATEGORY_WEIGHT)
+    return F.expr(
+        f"CASE WHEN `{category}` IS NOT NULL THEN coalesce({_table(category, rows, CATEGORY_WEIGHT)}, {other}) END")
 
 
-def as_columns(scores: Column, model: str) -> list[Column]:
-    """The six scores as columns ``<model>_<band>``."""
-    return [scores.getItem(i).alias(f"{model}_{band}") for i, band in enumerate(BANDS)]
+def as_columns(scores: str, model: str) -> list[Column]:
+    """The six scores of the array column ``scores`` as columns ``<model>_<band>``."""
+    return [F.expr(f"`{scores}`[{i}] AS `{model}_{band}`") for i, band in enumerate(BANDS)]

@@ -13,11 +13,11 @@ from tidemark.operators.versions import first_by_key, latest_by_key
 
 def enrich(
     df: DataFrame, dim: DataFrame, key: str, columns: Sequence[str], dim_key: str | None = None,
-    limit: int | None = None,
+    limit: int | None = None, sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``columns`` of ``dim`` to the rows of ``df`` by ``key``. ``dim`` has one row per key."""
     side = dim.select(F.col(dim_key or key).alias(key), *columns)
-    return lookup_join(df, side, [key], "left", limit).select(*df.columns, *columns)
+    return lookup_join(df, side, [key], "left", limit, sized_by).select(*df.columns, *columns)
 
 
 def single_match(dim: DataFrame, key: str, order: Sequence[str], last: bool = False) -> DataFrame:
@@ -55,8 +55,11 @@ def sku_dimension(
     return out.select("sku_id", *SKU_COLUMNS)
 
 
-def sku_lookups(df: DataFrame, sku_dim: DataFrame, limit: int | None = None) -> DataFrame:
-    return enrich(df, sku_dim, "sku_id", SKU_COLUMNS, limit=limit)
+def sku_lookups(
+    df: DataFrame, sku_dim: DataFrame, limit: int | None = None, skus: DataFrame | None = None
+) -> DataFrame:
+    """Add the SKU dimension; ``skus``, the table it was built from, gives its size."""
+    return enrich(df, sku_dim, "sku_id", SKU_COLUMNS, limit=limit, sized_by=skus)
 
 
 def category_tree(category3: DataFrame, category2: DataFrame, category1: DataFrame) -> DataFrame:
@@ -90,13 +93,17 @@ def search_category(df: DataFrame, tree: DataFrame, compare: DataFrame) -> DataF
     groups = single_match(
         compare.select(F.col("category_name").alias("b1_category"), "search_category", "id"),
         "b1_category", ["id"]).drop("id")
-    words = lookup_join(leaves, groups, ["b1_category"], "left")
-    return enrich(df, words, "search_item", ["b1_category", "search_category"])
+    words = lookup_join(leaves, groups, ["b1_category"], "left", sized_by=compare)
+    return enrich(df, words, "search_item", ["b1_category", "search_category"], sized_by=leaves)
 
 
-def brand_and_category(df: DataFrame, brands: DataFrame, tree: DataFrame) -> DataFrame:
-    """Add ``c3id``, ``tname`` and ``b1_name`` by ``sku_id``; the first match wins on both hops."""
+def brand_and_category(
+    df: DataFrame, brands: DataFrame, tree: DataFrame, skus: DataFrame | None = None
+) -> DataFrame:
+    """Add ``c3id``, ``tname`` and ``b1_name`` by ``sku_id``; the first match wins on both hops. ``skus``, the table
+    ``brands`` was built from, gives its size."""
     sku_id = F.col("skuid").cast(df.schema["sku_id"].dataType).alias("sku_id")
     sku = single_match(brands.select(sku_id, "c3id", "tname"), "sku_id", ["c3id", "tname"])
     top = single_match(tree.select(F.col("id").alias("c3id"), F.col("b1name").alias("b1_name")), "c3id", ["b1_name"])
-    return enrich(df, lookup_join(sku, top, ["c3id"], "left"), "sku_id", ["c3id", "tname", "b1_name"])
+    both = lookup_join(sku, top, ["c3id"], "left")
+    return enrich(df, both, "sku_id", ["c3id", "tname", "b1_name"], sized_by=skus)

@@ -1,9 +1,12 @@
 """Joins that hold when one key owns a large share of the rows.
 
-``lookup_join`` is the one entry point: it broadcasts the lookup side only if its planned size is under
-Spark's own broadcast threshold, and otherwise joins on (key, salt), where only hot keys get more than
-one salt value. Which keys are hot is found by a bounded frequent-items sketch, so the hot-key table
-has at most ``MAX_HOT_KEYS`` rows whatever the data size.
+``lookup_join`` is the one entry point. It broadcasts the lookup side only if its planned size is under
+Spark's own broadcast threshold. Beyond that it leaves the join to adaptive execution, which splits the
+partitions a hot key blows up; where that is switched off, ``salted_join`` spreads hot keys itself.
+
+``salted_join`` finds the hot keys by a bounded frequent-items sketch, so the hot-key table has at most
+``MAX_HOT_KEYS`` rows whatever the data size. The sketch reads the big side once more, which is why it is
+not the first choice.
 """
 
 from __future__ import annotations
@@ -34,11 +37,11 @@ def _size_conf(df: DataFrame, key: str) -> int:
     return int(text)
 
 
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """True when the planned size of ``df`` is within the broadcast threshold."""
+def fits_broadcast(df: DataFrame, limit: int | None = None, widen: float = 1.0) -> bool:
+    """True when the planned size of ``df`` (times ``widen``) is within the broadcast threshold."""
     if limit is None:
         limit = _size_conf(df, "spark.sql.autoBroadcastJoinThreshold")
-    return 0 <= planned_bytes(df) <= limit
+    return planned_bytes(df) * max(widen, 1.0) <= limit
 
 
 def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -95,11 +98,29 @@ def salted_join(
     return salted_big.join(salted_other, [*on, "_salt"], how).drop("_salt")
 
 
+def _splits_skew(df: DataFrame) -> bool:
+    conf = df.sparkSession.conf
+    return all(
+        conf.get(key, "true").lower() == "true"
+        for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"))
+
+
 def lookup_join(
-    big: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner", limit: int | None = None
+    big: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner", limit: int | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Join ``other`` to ``big``: broadcast when its checked size allows, salted shuffle join beyond."""
+    """Join ``other`` to ``big``: broadcast when its checked size allows, a skew-proof shuffle join beyond.
+
+    ``sized_by`` is a frame with at least as many rows as ``other``, to take the size from where ``other`` is
+    built by joins and its own estimate would be a product. ``limit`` replaces the session's threshold.
+    """
     on = list(on)
-    if fits_broadcast(other, limit):
+    if sized_by is None:
+        fits = fits_broadcast(other, limit)
+    else:
+        fits = fits_broadcast(sized_by, limit, widen=len(other.columns) / max(len(sized_by.columns), 1))
+    if fits:
         return big.join(F.broadcast(other), on, how)
+    if _splits_skew(big):
+        return big.join(other, on, how)
     return salted_join(big, other, on, how)

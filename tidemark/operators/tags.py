@@ -68,23 +68,23 @@ def supplement_rows(envelopes: DataFrame) -> DataFrame:
 
 def score_device_and_search(df: DataFrame, variant: bool = False) -> DataFrame:
     """Add ``judge_os``, device and search scores. Needs ``os`` (comma list) and ``search_category``."""
-    os = S.first_token(F.col("os"), ",")
-    device, search = M.device_scores(os), M.search_scores(F.col("search_category"), variant)
+    search = M.search_scores("search_category", variant)
     if variant:  # this job passes a record without an operating system on unscored
         search = F.when(~S.is_empty(F.col("os")), search)
-    return df.select("*", os.alias("judge_os"), device.alias("_d"), search.alias("_s")).select(
-        *df.columns, "judge_os", *M.as_columns(F.col("_d"), "device"), *M.as_columns(F.col("_s"), "search"))
+    judged = df.withColumn("judge_os", S.first_token(F.col("os"), ","))
+    return judged.select("*", M.device_scores("judge_os").alias("_d"), search.alias("_s")).select(
+        *judged.columns, *M.as_columns("_d", "device"), *M.as_columns("_s", "search"))
 
 
 def score_orders(df: DataFrame) -> DataFrame:
     """Add pay-time, amount, brand and category scores. Needs ``pay_time_slot``, ``total_amount``, ``tname``, ``b1_name``."""
-    amount = F.col("total_amount").try_cast("decimal(18,4)")
-    return df.select(
-        "*", M.pay_time_scores(F.col("pay_time_slot")).alias("_t"), M.amount_scores(amount).alias("_a"),
-        M.brand_scores(F.col("tname")).alias("_b"), M.category_scores(F.col("b1_name")).alias("_c"),
+    priced = df.withColumn("_amount", F.col("total_amount").try_cast("decimal(18,4)"))
+    return priced.select(
+        *df.columns, M.pay_time_scores("pay_time_slot").alias("_t"), M.amount_scores("_amount").alias("_a"),
+        M.brand_scores("tname").alias("_b"), M.category_scores("b1_name").alias("_c"),
     ).select(
-        *df.columns, *M.as_columns(F.col("_t"), "pay_time"), *M.as_columns(F.col("_a"), "amount"),
-        *M.as_columns(F.col("_b"), "tname"), *M.as_columns(F.col("_c"), "b1name"))
+        *df.columns, *M.as_columns("_t", "pay_time"), *M.as_columns("_a", "amount"), *M.as_columns("_b", "tname"),
+        *M.as_columns("_c", "b1name"))
 
 
 LOG_MODELS = ["device", "search"]
@@ -95,10 +95,8 @@ LOG_ONLY_BANDS = ["35_39", "40_49"]
 
 
 def _sum(models: list[str], band: str) -> Column:
-    total = F.lit(0).cast("decimal(6,3)")
-    for model in models:
-        total = total + F.coalesce(F.col(f"{model}_{band}"), F.lit(0).cast(M.SCORE))
-    return total.cast("decimal(6,3)")
+    parts = " + ".join(f"coalesce(`{model}_{band}`, CAST(0 AS {M.SCORE}))" for model in models)
+    return F.expr(f"CAST({parts} AS decimal(6,3))")
 
 
 def band_sums(df: DataFrame, compat: bool = False) -> DataFrame:

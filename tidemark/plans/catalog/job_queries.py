@@ -74,14 +74,14 @@ SELECT id, user_id, sku_id, appraise, dic_name AS appraise_name, comment_txt, ts
 FROM comment_info JOIN base_dic ON appraise = dic_code""")
 def job_dwd_comment(spark: SparkSession, sf: str) -> DataFrame:
     dictionary = T.base_dic(spark, sf).select("dic_code", F.struct("dic_name").alias("info"))
-    return jobs.dwd_comment(T.change_log(spark, sf), dictionary)
+    return jobs.dwd_comment(T.change_log(spark, sf, "cart_info", "comment_info"), dictionary)
 
 
 @query("job_dwd_cart_add", using("cart_info") + """
 SELECT id, user_id, sku_id, CAST(CASE WHEN op = 'u' THEN sku_num - old_num ELSE sku_num END AS VARCHAR) AS sku_num, ts_ms
 FROM cart_info WHERE op <> 'u' OR sku_num > old_num""")
 def job_dwd_cart_add(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.dwd_cart_add(T.change_log(spark, sf))
+    return jobs.dwd_cart_add(T.change_log(spark, sf, "cart_info", "comment_info"))
 
 
 @query("job_dws_keyword", using("log") + f"""
@@ -109,7 +109,7 @@ def job_dws_login(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("job_dws_cart_uu", using("cart_info", adds=CART_ADDS) + CART_SQL)
 def job_dws_cart_uu(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.dws_cart_uu(jobs.dwd_cart_add(T.change_log(spark, sf)), "1 hour", "UTC")
+    return jobs.dws_cart_uu(jobs.dwd_cart_add(T.change_log(spark, sf, "cart_info", "comment_info")), "1 hour", "UTC")
 
 
 @query("job_dws_province", using("order_detail", "order_info", "province", v=VERSIONS) + f"""
@@ -133,8 +133,8 @@ _SKU = f"""
 @query("job_dws_sku", using("order_detail", *SKU_NEEDS, od_=FACT["od_"], dim=SKU_DIM, m=_SKU) + """
 SELECT m.*, dim.* EXCLUDE (sku_id) FROM m LEFT JOIN dim USING (sku_id)""")
 def job_dws_sku(spark: SparkSession, sf: str) -> DataFrame:
-    details = C.order_details(T.change_log(spark, sf))
-    return plain_amounts(jobs.dws_sku(details, sku_dimension(spark, sf), "1 day", "UTC"))
+    details = C.order_details(T.change_log(spark, sf, *T.TRADE))
+    return plain_amounts(jobs.dws_sku(details, sku_dimension(spark, sf), "1 day", "UTC", T.sku_info(spark, sf)))
 
 
 @query("job_dwd_order_chain", using(*FACT_NEEDS, "payment_info", **FACT) + """
@@ -143,7 +143,7 @@ LEFT JOIN (SELECT id FROM order_info WHERE order_status IN ('1001','1003')) o ON
 LEFT JOIN (SELECT order_id FROM payment_info WHERE payment_status = '1602') p ON f.order_id = p.order_id""")
 def job_dwd_order_chain(spark: SparkSession, sf: str) -> DataFrame:
     """Detail, cancel and payment facts brought together per line."""
-    log, lines = T.change_log(spark, sf), fact(spark, sf)
+    log, lines = T.change_log(spark, sf, "order_info", "payment_info"), fact(spark, sf)
     cancelled = jobs.dwd_order_cancel(log, lines, "UTC").select("id", F.lit(1).alias("c"))
     paid = jobs.dwd_pay_success(log, lines).select(F.col("order_detail_id").alias("id"), F.lit(1).alias("p"))
     flags = cancelled.unionByName(paid, allowMissingColumns=True).unionByName(lines.select("id"), allowMissingColumns=True)

@@ -94,6 +94,7 @@ SKU_DIM = """
 SKU_NEEDS = ("sku_info", "trademark", "category3", "category2", "category1")
 
 
+@T.once
 def sku_dimension(spark: SparkSession, sf: str) -> DataFrame:
     return lookups.sku_dimension(
         T.sku_info(spark, sf), T.trademarks(spark, sf), T.category3(spark), T.category2(spark), T.category1(spark))
@@ -103,7 +104,7 @@ def sku_dimension(spark: SparkSession, sf: str) -> DataFrame:
 SELECT o.id, o.ts_ms, dim.* FROM order_detail o LEFT JOIN dim USING (sku_id)""")
 def d15_sku_lookup(spark: SparkSession, sf: str) -> DataFrame:
     rows = T.order_detail(spark, sf).select("id", "ts_ms", "sku_id")
-    return lookups.sku_lookups(rows, sku_dimension(spark, sf))
+    return lookups.sku_lookups(rows, sku_dimension(spark, sf), skus=T.sku_info(spark, sf))
 
 
 @query("d16_generic_lookup", """
@@ -129,10 +130,12 @@ def d17_config_broadcast(spark: SparkSession, sf: str) -> DataFrame:
     return routed.groupBy(F.col("source_table").alias("table_name"), "sink_table").agg(F.count(F.lit(1)).alias("n"))
 
 
+@T.once
 def tree(spark: SparkSession) -> DataFrame:
     return lookups.category_tree(T.category3(spark), T.category2(spark), T.category1(spark))
 
 
+@T.once
 def brands(spark: SparkSession, sf: str) -> DataFrame:
     return lookups.sku_brands(T.sku_info(spark, sf), T.spu_info(spark, sf), T.trademarks(spark, sf))
 
@@ -170,7 +173,7 @@ def d20_search_lookup(spark: SparkSession, sf: str) -> DataFrame:
   SELECT id, sku_id FROM order_detail""", r=BRAND_LOOKUP) + "SELECT * FROM r")
 def d20_brand_lookup(spark: SparkSession, sf: str) -> DataFrame:
     rows = T.order_detail(spark, sf).select("id", "sku_id")
-    return lookups.brand_and_category(rows, brands(spark, sf), tree(spark))
+    return lookups.brand_and_category(rows, brands(spark, sf), tree(spark), T.sku_info(spark, sf))
 
 
 @query("g12_join_retention", using("order_info", "payment_info") + """
@@ -178,7 +181,7 @@ SELECT o.id AS order_id, o.ts_ms, p.ts_ms AS pay_ts_ms FROM order_info o JOIN pa
 WHERE p.ts_ms BETWEEN o.ts_ms - 7200000 AND o.ts_ms + 7200000 AND payment_status = '1602'""")
 def g12_join_retention(spark: SparkSession, sf: str) -> DataFrame:
     """Orders and payments that meet while both are kept."""
-    log = T.change_log(spark, sf)
+    log = T.change_log(spark, sf, "order_info", "payment_info")
     orders = C.orders(log).select(F.col("id").alias("order_id"), "ts_ms")
     paid = C.payments(log).select("order_id", F.col("ts_ms").alias("pay_ts_ms"))
     return keyed.join_within_retention(orders, paid, "order_id", "ts_ms", "pay_ts_ms", 2 * I.HOUR)

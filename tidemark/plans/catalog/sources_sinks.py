@@ -75,7 +75,7 @@ FROM d JOIN order_info o ON d.order_id = o.id GROUP BY province_id""")
 def a6_fact_reread(spark: SparkSession, sf: str) -> DataFrame:
     """A fact written once and read as the source of the next job."""
     path = new_path(spark, "order-detail")
-    facts.order_detail_facts(T.change_log(spark, sf), "UTC").write.parquet(path)
+    facts.order_detail_facts(T.change_log(spark, sf, *T.TRADE), "UTC").write.parquet(path)
     return tables.read_table(spark, path).groupBy("province_id").agg(
         F.count(F.lit(1)).alias("n_lines"), F.count_distinct("order_id").alias("n_orders"))
 

@@ -21,14 +21,17 @@ from tidemark.plans.standin_sql import using
 DAY = 86_400_000
 
 
+@T.once
 def base2(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.tag_device_search(T.app_log(spark, sf), tree(spark), T.category_compare(spark))
 
 
+@T.once
 def base4(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.tag_orders(T.tag_change_log(spark, sf), brands(spark, sf), tree(spark), "UTC")
+    return jobs.tag_orders(T.tag_change_log(spark, sf), brands(spark, sf), tree(spark), "UTC", skus=T.sku_info(spark, sf))
 
 
+@T.once
 def base6(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.tag_user(T.tag_change_log(spark, sf), TODAY)
 
@@ -194,6 +197,7 @@ LEVEL_SQL = "CASE " + " ".join(f"WHEN sum_{b} = {_BEST} THEN '{b}'" for b in M.B
 BEST_NAME = "CASE " + " ".join(f"WHEN sum_{b} = {_BEST} THEN 'sum_{b}_score'" for b in M.BANDS) + " END"
 
 
+@T.once
 def pairs(spark: SparkSession, sf: str) -> DataFrame:
     return tags.join_log_and_orders(base2(spark, sf), base4(spark, sf), DAY)
 

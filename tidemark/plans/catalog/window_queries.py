@@ -92,9 +92,10 @@ VERSIONS = """
   FROM order_detail d JOIN order_info o ON d.order_id = o.id"""
 
 
+@T.once
 def line_versions(spark: SparkSession, sf: str) -> DataFrame:
     """All versions of the order lines with the province of their order."""
-    log = T.change_log(spark, sf)
+    log = T.change_log(spark, sf, "order_detail", "order_info")
     orders = C.orders(log).select(F.col("id").alias("order_id"), "province_id")
     details = C.order_details(log).select("id", "order_id", "split_total_amount", "ts_ms")
     return lookups.enrich(details, orders, "order_id", ["province_id"]).withColumn(

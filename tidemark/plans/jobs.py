@@ -102,10 +102,13 @@ def dws_province(details: DataFrame, provinces: DataFrame, size: str = "1 second
     return lookups.province_names(measured, provinces)
 
 
-def dws_sku(details: DataFrame, sku_dim: DataFrame, size: str = "10 seconds", tz: str = S.BUSINESS_TZ) -> DataFrame:
+def dws_sku(
+    details: DataFrame, sku_dim: DataFrame, size: str = "10 seconds", tz: str = S.BUSINESS_TZ,
+    skus: DataFrame | None = None,
+) -> DataFrame:
     """Amounts per window and SKU of the newest line versions, with the SKU's dimension."""
     measured = windows.sku_orders(keyed.latest_orders(details), size, tz)
-    return lookups.sku_lookups(measured, sku_dim)
+    return lookups.sku_lookups(measured, sku_dim, skus=skus)
 
 
 # -- tagging --------------------------------------------------------------------------------------------------
@@ -129,7 +132,7 @@ def tag_score(profiles: DataFrame, tree: DataFrame, compare: DataFrame) -> DataF
 
 def tag_orders(
     topic_db: DataFrame, brands: DataFrame, tree: DataFrame, tz: str = S.BUSINESS_TZ, bound: int = TWO_MINUTES,
-    compat: bool = False,
+    compat: bool = False, skus: DataFrame | None = None,
 ) -> DataFrame:
     """Order lines joined to their order, newest first time seen, scored by time, amount, brand and category."""
     orders = logs.not_empty(tags.order_rows(topic_db, tz), "id")
@@ -139,7 +142,7 @@ def tag_orders(
         joined, "detail_id", "create_time", "ts_ms",
         ties=["split_total_amount", "sku_id", "sku_num", "order_price", "sku_name", "split_activity_amount",
               "split_coupon_amount"])
-    return tags.score_orders(lookups.brand_and_category(newest, brands, tree))
+    return tags.score_orders(lookups.brand_and_category(newest, brands, tree, skus))
 
 
 def tag_order(topic_db: DataFrame, bound: int = 5 * intervals.MINUTE) -> DataFrame:

@@ -12,7 +12,7 @@ from tidemark.session import tune
 
 MODULES = [
     "sources_sinks", "changes", "log_queries", "fact_queries", "join_queries", "scalar_queries", "window_queries",
-    "state_queries", "tag_queries", "job_queries",
+    "state_queries", "tag_queries", "job_queries", "stream_queries",
 ]
 
 

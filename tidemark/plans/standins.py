@@ -79,6 +79,16 @@ def _tag_ms(key: str, factor: int) -> Column:
     return F.lit(MONTH_START_MS) + (F.col(key) * factor) % MONTH_SECONDS * 1000
 
 
+def tag_order_ms(key: str) -> Column:
+    """Time of an order within the tag month."""
+    return _tag_ms(key, 7919).cast("bigint")
+
+
+def user_ms(key: str) -> Column:
+    """Time of a user record within the tag month."""
+    return _tag_ms(key, 104729).cast("bigint")
+
+
 # -- shop tables ------------------------------------------------------------------------------------------
 
 
@@ -98,14 +108,13 @@ def order_info(spark: SparkSession, sf: str, tag_month: bool = False) -> DataFra
         ms.alias("ts_ms"))
 
 
-@once
-def lines(spark: SparkSession, sf: str, tag_month: bool = False) -> DataFrame:
-    """Order lines with their versions and the flags other tables derive from."""
+def lines_of(lineitem: DataFrame, tag_month: bool = False) -> DataFrame:
+    """Order lines with their versions and the flags other tables derive from, from a table or a stream."""
     cents, qty = F.col("cents"), F.col("qty")
     ms = _ms("l_shipdate")
     if tag_month:
         ms = _tag_ms("l_orderkey", 7919) + (F.col("l_linenumber") * 45 - 150) * 1000
-    base = table(spark, sf, "lineitem").withColumns({
+    base = lineitem.withColumns({
         "cents": _cents("l_extendedprice"), "qty": F.col("l_quantity").cast("bigint"),
         "disc": F.round(F.col("l_discount") * 100).cast("bigint"), "tax": F.round(F.col("l_tax") * 100).cast("bigint"),
         "ts_ms": ms.cast("bigint"),
@@ -121,6 +130,11 @@ def lines(spark: SparkSession, sf: str, tag_month: bool = False) -> DataFrame:
         "ts_ms", "disc", "tax", "l_returnflag", "l_linestatus", "l_linenumber")
 
 
+@once
+def lines(spark: SparkSession, sf: str, tag_month: bool = False) -> DataFrame:
+    return lines_of(table(spark, sf, "lineitem"), tag_month)
+
+
 DETAIL_FIELDS = [
     "id", "order_id", "sku_id", "sku_name", "create_time", "source_id", "source_type", "sku_num", "order_price",
     "split_total_amount", "split_activity_amount", "split_coupon_amount", "ts_ms",
@@ -217,11 +231,15 @@ SHOP = {
 }
 
 
+TRADE = ("order_info", "order_detail", "order_detail_activity", "order_detail_coupon")
+
+
 @once
-def change_log(spark: SparkSession, sf: str) -> DataFrame:
-    """One change log of all shop tables. Selecting one table of it prunes the others from the plan."""
-    parts = [cdc_snapshot(make(spark, sf), name) for name, make in SHOP.items()]
-    return reduce(DataFrame.unionByName, [*parts, cart_envelopes(spark, sf)])
+def change_log(spark: SparkSession, sf: str, *tables: str) -> DataFrame:
+    """One change log of the named shop tables, or of all. Selecting one of them prunes the others from the plan."""
+    names = tables or (*SHOP, "cart_info")
+    parts = [cart_envelopes(spark, sf) if n == "cart_info" else cdc_snapshot(SHOP[n](spark, sf), n) for n in names]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @once
@@ -295,17 +313,20 @@ def base_dic(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "region").select(_text("r_regionkey").alias("dic_code"), F.col("r_name").alias("dic_name"))
 
 
+@once
 def sku_info(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select(
         _text("p_partkey").alias("id"), _text("p_size").alias("spu_id"), F.concat(F.lit("spu "), _text("p_size")).alias("spu_name"),
         F.col("p_brand").alias("tm_id"), F.col("p_type").alias("category3_id"))
 
 
+@once
 def spu_info(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").groupBy(_text("p_size").alias("id")).agg(
         F.min("p_type").alias("category3_id"), F.min("p_brand").alias("tm_id"))
 
 
+@once
 def trademarks(spark: SparkSession, sf: str) -> DataFrame:
     number = F.split_part("p_brand", F.lit("#"), F.lit(2)).cast("int")
     name = F.when(number % 7 < 6, _choice(BRAND_NAMES, number % 7)).otherwise(F.col("p_brand"))
