@@ -12,9 +12,9 @@ from tidemark.plans import standins as T
 from tidemark.plans.catalog.changes import _CELLS, _DIM_ROWS, _MERGED
 from tidemark.plans.catalog.job_queries import _KEPT
 from tidemark.plans.catalog.log_queries import DEVICE_SQL
-from tidemark.plans.catalog.window_queries import LOGIN_DAYS, RUNNING_ORDER, running_sql
+from tidemark.plans.catalog.window_queries import LOGIN_DAYS, RUNNING_ORDER, TRAFFIC_SQL, running_sql
 from tidemark.plans.registry import query
-from tidemark.plans.standin_sql import bounds, latest, using
+from tidemark.plans.standin_sql import bounds, dt, latest, using
 from tidemark.session import new_path
 from tidemark.sources import cdc, sinks
 from tidemark.sources.sinks import read_keyed
@@ -167,23 +167,24 @@ def g4_login_days_stream(spark: SparkSession, sf: str) -> DataFrame:
     return finished(stateful.login_days(rows, offset=0), spark, "login-days")
 
 
-@query("g5_retract_versions_stream", using("order_detail") + """
-SELECT id, sum(cents) AS cents, count(*) AS n FROM (
-  SELECT id, CAST(round(CAST(split_total_amount AS DOUBLE) * 100) AS BIGINT) AS cents FROM order_detail UNION ALL
-  SELECT id, -CAST(round(CAST(split_total_amount AS DOUBLE) * 100) AS BIGINT) FROM (
-    SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts_ms DESC) AS rn FROM order_detail) WHERE rn > 1)
-GROUP BY id HAVING count(*) = 1""")
+_CENTS = "SELECT id, CAST(round(CAST(split_total_amount AS DOUBLE) * 100) AS BIGINT) AS cents, ts_ms FROM order_detail"
+
+
+@query("g5_retract_versions_stream", using("order_detail", c=_CENTS) + """
+SELECT id, arg_max(cents, (ts_ms, cents)) AS cents, 2 * count(*) - 1 AS n FROM c GROUP BY id""")
 def g5_retract_versions_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines with one version come through once; the sums of the others are checked by the tests."""
+    """Per line what remains after all retractions, and how many records that took."""
     rows = T.lines_of(stream(spark, sf, "lineitem")).select(
         "id", F.round(F.col("split_total_amount").cast("double") * 100).cast("bigint").alias("cents"), "ts_ms")
     out = finished(stateful.retract_versions(rows, "id", "cents"), spark, "retract")
-    return out.groupBy("id").agg(F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("n")).filter("n = 1")
+    return out.groupBy("id").agg(F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("n"))
 
 
-@query("g6_latest_after_wait_stream")
+@query("g6_latest_after_wait_stream", using("order_detail") + f"""
+SELECT * FROM {latest("(SELECT id, sku_id, split_total_amount, ts_ms FROM order_detail)", "id", "ts_ms", "sku_id,split_total_amount")}
+WHERE ts_ms + 5000 < (SELECT max(ts_ms) FROM order_detail)""")
 def g6_latest_after_wait_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Newest version per line and wait. No SQL: which versions share a wait depends on the arrival of the batches."""
+    """Newest version per line whose wait has passed by the end of the input."""
     rows = T.lines_of(stream(spark, sf, "lineitem")).select("id", "sku_id", "split_total_amount", "ts_ms")
     timed = cdc.with_event_time(rows, "ts_ms", "0 seconds")
     return finished(stateful.latest_after_wait(timed, "id", 5_000), spark, "latest")
@@ -219,13 +220,22 @@ def f9_running_profile_stream(spark: SparkSession, sf: str) -> DataFrame:
     return finished(stateful.running_profile(rows, ["os", "ch", "md", "ba", "search_item"]), spark, "profile")
 
 
-@query("f2_traffic_stream")
+@query("f2_traffic_stream", using("log", t=TRAFFIC_SQL) + f"""
+SELECT * FROM t WHERE edt <= (SELECT {dt('max(ts)')} FROM log)""")
 def f2_traffic_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Flag and windows in one query. No SQL: append output holds back windows the watermark has not passed; the
-    tests compare the closed ones with the batch form."""
+    """Flag and windows in one query; append output holds the windows the watermark has passed."""
     return finished(jobs.traffic(log_stream(spark, sf), "1 hour", tz="UTC", offset=0), spark, "traffic")
 
 
+@query("g14_watermark_stream", using("log") + """
+SELECT count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM log""")
+def g14_watermark_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """A watermark alone drops nothing: late rows are lost only where state has been closed."""
+    timed = cdc.with_event_time(log_stream(spark, sf).select("ts"), "ts", "3 seconds")
+    return finished(timed, spark, "late").agg(
+        F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+
+
 @query("d12_chained_interval_stream", using("log", "tag_order_info", "user_info") + """
 SELECT l.uid, l.ts AS ts_ms, o.id AS order_id, u.name FROM log l
 JOIN tag_order_info o ON l.uid = o.user_id AND o.ts_ms BETWEEN l.ts - 86400000 AND l.ts + 86400000

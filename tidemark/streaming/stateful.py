@@ -1,7 +1,8 @@
 """Streaming twins of the keyed operators, as stateful processors.
 
-Records are taken in order of arrival; within one Arrow chunk they are taken in time order. A chunk is
-all that is ever held of a key, besides its state. Batch definitions are in ``operators.keyed``.
+Records are taken in order of arrival; within one Arrow chunk they are taken in time order, with equal
+times settled by the other columns where versions are compared. A chunk is all that is ever held of a
+key, besides its state. Batch definitions are in ``operators.keyed``.
 
 Time zones: a day here is the calendar day at a fixed offset from UTC (business zone: +8 hours).
 """
@@ -32,8 +33,8 @@ class _PerKey(StatefulProcessor):
 
     state_schema = "v bigint"
 
-    def __init__(self, ms: str):
-        self.ms = ms
+    def __init__(self, ms: str, ties: Sequence[str] = ()):
+        self.ms, self.order = ms, [ms, *ties]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -41,7 +42,7 @@ class _PerKey(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for chunk in rows:
-            out = self.chunk(key, chunk.sort_values(self.ms, kind="stable"))
+            out = self.chunk(key, chunk.sort_values(self.order, kind="stable"))
             if out is not None and len(out):
                 yield out
 
@@ -117,7 +118,7 @@ class RetractVersions(_PerKey):
     """Each version, preceded by the one it replaces with its amount negated."""
 
     def __init__(self, ms: str, amount: str, columns: Sequence[str], schema: str):
-        super().__init__(ms)
+        super().__init__(ms, [c for c in columns if c != ms])
         self.amount, self.columns, self.state_schema = amount, list(columns), schema
 
     def chunk(self, key, rows):
@@ -155,7 +156,7 @@ class LatestAfterWait(_PerKey):
     """The newest version of a key, given out once ``wait`` milliseconds of event time have passed."""
 
     def __init__(self, ms: str, columns: Sequence[str], schema: str, wait: int):
-        super().__init__(ms)
+        super().__init__(ms, [c for c in columns if c != ms])
         self.columns, self.state_schema, self.wait = list(columns), schema, wait
 
     def chunk(self, key, rows):
