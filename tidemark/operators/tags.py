@@ -40,11 +40,12 @@ def detail_rows(envelopes: DataFrame) -> DataFrame:
 
 
 def user_rows(
-    envelopes: DataFrame, today: Column, default_gender: str | None = "home", nick_name: bool = False,
+    envelopes: DataFrame, today: Column | str, default_gender: str | None = "home", nick_name: bool = False,
     late_scorpio: bool = False,
 ) -> DataFrame:
-    """Users with birthday, age on ``today``, decade and zodiac sign."""
+    """Users with birthday, age on ``today`` (a date or its text), decade and zodiac sign."""
     after = F.col("after")
+    today = F.lit(today).cast("date")
     born = S.epoch_day_to_date(after["birthday"].try_cast("int"))
     gender = after["gender"] if default_gender is None else F.coalesce(after["gender"], F.lit(default_gender))
     nick = [after["nick_name"].alias("nick_name")] if nick_name else []

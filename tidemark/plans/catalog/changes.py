@@ -181,7 +181,7 @@ USERS_SQL = f"""
     {ZODIAC_SQL} AS zodiac_sign, ts_ms
   FROM (SELECT *, month(b) * 100 + day(b) AS md FROM
     (SELECT *, DATE '1970-01-01' + CAST(birthday AS INT) AS b FROM user_info))"""
-TODAY = F.lit("2024-06-15").cast("date")
+TODAY = "2024-06-15"
 
 
 @query("c20_user_projection", using("user_info", u=USERS_SQL) + """

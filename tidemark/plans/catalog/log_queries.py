@@ -14,7 +14,7 @@ from tidemark.plans.standin_sql import using
 from tidemark.session import new_path
 from tidemark.sources import cdc
 
-HEAD = [F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id")]
+HEAD = ["common.mid", "page.page_id"]
 _CLEAN = "ts % 89 <> 0 AND ts % 97 <> 0"
 
 

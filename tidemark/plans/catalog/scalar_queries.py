@@ -64,7 +64,7 @@ def e5_epoch_day(spark: SparkSession, sf: str) -> DataFrame:
 @query("e6_age", f"""
 SELECT c_custkey, CAST(2024 - year(b) - CASE WHEN month(b) * 100 + day(b) > 615 THEN 1 ELSE 0 END AS INT) AS age FROM {_BIRTH}""")
 def e6_age(spark: SparkSession, sf: str) -> DataFrame:
-    return _birthdays(spark, sf).select("c_custkey", S.age_years(F.col("b"), TODAY).alias("age"))
+    return _birthdays(spark, sf).select("c_custkey", S.age_years(F.col("b"), F.lit(TODAY).cast("date")).alias("age"))
 
 
 @query("e7_decade", f"SELECT c_custkey, CAST(year(b) // 10 * 10 AS INT) AS decade FROM {_BIRTH}")

@@ -149,12 +149,12 @@ def tag_order(topic_db: DataFrame, bound: int = 5 * intervals.MINUTE) -> DataFra
     return intervals.trimmed_order_join(intervals.trimmed_orders(topic_db), intervals.trimmed_details(topic_db), bound)
 
 
-def tag_user(topic_db: DataFrame, today: Column, bound: int = 5 * intervals.MINUTE) -> DataFrame:
+def tag_user(topic_db: DataFrame, today: Column | str, bound: int = 5 * intervals.MINUTE) -> DataFrame:
     users = logs.not_empty(tags.user_rows(topic_db, today), "uid")
     return intervals.user_with_supplement(users, logs.not_empty(tags.supplement_rows(topic_db), "uid"), bound)
 
 
-def tag_user_standalone(topic_db: DataFrame, today: Column) -> DataFrame:
+def tag_user_standalone(topic_db: DataFrame, today: Column | str) -> DataFrame:
     """The stand-alone user job: nick name, later Scorpio, one-hour bound, gender "null"."""
     users = tags.user_rows(topic_db, today, default_gender=None, nick_name=True, late_scorpio=True)
     return intervals.user_with_supplement(

@@ -1,55 +1,58 @@
 """Streaming twins of the keyed operators, as stateful processors.
 
-Records are taken in order of arrival; within one Arrow chunk they are taken in time order, with equal
-times settled by the other columns where versions are compared. A chunk is all that is ever held of a
-key, besides its state. Batch definitions are in ``operators.keyed``.
+Records are taken in order of arrival; within a chunk of ``CHUNK`` records they are taken in time order,
+with equal times settled by the other columns where versions are compared. A chunk is all that is ever
+held of a key, besides its state. Batch definitions are in ``operators.keyed``.
 
-Time zones: a day here is the calendar day at a fixed offset from UTC (business zone: +8 hours).
+Days are calendar days at a fixed offset from UTC (business zone: +8 hours).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 DAY_MS = 86_400_000
 BUSINESS_OFFSET_MS = 8 * 3_600_000
+CHUNK = 10_000
 
 
 def _with(schema: StructType, *extra: StructField) -> StructType:
     return StructType([*schema.fields, *extra])
 
 
-def _days(ms: pd.Series, offset: int) -> pd.Series:
-    return (ms + offset) // DAY_MS
-
-
 class _PerKey(StatefulProcessor):
     """Shared plumbing: one value state and chunk-wise handling in time order."""
 
     state_schema = "v bigint"
+    out: Sequence[str] = ()  # names of the output columns
 
     def __init__(self, ms: str, ties: Sequence[str] = ()):
         self.ms, self.order = ms, [ms, *ties]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        self.row = Row(*self.out)
         self.state = handle.getValueState("state", self.state_schema)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for chunk in rows:
-            out = self.chunk(key, chunk.sort_values(self.order, kind="stable"))
-            if out is not None and len(out):
-                yield out
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        rows = iter(rows)
+        while chunk := list(islice(rows, CHUNK)):
+            if len(chunk) > 1:
+                chunk.sort(key=lambda r: [(r[c] is not None, r[c]) for c in self.order])
+            yield from self.chunk(key, chunk)
+
+    def held(self):
+        return self.state.get() if self.state.exists() else None
 
-    def chunk(self, key, rows: pd.DataFrame) -> pd.DataFrame | None:
+    def chunk(self, key, rows: list[Row]) -> Iterator[Row]:
         raise NotImplementedError
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         return iter(())
 
     def close(self) -> None:
@@ -59,18 +62,18 @@ class _PerKey(StatefulProcessor):
 class FlagFirstOfDay(_PerKey):
     """All records, with a 1 on the first of each day and a 0 on the rest."""
 
-    def __init__(self, ms: str, name: str, offset: int):
+    def __init__(self, ms: str, offset: int):
         super().__init__(ms)
-        self.name, self.offset = name, offset
+        self.offset = offset
 
     def chunk(self, key, rows):
-        last = self.state.get()[0] if self.state.exists() else None
-        days = _days(rows[self.ms], self.offset)
-        previous = days.shift(1)
-        if last is not None:
-            previous = previous.fillna(last)
-        self.state.update((int(days.iloc[-1]),))
-        return rows.assign(**{self.name: (days != previous).astype("int64")})
+        held = self.held()
+        last = held[0] if held else None
+        for row in rows:
+            day = (row[self.ms] + self.offset) // DAY_MS
+            yield self.row(*row, int(day != last))
+            last = day
+        self.state.update((last,))
 
 
 class RepairIsNew(_PerKey):
@@ -81,14 +84,15 @@ class RepairIsNew(_PerKey):
         self.flag, self.offset = flag, offset
 
     def chunk(self, key, rows):
-        days = _days(rows[self.ms], self.offset)
-        if self.state.exists():
-            stored = self.state.get()[0]
+        held = self.held()
+        if held:
+            stored = held[0]
         else:
-            stored = int(days.iloc[0]) - (0 if rows[self.flag].iloc[0] == "1" else 1)
+            stored = (rows[0][self.ms] + self.offset) // DAY_MS - (0 if rows[0][self.flag] == "1" else 1)
             self.state.update((stored,))
-        wrong = (rows[self.flag] == "1") & (days != stored)
-        return rows.assign(**{self.flag: rows[self.flag].mask(wrong, "0")})
+        for row in rows:
+            wrong = row[self.flag] == "1" and (row[self.ms] + self.offset) // DAY_MS != stored
+            yield self.row(*["0" if c == self.flag else row[c] for c in self.out]) if wrong else row
 
 
 class LoginDays(_PerKey):
@@ -99,19 +103,14 @@ class LoginDays(_PerKey):
         self.offset, self.away = offset, away
 
     def chunk(self, key, rows):
-        last = self.state.get()[0] if self.state.exists() else None
-        days = _days(rows[self.ms], self.offset)
-        firsts = rows.assign(_day=days).drop_duplicates("_day")
-        if last is not None:
-            firsts = firsts[firsts["_day"] != last]
-        if not len(firsts):
-            return None
-        previous = firsts["_day"].shift(1)
-        if last is not None:
-            previous = previous.fillna(last)
-        back = (firsts["_day"] - previous >= self.away).astype("int64")
-        self.state.update((int(firsts["_day"].iloc[-1]),))
-        return firsts.assign(uu=1, back=back).drop(columns="_day").astype({"uu": "int64"})
+        held = self.held()
+        last = held[0] if held else None
+        for row in rows:
+            day = (row[self.ms] + self.offset) // DAY_MS
+            if day != last:
+                yield self.row(*row, 1, int(last is not None and day - last >= self.away))
+                last = day
+        self.state.update((last,))
 
 
 class RetractVersions(_PerKey):
@@ -119,70 +118,64 @@ class RetractVersions(_PerKey):
 
     def __init__(self, ms: str, amount: str, columns: Sequence[str], schema: str):
         super().__init__(ms, [c for c in columns if c != ms])
-        self.amount, self.columns, self.state_schema = amount, list(columns), schema
+        self.amount, self.state_schema = list(columns).index(amount), schema
 
     def chunk(self, key, rows):
-        rows = rows[self.columns]
-        before = rows.iloc[:-1]
-        if self.state.exists():
-            held = pd.DataFrame([tuple(self.state.get())], columns=self.columns)
-            before = pd.concat([held, before], ignore_index=True) if len(before) else held
-        self.state.update(tuple(v.item() if hasattr(v, "item") else v for v in rows.iloc[-1]))
-        if not len(before):
-            return rows
-        negated = before.assign(**{self.amount: -before[self.amount]})
-        return pd.concat([negated, rows], ignore_index=True)
+        last = self.held()
+        for row in rows:
+            if last is not None:
+                yield self.row(*last[: self.amount], -last[self.amount], *last[self.amount + 1:])
+            yield row
+            last = tuple(row)
+        self.state.update(tuple(last))
 
 
 class StrictlyNewer(_PerKey):
     """Records whose value exceeds every earlier one of their key."""
 
     def __init__(self, ms: str, value: str):
-        super().__init__(ms)
+        super().__init__(ms, [value])
         self.value = value
 
     def chunk(self, key, rows):
-        best = self.state.get()[0] if self.state.exists() else None
-        values = rows[self.value]
-        earlier = values.cummax().shift(1)
-        if best is not None:
-            earlier = earlier.fillna(best).clip(lower=best)
-        top = int(values.max())
-        self.state.update((top if best is None else max(best, top),))
-        return rows[earlier.isna() | (values > earlier)]
+        held = self.held()
+        best = held[0] if held else None
+        for row in rows:
+            if best is None or row[self.value] > best:
+                best = row[self.value]
+                yield row
+        self.state.update((best,))
 
 
 class LatestAfterWait(_PerKey):
-    """The newest version of a key, given out once ``wait`` milliseconds of event time have passed."""
+    """The newest version of a key, given out once ``wait`` milliseconds of event time have passed since its first."""
 
     def __init__(self, ms: str, columns: Sequence[str], schema: str, wait: int):
         super().__init__(ms, [c for c in columns if c != ms])
         self.columns, self.state_schema, self.wait = list(columns), schema, wait
 
     def chunk(self, key, rows):
-        newest = tuple(v.item() if hasattr(v, "item") else v for v in rows[self.columns].iloc[-1])
         at = self.columns.index(self.ms)
-        if not self.state.exists():
-            self.handle.registerTimer(int(newest[at]) + self.wait)
-            self.state.update(newest)
-        elif newest[at] >= self.state.get()[at]:
+        held = self.held()
+        if held is None:
+            self.handle.registerTimer(int(rows[0][self.ms]) + self.wait)
+        newest = tuple(rows[-1][c] for c in self.columns)
+        if held is None or newest[at] >= held[at]:
             self.state.update(newest)
-        return None
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.state.exists():
-            held = pd.DataFrame([tuple(self.state.get())], columns=self.columns)
+        held = self.held()
+        if held is not None:
             self.state.clear()
-            yield held
+            yield self.row(*held)
 
 
 class RunningProfile(_PerKey):
     """Per record its user's page views and distinct values so far."""
 
-    state_schema = "v bigint"
-
     def __init__(self, ms: str, fields: Sequence[str]):
-        super().__init__(ms)
+        super().__init__(ms, fields)
         self.fields = list(fields)
 
     def init(self, handle):
@@ -190,28 +183,32 @@ class RunningProfile(_PerKey):
         self.seen = handle.getMapState("seen", "field string, value string", "n bigint")
 
     def chunk(self, key, rows):
-        pv = self.state.get()[0] if self.state.exists() else 0
+        held = self.held()
+        pv = held[0] if held else 0
         sets: dict[str, set] = {f: set() for f in self.fields}
-        for field, value in self.seen.keys():
-            sets[field].add(value)
-        texts: dict[str, list[str]] = {f: [] for f in self.fields}
-        for record in rows[self.fields].itertuples(index=False):
-            for field, value in zip(self.fields, record):
-                if value is not None and value == value and value not in sets[field]:
+        if held:
+            for field, value in self.seen.keys():
+                sets[field].add(value)
+        texts = {f: ",".join(sorted(sets[f])) for f in self.fields}
+        for row in rows:
+            pv += 1
+            for field in self.fields:
+                value = row[field]
+                if value is not None and value not in sets[field]:
                     sets[field].add(value)
                     self.seen.updateValue((field, value), (1,))
-                texts[field].append(",".join(sorted(sets[field])))
-        self.state.update((pv + len(rows),))
-        out = pd.DataFrame({"uid": key[0], "ts_ms": rows[self.ms].to_numpy(), "pv": range(pv + 1, pv + 1 + len(rows))})
-        return out.assign(**texts)
+                    texts[field] = ",".join(sorted(sets[field]))
+            yield self.row(key[0], row[self.ms], pv, *[texts[f] for f in self.fields])
+        self.state.update((pv,))
 
 
 # -- the operators ------------------------------------------------------------------------------------------
 
 
-def _apply(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor, schema, time_mode="None", event_time=None):
+def _apply(df: DataFrame, keys: Sequence[str], processor: _PerKey, schema: StructType, time_mode="None", event_time=None):
+    processor.out = schema.names
     kwargs = {"eventTimeColumnName": event_time} if event_time else {}
-    return df.groupBy(*keys).transformWithStateInPandas(
+    return df.groupBy(*keys).transformWithState(
         statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode=time_mode, **kwargs)
 
 
@@ -222,7 +219,7 @@ def flag_first_of_day(
     """With ``event_time`` (a watermarked column) the result can go into a window aggregate."""
     schema = _with(df.schema, StructField(name, LongType()))
     mode = "EventTime" if event_time else "None"
-    return _apply(df, keys, FlagFirstOfDay(ms, name, offset), schema, mode, event_time)
+    return _apply(df, keys, FlagFirstOfDay(ms, offset), schema, mode, event_time)
 
 
 def repair_is_new(df: DataFrame, key: str = "mid", flag: str = "is_new", ms: str = "ts", offset: int = BUSINESS_OFFSET_MS):
