@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import scalars as S
 from tidemark.operators.skew import lookup_join
@@ -11,21 +12,45 @@ from tidemark.operators.versions import first_by_key
 from tidemark.schemas import APP_LOG
 
 
+CORRUPT = "_corrupt"
+
+
 def is_json_object(value: Column) -> Column:
     """True for text holding a JSON object. ``from_json`` alone cannot tell: bad text gives a struct of nulls."""
     parsed = F.try_parse_json(value)
     return F.coalesce(parsed.isNotNull() & F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
 
 
+def checked_log(values: DataFrame) -> DataFrame:
+    """Each text with its record ``_r`` and whether it is ``_clean``; null payloads are left out.
+
+    The record parser marks what it could not read. Only those texts are parsed a second time, to keep the
+    ones that are JSON objects all the same but hold a field of another type.
+    """
+    schema = T.StructType([*APP_LOG.fields, T.StructField(CORRUPT, T.StringType())])
+    record = F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT})
+    read = F.col(f"_r.{CORRUPT}").isNull() & F.ltrim("value").startswith("{")
+    return (
+        values.filter(F.col("value").isNotNull())
+        .select("value", record.alias("_r"))
+        .withColumn("_clean", F.when(read, F.lit(True)).otherwise(is_json_object(F.col("value"))))
+    )
+
+
+def _records(checked: DataFrame) -> DataFrame:
+    # As a generator, not a filter: a filter would be pushed below the parsing and parse every text again.
+    record = F.struct(*[F.col(f"_r.{f.name}").alias(f.name) for f in APP_LOG.fields])
+    return checked.select(F.inline(F.when(F.col("_clean"), F.array(record))))
+
+
 def dirty_rows(values: DataFrame) -> DataFrame:
     """Non-null texts that are not JSON objects, unchanged."""
-    return values.filter(F.col("value").isNotNull() & ~is_json_object(F.col("value"))).select("value")
+    return checked_log(values).filter("NOT _clean").select("value")
 
 
 def parsed_log(values: DataFrame) -> DataFrame:
     """Log records of the clean texts."""
-    good = values.filter(is_json_object(F.col("value")))
-    return good.select(F.from_json("value", APP_LOG).alias("_r")).select("_r.*")
+    return _records(checked_log(values))
 
 
 def with_common(log: DataFrame, name: str, value: Column) -> DataFrame:
@@ -90,6 +115,49 @@ def split_log(log: DataFrame) -> dict[str, DataFrame]:
     return {name: split(log) for name, split in SPLITS.items()}
 
 
+_OUTPUTS = "array<struct<output:string,value:string>>"
+
+
+def _output(condition: Column, name: str, values: Column) -> Column:
+    rows = F.transform(values, lambda v: F.struct(F.lit(name).alias("output"), v.alias("value")))
+    return F.when(condition, rows).otherwise(F.array().cast(_OUTPUTS))
+
+
+def _log_outputs(prefix: str = "") -> Column:
+    """Every output record of one log record, whose fields are under ``prefix``."""
+
+    def fields(*names: str) -> list[Column]:
+        return [F.col(prefix + n).alias(n) for n in names]
+
+    def each(items: str, name: str, *rest: str) -> Column:
+        return F.transform(
+            prefix + items, lambda item: F.to_json(F.struct(*fields("common", "page"), item.alias(name), *fields(*rest))))
+
+    names = [f.name for f in APP_LOG.fields]
+    pages = F.col(prefix + "start").isNull()
+    return F.concat(
+        _output(F.col(prefix + "err").isNotNull(), "err", F.array(F.to_json(F.struct(*fields(*names))))),
+        _output(~pages, "start", F.array(F.to_json(F.struct(*fields(*[n for n in names if n != "err"]))))),
+        _output(pages & F.col(prefix + "displays").isNotNull(), "display", each("displays", "display", "ts")),
+        _output(pages & F.col(prefix + "actions").isNotNull(), "action", each("actions", "action")),
+        _output(pages, "page", F.array(F.to_json(F.struct(*fields("common", "page", "ts"))))),
+    )
+
+
+def tagged_outputs(log: DataFrame) -> DataFrame:
+    """The five outputs in one pass: (output, value), the value being the JSON record of that output.
+
+    Each record is read once and gives one row per output record, ready to be written by ``output``.
+    """
+    return log.select(F.inline(_log_outputs()))
+
+
+def tagged_texts(checked: DataFrame) -> DataFrame:
+    """The same straight from ``checked_log``, with the dirty texts as a sixth output."""
+    dirty = F.array(F.struct(F.lit("dirty").alias("output"), F.col("value").alias("value")))
+    return checked.select(F.when(F.col("_clean"), _log_outputs("_r.")).otherwise(dirty).alias("_o")).select(F.inline("_o"))
+
+
 # -- filters and projections --------------------------------------------------------------------------
 
 def on_pages(log: DataFrame, *page_ids: str) -> DataFrame:

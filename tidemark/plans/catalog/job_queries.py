@@ -59,14 +59,9 @@ UNION ALL SELECT 'action', fixed, CAST(sum(entries) AS BIGINT) FROM p GROUP BY f
 UNION ALL SELECT 'page', fixed, count(*) FROM p GROUP BY fixed""")
 def job_dwd_base_log(spark: SparkSession, sf: str) -> DataFrame:
     """All outputs of the log job, counted by repaired flag."""
-    parts = jobs.dwd_base_log(T.raw_log(spark, sf), "UTC")
-    flags = None
-    for name, part in parts.items():
-        flag = F.lit(None).cast("string") if name == "dirty" else F.col("common.is_new")
-        rows = part.groupBy(flag.alias("is_new")).agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(name).alias("output"), "is_new", "n")
-        flags = rows if flags is None else flags.unionByName(rows)
-    return flags
+    out = jobs.dwd_base_log_outputs(T.log_topic(spark, sf), "UTC")
+    flag = F.get_json_object("value", "$.common.is_new")
+    return out.groupBy("output", F.when(F.col("output") != "dirty", flag).alias("is_new")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("job_dwd_comment", using("comment_info", "base_dic") + """

@@ -21,13 +21,13 @@ _CLEAN = "ts % 89 <> 0 AND ts % 97 <> 0"
 @query("c9_dirty_rows", using("log") + """
 SELECT '{"ts": ' || ts AS value FROM log WHERE ts % 89 <> 0 AND ts % 97 = 0""")
 def c9_dirty_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return L.dirty_rows(T.raw_log(spark, sf))
+    return L.dirty_rows(T.log_topic(spark, sf))
 
 
 @query("c10_json_parse", using("log") + f"""
 SELECT mid, page_id, during_time, is_new, ts FROM log WHERE {_CLEAN}""")
 def c10_json_parse(spark: SparkSession, sf: str) -> DataFrame:
-    return L.parsed_log(T.raw_log(spark, sf)).select(
+    return L.parsed_log(T.log_topic(spark, sf)).select(
         *HEAD, "page.during_time", F.col("common.is_new").alias("is_new"), "ts")
 
 
@@ -35,7 +35,7 @@ def c10_json_parse(spark: SparkSession, sf: str) -> DataFrame:
 SELECT mid, page_id, CAST(event_id % 500 + 1000 AS VARCHAR) AS error_code, entries AS n_displays, ts FROM log
 WHERE has_err AND {_CLEAN}""")
 def c11a_error_log(spark: SparkSession, sf: str) -> DataFrame:
-    return L.error_log(L.parsed_log(T.raw_log(spark, sf))).select(
+    return L.error_log(L.parsed_log(T.log_topic(spark, sf))).select(
         *HEAD, F.col("err")["error_code"].alias("error_code"), F.size("displays").cast("bigint").alias("n_displays"), "ts")
 
 
@@ -72,11 +72,10 @@ SELECT 'err' AS output, count(*) AS n FROM log WHERE has_err UNION ALL SELECT 's
 UNION ALL SELECT 'display', CAST(sum(entries) AS BIGINT) FROM p UNION ALL SELECT 'action', CAST(sum(entries) AS BIGINT) FROM p
 UNION ALL SELECT 'page', count(*) FROM p""")
 def c11f_five_way_split(spark: SparkSession, sf: str) -> DataFrame:
-    """All five outputs written to their folders and counted back."""
+    """All five outputs written to their folders in one pass, and counted back."""
     path = new_path(spark, "split")
-    for name, part in L.split_log(T.app_log(spark, sf)).items():
-        cdc.to_values(part).withColumn("output", F.lit(name)).write.mode("append").partitionBy("output").parquet(path)
-    return spark.read.parquet(path).groupBy(F.col("output").cast("string").alias("output")).agg(F.count(F.lit(1)).alias("n"))
+    L.tagged_outputs(T.app_log(spark, sf)).write.partitionBy("output").parquet(path)
+    return spark.read.parquet(path).groupBy("output").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("c14_page_filter", using("log") + "SELECT mid, page_id, ts FROM log WHERE page_id IN ('home', 'good_detail')")

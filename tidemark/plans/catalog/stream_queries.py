@@ -84,13 +84,7 @@ UNION ALL SELECT 'page', count(*) FROM p""")
 def c11f_five_way_split_stream(spark: SparkSession, sf: str) -> DataFrame:
     out, checkpoint = paths(spark, "split")
     jobs.split_log(T.raw_log(spark, sf, stream(spark, sf, "events")), out, checkpoint)
-    counts = [
-        spark.read.parquet(f"{out}/{name}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("output"), "n")
-        for name in ("dirty", *L.SPLITS)]
-    total = counts[0]
-    for part in counts[1:]:
-        total = total.unionByName(part)
-    return total
+    return spark.read.parquet(out).groupBy("output").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("b5_dim_merge_stream", using("active_config", all_rows=_DIM_ROWS, rows_=_KEPT, cells_=_CELLS) + _MERGED)

@@ -38,11 +38,18 @@ def dim_sync(values: DataFrame, config_changes: DataFrame, db: str, keep_deletes
 
 
 def dwd_base_log(values: DataFrame, tz: str = S.BUSINESS_TZ) -> dict[str, DataFrame]:
-    """Dirty texts plus the five outputs of the repaired log."""
+    """Dirty texts plus the five outputs of the repaired log, as separate tables."""
     repaired = logs.repair_is_new(logs.parsed_log(values), tz)
     return {"dirty": logs.dirty_rows(values), **logs.split_log(repaired)}
 
 
+def dwd_base_log_outputs(values: DataFrame, tz: str = S.BUSINESS_TZ) -> DataFrame:
+    """The same as one table (output, value), to be written by ``output``: the log is parsed and repaired once."""
+    repaired = logs.repair_is_new(logs.parsed_log(values), tz)
+    dirty = logs.dirty_rows(values).select(F.lit("dirty").alias("output"), "value")
+    return logs.tagged_outputs(repaired).unionByName(dirty)
+
+
 def dwd_comment(topic_db: DataFrame, dictionary: DataFrame) -> DataFrame:
     return facts.comment_facts(facts.latest_by_key(C.comments(topic_db), ["id"], ["ts_ms"]), dictionary)
 

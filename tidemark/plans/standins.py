@@ -7,13 +7,16 @@ the jobs read. ``standin_sql`` holds the same mapping as SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 from functools import reduce, wraps
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import planned_bytes
 from tidemark.schemas import APP_LOG
+from tidemark.session import new_path
 from tidemark.sources.cdc import cdc_snapshot, text_map
 
 # Fixed values of the stand-in: start of the tag month and its length in seconds.
@@ -50,9 +53,18 @@ def once(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return cached
 
 
+SPREAD_BYTES = 1 << 20
+
+
 @once
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A test table. They are single files of one row group, which one task would read and map alone, so a table
+    of more than ``SPREAD_BYTES`` in fewer files than cores is spread first; a table of many files is left as it is."""
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if planned_bytes(df) > SPREAD_BYTES and len(df.inputFiles()) < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def _ms(column: str) -> Column:
@@ -68,7 +80,7 @@ def _cents(column: str) -> Column:
 
 
 def _money(cents: Column) -> Column:
-    return (cents / 100).cast("decimal(16,2)").cast("string")
+    return (cents.cast("decimal(16,0)") * F.lit(Decimal("0.01"))).cast("decimal(16,2)").cast("string")
 
 
 def _choice(values: list[str], index: Column) -> Column:
@@ -302,6 +314,14 @@ def raw_log(spark: SparkSession, sf: str, events: DataFrame | None = None) -> Da
     return log.select(F.when(gone, F.lit(None).cast("string")).when(broken, F.concat(F.lit("{\"ts\": "), _text("ts"))).otherwise(text).alias("value"))
 
 
+@once
+def log_topic(spark: SparkSession, sf: str) -> DataFrame:
+    """``raw_log`` as a topic that has landed on storage: written once per session, then read."""
+    path = new_path(spark, "log-topic")
+    raw_log(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 # -- dimensions -------------------------------------------------------------------------------------------
 
 

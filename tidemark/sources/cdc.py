@@ -26,11 +26,19 @@ def cdc_snapshot(
     df: DataFrame, table: str, db: str = "shop", ts: str = "ts_ms", op: str | Column = "r",
     before: Column | None = None, after: Column | None = None,
 ) -> DataFrame:
-    """The rows of ``df`` as envelopes of ``table``. ``ts`` names the change time and stays out of the row."""
+    """The rows of ``df`` as envelopes of ``table``. ``ts`` names the change time and stays out of the row.
+
+    The row goes through a struct first: the optimizer then turns a later ``after['x']`` into the column itself
+    and never builds the map.
+    """
     names = [c for c in df.columns if c != ts]
-    return df.select(
+    rows = df
+    if after is None:
+        rows = df.withColumn("_row", F.struct(*[F.col(c).cast("string").alias(c) for c in names]))
+        after = text_map([f"_row.{c}" for c in names], names)
+    return rows.select(
         (F.lit(None) if before is None else before).cast(_TEXT_MAP).alias("before"),
-        (text_map(names) if after is None else after).cast(_TEXT_MAP).alias("after"),
+        after.cast(_TEXT_MAP).alias("after"),
         F.create_map(F.lit("db"), F.lit(db), F.lit("table"), F.lit(table)).alias("source"),
         (F.lit(op) if isinstance(op, str) else op).alias("op"),
         F.col(ts).cast("bigint").alias("ts_ms"),

@@ -39,14 +39,11 @@ def ods_ingest(envelopes: DataFrame, path: str, checkpoint: str) -> None:
 
 
 def split_log(values: DataFrame, path: str, checkpoint: str) -> None:
-    """Dirty texts and the five log outputs, each in its own folder, from one read of every batch."""
+    """Dirty texts and the five log outputs, each batch read and parsed once and written by output."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        parts = {"dirty": logs.dirty_rows(batch), **logs.split_log(logs.parsed_log(batch))}
-        for name, part in parts.items():
-            sinks.write_changes(part, f"{path}/{name}", batch_id)
-        batch.unpersist()
+        checked = logs.checked_log(batch)
+        sinks.write_changes(logs.tagged_texts(checked), path, batch_id, by="output")
 
     each_batch(values, write, checkpoint)
 
