@@ -113,7 +113,7 @@ _DIM_ROWS = """
 
 
 @query("c12_config_routing", using("active_config", rows_=_DIM_ROWS) + """
-SELECT c.sink_table, r.op, r.ts_ms, r.id AS row_key, r.name, r.col3 IS NOT NULL AS has_third
+SELECT c.sink_table, r.op, CAST(r.ts_ms AS BIGINT) AS ts_ms, r.id AS row_key, r.name, r.col3 IS NOT NULL AS has_third
 FROM rows_ r JOIN active_config c USING (source_table)""")
 def c12_config_routing(spark: SparkSession, sf: str) -> DataFrame:
     config = C.active_config(C.config_changes(T.config_envelopes(spark, sf)))

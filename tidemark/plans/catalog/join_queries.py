@@ -119,7 +119,7 @@ def d16_generic_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("d17_config_broadcast", using("active_config") + """
-SELECT t.table_name, sink_table, t.n FROM (
+SELECT t.table_name, sink_table, CAST(t.n AS BIGINT) AS n FROM (
   SELECT 'nation' AS table_name, count(*) AS n FROM nation UNION ALL SELECT 'region', count(*) FROM region
   UNION ALL SELECT 'supplier', count(*) FROM supplier UNION ALL SELECT 'part', count(*) FROM part
   UNION ALL SELECT 'customer', (SELECT sum(1 + CAST(c_custkey % 3 = 0 AS INT) + CAST(c_custkey % 7 = 0 AS INT)
