@@ -157,6 +157,14 @@ def test_settled_versions_equal_the_retracting_stream(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
+def test_summing_by_order_first_gives_the_same_provinces(spark):
+    settled = windows.settled_versions(versions(spark))
+    orders = spark.createDataFrame([("o", "p")], "order_id string, province_id string")
+    a = windows.province_orders(settled, "1 millisecond", "UTC").collect()
+    b = windows.province_orders_by_order(settled.drop("province_id"), orders, "1 millisecond", "UTC").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
 def test_latest_is_settled_by_the_other_columns_on_equal_times(spark):
     assert sorted((r.id, float(r.split_total_amount)) for r in keyed.latest_orders(versions(spark)).collect()) == [("1", 7.0), ("2", 1.0)]
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.operators import keyed, logs
+from tidemark.operators.skew import lookup_join
 from tidemark.operators.versions import latest_by_key
 
 MONEY = "decimal(18,2)"
@@ -105,10 +106,25 @@ def settled_versions(details: DataFrame, key: str = "id", amount: str = "split_t
     A superseded version and its negation cancel, so all versions count as orders with amount 0 and only
     the latest carries its amount.
     """
-    columns = [key, "order_id", "province_id", amount, "ts_ms"]
-    rows = details.select(*columns)
+    columns = [c for c in (key, "order_id", "province_id", amount, "ts_ms") if c in details.columns]
+    rows = details.select(*columns).withColumn(amount, F.col(amount).cast(MONEY))
     latest = latest_by_key(rows, [key], ["ts_ms"])
-    return rows.withColumn(amount, F.lit(0).cast(MONEY)).unionByName(latest.withColumn(amount, F.col(amount).cast(MONEY)))
+    return rows.withColumn(amount, F.lit(0).cast(MONEY)).unionByName(latest)
+
+
+def province_orders_by_order(
+    details: DataFrame, orders: DataFrame, size: str = "1 second", tz: str = S.BUSINESS_TZ
+) -> DataFrame:
+    """``province_orders`` where the province is still on the order (``order_id``, ``province_id``; one row per order).
+
+    Amounts are summed per window and order before the join, which so meets one row per order and window,
+    and counting orders needs no distinct.
+    """
+    totals = details.groupBy(F.window(_at("ts_ms"), size), "order_id").agg(
+        F.sum(F.col("split_total_amount").cast(MONEY)).alias("_amount"))
+    out = lookup_join(totals, orders, ["order_id"], "left").groupBy("window", "province_id").agg(
+        F.count("order_id").alias("order_count"), F.sum("_amount").alias("order_amount"))
+    return out.select(*bound_columns(tz), "province_id", "order_count", "order_amount")
 
 
 SKU_MEASURES = {

@@ -15,7 +15,7 @@ from tidemark.plans.catalog.join_queries import SEARCH_LOOKUP, SKU_DIM, SKU_NEED
 from tidemark.plans.catalog.log_queries import DEVICE_SQL
 from tidemark.plans.catalog.tag_queries import device_sql, milli, search_sql
 from tidemark.plans.catalog.window_queries import (
-    CART_ADDS, CART_SQL, DAY, HOME_DETAIL_SQL, LOGIN_DAYS, LOGIN_SQL, PROFILES, TRAFFIC_SQL, VERSIONS, line_versions,
+    CART_ADDS, CART_SQL, DAY, HOME_DETAIL_SQL, LOGIN_DAYS, LOGIN_SQL, PROFILES, TRAFFIC_SQL, VERSIONS,
     plain_amounts,
 )
 from tidemark.plans.registry import query
@@ -113,7 +113,10 @@ SELECT {bounds('ts_ms', DAY)}, province_id, any_value(name) AS province_name, co
 FROM (SELECT *, row_number() OVER (PARTITION BY v.id ORDER BY ts_ms DESC, order_id DESC, amount DESC) AS rn FROM v) v
 LEFT JOIN province p ON v.province_id = p.id GROUP BY ALL""")
 def job_dws_province(spark: SparkSession, sf: str) -> DataFrame:
-    out = jobs.dws_province(line_versions(spark, sf), T.provinces(spark, sf), "1 day", "UTC")
+    log = T.change_log(spark, sf, "order_detail", "order_info")
+    details = C.order_details(log).select("id", "order_id", "split_total_amount", "ts_ms")
+    orders = C.orders(log).select(F.col("id").alias("order_id"), "province_id", "ts_ms")
+    out = jobs.dws_province(details, T.provinces(spark, sf), "1 day", "UTC", orders)
     return out.withColumn("order_amount", F.col("order_amount").cast("double"))
 
 

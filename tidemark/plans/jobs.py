@@ -103,9 +103,20 @@ def dws_cart_uu(cart: DataFrame, size: str = "1 second", tz: str = S.BUSINESS_TZ
     return windows.cart_users(cart, size, tz)
 
 
-def dws_province(details: DataFrame, provinces: DataFrame, size: str = "1 second", tz: str = S.BUSINESS_TZ) -> DataFrame:
-    """Orders and amount per window and province. ``details`` holds all versions of the order lines."""
-    measured = windows.province_orders(windows.settled_versions(details), size, tz)
+def dws_province(
+    details: DataFrame, provinces: DataFrame, size: str = "1 second", tz: str = S.BUSINESS_TZ,
+    orders: DataFrame | None = None,
+) -> DataFrame:
+    """Orders and amount per window and province. ``details`` holds all versions of the order lines.
+
+    Where the lines do not carry their province, ``orders`` does (``order_id``, ``province_id``, ``ts_ms``).
+    """
+    settled = windows.settled_versions(details)
+    if orders is None:
+        measured = windows.province_orders(settled, size, tz)
+    else:
+        latest = facts.latest_by_key(orders, ["order_id"], ["ts_ms"]).drop("ts_ms")
+        measured = windows.province_orders_by_order(settled, latest, size, tz)
     return lookups.province_names(measured, provinces)
 
 
