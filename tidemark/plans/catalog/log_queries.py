@@ -12,7 +12,6 @@ from tidemark.plans import standins as T
 from tidemark.plans.registry import query
 from tidemark.plans.standin_sql import using
 from tidemark.session import new_path
-from tidemark.sources import cdc
 
 HEAD = ["common.mid", "page.page_id"]
 _CLEAN = "ts % 89 <> 0 AND ts % 97 <> 0"
