@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -42,16 +45,26 @@ def local_session(cores: int | str = 8, app: str = "tidemark") -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach.
+    """The folder every executor can reach: the one the cluster names in ``spark.checkpoint.dir``.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset (a laptop,
-    a test) a local folder is made.
+    Where that is unset, a local session (a laptop, a test) gets a temporary folder, which its only machine can reach;
+    any other session is refused, as its executors would write to disks of their own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = os.path.join(tempfile.gettempdir(), "tidemark-shared")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    if base:
+        return base
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir has to name a folder that all executors of {master or 'the cluster'} share")
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    """Made once per process and removed when it ends."""
+    path = tempfile.mkdtemp(prefix="tidemark-shared-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
 
 
 def new_path(spark: SparkSession, name: str) -> str:
