@@ -15,6 +15,8 @@ Only ``doc_id`` and ``text`` are read, so other columns may have any name.
 
 from __future__ import annotations
 
+import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,6 +42,21 @@ MARGIN = 16
 ENCODED = "doc_id bigint, n_tokens bigint, ids binary, decoded string"
 
 
+#: What a vocabulary has to do with a text before it merges: these make its words independent and let letters be
+#: looked up as they are. Fixed values, as the library writes them.
+NORMALIZER = ["NFC", "Replace", "Lowercase"]
+PRE_TOKENIZER = ["Split", "ByteLevel"]
+#: Marks that are a run of their own behind a word of letters.
+MARKS = ".,;:!?"
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: printable ones for themselves, the others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class Encoder:
     """The library's tokenizer with words kept encoded."""
 
@@ -47,46 +64,63 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        spec = json.loads(self.tokenizer.to_str())
+        kinds = [[x["type"] for x in (spec[part] or {}).get(more, [])] for part, more in
+                 (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        if kinds != [NORMALIZER, PRE_TOKENIZER] or spec["decoder"] or spec["post_processor"]:
+            raise ValueError(f"{path}: its words depend on each other")
         self.text_of = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())]
-        self.ids: dict[bytes, bytes] = {}
-        self.text: dict[bytes, str] = {}
+        self.letters = byte_letters()
+        self.known: dict[bytes, tuple[bytes, str]] = {}
+        self.stems: dict[str, list[int]] = {}
 
     def direct(self, text: str) -> tuple[list[int], list[tuple[int, int]]]:
         e = self.tokenizer.encode(text, add_special_tokens=False)
         return e.ids, e.offsets
 
+    def stem(self, text: str) -> list[int] | None:
+        """Ids of a word of Latin letters, straight from the model: nothing before it would change or split it."""
+        if not text.isalpha() or max(text) >= "\u0180" or not (low := text.lower()).isalpha():
+            return None
+        if (ids := self.stems.get(low)) is None:
+            letters = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
+            ids = self.stems[low] = [t.id for t in self.tokenizer.model.tokenize(letters)]
+        return ids
+
     def learn(self, words: set[bytes]) -> None:
-        """Encode words not yet known. What a word shares with others, its letters without end marks, is encoded once."""
-        if len(self.ids) > KEPT_WORDS:
-            self.ids.clear()
-            self.text.clear()
-        todo, stems = [], {}
-        for word in words.difference(self.ids):
+        """Encode words not yet known."""
+        if len(self.known) > KEPT_WORDS:
+            self.known.clear()
+            self.stems.clear()
+        found: dict[bytes, list[int]] = {}
+        rest = []
+        for word in words.difference(self.known):
             text = word.decode()
-            stem = text.rstrip(".,;:!?")
-            # Latin letters only: these cannot combine with what follows, and their lower case is a letter each.
-            if stem and stem.isascii() and stem.isalpha():
-                stems[word] = stem.lower(), text[len(stem):]
-                todo += stems[word]
+            letters = text.rstrip(MARKS)
+            marks = text[len(letters):]
+            ids = self.stem(letters) if letters else None
+            if ids is None:
+                rest.append(word)
             else:
-                todo.append(text)
-        todo = list(set(todo))
-        found = {t: e.ids for t, e in zip(todo, self.tokenizer.encode_batch_fast(todo, add_special_tokens=False), strict=True)}
-        for word in words.difference(self.ids):
-            stem = stems.get(word)
-            ids = found[stem[0]] + found[stem[1]] if stem else found[word.decode()]
-            self.ids[word] = b"".join(i.to_bytes(4, "little") for i in ids)
-            self.text[word] = " ".join(self.text_of[i] for i in ids)
+                found[word] = ids + self.marks(marks) if marks else ids
+        for word, e in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False), strict=True):
+            found[word] = e.ids
+        text_of = self.text_of
+        for word, ids in found.items():
+            self.known[word] = struct.pack(f"<{len(ids)}I", *ids), " ".join([text_of[i] for i in ids])
+
+    def marks(self, marks: str) -> list[int]:
+        if (ids := self.stems.get(marks)) is None:
+            ids = self.stems[marks] = self.direct(marks)[0]
+        return ids
 
     def short(self, texts: list[bytes]) -> Iterator[tuple[bytes, str]]:
         """Ids and decoded text of texts whose words are of moderate length."""
         split = [t.split() for t in texts]
         self.learn(set().union(*split))
         for words in split:
-            yield b"".join([self.ids[w] for w in words]), self.decode_words(words)
-
-    def decode_words(self, words: list[bytes]) -> str:
-        return " ".join([t for w in words if (t := self.text[w])])
+            found = [self.known[w] for w in words]
+            yield b"".join([ids for ids, _ in found]), " ".join([text for _, text in found if text])
 
     def decode(self, ids: list[int]) -> str:
         return " ".join([self.text_of[i] for i in ids])
@@ -253,7 +287,7 @@ def encode(docs: DataFrame, path: str, long_bytes: int = LONG_BYTES, piece_chars
                 run.append(Part(row.piece, row.ids.tolist(), list(zip(flat[0::2], flat[1::2], strict=True))))
         if run:
             ids += join_all(enc, run).ids
-        packed = b"".join(i.to_bytes(4, "little") for i in ids)
+        packed = struct.pack(f"<{len(ids)}I", *ids)
         return pd.DataFrame({"key": [group["key"].iloc[0]], "n_tokens": [len(ids)], "ids": [packed], "decoded": [enc.decode(ids)]})
 
     rows = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")

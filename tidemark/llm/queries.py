@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_tree, budgets, feistel, repetition, url_rules
+from tidemark.llm import (
+    bpe_tree, budgets, count_vectors, feistel, induced, pivots, repetition, rule_ensemble, url_rules,
+)
 from tidemark.llm.stage import table
 from tidemark.session import tune
 
@@ -30,6 +32,11 @@ def op1_suffix_repetition(spark: SparkSession, sf: str) -> DataFrame:
     return repetition.repetition(table(spark, sf, "documents"))
 
 
+@query
+def op2_rule_ensemble(spark: SparkSession, sf: str) -> DataFrame:
+    return rule_ensemble.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query
 def op3_hierarchical_budget(spark: SparkSession, sf: str) -> DataFrame:
     chosen = budgets.mix(table(spark, sf, "documents"))
@@ -48,8 +55,26 @@ def op5_feistel_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
     return feistel.pseudonymise(docs, count="n_pseudonyms")
 
 
+@query
+def op6_induced_sorting(spark: SparkSession, sf: str) -> DataFrame:
+    found = induced.remove_repeats(table(spark, sf, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["b"] - s["a"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op8_count_vector_join(spark: SparkSession, sf: str) -> DataFrame:
+    return count_vectors.near_duplicates(table(spark, sf, "documents"))
+
+
 @query
 def op9_url_rules(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages").select("page_id", "url")
     mined = url_rules.mine(url_rules.labelled_urls(pages, table(spark, sf, "labels")))
     return url_rules.judge(pages, url_rules.RULES, mined)
+
+
+@query
+def op10_pivot_index(spark: SparkSession, sf: str) -> DataFrame:
+    return pivots.near_vectors(table(spark, sf, "embeddings"))

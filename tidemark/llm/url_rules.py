@@ -124,8 +124,10 @@ def judge(pages: DataFrame, rules: Sequence[Rule], mined: Sequence[tuple[str, ..
     """page_id, host, path, rule, verdict and the mined part of it."""
     url = F.col("url")
     read = pages.select(F.col("page_id").cast("bigint").alias("page_id"), url.cast("string").alias("url"))
-    found = read.select("page_id", F.coalesce(host_of(url), F.lit("")).alias("host"), F.coalesce(path_of(url), F.lit("")).alias("path"),
-                        F.coalesce(matches(tokens_of(url), mined), F.lit(False)).alias("mined_block"))
+    # Tokens are a column of their own: inside a lambda an expression would be evaluated for each element.
+    found = (read.select("page_id", F.coalesce(host_of(url), F.lit("")).alias("host"), F.coalesce(path_of(url), F.lit("")).alias("path"),
+                         tokens_of(url).alias("tokens"))
+             .withColumn("mined_block", F.coalesce(matches(F.col("tokens"), mined), F.lit(False))))
     ruled = found.withColumn("r", longest_rule(F.col("host"), F.col("path"), rules))
     return ruled.select(
         "page_id", "host", "path", F.concat(F.col("r.host"), F.col("r.path")).alias("rule"),
