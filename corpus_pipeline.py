@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe_tree, budgets, feistel, repetition
+from tidemark.llm import bpe_tree, budgets, count_vectors, feistel, repetition
 from tidemark.llm.stage import staged, table
 from tidemark.session import tune
 
@@ -21,6 +21,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return repetition.kept_documents(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return count_vectors.one_of_each(docs)
+
+
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced."""
     return feistel.pseudonymise(docs)
@@ -37,7 +42,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality rules", quality), ("personal data", pseudonyms), ("mixing", mixture), ("tokens", tokens),
+    ("quality rules", quality), ("near duplicates", near_duplicates), ("personal data", pseudonyms), ("mixing", mixture), ("tokens", tokens),
 ]
 
 #: Token ids are not SQL; the tests hold the pipeline against a brute-force version.

@@ -9,17 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bpe_tree, budgets, count_vectors, feistel, induced, pivots, repetition, rule_ensemble, url_rules,
+    bpe_tree, budgets, count_vectors, feistel, induced, licences, pivots, repetition, rule_ensemble, url_rules,
 )
+from tidemark.llm.sql import SQL
 from tidemark.llm.stage import table
 from tidemark.session import tune
 
+__all__ = ["QUERIES", "SQL"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def tuned(spark: SparkSession, sf: str) -> DataFrame:
+        # Whole texts are long, so that fewer of them go to Python at once.
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
         return run(tune(spark), sf)
 
     tuned.__name__, tuned.__doc__ = run.__name__, run.__doc__
@@ -63,6 +67,12 @@ def op6_induced_sorting(spark: SparkSession, sf: str) -> DataFrame:
                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op7_licence_paragraphs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return licences.scan(docs, licences.fit(docs))
+
+
 @query
 def op8_count_vector_join(spark: SparkSession, sf: str) -> DataFrame:
     return count_vectors.near_duplicates(table(spark, sf, "documents"))
