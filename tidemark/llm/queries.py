@@ -12,19 +12,18 @@ from tidemark.llm import (
     bpe_tree, budgets, count_vectors, feistel, induced, licences, pivots, repetition, rule_ensemble, url_rules,
 )
 from tidemark.llm.sql import SQL
-from tidemark.llm.stage import table
-from tidemark.session import tune
+from tidemark.llm.stage import ready, table
 
-__all__ = ["QUERIES", "SQL"]
+__all__ = ["QUERIES", "SQL", "VOCABULARY"]
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def tuned(spark: SparkSession, sf: str) -> DataFrame:
-        # Whole texts are long, so that fewer of them go to Python at once.
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-        return run(tune(spark), sf)
+        return run(ready(spark), sf)
 
     tuned.__name__, tuned.__doc__ = run.__name__, run.__doc__
     QUERIES[run.__name__] = tuned
@@ -49,7 +48,7 @@ def op3_hierarchical_budget(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op4_bpe_tree(spark: SparkSession, sf: str) -> DataFrame:
-    found = bpe_tree.encode(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    found = bpe_tree.encode(table(spark, sf, "documents"), VOCABULARY)
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import new_path
+from tidemark.session import new_path, tune
 
 
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -14,5 +14,11 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """The session with the settings that these operators rely on. Whole texts are long, so fewer of them go to Python at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    return tune(spark)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
