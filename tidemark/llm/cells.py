@@ -25,10 +25,11 @@ def gridded(rows: DataFrame, sizes: DataFrame, keys: Sequence[str], member: str,
             .withColumn("i", F.least("chunk", "_other")).withColumn("j", F.greatest("chunk", "_other")).drop("_other", "_chunks"))
 
 
-def per_cell(rows: DataFrame, count: int, keys: Sequence[str], apart: Sequence[str], each: Callable[[pa.Table, np.ndarray], pa.Table], schema: str) -> DataFrame:
+def per_cell(rows: DataFrame, count: int, keys: Sequence[str], apart: Sequence[str], each: Callable[[pa.Table, np.ndarray], pa.Table], schema: str,
+             bucket: int = BUCKET) -> DataFrame:
     """``each(table, starts)`` for buckets of whole groups: rows sorted by ``keys`` and ``chunk``, and where each group starts (and the
     end). ``count`` is the number of rows, which sets the number of buckets; ``apart`` are keys that never share a bucket."""
-    buckets = rows.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(count // BUCKET + 1)))
+    buckets = rows.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(count // bucket + 1)))
     names = [*keys, "chunk"]
 
     def run(table: pa.Table) -> pa.Table:

@@ -3,7 +3,7 @@
 A document's set holds the hashes of its distinct five-word shingles (the whole sequence if it has fewer words). Documents
 with equal sets are one entity from then on. Shingles are hashed into groups twice over:
 
-* Coarse groups (64): a set's count vector is a point. Two sets share at most the sum of the smaller counts of each group,
+* Coarse groups (512): a set's count vector is a point. Two sets share at most the sum of the smaller counts of each group,
   which bounds their similarity without either set at hand. The same sum over two boxes bounds all pairs between them.
 * Fine groups (65,536), whose counts over the whole corpus order all shingles from rare to common. Sets of similarity 0.8 share
   at least one of the rarest fifth of their shingles (plus one), so these shingles spread the join: sets with one in
@@ -11,9 +11,9 @@ with equal sets are one entity from then on. Shingles are hashed into groups twi
 
 In each block the points are packed into an R-tree which is joined with itself; pairs whose bound allows similarity 0.8 are
 verified on the whole sets. What is asked for is which documents hang together, so links are looked for in rounds: first
-from each set to the smallest of its block, then to the best partner in each other component, at last all pairs left between
-components. Members of one component are not compared any more, so a large group of near copies never becomes all its pairs.
-Blocks over ``chunk`` rows are cut into a grid of cells.
+from each set to the smallest set it shares a block with, then to its best partner in another component in a few of its blocks, at
+last between all pairs of all blocks that are still in different components. Members of one component are not compared any more, so
+a large group of near copies never becomes all its pairs. Blocks over ``chunk`` rows are cut into a grid of cells.
 
 Null texts and texts without words have an empty set and hang on nothing. Repeated rows and ties are copies with equal sets. A
 null doc_id takes part, but does not name a component unless no member has an id. Only ``doc_id`` and ``text`` are read.
@@ -21,6 +21,7 @@ null doc_id takes part, but does not name a component unless no member has an id
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import partial
 
@@ -37,12 +38,20 @@ from tidemark.llm.words import Words, blocks, mix, windows
 SHINGLE = 5
 #: Percent of the union that has to be shared.
 PERCENT = 80
-COARSE = 64
+COARSE = 512
 FINE_BITS = 16
 #: Rows of a block that are compared in one task.
 CHUNK = 2048
+#: Blocks of each set that the second round looks at. It only saves the last one work.
+FIRST_BLOCKS = 3
+#: Rows with points that a task gets together.
+BUCKET = 5_000
 #: Bits of the filter that keeps sets without candidates out of a shuffle: 1 MB.
 FILTER_BITS = 1 << 23
+#: Slots that rare shingles are counted in, to drop those of one set before they are shuffled: a bit each, 32 MB. With far more
+#: shingles than slots it drops few, and the join still finds all.
+SLOT_BITS = 28
+SLOT_RANGES = 256
 
 
 # -- sets ------------------------------------------------------------------------------------------------------------
@@ -75,13 +84,17 @@ def _texts(batch: pa.RecordBatch, column: int) -> list[bytes]:
 
 
 def fine_counts(docs: DataFrame) -> np.ndarray:
-    """How many documents' shingles each fine group holds. The result has a fixed size."""
+    """How many shingles of the corpus each fine group holds, repeated ones too. The result has a fixed size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << FINE_BITS, np.int64)
         for batch in batches:
-            for s in shingle_sets(_texts(batch, 0)):
-                np.add.at(counts, (s >> np.uint64(64 - FINE_BITS)).astype(np.int64), 1)
+            texts = _texts(batch, 0)
+            for first, last in blocks(texts):
+                w = Words([t.lower() for t in texts[first:last]])
+                long = windows(w.hashes(), SHINGLE)
+                inside = w.doc[:len(long)] == w.doc[SHINGLE - 1:]  # does not run on into the next text
+                counts += np.bincount((long[inside] >> np.uint64(64 - FINE_BITS)).astype(np.int64), minlength=1 << FINE_BITS)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["g", "c"])
 
@@ -103,22 +116,78 @@ def rare_first(s: np.ndarray, order: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate((sure, tied[:most - len(sure)]))
 
 
+def _slots(rare: np.ndarray) -> np.ndarray:
+    """Slot of each shingle: bits that neither kind of group uses."""
+    return (rare >> np.uint64(8)) & np.uint64((1 << SLOT_BITS) - 1)
+
+
+def shared_slots(docs: DataFrame, order: np.ndarray, percent: int) -> np.ndarray:
+    """A bit per slot: whether two documents or more have rare shingles there. The result has a fixed size."""
+    wide = np.uint64(SLOT_BITS - (SLOT_RANGES - 1).bit_length())
+    per_range = 1 << int(wide)
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            found = np.sort(np.concatenate(held))
+            cuts = np.searchsorted(found, np.arange(SLOT_RANGES + 1, dtype=np.uint64) << wide)
+            low = (found & np.uint64(per_range - 1)).astype(np.uint32)
+            at = [k for k in range(SLOT_RANGES) if cuts[k] < cuts[k + 1]]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(at, pa.int32()), pa.array([low[cuts[k]:cuts[k + 1]].tobytes() for k in at], pa.binary())], names=["r", "low"])
+
+        for batch in batches:
+            held += [_slots(rare_first(s, order, percent)) for s in shingle_sets(_texts(batch, 0)) if len(s)]
+            if sum(map(len, held)) > 2_000_000:
+                yield flush()
+                held.clear()
+        if held:
+            yield flush()
+
+    def twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            for r, low in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                once, again = met.setdefault(r, (np.zeros(per_range, bool), np.zeros(per_range, bool)))
+                places, counts = np.unique(np.frombuffer(low.as_buffer(), np.uint32), return_counts=True)
+                again[places] |= once[places] | (counts > 1)
+                once[places] = True
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array([np.packbits(again).tobytes() for _, again in met.values()], pa.binary())],
+                                         names=["r", "bits"])
+
+    found = docs.select("text").mapInArrow(slots, "r int, low binary").repartition("r").mapInArrow(twice, "r int, bits binary").collect()
+    bits = np.zeros((SLOT_RANGES, per_range // 8), np.uint8)
+    for row in found:
+        bits[row["r"]] = np.frombuffer(row["bits"], np.uint8)
+    return bits.reshape(-1)
+
+
 def sets_of(docs: DataFrame, order: np.ndarray, percent: int) -> DataFrame:
-    """doc_id, set_key, n (its size), rare (shingles that spread the join), counts (the point)."""
+    """doc_id, set_key, n (its size), rare (shingles that spread the join, but for those of one document)."""
+    bits = docs.sparkSession.sparkContext.broadcast(shared_slots(docs, order, percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared = bits.value
         for batch in batches:
-            key, n, rare, counts = [], [], [], []
+            key, n, rare = [], [], []
             for s in shingle_sets(_texts(batch, 1)):
                 key.append(set_key(s))
                 n.append(len(s))
-                rare.append(rare_first(s, order, percent).view(np.int64))
-                counts.append(np.bincount((s & np.uint64(COARSE - 1)).astype(np.int64), minlength=COARSE).astype(np.int32))
+                first = rare_first(s, order, percent)
+                slot = _slots(first)
+                # packbits puts the first of eight slots into the highest bit.
+                hit = (shared[(slot >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (slot & np.uint64(7)).astype(np.uint8))) & 1
+                rare.append(first[hit.astype(bool)].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(rare, pa.list_(pa.int64())),
-                 pa.array(counts, pa.list_(pa.int32()))], names=["doc_id", "set_key", "n", "rare", "counts"])
+                [batch.column(0), pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(rare, pa.list_(pa.int64()))],
+                names=["doc_id", "set_key", "n", "rare"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, set_key bigint, n bigint, rare array<bigint>")
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, set_key bigint, n bigint, rare array<bigint>, counts array<int>")
+
+def _point(s: np.ndarray) -> np.ndarray:
+    return np.bincount((s & np.uint64(COARSE - 1)).astype(np.int64), minlength=COARSE).astype(np.int32)
 
 
 # -- the tree --------------------------------------------------------------------------------------------------------
@@ -194,35 +263,35 @@ def tree_join(left: RTree, right: RTree, percent: int) -> tuple[np.ndarray, np.n
 
 
 def block_pairs(table: pa.Table, starts: np.ndarray, percent: int, best: bool) -> pa.Table:
-    """Pairs of each cell (columns set_key, component, n, counts, chunk, tested) in different components that may link.
+    """Pairs of each cell (columns set_key, component, n, counts, chunk) in different components that may link.
 
-    ``tested``: the set was already compared with all others of the block. ``best``: of each set's partners in a component only the
-    one that may share most.
+    All rows but those of the largest component look for partners. ``best``: of each one's partners only the one that may share most.
     """
     key, comp, n, chunk = (table[c].to_numpy() for c in ("set_key", "component", "n", "chunk"))
-    tested, counts = table["tested"].to_numpy(), matrix(table, "counts").astype(np.int64)
+    counts = matrix(table, "counts")
     out = [(np.zeros(0, np.int64),) * 2]
     for a, b in zip(starts[:-1], starts[1:], strict=True):
-        if b - a < 2:
+        names, which, many = np.unique(comp[a:b], return_inverse=True, return_counts=True)
+        if len(names) < 2:
+            continue
+        cut = a + int(np.searchsorted(chunk[a:b], chunk[b - 1]))  # the second chunk's first row; ``a`` if there is one chunk
+        foreign = np.flatnonzero(which != many.argmax()) + a
+        found = []
+        for left, right in ([(foreign, np.arange(a, b))] if cut == a else [
+                (foreign[foreign < cut], np.arange(cut, b)), (foreign[foreign >= cut], np.arange(a, cut))]):
+            if len(left) and len(right):
+                i, j, bound = tree_join(RTree(n[left], counts[left]), RTree(n[right], counts[right]), percent)
+                keep = comp[left[i]] != comp[right[j]]
+                found.append((left[i[keep]], right[j[keep]], bound[keep]))
+        if not found:
             continue
-        cut = a + int(np.searchsorted(chunk[a:b], chunk[b - 1])) if chunk[a] != chunk[b - 1] else a
-        left = RTree(n[a:cut], counts[a:cut]) if cut > a else RTree(n[a:b], counts[a:b])
-        right = RTree(n[cut:b], counts[cut:b]) if cut > a else left
-        i, j, bound = tree_join(left, right, percent)
-        if cut == a:
-            i, j, bound = i[i < j], j[i < j], bound[i < j]
-        i, j = i + a, j + cut
-        keep = (comp[i] != comp[j]) & ~tested[i] & ~tested[j]
-        i, j, bound = i[keep], j[keep], bound[keep]
+        i, j, bound = map(np.concatenate, zip(*found, strict=True))
         if best and len(i):
-            mine, its = np.concatenate((i, j)), np.concatenate((comp[j], comp[i]))
-            row = np.tile(np.arange(len(i)), 2)
-            order = np.lexsort((np.tile(-bound, 2), its, mine))
-            mine, its = mine[order], its[order]
-            first = np.concatenate(([True], (mine[1:] != mine[:-1]) | (its[1:] != its[:-1])))
-            rows = np.unique(row[order[first]])
+            order = np.lexsort((-bound, i))
+            rows = order[np.concatenate(([True], i[order][1:] != i[order][:-1]))]
             i, j = i[rows], j[rows]
-        out.append((np.minimum(key[i], key[j]), np.maximum(key[i], key[j])))
+        pairs = np.unique(np.column_stack((np.minimum(key[i], key[j]), np.maximum(key[i], key[j]))), axis=0)
+        out.append((pairs[:, 0], pairs[:, 1]))
     x, y = map(np.concatenate, zip(*out, strict=True))
     return pa.table({"a": pa.array(x), "b": pa.array(y)}).group_by(["a", "b"]).aggregate([])
 
@@ -239,24 +308,23 @@ def _active_filter(keys: DataFrame) -> np.ndarray:
 
 
 def active_sets(docs: DataFrame, active: DataFrame) -> DataFrame:
-    """set_key, n, counts, shingles of the sets in ``active`` (set_key), each once."""
-    spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(_active_filter(active))
+    """set_key, n, counts and packed text of the sets in ``active`` (set_key), each once. A packed text is smaller than its set."""
+    bits = docs.sparkSession.sparkContext.broadcast(_active_filter(active))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(bits.value).astype(bool)
         seen: set[int] = set()  # of this task: of many copies each task gives one
         for batch in batches:
-            found = [(k, s) for s in shingle_sets(_texts(batch, 0)) if len(s) and wanted[(k := set_key(s)) % FILTER_BITS] and k not in seen]
-            found = list(dict(found).items())
-            seen.update(k for k, _ in found)
+            texts = _texts(batch, 0)
+            found = {k: (len(s), _point(s), t) for t, s in zip(texts, shingle_sets(texts), strict=True)
+                     if len(s) and wanted[(k := set_key(s)) % FILTER_BITS] and k not in seen}
+            seen.update(found)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in found], pa.int64()), pa.array([len(s) for _, s in found], pa.int64()),
-                 pa.array([np.bincount((s & np.uint64(COARSE - 1)).astype(np.int64), minlength=COARSE).astype(np.int32) for _, s in found],
-                          pa.list_(pa.int32())),
-                 pa.array([s.view(np.int64) for _, s in found], pa.list_(pa.int64()))], names=["set_key", "n", "counts", "shingles"])
+                [pa.array(found.keys(), pa.int64()), pa.array([n for n, _, _ in found.values()], pa.int64()),
+                 pa.array([c for _, c, _ in found.values()], pa.list_(pa.int32())),
+                 pa.array([zlib.compress(t, 1) for _, _, t in found.values()], pa.binary())], names=["set_key", "n", "counts", "packed"])
 
-    found = docs.select("text").mapInArrow(run, "set_key bigint, n bigint, counts array<int>, shingles array<bigint>")
+    found = docs.select("text").mapInArrow(run, "set_key bigint, n bigint, counts array<int>, packed binary")
     return found.join(active, "set_key", "left_semi").dropDuplicates(["set_key"])
 
 
@@ -274,10 +342,22 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def side(name: str, *columns: str) -> DataFrame:
         return sets.select(F.col("set_key").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: list = [None, None]  # rows with one b follow each other
+        for batch in batches:
+            keep = []
+            for b, x, y in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                if last[0] != b:
+                    last = [b, next(shingle_sets([zlib.decompress(y)]))]
+                s = next(shingle_sets([zlib.decompress(x)]))
+                shared = len(np.intersect1d(s, last[1], assume_unique=True))
+                keep.append(bool(may_link(shared, len(s), len(last[1]), percent)))
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
     near = pairs.join(side("a", "n", "counts"), "a").join(side("b", "n", "counts"), "b")
-    near = near.filter(_similar(_bound("counts_a", "counts_b"), percent)).select("a", "b", "n_a", "n_b")
-    whole = near.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b")
-    return whole.filter(_similar(F.size(F.array_intersect("shingles_a", "shingles_b")).cast("bigint"), percent)).select("a", "b")
+    near = staged(pairs.sparkSession, near.filter(_similar(_bound("counts_a", "counts_b"), percent)).select("a", "b"), "near")
+    whole = near.join(side("a", "packed"), "a").join(side("b", "packed"), "b").select("a", "b", "packed_a", "packed_b")
+    return whole.mapInArrow(check, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
@@ -292,27 +372,28 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, chunk: int = CHUNK)
     active = members.select("set_key").distinct()
     points = staged(spark, active_sets(docs, active), "points")
 
-    hubs = members.filter("set_key <> hub").select(F.least("set_key", "hub").alias("a"), F.greatest("set_key", "hub").alias("b")).distinct()
+    hubs = members.groupBy(F.col("set_key").alias("a")).agg(F.min("hub").alias("b")).filter("a <> b")
     links = staged(spark, verified(hubs, points, percent), "links")
-    found = staged(spark, components(links), "components")
+    # Names that are not final yet only cost comparisons, so all but the last are left after a few rounds.
+    found = staged(spark, components(links, rounds=2), "components")
+    first = members.groupBy("set_key").agg(F.array_sort(F.collect_set("token")).alias("t")).select(
+        "set_key", F.explode(F.slice("t", 1, FIRST_BLOCKS)).alias("token"))
     for best in (True, False):
-        placed = members.join(found.withColumnRenamed("key", "set_key"), "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
-        # Blocks with sets of several components; of blocks with the same members and hub one is enough.
-        open_ = (placed.groupBy("token", "hub").agg(
+        some = members.join(first, ["set_key", "token"]) if best else members
+        placed = some.join(found.withColumnRenamed("key", "set_key"), "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
+        # Blocks with sets of several components; of blocks with the same members one is enough.
+        open_ = (placed.groupBy("token").agg(
             F.min("component").alias("_a"), F.max("component").alias("_b"), F.count("*").alias("_n"),
             F.bit_xor(F.xxhash64("set_key")).alias("_x"), F.bit_xor(F.xxhash64("set_key", F.lit(1))).alias("_y"))
-            .filter("_a <> _b").groupBy("hub", "_n", "_x", "_y").agg(F.min("token").alias("token")).select("token", "_n"))
+            .filter("_a <> _b").groupBy("_n", "_x", "_y").agg(F.min("token").alias("token")).select("token", "_n"))
         rows = staged(spark, gridded(placed, open_, ["token"], "set_key", chunk), "cells")
-        pointed = rows.withColumn("tested", F.col("set_key") == F.col("hub")).join(points.select("set_key", "n", "counts"), "set_key").select(
-            "token", "i", "j", "chunk", "set_key", "component", "n", "counts", "tested")
-        pairs = per_cell(pointed, rows.count(), ["token", "i", "j"], [], partial(block_pairs, percent=percent, best=best), "a bigint, b bigint").distinct()
+        pointed = rows.join(points.select("set_key", "n", "counts"), "set_key").select("token", "i", "j", "chunk", "set_key", "component", "n", "counts")
+        pairs = per_cell(pointed, rows.count(), ["token", "i", "j"], [], partial(block_pairs, percent=percent, best=best), "a bigint, b bigint", BUCKET).distinct()
         more = staged(spark, verified(pairs, points, percent), "links")
-        if more.isEmpty():
-            if best:
-                continue
-            break
         links = links.unionByName(more)
-        found = staged(spark, components(links), "components")
+        if best and not more.isEmpty():
+            found = staged(spark, components(links, rounds=2), "components")
+    found = components(links)
 
     own = sets.select("doc_id", "set_key", "n").join(found.withColumnRenamed("key", "set_key"), "set_key", "left").select(
         "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "set_key")).alias("component"))
