@@ -46,6 +46,8 @@ CHUNK = 2048
 FIRST_BLOCKS = 3
 #: Rows with points that a task gets together.
 BUCKET = 5_000
+#: Rows of a cell that look for partners at once.
+ROWS = 256
 #: Bits of the filter that keeps sets without candidates out of a shuffle: 1 MB.
 FILTER_BITS = 1 << 23
 #: Slots that rare shingles are counted in, to drop those of one set before they are shuffled: a bit each, 32 MB. With far more
@@ -276,22 +278,20 @@ def block_pairs(table: pa.Table, starts: np.ndarray, percent: int, best: bool) -
             continue
         cut = a + int(np.searchsorted(chunk[a:b], chunk[b - 1]))  # the second chunk's first row; ``a`` if there is one chunk
         foreign = np.flatnonzero(which != many.argmax()) + a
-        found = []
         for left, right in ([(foreign, np.arange(a, b))] if cut == a else [
                 (foreign[foreign < cut], np.arange(cut, b)), (foreign[foreign >= cut], np.arange(a, cut))]):
-            if len(left) and len(right):
-                i, j, bound = tree_join(RTree(n[left], counts[left]), RTree(n[right], counts[right]), percent)
-                keep = comp[left[i]] != comp[right[j]]
-                found.append((left[i[keep]], right[j[keep]], bound[keep]))
-        if not found:
-            continue
-        i, j, bound = map(np.concatenate, zip(*found, strict=True))
-        if best and len(i):
-            order = np.lexsort((-bound, i))
-            rows = order[np.concatenate(([True], i[order][1:] != i[order][:-1]))]
-            i, j = i[rows], j[rows]
-        pairs = np.unique(np.column_stack((np.minimum(key[i], key[j]), np.maximum(key[i], key[j]))), axis=0)
-        out.append((pairs[:, 0], pairs[:, 1]))
+            whole = RTree(n[right], counts[right]) if len(left) and len(right) else None
+            for start in range(0, len(left) if whole else 0, ROWS):  # some rows at a time, to bound what is held of pairs
+                some = left[start:start + ROWS]
+                i, j, bound = tree_join(RTree(n[some], counts[some]), whole, percent)
+                i, j = some[i], right[j]
+                keep = comp[i] != comp[j]
+                i, j, bound = i[keep], j[keep], bound[keep]
+                if best and len(i):
+                    order = np.lexsort((-bound, i))
+                    rows = order[np.concatenate(([True], i[order][1:] != i[order][:-1]))]
+                    i, j = i[rows], j[rows]
+                out.append((np.minimum(key[i], key[j]), np.maximum(key[i], key[j])))
     x, y = map(np.concatenate, zip(*out, strict=True))
     return pa.table({"a": pa.array(x), "b": pa.array(y)}).group_by(["a", "b"]).aggregate([])
 
