@@ -38,7 +38,7 @@ GRAM = 32
 #: Most windows in a region.
 LONGEST_RUN = 512
 #: Bytes sorted together.
-SHARD_BYTES = 1 << 21
+SHARD_BYTES = 6 << 20
 HOT_REGIONS = 4000
 #: Stands for a null doc_id while rows are joined.
 NO_ID = -(1 << 63)
@@ -57,9 +57,9 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the 32 bytes from each place on, by doubling."""
     h, size = _SEED[data], 1
     for factor in _FACTORS:
-        h = mix(h[:-size] * factor + h[size:]) if size in (4, 16) else h[:-size] * factor + h[size:]
+        h = h[:-size] * factor + h[size:]
         size *= 2
-    return h
+    return mix(h)
 
 
 def smallest(v: np.ndarray, width: int) -> np.ndarray:
@@ -135,7 +135,12 @@ def region_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _ranks(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(stable order by character, place of each in that order among its equals)."""
-    order = np.argsort(chars, kind="stable")
+    if chars.dtype.itemsize > 2 and len(chars) > 4096:  # numpy sorts numbers of two bytes in linear time
+        order = np.argsort((chars & 0xFFFF).astype(np.uint16), kind="stable")
+        if len(chars) and chars.max() > 0xFFFF:
+            order = order[np.argsort((chars[order] >> 16).astype(np.uint16), kind="stable")]
+    else:
+        order = np.argsort(chars, kind="stable")
     by = chars[order]
     new = np.concatenate(([True], by[1:] != by[:-1]))
     at = np.arange(len(by))
@@ -147,31 +152,30 @@ def _scan(s: np.ndarray, wanted: np.ndarray, sa: np.ndarray, free: np.ndarray, u
     its character; ``free`` holds these slots. ``up``: from the first slot on, else from the last one back."""
     n, i, step = len(sa), 0, 1 << 12
     view = sa if up else sa[::-1]
+    wanted = np.append(wanted, (False, False))  # for the places before the first character and of empty slots
     while i < n:
         seg = view[i:i + step]
         before = seg - 1
-        hit = np.flatnonzero((seg > 0) & wanted[before])
+        hit = np.flatnonzero(wanted[before])
         k = len(seg)
         if len(hit):
-            chars = s[before[hit]]
+            source = before[hit]
+            chars = s[source]
             to = free[chars] if up else n - 1 - free[chars]  # slots in the order of the scan
             reach = np.minimum.accumulate(to)  # the first slot that what comes up to here fills
-            # The first place at which a slot is read that something before it in this run fills.
-            fits = np.minimum(reach[:-1], n) > i + hit[1:] if len(hit) > 1 else np.ones(0, bool)
-            stop = len(hit) if fits.all() else int(np.argmin(fits)) + 1
-            k = min(k, int(reach[stop - 1]) - i)
-            hit, chars = hit[:stop], chars[:stop]
-            within = hit < k
-            hit, chars = hit[within], chars[within]
+            if reach[-1] < i + k:
+                # The run ends at the first slot that something before it fills.
+                fits = reach[:-1] > i + hit[1:]
+                stop = len(hit) if fits.all() else int(np.argmin(fits)) + 1
+                k = min(k, int(reach[stop - 1]) - i)
+                stop = int(np.searchsorted(hit[:stop], k))
+                source, chars = source[:stop], chars[:stop]
             order, rank = _ranks(chars)
             by = chars[order]
-            sa[free[by] + rank if up else free[by] - rank] = before[hit[order]]
-            counts = np.bincount(by, minlength=0) if len(free) < 1024 else None
-            if counts is not None:
-                free[:len(counts)] += counts if up else -counts
-            else:
-                last = np.concatenate((by[1:] != by[:-1], [True]))
-                free[by[last]] += (rank[last] + 1) if up else -(rank[last] + 1)
+            place = free[by]
+            sa[place + rank if up else place - rank] = source[order]
+            last = np.append(np.flatnonzero(rank[1:] == 0), len(rank) - 1)  # of each character, its last
+            free[by[last]] += rank[last] + 1 if up else -(rank[last] + 1)
         i += k
         step = min(1 << 18, max(64, 2 * k))
 
@@ -179,9 +183,9 @@ def _scan(s: np.ndarray, wanted: np.ndarray, sa: np.ndarray, free: np.ndarray, u
 def _induce(s: np.ndarray, smaller: np.ndarray, first: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """All suffixes in order, from the LMS suffixes in order. ``first``: each character's first slot, and the end."""
     n = len(s)
-    sa = np.full(n, -1, np.int64)
+    sa = np.full(n, -1, np.int32)
     order, rank = _ranks(s[lms])
-    by = s[lms][order]
+    by = s[lms][order].astype(np.int64)
     many = np.bincount(by, minlength=len(first) - 1)
     sa[first[by + 1] - many[by] + rank] = lms[order]
     _scan(s, ~smaller, sa, first[:-1].copy(), True)
@@ -194,15 +198,14 @@ def _induce(s: np.ndarray, smaller: np.ndarray, first: np.ndarray, lms: np.ndarr
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
-    """Suffixes of ``s`` in order. ``s`` holds integers from 0 on, and ends in its only 0."""
+    """Suffixes of ``s`` in order. ``s`` holds integers from 0 on, and ends in its only 0. Its length fits four bytes."""
     n = len(s)
     if n == 1:
-        return np.zeros(1, np.int64)
+        return np.zeros(1, np.int32)
     # A suffix is smaller than the next one if its first differing neighbour is.
     differs = np.flatnonzero(s[:-1] != s[1:])
-    smaller = np.empty(n, bool)
-    smaller[:-1] = (s[differs] < s[differs + 1])[np.searchsorted(differs, np.arange(n - 1))]
-    smaller[-1] = True
+    smaller = np.ones(n, bool)
+    smaller[:-1] = np.repeat(s[differs] < s[differs + 1], np.diff(differs, prepend=-1))
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     first = np.concatenate(([0], np.cumsum(np.bincount(s))))
     sa = _induce(s, smaller, first, lms)
@@ -210,7 +213,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     is_lms[lms] = True
     ordered = sa[is_lms[sa]]
     # Substrings from one LMS place to the next, both included, get names in order.
-    length = np.zeros(n, np.int64)
+    length = np.zeros(n, np.int32)
     length[lms] = np.concatenate((np.diff(lms) + 1, [1]))
     same = length[ordered[1:]] == length[ordered[:-1]]
     left = np.flatnonzero(same)
@@ -224,7 +227,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
         offset += 1
     names = np.concatenate(([0], np.cumsum(~same)))
     if names[-1] + 1 < len(lms):
-        name = np.zeros(n, np.int64)
+        name = np.zeros(n, np.int32)
         name[ordered] = names
         ordered = lms[suffix_array(name[lms])]
     return _induce(s, smaller, first, ordered)
@@ -235,13 +238,11 @@ def repeated_windows(texts: list[bytes], window: int = WINDOW) -> list[np.ndarra
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     starts = np.concatenate(([0], np.cumsum(lengths + 1)[:-1])).astype(np.int64)
     # 0 ends all texts, 1 ends each one.
-    s = np.frombuffer(b"\0".join(texts) + b"\0\0", np.uint8).astype(np.int64) + 2
+    s = np.frombuffer(b"\0".join(texts) + b"\0\0", np.uint8).astype(np.uint16) + np.uint16(2)
     s[starts + lengths] = 1
     s[-1] = 0
-    used, s = np.unique(s, return_inverse=True)
-    s = s.astype(np.int64)
     sa = suffix_array(s)
-    before = np.empty(len(s), np.int64)
+    before = np.empty(len(s), np.int32)
     before[sa[1:]] = sa[:-1]
     before[sa[0]] = sa[0]
     # Common prefixes in text order: one character on, a prefix is at most one shorter. Texts go side by side.
