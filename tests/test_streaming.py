@@ -75,18 +75,61 @@ def test_retract_over_batches(spark, sf):
     assert bag(out) == bag(keyed.retract_versions(rows, "id", "cents"))
 
 
-def test_chunks_smaller_than_a_key_still_agree(spark, log, monkeypatch):
-    monkeypatch.setattr(stateful, "CHUNK", 3)
-    rows = log.select("common.mid", "ts")
-    out = run(spark, stateful.flag_first_of_day(in_batches(spark, rows, "ts"), ["mid"], "uv", offset=0))
-    assert out.filter("uv = 1").count() >= keyed.first_of_day(rows, ["mid"], "ts", "UTC").count()
+@pytest.fixture(scope="module")
+def one_key(spark):
+    """30,000 rows of one key over three days, in no order."""
+    n = F.col("id")
+    ms = F.pmod(n * 7_919_777, F.lit(3 * 86_400_000)) + 86_400_000
+    return spark.range(30_000).select(
+        F.lit("k").alias("k"), ms.alias("ts"), F.pmod(n * 104_729, F.lit(30_000)).alias("v"), F.when(n % 3 == 0, "1").otherwise("0").alias("is_new"),
+        (n % 5).cast("string").alias("os"), n.alias("nr"))
+
+
+def _forms(rows):
+    """Of each operator the stream form of a stream and the batch form, over the same rows."""
+    k, ties = ["k"], ["v", "is_new", "os", "nr"]
+    log = rows.select(F.struct(F.col("k").alias("mid"), F.col("k").alias("uid"), "is_new").alias("common"), "ts")
+    return {
+        "first of day": (lambda s: stateful.flag_first_of_day(s, k, "uv", offset=0), keyed.flag_first_of_day(rows, k, "uv", "ts", "UTC", ["ts", *ties])),
+        "login days": (lambda s: stateful.login_days(s.select(F.col("k").alias("uid"), "ts"), offset=0), keyed.login_days(log, "UTC")),
+        "retraction": (lambda s: stateful.retract_versions(s, "k", "v", "ts"), keyed.retract_versions(rows, "k", "v", ("ts",))),
+        "strictly newer": (lambda s: stateful.strictly_newer(s.select("k", "ts", "v"), "k", "v", "ts"),
+                           keyed.strictly_newer(rows.select("k", "ts", "v"), "k", "v", "ts")),
+        "running profile": (lambda s: stateful.running_profile(s.select(F.col("k").alias("uid"), "ts", "os"), ["os"]),
+                            keyed.running_profile(rows.select(F.col("k").alias("uid"), "ts", "os"), ["os"])),
+        "is_new": (lambda s: stateful.repair_is_new(s.select(F.col("k").alias("mid"), "ts", "is_new"), offset=0),
+                   logs.repair_is_new(log, "UTC").select("common.mid", "ts", "common.is_new")),
+    }
+
+
+@pytest.mark.parametrize("batches", [1, 4])
+@pytest.mark.parametrize("name", ["first of day", "login days", "retraction", "strictly newer", "running profile", "is_new"])
+def test_one_key_with_many_rows_equals_the_batch_form(spark, one_key, name, batches):
+    form, want = _forms(one_key)[name]
+    assert bag(run(spark, form(in_batches(spark, one_key, "ts", batches)))) == bag(want)
+
+
+def test_rows_out_of_order_within_the_delay_still_agree(spark, one_key):
+    """Batches cut by a column that has nothing to do with time."""
+    out = run(spark, stateful.strictly_newer(in_batches(spark, one_key.select("k", "ts", "v", "nr"), "nr", 4).drop("nr"), "k", "v", "ts", "10 days").filter("true"))
+    assert out.count() == 0  # the watermark has not come so far
+    late = one_key.select("k", "ts", "v", "nr").unionByName(spark.sql("SELECT 'z' AS k, 9000000000L AS ts, 1L AS v, 40000L AS nr"))
+    out = run(spark, stateful.strictly_newer(in_batches(spark, late, "nr", 4).drop("nr"), "k", "v", "ts", "10 days"))
+    assert bag(out) == bag(keyed.strictly_newer(one_key.select("k", "ts", "v"), "k", "v", "ts"))
+
+
+def test_state_is_forgotten_after_its_time(spark):
+    rows = spark.createDataFrame([("a", 5, 1_000), ("a", 3, 2_000), ("z", 1, 50_000), ("a", 3, 60_000), ("z", 1, 90_000)], "k string, v bigint, ts bigint")
+    kept = run(spark, stateful.strictly_newer(in_batches(spark, rows, "ts", 5), "k", "v", "ts"))
+    assert bag(kept) == [("a", 1_000, 5), ("z", 50_000, 1)]
+    gone = run(spark, stateful.strictly_newer(in_batches(spark, rows, "ts", 5), "k", "v", "ts", keep=10_000))
+    assert bag(gone) == [("a", 1_000, 5), ("a", 60_000, 3), ("z", 50_000, 1), ("z", 90_000, 1)]
 
 
 def test_latest_after_wait_gives_one_row_per_wait(spark):
     rows = spark.createDataFrame(
         [("a", 1, 1_000), ("a", 2, 2_000), ("b", 1, 3_000), ("a", 3, 60_000), ("z", 0, 200_000)], "id string, v bigint, ts_ms bigint")
-    stream = cdc.with_event_time(in_batches(spark, rows, "ts_ms", 2), "ts_ms")
-    out = run(spark, stateful.latest_after_wait(stream, "id", 5_000))
+    out = run(spark, stateful.latest_after_wait(in_batches(spark, rows, "ts_ms", 2), "id", 5_000))
     assert ("b", 1) in {(r.id, r.v) for r in out.collect()}
     assert {r.v for r in out.collect() if r.id == "a"} <= {2, 3}
 
@@ -141,4 +184,26 @@ def test_dim_sync_restarts_where_it_stopped(spark, sf):
         jobs.dim_sync(spark.readStream.text(topic), config, "shop", f"{base}/out", f"{base}/checkpoint")
     whole = dim_sync(cdc.to_values(log), config(), "shop")
     pick = lambda df: df.select("sink_table", "row_key", F.to_json("cells").alias("cells"))
-    assert bag(pick(jobs.read_dims(spark, f"{base}/out"))) == bag(pick(whole))
+    assert bag(pick(jobs.read_dims(spark, f"{base}/out", config()))) == bag(pick(whole))
+
+
+def test_a_new_checkpoint_does_not_overwrite(spark):
+    base = new_path(spark, "two-streams")
+    for name in ("a", "b"):
+        rows = spark.createDataFrame([(name, 1, 1)], "id string, v bigint, ts_ms bigint")
+        for _ in range(2):  # the second run finds its checkpoint and nothing new
+            jobs.upsert(in_batches(spark, rows, "ts_ms", 1), ["id"], ["ts_ms"], f"{base}/out", f"{base}/checkpoint-{name}-{_}")
+    assert bag(sinks.read_keyed(spark, f"{base}/out", ["id"], ["ts_ms"])) == [("a", 1, 1), ("b", 1, 1)]
+
+
+def test_dropped_dimensions_are_gone_on_read(spark):
+    base, fields = new_path(spark, "dropped"), ["source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key"]
+    row = ("t", "dim_t", "id,name", "info", "id")
+    config = spark.createDataFrame([(*row, "r", 1), (*row, "u", 20), (*row, "d", 40)], [*fields, "op", "ts_ms"])
+    envelope = lambda k, ts: spark.sql(
+        f"SELECT CAST(NULL AS map<string,string>) before, map('id', '{k}', 'name', 'n{k}') after, map('db', 'shop', 'table', 't') source, 'c' op, {ts}L ts_ms")
+    for upto, rows in ((1, envelope(1, 10)), (20, envelope(2, 30))):
+        sinks.append_values(cdc.to_values(rows), f"{base}/topic")
+        jobs.dim_sync(spark.readStream.text(f"{base}/topic"), lambda upto=upto: config.filter(f"ts_ms <= {upto}"), "shop", f"{base}/out", f"{base}/checkpoint")
+    read = lambda upto: {r["row_key"] for r in jobs.read_dims(spark, f"{base}/out", config.filter(f"ts_ms <= {upto}")).collect()}
+    assert (read(1), read(20), read(40)) == ({"1", "2"}, {"2"}, set())

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.operators import changelog as C
 from tidemark.operators import logs as L
+from tidemark.operators import windows
 from tidemark.plans import standins as T
 from tidemark.plans.catalog.changes import _CELLS, _DIM_ROWS, _MERGED
 from tidemark.plans.catalog.job_queries import _KEPT
 from tidemark.plans.catalog.log_queries import DEVICE_SQL
-from tidemark.plans.catalog.window_queries import LOGIN_DAYS, RUNNING_ORDER, TRAFFIC_SQL, running_sql
+from tidemark.plans.catalog.window_queries import (
+    DAY, HOME_DETAIL_SQL, LOGIN_DAYS, LOGIN_SQL, RUNNING_ORDER, TRAFFIC_SQL, VERSIONS, line_versions, running_sql,
+)
 from tidemark.plans.registry import query
-from tidemark.plans.standin_sql import bounds, dt, latest, using
+from tidemark.plans.standin_sql import bounds, latest, using
 from tidemark.session import new_path
 from tidemark.sources import cdc, sinks
 from tidemark.sources.sinks import read_keyed
@@ -33,6 +36,23 @@ def log_stream(spark: SparkSession, sf: str) -> DataFrame:
     return T.app_log(spark, sf, stream(spark, sf, "events"))
 
 
+def replayed(spark: SparkSession, rows: DataFrame, ms: str, later: Column | None = None, n: int = 4) -> DataFrame:
+    """``rows`` as a stream of ``n`` files in order of time, each its own batch.
+
+    With ``later`` the last file also holds a copy of a row that fits it, far later than all others: it moves the watermark past
+    open windows, as the next day's rows would, and its own window is still open when the input ends.
+    """
+    path = new_path(spark, "replay")
+    low, high = rows.agg(F.min(ms), F.max(ms)).first()
+    part = F.least(F.floor((F.col(ms) - low) * n / (high - low + 1)), F.lit(n - 1))
+    for k in range(n):
+        some = rows.filter(part == k)
+        if later is not None and k + 1 == n:
+            some = some.unionByName(rows.filter(later).limit(1).withColumn(ms, F.lit(high + 400 * DAY).cast("bigint")))
+        some.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def paths(spark: SparkSession, name: str) -> tuple[str, str]:
     base = new_path(spark, name)
     return f"{base}/out", f"{base}/checkpoint"
@@ -95,10 +115,23 @@ def b5_dim_merge_stream(spark: SparkSession, sf: str) -> DataFrame:
     sinks.append_values(cdc.to_values(T.dim_envelopes(spark, sf)), topic)
     values = spark.readStream.option("maxFilesPerTrigger", 4).text(topic)
     jobs.dim_sync(values, lambda: C.config_changes(T.config_envelopes(spark, sf)), "shop", out, checkpoint)
-    merged = jobs.read_dims(spark, out)
+    merged = jobs.read_dims(spark, out, C.config_changes(T.config_envelopes(spark, sf)))
     return merged.select("sink_table", "row_key", F.explode("cells").alias("name", "value"))
 
 
+@query("b6_dim_lifecycle_stream", using("active_config", all_rows=_DIM_ROWS, rows_=_KEPT, cells_=_CELLS) + _MERGED)
+def b6_dim_lifecycle_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Early changes are routed before any table is re-created or deleted, later ones after; what is read at the end is what
+    one run under the last configuration gives."""
+    out, checkpoint = paths(spark, "lifecycle")
+    topic = new_path(spark, "lifecycle-topic")
+    envelopes, config = T.dim_envelopes(spark, sf), C.config_changes(T.config_envelopes(spark, sf))
+    for changes, known in ((envelopes.filter("ts_ms <= 100"), config.filter("op = 'r'")), (envelopes.filter("ts_ms > 100"), config)):
+        sinks.append_values(cdc.to_values(changes), topic)
+        jobs.dim_sync(spark.readStream.text(topic), lambda known=known: known, "shop", out, checkpoint)
+    return jobs.read_dims(spark, out, config).select("sink_table", "row_key", F.explode("cells").alias("name", "value"))
+
+
 @query("d7_order_interval_stream", using("tag_order_info", "tag_order_detail") + """
 SELECT o.id AS order_id, o.user_id AS uid, d.id AS detail_id, d.sku_id, o.ts_ms, d.ts_ms AS detail_ts_ms
 FROM tag_order_info o JOIN tag_order_detail d ON o.id = d.order_id
@@ -130,11 +163,40 @@ def d2_order_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
   SELECT {bounds('ts', HOUR)}, lower(item) AS keyword, count(*) AS keyword_count, max(ts // {HOUR}) AS w FROM log
   WHERE last_page_id = 'search' AND item_type = 'keyword' GROUP BY ALL""") + "SELECT * EXCLUDE (w) FROM k")
 def f1_keyword_count_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Complete output, so that the windows still open at the end of the input count too."""
-    counts = jobs.keyword_counts(log_stream(spark, sf), "1 hour", tz="UTC")
-    writer = counts.writeStream.format("memory").queryName("keyword_windows").outputMode("complete")
-    writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.table("keyword_windows")
+    """Windows are given out once the watermark has passed them."""
+    log = T.app_log(spark, sf)
+    search = (F.col("page.last_page_id") == "search") & (F.col("page.item_type") == "keyword")
+    return finished(jobs.keyword_counts(replayed(spark, log, "ts", search), "1 hour", tz="UTC"), spark, "keywords")
+
+
+@query("f6_province_orders_stream", using("order_detail", "order_info", v=VERSIONS) + f"""
+SELECT {bounds('ts_ms', DAY)}, province_id, count(DISTINCT order_id) AS order_count, CAST(sum(amount) AS DOUBLE) AS order_amount
+FROM v GROUP BY ALL""")
+def f6_province_orders_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """All versions of the order lines, as the window before retraction sees them."""
+    rows = line_versions(spark, sf).select("id", "order_id", "province_id", F.col("split_total_amount").cast("string").alias("split_total_amount"), "ts_ms")
+    no_names = spark.createDataFrame([], "id string, name string")
+    out = finished(jobs.province_orders(replayed(spark, rows, "ts_ms", F.lit(True)), no_names, "1 day", tz="UTC"), spark, "province")
+    return out.drop("province_name").withColumn("order_amount", F.col("order_amount").cast("double"))
+
+
+@query("f3_home_detail_stream", using("log") + HOME_DETAIL_SQL)
+def f3_home_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """First home and product-page visits of the day; the windows are summed when the result is read."""
+    visits = L.on_pages(T.app_log(spark, sf), "home", "good_detail").select(
+        F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"), "ts")
+    flagged = finished(stateful.flag_first_of_day(replayed(spark, visits, "ts"), ["mid", "page_id"], "first", offset=0), spark, "home")
+    return windows.tumble(flagged.filter("first = 1"), F.timestamp_millis("ts"), "1 hour", [], [
+        F.count_if(F.col("page_id") == "home").alias("home_uv_ct"),
+        F.count_if(F.col("page_id") == "good_detail").alias("good_detail_uv_ct")], "UTC")
+
+
+@query("f4_login_users_stream", using("log", days_=LOGIN_DAYS) + LOGIN_SQL)
+def f4_login_users_stream(spark: SparkSession, sf: str) -> DataFrame:
+    rows = L.logins(T.app_log(spark, sf)).select(F.col("common.uid").alias("uid"), "ts")
+    days = finished(stateful.login_days(replayed(spark, rows, "ts"), offset=0), spark, "login-users")
+    return windows.tumble(days, F.timestamp_millis("ts"), "1 hour", [], [
+        F.sum("back").alias("back_ct"), F.sum("uu").alias("uu_ct")], "UTC")
 
 
 @query("g1_is_new_repair_stream", using("log", s="""
@@ -143,22 +205,21 @@ def f1_keyword_count_stream(spark: SparkSession, sf: str) -> DataFrame:
 SELECT mid, ts, CASE WHEN is_new = '1' AND ts // 86400000 <> stored THEN '0' ELSE is_new END AS is_new
 FROM log JOIN s USING (mid)""")
 def g1_is_new_repair_stream(spark: SparkSession, sf: str) -> DataFrame:
-    rows = log_stream(spark, sf).select(
-        F.col("common.mid").alias("mid"), "ts", F.col("common.is_new").alias("is_new"))
-    return finished(stateful.repair_is_new(rows, offset=0), spark, "is-new")
+    rows = T.app_log(spark, sf).select(F.col("common.mid").alias("mid"), "ts", F.col("common.is_new").alias("is_new"))
+    return finished(stateful.repair_is_new(replayed(spark, rows, "ts"), offset=0), spark, "is-new")
 
 
 @query("g2_first_visit_stream", using("log") + """
 SELECT mid, ts, CAST(row_number() OVER (PARTITION BY mid, ts // 86400000 ORDER BY ts) = 1 AS BIGINT) AS uv FROM log""")
 def g2_first_visit_stream(spark: SparkSession, sf: str) -> DataFrame:
-    rows = log_stream(spark, sf).select(F.col("common.mid").alias("mid"), "ts")
-    return finished(stateful.flag_first_of_day(rows, ["mid"], "uv", offset=0), spark, "first-visit")
+    rows = T.app_log(spark, sf).select(F.col("common.mid").alias("mid"), "ts")
+    return finished(stateful.flag_first_of_day(replayed(spark, rows, "ts"), ["mid"], "uv", offset=0), spark, "first-visit")
 
 
 @query("g4_login_days_stream", using("log") + LOGIN_DAYS)
 def g4_login_days_stream(spark: SparkSession, sf: str) -> DataFrame:
-    rows = L.logins(log_stream(spark, sf)).select(F.col("common.uid").alias("uid"), "ts")
-    return finished(stateful.login_days(rows, offset=0), spark, "login-days")
+    rows = L.logins(T.app_log(spark, sf)).select(F.col("common.uid").alias("uid"), "ts")
+    return finished(stateful.login_days(replayed(spark, rows, "ts"), offset=0), spark, "login-days")
 
 
 _CENTS = "SELECT id, CAST(round(CAST(split_total_amount AS DOUBLE) * 100) AS BIGINT) AS cents, ts_ms FROM order_detail"
@@ -168,20 +229,20 @@ _CENTS = "SELECT id, CAST(round(CAST(split_total_amount AS DOUBLE) * 100) AS BIG
 SELECT id, arg_max(cents, (ts_ms, cents)) AS cents, 2 * count(*) - 1 AS n FROM c GROUP BY id""")
 def g5_retract_versions_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Per line what remains after all retractions, and how many records that took."""
-    rows = T.lines_of(stream(spark, sf, "lineitem")).select(
+    rows = T.lines(spark, sf).select(
         "id", F.round(F.col("split_total_amount").cast("double") * 100).cast("bigint").alias("cents"), "ts_ms")
-    out = finished(stateful.retract_versions(rows, "id", "cents"), spark, "retract")
+    out = finished(stateful.retract_versions(replayed(spark, rows, "ts_ms"), "id", "cents"), spark, "retract")
     return out.groupBy("id").agg(F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("n"))
 
 
 @query("g6_latest_after_wait_stream", using("order_detail") + f"""
-SELECT * FROM {latest("(SELECT id, sku_id, split_total_amount, ts_ms FROM order_detail)", "id", "ts_ms", "sku_id,split_total_amount")}
-WHERE id IN (SELECT id FROM order_detail GROUP BY id HAVING min(ts_ms) + 5000 < (SELECT max(ts_ms) FROM order_detail))""")
+SELECT * FROM {latest("(SELECT id, sku_id, split_total_amount, ts_ms FROM order_detail)", "id", "ts_ms", "sku_id,split_total_amount")}""")
 def g6_latest_after_wait_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Newest version per line whose wait has passed by the end of the input."""
-    rows = T.lines_of(stream(spark, sf, "lineitem")).select("id", "sku_id", "split_total_amount", "ts_ms")
-    timed = cdc.with_event_time(rows, "ts_ms", "0 seconds")
-    return finished(stateful.latest_after_wait(timed, "id", 5_000), spark, "latest")
+    """Newest version per line once its wait is over. All versions come in one batch, as they lie years apart."""
+    rows = T.lines(spark, sf).select("id", "sku_id", "split_total_amount", "ts_ms")
+    later = spark.range(1).select(F.lit("later").alias("id"), F.lit("0").alias("sku_id"), F.lit("0").alias("split_total_amount"),
+                                  F.lit(4_000_000_000_000).cast("bigint").alias("ts_ms"))
+    return finished(stateful.latest_after_wait(replayed(spark, rows.unionByName(later), "ts_ms", n=1), "id", 5_000), spark, "latest")
 
 
 @query("g7_first_cart_add_stream", using("cart_info") + """
@@ -204,30 +265,37 @@ SELECT uid, ts, during_time FROM (
   SELECT *, max(during_time) OVER (PARTITION BY uid ORDER BY ts, during_time ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m
   FROM log) WHERE m IS NULL OR during_time > m""")
 def g10_strictly_newer_stream(spark: SparkSession, sf: str) -> DataFrame:
-    rows = log_stream(spark, sf).select(F.col("common.uid").alias("uid"), "ts", "page.during_time")
-    return finished(stateful.strictly_newer(rows, "uid", "during_time", "ts"), spark, "newer")
+    rows = T.app_log(spark, sf).select(F.col("common.uid").alias("uid"), "ts", "page.during_time")
+    return finished(stateful.strictly_newer(replayed(spark, rows, "ts"), "uid", "during_time", "ts"), spark, "newer")
 
 
 @query("f9_running_profile_stream", using("log", d=DEVICE_SQL) + running_sql(RUNNING_ORDER, "d"))
 def f9_running_profile_stream(spark: SparkSession, sf: str) -> DataFrame:
-    rows = L.device_and_search(log_stream(spark, sf))
-    return finished(stateful.running_profile(rows, ["os", "ch", "md", "ba", "search_item"]), spark, "profile")
+    rows = L.device_and_search(T.app_log(spark, sf))
+    return finished(stateful.running_profile(replayed(spark, rows, "ts"), ["os", "ch", "md", "ba", "search_item"]), spark, "profile")
 
 
-@query("f2_traffic_stream", using("log", t=TRAFFIC_SQL) + f"""
-SELECT * FROM t WHERE edt <= (SELECT {dt('max(ts)')} FROM log)""")
+@query("f2_traffic_stream", using("log") + TRAFFIC_SQL)
 def f2_traffic_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Flag and windows in one query; append output holds the windows the watermark has passed."""
-    return finished(jobs.traffic(log_stream(spark, sf), "1 hour", tz="UTC", offset=0), spark, "traffic")
+    """First visits are flagged and stored by the stream; the windows are summed when the result is read."""
+    flagged = finished(jobs.first_visits(replayed(spark, T.app_log(spark, sf), "ts"), offset=0), spark, "traffic")
+    return jobs.traffic_windows(flagged, "1 hour", "UTC")
 
 
-@query("g14_watermark_stream", using("log") + """
-SELECT count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM log""")
+@query("g14_watermark_stream", using("log") + f"""
+SELECT {bounds('ts', HOUR)}, count(*) AS n FROM log GROUP BY ALL""")
 def g14_watermark_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """A watermark alone drops nothing: late rows are lost only where state has been closed."""
-    timed = cdc.with_event_time(log_stream(spark, sf).select("ts"), "ts", "3 seconds")
-    return finished(timed, spark, "late").agg(
-        F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    """Windows closed by the watermark. A second copy of the first rows comes after the last of the log, too late to count."""
+    rows = T.app_log(spark, sf).select("ts")
+    first, last = rows.agg(F.min("ts"), F.max("ts")).first()
+    path = new_path(spark, "late")
+    end = spark.range(1).select(F.lit(last + 400 * DAY).cast("bigint").alias("ts"))
+    # A batch is checked against the watermark of the one before, so a batch without rows of its own comes between.
+    for part in (rows.filter(F.col("ts") < last - DAY), rows.filter(F.col("ts") >= last - DAY).unionByName(end), end,
+                 rows.filter(F.col("ts") < first + DAY).unionByName(end)):
+        part.coalesce(1).write.mode("append").parquet(path)
+    timed = cdc.with_event_time(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path), "ts", "3 seconds")
+    return finished(windows.tumble(timed, F.col("et"), "1 hour", [], [F.count(F.lit(1)).alias("n")], "UTC"), spark, "late")
 
 
 @query("d12_chained_interval_stream", using("log", "tag_order_info", "user_info") + """

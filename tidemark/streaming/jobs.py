@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as S
 from tidemark.operators import changelog as C
 from tidemark.operators import logs, lookups, windows
+from tidemark.operators.skew import lookup_join
 from tidemark.operators.versions import latest_by_key
 from tidemark.sources import sinks
 from tidemark.sources.cdc import parse_envelopes, with_event_time
@@ -41,9 +42,11 @@ def ods_ingest(envelopes: DataFrame, path: str, checkpoint: str) -> None:
 def split_log(values: DataFrame, path: str, checkpoint: str) -> None:
     """Dirty texts and the five log outputs, each batch read and parsed once and written by output."""
 
+    run = sinks.run_of(values.sparkSession, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         checked = logs.checked_log(batch)
-        sinks.write_changes(logs.tagged_texts(checked), path, batch_id, by="output")
+        sinks.write_changes(logs.tagged_texts(checked), path, batch_id, "output", run)
 
     each_batch(values, write, checkpoint)
 
@@ -53,25 +56,33 @@ def dim_sync(
 ) -> None:
     """Route every batch by the configuration in force when it runs and add it to the dimension change log."""
 
+    run = sinks.run_of(values.sparkSession, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         routed = C.route(C.valid_changes(parse_envelopes(batch), db), C.active_config(read_config()))
         kept = routed.filter(F.col("emptied_at").isNull() | (F.col("ts_ms") > F.col("emptied_at")))
         sinks.write_changes(
-            kept.select("sink_table", "sink_family", "row_key", "cells", "op", "ts_ms"), path, batch_id)
+            kept.select("sink_table", "sink_family", "row_key", "cells", "op", "ts_ms"), path, batch_id, run=run)
 
     each_batch(values, write, checkpoint)
 
 
-def read_dims(spark: SparkSession, path: str) -> DataFrame:
-    """The dimension tables behind ``dim_sync``."""
-    return C.merge_dims(spark.read.option("basePath", path).parquet(path))
+def read_dims(spark: SparkSession, path: str, config_changes: DataFrame) -> DataFrame:
+    """The dimension tables behind ``dim_sync`` under the configuration as it now is: tables no longer configured are gone,
+    and so are rows from before their table was last dropped or re-created, whichever batch wrote them."""
+    config = C.active_config(config_changes).select("sink_table", "emptied_at")
+    changes = lookup_join(spark.read.option("basePath", path).parquet(path), config, ["sink_table"])
+    alive = changes.filter(F.col("emptied_at").isNull() | (F.col("ts_ms") > F.col("emptied_at")))
+    return C.merge_dims(alive.drop("emptied_at", "run", "batch_id"))
 
 
 def upsert(df: DataFrame, keys: Sequence[str], order: Sequence[str], path: str, checkpoint: str) -> None:
     """Keyed changes: each batch is cut to its last row per key before it is written."""
 
+    run = sinks.run_of(df.sparkSession, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        sinks.write_changes(latest_by_key(batch, list(keys), list(order)), path, batch_id)
+        sinks.write_changes(latest_by_key(batch, list(keys), list(order)), path, batch_id, run=run)
 
     each_batch(df, write, checkpoint)
 
@@ -109,12 +120,15 @@ def order_detail(
 # -- windows ------------------------------------------------------------------------------------------------
 
 
-def traffic(log: DataFrame, size: str = "10 seconds", delay: str = "0 seconds", tz: str = S.BUSINESS_TZ,
-            offset: int = stateful.BUSINESS_OFFSET_MS) -> DataFrame:
-    """First-visit flag per device and day, then the window measures, in one query."""
-    measures = with_event_time(logs.page_measures(log), "ts", delay)
-    flagged = stateful.flag_first_of_day(measures, ["mid"], "uv", "ts", offset, event_time="et")
-    return windows.tumble(flagged, F.col("et"), size, windows.TRAFFIC_KEYS, [
+def first_visits(log: DataFrame, delay: str = "0 seconds", offset: int = stateful.BUSINESS_OFFSET_MS) -> DataFrame:
+    """Page measures with a 1 in ``uv`` on the first of each device and day. The windows are summed when the result is read:
+    a row that has waited for the watermark would be late for a window behind it in the same query."""
+    return stateful.flag_first_of_day(logs.page_measures(log), ["mid"], "uv", "ts", offset, delay)
+
+
+def traffic_windows(flagged: DataFrame, size: str = "10 seconds", tz: str = S.BUSINESS_TZ) -> DataFrame:
+    """The window measures of stored ``first_visits``."""
+    return windows.tumble(flagged, F.timestamp_millis("ts"), size, windows.TRAFFIC_KEYS, [
         F.sum("uv").alias("uv_ct"), F.sum("sv").alias("sv_ct"), F.sum("pv").alias("pv_ct"), F.sum("dur").alias("dur_sum")], tz)
 
 
@@ -132,11 +146,12 @@ def first_of_day(df: DataFrame, keys: Sequence[str], ms: str, tz: str = S.BUSINE
 def province_orders(
     details: DataFrame, provinces: DataFrame, size: str = "1 second", delay: str = "0 seconds", tz: str = S.BUSINESS_TZ
 ) -> DataFrame:
-    """Orders and amount per province. Streams cannot count distinct, so the window holds the set of its orders."""
+    """Orders and amount per province and window. An order's lines are summed first, to one row per order and window, so
+    that a province's window holds two numbers and no set of orders. Amounts are decimals."""
     timed = with_event_time(details, "ts_ms", delay)
-    measured = windows.tumble(timed, F.col("et"), size, ["province_id"], [
-        F.size(F.collect_set("order_id")).cast("bigint").alias("order_count"),
-        F.sum("split_total_amount").alias("order_amount")], tz)
+    amount = F.sum(F.col("split_total_amount").cast("decimal(16,2)")).alias("amount")
+    per_order = timed.groupBy(F.window("et", size).alias("w"), "province_id", "order_id").agg(amount)
+    at = F.window_time("w").alias("at")
+    measured = windows.tumble(per_order.select(at, "province_id", "amount"), F.col("at"), size, ["province_id"], [
+        F.count(F.lit(1)).alias("order_count"), F.sum("amount").cast("decimal(16,2)").alias("order_amount")], tz)
     return lookups.province_names(measured, provinces)
-
-

@@ -1,8 +1,10 @@
 """Streaming twins of the keyed operators, as stateful processors.
 
-Records are taken in order of arrival; within a chunk of ``CHUNK`` records they are taken in time order,
-with equal times settled by the other columns where versions are compared. A chunk is all that is ever
-held of a key, besides its state. Batch definitions are in ``operators.keyed``.
+Rows are kept until the watermark has passed their time and are then handled in time order, equal times settled by
+the other columns. So the answer does not depend on how rows were cut into batches, nor on how many a key has: it is
+that of the batch form in ``operators.keyed`` for all rows that are not late. Rows wait for ``delay`` of event time,
+which bounds what is held of a key besides its state. ``keep`` milliseconds of event time after a key's last row its
+state is forgotten; None keeps it for ever. The original's values are named at each operator.
 
 Days are calendar days at a fixed offset from UTC (business zone: +8 hours).
 """
@@ -10,26 +12,40 @@ Days are calendar days at a fixed offset from UTC (business zone: +8 hours).
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import islice
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from tidemark.sources.cdc import with_event_time
+
 DAY_MS = 86_400_000
 BUSINESS_OFFSET_MS = 8 * 3_600_000
-CHUNK = 10_000
+#: Rows handed to the state store at once.
+PIECE = 1_000
 
 
 def _with(schema: StructType, *extra: StructField) -> StructType:
     return StructType([*schema.fields, *extra])
 
 
+def _comparable(value):
+    """Something that sorts, nulls first, also where ``value`` is a map, a list or a struct."""
+    if isinstance(value, dict):
+        value = sorted((str(k), _comparable(v)) for k, v in value.items())
+    elif isinstance(value, (list, tuple)):
+        value = [_comparable(v) for v in value]
+    return value is not None, value
+
+
 class _PerKey(StatefulProcessor):
-    """Shared plumbing: one value state and chunk-wise handling in time order."""
+    """Rows of a key are held back until the watermark has passed them, then folded in time order."""
 
     state_schema = "v bigint"
     out: Sequence[str] = ()  # names of the output columns
+    held_schema = ""
+    held_names: Sequence[str] = ()
+    keep: int | None = None
 
     def __init__(self, ms: str, ties: Sequence[str] = ()):
         self.ms, self.order = ms, [ms, *ties]
@@ -37,23 +53,64 @@ class _PerKey(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.row = Row(*self.out)
+        self.input = Row(*self.held_names)
         self.state = handle.getValueState("state", self.state_schema)
+        self.last = handle.getValueState("last", "ms bigint")
+        self.waiting = handle.getListState("waiting", self.held_schema)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        rows = iter(rows)
-        while chunk := list(islice(rows, CHUNK)):
-            if len(chunk) > 1:
-                chunk.sort(key=lambda r: [(r[c] is not None, r[c]) for c in self.order])
-            yield from self.chunk(key, chunk)
+        piece, newest = [], None
+        for row in rows:
+            piece.append(tuple(row[c] for c in self.held_names))
+            newest = row[self.ms] if newest is None else max(newest, row[self.ms])
+            if len(piece) == PIECE:
+                self.waiting.appendList(piece)
+                piece = []
+        if piece:
+            self.waiting.appendList(piece)
+        if newest is not None:
+            self.handle.registerTimer(int(newest))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        ready, rest = [], []
+        at = list(self.held_names).index(self.ms)
+        for values in self.waiting.get() if self.waiting.exists() else ():
+            (ready if values[at] <= passed else rest).append(self.input(*values))
+        if ready:
+            if rest:
+                self.waiting.put([tuple(r) for r in rest])
+            else:
+                self.waiting.clear()
+            ready.sort(key=lambda r: [_comparable(r[c]) for c in self.order])
+            yield from self.fold(key, ready) if self.keep is None else self.fold_apart(key, ready)
+        elif self.keep is not None and self.last.exists() and self.last.get()[0] + self.keep <= passed:
+            self.last.clear()  # what still waits is later yet
+            self.forget()
+
+    def fold_apart(self, key, rows: list[Row]) -> Iterator[Row]:
+        """Rows after a pause of ``keep`` find no state, whether or not a timer came between."""
+        last, start = (self.last.get()[0] if self.last.exists() else None), 0
+        for k, row in enumerate(rows):
+            if last is not None and row[self.ms] - last >= self.keep:
+                if k > start:
+                    yield from self.fold(key, rows[start:k])
+                self.forget()
+                start = k
+            last = row[self.ms]
+        yield from self.fold(key, rows[start:])
+        self.last.update((last,))
+        self.handle.registerTimer(int(last + self.keep))
 
     def held(self):
         return self.state.get() if self.state.exists() else None
 
-    def chunk(self, key, rows: list[Row]) -> Iterator[Row]:
+    def fold(self, key, rows: list[Row]) -> Iterator[Row]:
         raise NotImplementedError
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        return iter(())
+    def forget(self) -> None:
+        self.state.clear()
 
     def close(self) -> None:
         pass
@@ -62,11 +119,11 @@ class _PerKey(StatefulProcessor):
 class FlagFirstOfDay(_PerKey):
     """All records, with a 1 on the first of each day and a 0 on the rest."""
 
-    def __init__(self, ms: str, offset: int):
-        super().__init__(ms)
+    def __init__(self, ms: str, offset: int, ties: Sequence[str] = ()):
+        super().__init__(ms, ties)
         self.offset = offset
 
-    def chunk(self, key, rows):
+    def fold(self, key, rows):
         held = self.held()
         last = held[0] if held else None
         for row in rows:
@@ -80,10 +137,10 @@ class RepairIsNew(_PerKey):
     """``is_new`` set to "0" where a device claims to be new on a day other than its stored one."""
 
     def __init__(self, ms: str, flag: str, offset: int):
-        super().__init__(ms)
+        super().__init__(ms, [flag])
         self.flag, self.offset = flag, offset
 
-    def chunk(self, key, rows):
+    def fold(self, key, rows):
         held = self.held()
         if held:
             stored = held[0]
@@ -102,7 +159,7 @@ class LoginDays(_PerKey):
         super().__init__(ms)
         self.offset, self.away = offset, away
 
-    def chunk(self, key, rows):
+    def fold(self, key, rows):
         held = self.held()
         last = held[0] if held else None
         for row in rows:
@@ -120,7 +177,7 @@ class RetractVersions(_PerKey):
         super().__init__(ms, [c for c in columns if c != ms])
         self.amount, self.state_schema = list(columns).index(amount), schema
 
-    def chunk(self, key, rows):
+    def fold(self, key, rows):
         last = self.held()
         for row in rows:
             if last is not None:
@@ -137,7 +194,7 @@ class StrictlyNewer(_PerKey):
         super().__init__(ms, [value])
         self.value = value
 
-    def chunk(self, key, rows):
+    def fold(self, key, rows):
         held = self.held()
         best = held[0] if held else None
         for row in rows:
@@ -154,14 +211,20 @@ class LatestAfterWait(_PerKey):
         super().__init__(ms, [c for c in columns if c != ms])
         self.columns, self.state_schema, self.wait = list(columns), schema, wait
 
-    def chunk(self, key, rows):
-        at = self.columns.index(self.ms)
-        held = self.held()
-        if held is None:
-            self.handle.registerTimer(int(rows[0][self.ms]) + self.wait)
-        newest = tuple(rows[-1][c] for c in self.columns)
-        if held is None or newest[at] >= held[at]:
-            self.state.update(newest)
+    def handleInputRows(self, key, rows, timerValues):
+        """Versions need not wait: the newest and the first are the same in any order."""
+        newest, first = self.held(), None
+        fresh = newest is None
+        rank = lambda values: [_comparable(values[self.columns.index(c)]) for c in self.order]
+        for row in rows:
+            values = tuple(row[c] for c in self.columns)
+            first = row[self.ms] if first is None else min(first, row[self.ms])
+            if newest is None or rank(values) > rank(newest):
+                newest = values
+        if newest is not None:
+            self.state.update(tuple(newest))
+            if fresh:
+                self.handle.registerTimer(int(first) + self.wait)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -182,7 +245,7 @@ class RunningProfile(_PerKey):
         super().init(handle)
         self.seen = handle.getMapState("seen", "field string, value string", "n bigint")
 
-    def chunk(self, key, rows):
+    def fold(self, key, rows):
         held = self.held()
         pv = held[0] if held else 0
         sets: dict[str, set] = {f: set() for f in self.fields}
@@ -201,57 +264,63 @@ class RunningProfile(_PerKey):
             yield self.row(key[0], row[self.ms], pv, *[texts[f] for f in self.fields])
         self.state.update((pv,))
 
+    def forget(self):
+        super().forget()
+        self.seen.clear()
+
 
 # -- the operators ------------------------------------------------------------------------------------------
 
 
-def _apply(df: DataFrame, keys: Sequence[str], processor: _PerKey, schema: StructType, time_mode="None", event_time=None):
-    processor.out = schema.names
-    kwargs = {"eventTimeColumnName": event_time} if event_time else {}
-    return df.groupBy(*keys).transformWithState(
-        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode=time_mode, **kwargs)
+def _apply(df: DataFrame, keys: Sequence[str], processor: _PerKey, schema: StructType, delay: str, keep: int | None = None) -> DataFrame:
+    processor.out, processor.keep = schema.names, keep
+    processor.held_names, processor.held_schema = df.columns, _ddl(df)
+    return with_event_time(df, processor.ms, delay, "_et").groupBy(*keys).transformWithState(
+        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="EventTime")
 
 
 def flag_first_of_day(
-    df: DataFrame, keys: Sequence[str], name: str, ms: str = "ts", offset: int = BUSINESS_OFFSET_MS,
-    event_time: str | None = None,
+    df: DataFrame, keys: Sequence[str], name: str, ms: str = "ts", offset: int = BUSINESS_OFFSET_MS, delay: str = "0 seconds",
+    keep: int | None = DAY_MS,
 ) -> DataFrame:
-    """With ``event_time`` (a watermarked column) the result can go into a window aggregate."""
+    """The original forgets a key after a day, which is enough: a later row is on another day."""
     schema = _with(df.schema, StructField(name, LongType()))
-    mode = "EventTime" if event_time else "None"
-    return _apply(df, keys, FlagFirstOfDay(ms, offset), schema, mode, event_time)
+    ties = [c for c in df.columns if c not in (*keys, ms)]
+    return _apply(df, keys, FlagFirstOfDay(ms, offset, ties), schema, delay, keep)
 
 
-def repair_is_new(df: DataFrame, key: str = "mid", flag: str = "is_new", ms: str = "ts", offset: int = BUSINESS_OFFSET_MS):
-    return _apply(df, [key], RepairIsNew(ms, flag, offset), df.schema)
+def repair_is_new(df: DataFrame, key: str = "mid", flag: str = "is_new", ms: str = "ts", offset: int = BUSINESS_OFFSET_MS,
+                  delay: str = "0 seconds", keep: int | None = None) -> DataFrame:
+    """The original forgets a device after 10 seconds (``keep=10_000``), so that a returning one counts as new."""
+    return _apply(df, [key], RepairIsNew(ms, flag, offset), df.schema, delay, keep)
 
 
-def login_days(df: DataFrame, key: str = "uid", ms: str = "ts", offset: int = BUSINESS_OFFSET_MS, away: int = 8):
+def login_days(df: DataFrame, key: str = "uid", ms: str = "ts", offset: int = BUSINESS_OFFSET_MS, away: int = 8,
+               delay: str = "0 seconds", keep: int | None = None) -> DataFrame:
     schema = _with(df.schema, StructField("uu", LongType()), StructField("back", LongType()))
-    return _apply(df, [key], LoginDays(ms, offset, away), schema)
+    return _apply(df, [key], LoginDays(ms, offset, away), schema, delay, keep)
 
 
-def retract_versions(df: DataFrame, key: str, amount: str, ms: str = "ts_ms") -> DataFrame:
-    return _apply(df, [key], RetractVersions(ms, amount, df.columns, _ddl(df)), df.schema)
+def retract_versions(df: DataFrame, key: str, amount: str, ms: str = "ts_ms", delay: str = "0 seconds", keep: int | None = None) -> DataFrame:
+    """The original forgets a line after 10 seconds (``keep=10_000``)."""
+    return _apply(df, [key], RetractVersions(ms, amount, df.columns, _ddl(df)), df.schema, delay, keep)
 
 
-def strictly_newer(df: DataFrame, key: str, value: str, ms: str) -> DataFrame:
-    return _apply(df, [key], StrictlyNewer(ms, value), df.schema)
+def strictly_newer(df: DataFrame, key: str, value: str, ms: str, delay: str = "0 seconds", keep: int | None = None) -> DataFrame:
+    """The original forgets a key after an hour (``keep=3_600_000``)."""
+    return _apply(df, [key], StrictlyNewer(ms, value), df.schema, delay, keep)
 
 
-def latest_after_wait(df: DataFrame, key: str, wait: int, ms: str = "ts_ms", event_time: str = "et") -> DataFrame:
-    """``df`` carries the watermarked column ``event_time``, which stays out of the result."""
-    schema = StructType([f for f in df.schema.fields if f.name != event_time])
-    names = [f.name for f in schema.fields]
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
-    return _apply(df, [key], LatestAfterWait(ms, names, ddl, wait), schema, "EventTime")
+def latest_after_wait(df: DataFrame, key: str, wait: int, ms: str = "ts_ms", delay: str = "0 seconds") -> DataFrame:
+    return _apply(df, [key], LatestAfterWait(ms, df.columns, _ddl(df), wait), df.schema, delay)
 
 
-def running_profile(df: DataFrame, fields: Sequence[str], key: str = "uid", ms: str = "ts") -> DataFrame:
+def running_profile(df: DataFrame, fields: Sequence[str], key: str = "uid", ms: str = "ts", delay: str = "0 seconds",
+                    keep: int | None = None) -> DataFrame:
     texts = [StructField(f, StringType()) for f in fields]
     schema = StructType([StructField("uid", StringType()), StructField("ts_ms", LongType()), StructField("pv", LongType()), *texts])
-    return _apply(df, [key], RunningProfile(ms, fields), schema)
+    return _apply(df, [key], RunningProfile(ms, fields), schema, delay, keep)
 
 
 def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
