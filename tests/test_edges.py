@@ -261,3 +261,27 @@ def test_unknown_keys(spark):
     rows = df.select(M.device_scores("os").alias("d"), M.brand_scores("b").alias("b")).collect()
     assert rows[0].d is None and rows[0].b is None
     assert [str(v) for v in rows[1].b] == ["0.020", "0.040", "0.060", "0.080", "0.100", "0.120"]
+
+
+def test_empty_brand_and_category_have_no_score(spark):
+    from tidemark.functions import scores
+
+    rows = spark.createDataFrame([("",), (None,), ("nobody knows",)], "b string")
+    got = [tuple(x is None for x in r) for r in rows.select(scores.brand_scores("b"), scores.category_scores("b")).collect()]
+    assert got == [(True, True), (True, True), (False, False)]
+
+
+def test_latest_by_key_takes_rows_with_maps(spark):
+    from tidemark.operators.versions import latest_by_key
+
+    rows = spark.createDataFrame([("a", 1, {"x": "1"}), ("a", 2, {"x": "2", "y": None}), ("b", 1, None)], "k string, ts bigint, m map<string,string>")
+    assert {r["k"]: r["m"] for r in latest_by_key(rows, ["k"], ["ts"]).collect()} == {"a": {"x": "2", "y": None}, "b": None}
+
+
+def test_landed_changes_are_selected_by_folder_and_not_parsed(spark, sf):
+    from tidemark.operators import changelog as C
+    from tidemark.plans.catalog.job_queries import landed
+
+    plan = C.order_details(landed(spark, sf))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "order_detail" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "from_json" not in plan and C.order_details(landed(spark, sf)).count() > 0

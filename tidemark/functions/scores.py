@@ -112,15 +112,17 @@ def amount_scores(amount: str) -> Column:
 
 
 def brand_scores(brand: str) -> Column:
+    """Null for a missing or empty brand."""
     other = _array(OTHER_BRAND, BRAND_WEIGHT)
-    return F.expr(f"CASE WHEN `{brand}` IS NOT NULL THEN coalesce({_table(brand, BRAND, BRAND_WEIGHT)}, {other}) END")
+    return F.expr(f"CASE WHEN `{brand}` <> '' THEN coalesce({_table(brand, BRAND, BRAND_WEIGHT)}, {other}) END")
 
 
 def category_scores(category: str) -> Column:
+    """Null for a missing or empty category."""
     rows = {c: YOUNG_CATEGORY for c in YOUNG_CATEGORIES} | {c: HOME_CATEGORY for c in HOME_CATEGORIES}
     other = _array(OTHER_CATEGORY, CATEGORY_WEIGHT)
     return F.expr(
-        f"CASE WHEN `{category}` IS NOT NULL THEN coalesce({_table(category, rows, CATEGORY_WEIGHT)}, {other}) END")
+        f"CASE WHEN `{category}` <> '' THEN coalesce({_table(category, rows, CATEGORY_WEIGHT)}, {other}) END")
 
 
 def as_columns(scores: str, model: str) -> list[Column]:

@@ -5,13 +5,14 @@ Batch jobs use ``operators.logs.words`` instead, which stays inside the JVM.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 
-import regex
 from pyspark.sql import SparkSession
 from pyspark.sql.functions import udtf
 
-_WORD = regex.compile(r"[\p{L}\p{N}]+")
+#: Letters and digits of any script: word characters but for the underscore.
+_WORD = re.compile(r"[^\W_]+")
 
 
 def split_words(text: str) -> Iterable[str]:

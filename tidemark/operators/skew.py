@@ -1,8 +1,8 @@
 """Joins that hold when one key owns a large share of the rows.
 
-``lookup_join`` is the one entry point. It broadcasts the lookup side only if its planned size is under
-Spark's own broadcast threshold. Beyond that it leaves the join to adaptive execution, which splits the
-partitions a hot key blows up; where that is switched off, ``salted_join`` spreads hot keys itself.
+``lookup_join`` is the one entry point. It gives no hint: Spark broadcasts a lookup side that it finds within its
+own threshold, by plan or by measured size, and adaptive execution splits the partitions a hot key blows up beyond.
+Where that is switched off and the planned size is over the threshold, ``salted_join`` spreads hot keys itself.
 
 ``salted_join`` finds the hot keys by a bounded frequent-items sketch, so the hot-key table has at most
 ``MAX_HOT_KEYS`` rows whatever the data size. The sketch reads the big side once more, which is why it is
@@ -109,18 +109,14 @@ def lookup_join(
     big: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner", limit: int | None = None,
     sized_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Join ``other`` to ``big``: broadcast when its checked size allows, a skew-proof shuffle join beyond.
+    """Join ``other`` to ``big`` by whichever way Spark finds best; salted where Spark could not split a hot key.
 
     ``sized_by`` is a frame with at least as many rows as ``other``, to take the size from where ``other`` is
     built by joins and its own estimate would be a product. ``limit`` replaces the session's threshold.
     """
     on = list(on)
-    if sized_by is None:
-        fits = fits_broadcast(other, limit)
-    else:
-        fits = fits_broadcast(sized_by, limit, widen=len(other.columns) / max(len(sized_by.columns), 1))
-    if fits:
-        return big.join(F.broadcast(other), on, how)
     if _splits_skew(big):
         return big.join(other, on, how)
-    return salted_join(big, other, on, how)
+    widen = 1.0 if sized_by is None else len(other.columns) / max(len(sized_by.columns), 1)
+    fits = fits_broadcast(other if sized_by is None else sized_by, limit, widen)
+    return big.join(other, on, how) if fits else salted_join(big, other, on, how)

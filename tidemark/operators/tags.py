@@ -165,10 +165,11 @@ def user_labels(
     base2: DataFrame, base4: DataFrame, base6: DataFrame, bound: int = HOUR, tz: str = S.BUSINESS_TZ,
     compat: bool = False,
 ) -> DataFrame:
-    """The final label record per matching log, order and user row."""
-    scored = max_score(band_sums(join_log_and_orders(base2, base4, bound), compat)).withColumnRenamed("ts_ms", "log_ts_ms")
+    """The final label record per matching log, order and user row. A joined log and order row has the later of its two times."""
+    pairs = max_score(band_sums(join_log_and_orders(base2, base4, bound), compat))
+    scored = pairs.withColumn("pair_ts_ms", F.greatest("ts_ms", "order_ts_ms")).drop("ts_ms", "order_ts_ms")
     users = base6.select("uid", "ts_ms", *_USER_COLUMNS)
-    joined = interval_join(scored, users, "uid", "log_ts_ms", "ts_ms", bound, bound)
+    joined = interval_join(scored, users, "uid", "pair_ts_ms", "ts_ms", bound, bound)
     sums = {"age_sum30_40": "30_34", "age_sum50": "50", "age_sum25_29": "25_29", "age_sum40_49": "40_49",
             "age_sum18_24": "18_24", "age_sum35_39": "35_39"}
     base = ["decade", "zodiac_sign", "gender", "login_name", "email", "phone_num", "height", "judge_os", "weight",

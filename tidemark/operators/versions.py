@@ -10,17 +10,25 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 
 def _ordered_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Column:
-    """Struct that compares by ``order`` first, then by every other column, so ties are settled."""
+    """Struct that compares by ``order`` first, then by every other column, so ties are settled. Maps, which have no order,
+    stand in it as their sorted entries."""
     rest = [c for c in df.columns if c not in keys and c not in order]
-    return F.struct(*[F.col(f"`{c}`") for c in [*order, *rest]])
+    maps = _maps(df)
+    return F.struct(*[F.array_sort(F.map_entries(f"`{c}`")).alias(c) if c in maps else F.col(f"`{c}`") for c in [*order, *rest]])
+
+
+def _maps(df: DataFrame) -> set[str]:
+    return {f.name for f in df.schema.fields if isinstance(f.dataType, MapType)}
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], agg) -> DataFrame:
-    out = df.groupBy(*keys).agg(agg(_ordered_row(df, keys, order)).alias("_row"))
-    return out.select(*[F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns])
+    out, maps = df.groupBy(*keys).agg(agg(_ordered_row(df, keys, order)).alias("_row")), _maps(df)
+    held = lambda c: F.map_from_entries(f"_row.`{c}`") if c in maps else F.col(f"_row.`{c}`")
+    return out.select(*[F.col(c) if c in keys else held(c).alias(c) for c in df.columns])
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

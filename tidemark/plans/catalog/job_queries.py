@@ -20,7 +20,8 @@ from tidemark.plans.catalog.window_queries import (
 )
 from tidemark.plans.registry import query
 from tidemark.plans.standin_sql import bounds, latest, using
-from tidemark.sources.cdc import parse_envelopes, to_values
+from tidemark.session import new_path
+from tidemark.sources.cdc import land_changes, landed_changes, parse_envelopes, to_values
 
 
 @query("job_ods_ingest", using("cart_info") + """
@@ -33,6 +34,31 @@ def job_ods_ingest(spark: SparkSession, sf: str) -> DataFrame:
         F.col("before")["sku_num"].alias("old_num"), "ts_ms")
 
 
+@T.once
+def landed(spark: SparkSession, sf: str) -> DataFrame:
+    """The change log of all shop tables as JSON text, parsed once and landed by table."""
+    path = new_path(spark, "landed")
+    land_changes(jobs.ods_ingest(T.change_log(spark, sf)), path)
+    return landed_changes(spark, path)
+
+
+@query("job_ods_land", using("cart_info", "order_info", "order_detail", "payment_info", "comment_info") + """
+SELECT 'cart_info' AS name, op, count(*) AS n, max(ts_ms) AS last_ms FROM cart_info GROUP BY op
+UNION ALL SELECT 'order_info', 'r', count(*), max(ts_ms) FROM order_info UNION ALL SELECT 'order_detail', 'r', count(*), max(ts_ms) FROM order_detail
+UNION ALL SELECT 'payment_info', 'r', count(*), max(ts_ms) FROM payment_info UNION ALL SELECT 'comment_info', 'r', count(*), max(ts_ms) FROM comment_info""")
+def job_ods_land(spark: SparkSession, sf: str) -> DataFrame:
+    """Operations per table of the landed log; the rows themselves are checked by the facts that read it."""
+    name = F.col("source")["table"]
+    some = landed(spark, sf).filter(name.isin("cart_info", "order_info", "order_detail", "payment_info", "comment_info"))
+    return some.groupBy(name.alias("name"), "op").agg(F.count(F.lit(1)).alias("n"), F.max("ts_ms").alias("last_ms"))
+
+
+@query("job_dwd_order_detail_landed", using(*FACT_NEEDS, **FACT) + "SELECT * FROM fact")
+def job_dwd_order_detail_landed(spark: SparkSession, sf: str) -> DataFrame:
+    """The order-detail fact from the landed log."""
+    return jobs.dwd_order_detail(landed(spark, sf), "UTC")
+
+
 _KEPT = """SELECT * FROM (SELECT r.*, emptied_at FROM all_rows r JOIN active_config c USING (source_table))
   WHERE emptied_at IS NULL OR ts_ms > emptied_at"""
 

@@ -144,7 +144,7 @@ def brands(spark: SparkSession, sf: str) -> DataFrame:
 SELECT s.id AS sku_id, t.* FROM sku_info s JOIN tree t ON s.category3_id = t.id""")
 def d18_category_tree(spark: SparkSession, sf: str) -> DataFrame:
     skus = T.sku_info(spark, sf).select(F.col("id").alias("sku_id"), F.col("category3_id").alias("id"))
-    return skus.join(F.broadcast(tree(spark)), "id")
+    return lookups.lookup_join(skus, tree(spark), ["id"])
 
 
 @query("d19_sku_brands", using("brands") + "SELECT * FROM brands")

@@ -179,15 +179,15 @@ def sum_sql(band: str, models: list[str] = _MODELS) -> str:
     return "(" + " + ".join(f"coalesce({m}_{band}, 0)" for m in models) + ")"
 
 
-def pairs_sql(bound: int) -> str:
+def pairs_sql(bound: int, logs: str = "base2", orders: str = "base4") -> str:
     sums = ", ".join(f"{sum_sql(b)} AS sum_{b}" for b in M.BANDS)
     as_written = ", ".join(
         f"{sum_sql(b, _MODELS[2:] if b in tags.ORDER_ONLY_BANDS else _MODELS[:2] if b in tags.LOG_ONLY_BANDS else _MODELS)} AS written_{b}"
         for b in M.BANDS)
     return f"""
   SELECT l.uid, l.ts_ms, pv, os, ch, md, ba, search_item, judge_os, detail_id, consignee, pay_time_slot, sku_name, sku_id, tname,
-    b1_name, {sums}, {as_written}
-  FROM base2 l JOIN base4 o ON l.uid = o.uid WHERE o.ts_ms BETWEEN l.ts_ms - {bound} AND l.ts_ms + {bound}"""
+    b1_name, o.ts_ms AS order_ts_ms, {sums}, {as_written}
+  FROM {logs} l JOIN {orders} o ON l.uid = o.uid WHERE o.ts_ms BETWEEN l.ts_ms - {bound} AND l.ts_ms + {bound}"""
 
 
 _ALL = tuple(dict.fromkeys(NEEDS2 + NEEDS4 + NEEDS6))
@@ -246,7 +246,8 @@ SELECT p.uid, consignee AS uname, b.ts_ms, strftime(make_timestamp(b.ts_ms * 100
   height, judge_os, birthday, age AS base_age, pv AS intraday_pv, search_item, os, ch, md, ba, pay_time_slot AS login_time_slot,
   CAST(sum_30_34 AS INT) AS age_sum30_40, CAST(sum_50 AS INT) AS age_sum50, {BEST_NAME} AS best_name, sku_name, b1_name, tname,
   CAST(sku_id AS VARCHAR) AS sku_id
-FROM pairs p JOIN base6 b ON p.uid = b.uid WHERE b.ts_ms BETWEEN p.ts_ms - {DAY} AND p.ts_ms + {DAY}"""
+FROM pairs p JOIN base6 b ON p.uid = b.uid
+WHERE b.ts_ms BETWEEN greatest(p.ts_ms, p.order_ts_ms) - {DAY} AND greatest(p.ts_ms, p.order_ts_ms) + {DAY}"""
 
 
 def flat_labels(df: DataFrame) -> DataFrame:
@@ -291,3 +292,20 @@ def d13_label_interval_hour(spark: SparkSession, sf: str) -> DataFrame:
     hour = tags.join_log_and_orders(
         base2(spark, sf), base4(spark, sf), 3_600_000)
     return _milli_sums(tags.band_sums(hour))
+
+
+#: Times folded into so many milliseconds, so that one-hour joins find partners.
+DENSE = 6 * 3_600_000
+_FOLD = f"SELECT * REPLACE (ts_ms % {DENSE} AS ts_ms) FROM"
+
+
+@query("d13_label_two_hour_joins", using(*_ALL, **(BASE2 | BASE4 | BASE6 | {
+    "l2": f"{_FOLD} base2", "o4": f"{_FOLD} base4", "u6": f"{_FOLD} base6", "pairs": pairs_sql(3_600_000, "l2", "o4")})) + f"""
+SELECT p.uid, b.ts_ms, p.sku_id, gender, search_item, CAST(sum_30_34 AS INT) AS age_sum30_40, {BEST_NAME} AS best_name
+FROM pairs p JOIN u6 b ON p.uid = b.uid
+WHERE b.ts_ms BETWEEN greatest(p.ts_ms, p.order_ts_ms) - 3600000 AND greatest(p.ts_ms, p.order_ts_ms) + 3600000""")
+def d13_label_two_hour_joins(spark: SparkSession, sf: str) -> DataFrame:
+    """Both one-hour joins, the second on the later time of the first."""
+    fold = lambda df: df.withColumn("ts_ms", F.col("ts_ms") % DENSE)
+    out = flat_labels(jobs.tag_label(fold(base2(spark, sf)), fold(base4(spark, sf)), fold(base6(spark, sf)), "UTC", 3_600_000))
+    return out.select("uid", "ts_ms", F.col("sku_id").cast("bigint").alias("sku_id"), "gender", "search_item", "age_sum30_40", "best_name")

@@ -14,7 +14,6 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import planned_bytes
 from tidemark.schemas import APP_LOG
 from tidemark.session import new_path
 from tidemark.sources.cdc import cdc_snapshot, text_map
@@ -53,18 +52,10 @@ def once(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return cached
 
 
-SPREAD_BYTES = 1 << 20
-
-
 @once
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A test table. They are single files of one row group, which one task would read and map alone, so a table
-    of more than ``SPREAD_BYTES`` in fewer files than cores is spread first; a table of many files is left as it is."""
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if planned_bytes(df) > SPREAD_BYTES and len(df.inputFiles()) < cores:
-        df = df.repartition(cores, df.columns[0])  # the key column: no sort needed to make it repeatable
-    return df
+    """A test table."""
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def _ms(column: str) -> Column:

@@ -55,6 +55,20 @@ def parse_envelopes(values: DataFrame) -> DataFrame:
     return values.select(F.from_json("value", ENVELOPE).alias("_e")).select("_e.*")
 
 
+def land_changes(values: DataFrame, path: str) -> None:
+    """A topic of envelopes parsed once and stored by source database and table."""
+    source = F.col("source")
+    parse_envelopes(values).select("before", "after", "op", "ts_ms", source["db"].alias("source_db"), source["table"].alias("source_table")) \
+        .write.mode("append").partitionBy("source_db", "source_table").parquet(path)
+
+
+def landed_changes(spark: SparkSession, path: str) -> DataFrame:
+    """The envelopes behind ``land_changes``. Selecting a table reads its folders only, and parses nothing."""
+    schema = f"before {_TEXT_MAP}, after {_TEXT_MAP}, op string, ts_ms bigint, source_db string, source_table string"
+    rows = spark.read.schema(schema).parquet(path)
+    return rows.select("before", "after", F.create_map(F.lit("db"), F.col("source_db"), F.lit("table"), F.col("source_table")).alias("source"), "op", "ts_ms")
+
+
 def topic_values(spark: SparkSession, servers: str, topic: str, streaming: bool = True, start: str = "earliest"):
     """Values and source timestamps of a Kafka topic. A null payload stays null. Needs the Kafka package."""
     reader = spark.readStream if streaming else spark.read
