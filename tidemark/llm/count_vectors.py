@@ -374,7 +374,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, chunk: int = CHUNK)
 
     hubs = members.groupBy(F.col("set_key").alias("a")).agg(F.min("hub").alias("b")).filter("a <> b")
     links = staged(spark, verified(hubs, points, percent), "links")
-    # Names that are not final yet only cost comparisons, so all but the last are left after a few rounds.
+    # Names that are not final yet only cost comparisons, of which the second round makes few.
     found = staged(spark, components(links, rounds=2), "components")
     first = members.groupBy("set_key").agg(F.array_sort(F.collect_set("token")).alias("t")).select(
         "set_key", F.explode(F.slice("t", 1, FIRST_BLOCKS)).alias("token"))
@@ -391,9 +391,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, chunk: int = CHUNK)
         pairs = per_cell(pointed, rows.count(), ["token", "i", "j"], [], partial(block_pairs, percent=percent, best=best), "a bigint, b bigint", BUCKET).distinct()
         more = staged(spark, verified(pairs, points, percent), "links")
         links = links.unionByName(more)
-        if best and not more.isEmpty():
-            found = staged(spark, components(links, rounds=2), "components")
-    found = components(links)
+        if best:  # whole components: the last round compares no two sets that already hang together
+            found = staged(spark, components(links), "components")
+        elif not more.isEmpty():
+            found = components(links)
 
     own = sets.select("doc_id", "set_key", "n").join(found.withColumnRenamed("key", "set_key"), "set_key", "left").select(
         "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "set_key")).alias("component"))
