@@ -165,6 +165,43 @@ def test_pseudonyms_are_valid_linked_and_complete():
         assert feistel.pseudonymised(b"k", clean) == (clean, 0)
 
 
+VALID = {"card": "4111 1111 1111 1111", "plain card": "4111111111111111", "dashed card": "4111-1111-1111-1111", "amex": "3782 822463 10005",
+         "iban": "BE68 5390 0754 7034", "plain iban": "BE68539007547034", "ssn": "123-45-6789", "date": "2024-01-05", "ip": "10.20.30.40",
+         "phone": "+1 (456) 555-2186", "plain phone": "319-555-5132"}
+
+
+@pytest.mark.parametrize("kind", sorted(VALID))
+def test_values_next_to_digit_groups_are_replaced(kind):
+    value = VALID[kind]
+    alone, n = feistel.pseudonymised(b"k", value)
+    assert n == 1 and alone != value
+    around = ["{} 12/27", "{}, 123", "no 12 {}", "no 1234 {}", "order 123456 {}", "12 {} 12/27"]
+    if "phone" not in kind:  # any digit group may go on with a phone number
+        around += ["{} 123", "{} 1", "12 {} 123"]
+    if "phone" not in kind or kind == "plain phone":
+        around += ["{} BIC", "{} ABCD"]
+    for form in around:
+        got, n = feistel.pseudonymised(b"k", form.format(value))
+        if kind == "phone" and form.endswith("12/27"):
+            assert n == 1 and value not in got
+        else:
+            assert (got, n) == (form.format(alone), 1), form
+    for other in VALID.values():
+        both = f"{value} {other}"
+        want = f"{alone} {feistel.pseudonymised(b'k', other)[0]}"
+        assert feistel.pseudonymised(b"k", both) == (want, 2), both
+
+
+def test_dates_of_timestamps_and_dashed_groups_are_replaced():
+    day = feistel.pseudonymised(b"k", "2024-02-29")[0]
+    assert feistel.pseudonymised(b"k", "at 2024-02-29T10:00:00Z, 2024-02-29Tx") == (f"at {day}T10:00:00Z, 2024-02-29Tx", 1)
+    card = feistel.pseudonymised(b"k", "4111-1111-1111-1111")[0]
+    assert feistel.pseudonymised(b"k", "12-4111-1111-1111-1111-123456") == (f"12-{card}-123456", 1)
+    assert feistel.pseudonymised(b"k", "123456-123456-4111-1111-1111-1111") == (f"123456-123456-{card}", 1)
+    rows = " ".join("0 1" for _ in range(20_000))
+    assert len(feistel.pseudonymised(b"k", rows)[0]) == len(rows)
+
+
 def test_pseudonymise_keeps_rows_and_columns(odd, none):
     out = feistel.pseudonymise(odd, count="found")
     assert out.columns == [*odd.columns, "found"]

@@ -7,7 +7,9 @@ every document, different values different ones, and a pseudonym is a valid valu
 stay where they are.
 
 Formats: card numbers (Luhn check), bank account numbers (IBAN check), social security numbers, phone numbers, IPv4 addresses,
-dates, mail addresses, and access keys or assigned secrets. What fails its check stays as it is.
+dates, mail addresses, and access keys or assigned secrets. What fails its check stays as it is. Of a run of digit groups that
+fails as a whole, parts at its group borders are tried (a card before an expiry, a bank account before a word), and the scan goes
+on behind the first group. A part that is taken as a card has groups of three digits or more, but for its last.
 
 Null and empty texts stay. Repeated rows give repeated results, an empty table an empty one. All columns other than ``text``
 pass through under any name.
@@ -197,10 +199,10 @@ KINDS: list[tuple[str, str, Callable[[bytes, str], str | None]]] = [
     ("secret", r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key))\s{0,3}[=:]\s{0,3}[\"']?(?P<v2>[A-Za-z0-9_\-./+]{8,})",
      secret),
     ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", iban),
-    ("date", r"(?<![\w.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}|\d{2}-\d{2}-\d{4})(?![\w-])", date),
+    ("date", r"(?<![\w.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}|\d{2}-\d{2}-\d{4})(?:(?![\w-])|(?=[Tt]\d{2}))", date),
     ("ssn", r"(?<![\w-])\d{3}[- ]\d{2}[- ]\d{4}(?![\w-])", social_security),
     ("ip", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)", ipv4),
-    ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w])", card),
+    ("card", r"(?:(?<![\w.-])|(?<=\d-))\d(?:[ -]?\d){12,18}(?![\w])", card),
     ("phone", r"(?<![\w.])(?:\+\d{1,3}[ .-]?)(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)"
               r"|(?<![\w.])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?!\w)", phone),
 ]
@@ -208,32 +210,107 @@ _PATTERN = re.compile("|".join(f"(?P<k{i}>{p})" for i, (_, p, _) in enumerate(KI
 _MAY_HOLD = re.compile(r"[0-9@=:]")
 
 
+_ONE = [re.compile(p) for _, p, _ in KINDS]
+_NAMES = [name for name, _, _ in KINDS]
+#: A word and the marks before it; digit groups that follow one another, more of them than a card and what follows it have.
+_FIRST, _RUN = re.compile(r"\W*\w+"), re.compile(r"\d+(?:[ -]\d+){0,24}(?!\w)")
+#: Digit groups as cards are written.
+_CARD_FORMS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 3, 3, 3), (4, 4, 4, 4, 3), (6, 13), *((n,) for n in range(13, 20))}
+
+
 @lru_cache(100_000)
 def pseudonym(key: bytes, i: int, value: str) -> str | None:
     return KINDS[i][2](key, value)
 
 
+def _groups(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    return [m.span() for m in re.compile(r"\d+").finditer(text, start, end)]
+
+
+def _before_others(key: bytes, text: str, groups: list[tuple[int, int]], others: Sequence[str]) -> list[tuple[int, int]]:
+    """``groups`` up to the first, other than the first of all, at which a value of one of ``others`` begins."""
+    for n, (a, _) in enumerate(groups):
+        if n and text[a - 1] == " ":
+            for k, name in enumerate(_NAMES):
+                if name in others and (m := _ONE[k].match(text, a)):
+                    spans = [m.span()] if name != "card" else [s for s, rank in _cards(text, a, m.end()) if s[0] == a and not rank]
+                    if any(pseudonym(key, k, text[b:c]) is not None for b, c in spans):
+                        return groups[:n]
+    return groups
+
+
+def _cards(text: str, start: int, end: int, groups: list[tuple[int, int]] | None = None) -> list[tuple[tuple[int, int], int]]:
+    """Spans of 13 to 19 digits that begin in the match, with 0 if they have the form of a card, 1 if they are the match, or 2."""
+    if groups is None:
+        m = _RUN.match(text, start)
+        groups = _groups(text, start, m.end() if m else end)
+    found = []
+    for i, (a, _) in enumerate(groups):
+        total = 0
+        for j in range(i, len(groups)):
+            total += groups[j][1] - groups[j][0]
+            if total > 19 or a >= end:
+                break
+            if total >= 13:
+                form, b = tuple(y - x for x, y in groups[i:j + 1]), groups[j][1]
+                if form in _CARD_FORMS:
+                    found.append(((a, b), 0))
+                elif (a, b) == (start, end):
+                    found.append(((a, b), 1))
+                elif min(form[:-1]) >= 3:
+                    found.append(((a, b), 2))
+    return sorted(found, key=lambda f: (f[1], f[0][0], -f[0][1]))
+
+
+def _spans(key: bytes, i: int, text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Parts of a match of kind ``i`` to try in turn: the whole and what ends or begins at its group borders."""
+    name = _NAMES[i]
+    if name == "iban":
+        return [(start, end), *((start, start + m.start()) for m in reversed(list(re.finditer(" ", text[start:end]))))]
+    if name == "card":
+        m = _RUN.match(text, start)
+        groups = _before_others(key, text, _groups(text, start, m.end() if m else end), ("date", "ssn", "ip", "phone"))
+        return [s for s, _ in _cards(text, start, min(end, groups[-1][1]), groups)]
+    if name == "phone":
+        whole = _groups(text, start, end)
+        groups = _before_others(key, text, whole, ("date", "ssn", "ip", "card", "phone"))
+        return [(start, b) for _, b in reversed(groups)]
+    return [(start, end)]
+
+
+def _valid(key: bytes, i: int, text: str, start: int, end: int) -> tuple[int, int, str] | None:
+    """Start, end and pseudonym of the first part that is valid."""
+    for a, b in _spans(key, i, text, start, end):
+        new = pseudonym(key, i, text[a:b])
+        if new is not None:
+            return a, b, new
+    return None
+
+
 def pseudonymised(key: bytes, text: str) -> tuple[str, int]:
     """(text with pseudonyms, how many)."""
-    done = 0
-
-    def swap(m: re.Match) -> str:
-        nonlocal done
+    out: list[str] = []
+    done = at = pos = 0
+    while m := _PATTERN.search(text, pos):
         i = int(m.lastgroup[1:]) if m.lastgroup[0] == "k" else next(k for k in range(len(KINDS)) if m[f"k{k}"] is not None)
         part = next((g for g in ("v1", "v2") if m[g] is not None), None)
-        value = m[part] if part else m[0]
-        new = pseudonym(key, i, value)
-        if new is None:  # not valid as this kind; perhaps as a later one
-            for k in range(i + 1, len(KINDS)):
-                if re.fullmatch(KINDS[k][1], m[0]) and (new := pseudonym(key, k, value)) is not None:
-                    break
-            else:
-                return m[0]
-        done += 1
-        start = m.start(part) - m.start() if part else 0
-        return m[0][:start] + new + m[0][start + len(value):]
-
-    return _PATTERN.sub(swap, text), done
+        if part:
+            found = (*m.span(part), pseudonym(key, i, m[part]))
+        else:
+            found = _valid(key, i, text, *m.span())
+            for k in range(i + 1, len(KINDS)):  # not valid as this kind; perhaps as a later one
+                if found is None and (other := _ONE[k].match(text, m.start())):
+                    found = _valid(key, k, text, *other.span())
+        if found is None:
+            pos = _FIRST.match(text, m.start()).end()
+            continue
+        start, end, new = found
+        out.append(text[at:m.start()])
+        before, n = (text[m.start():start], 0) if part else pseudonymised(key, text[m.start():start])
+        out += before, new
+        done += n + 1
+        at = pos = end
+    return "".join([*out, text[at:]]), done
 
 
 def pseudonymise(docs: DataFrame, key: bytes = KEY, column: str = "text", count: str | None = None) -> DataFrame:
