@@ -339,6 +339,26 @@ def test_near_duplicates_match_brute_force(spark, chunk):
     assert kept == set(low)
 
 
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    r = random.Random(21)
+    a, b, c, d = (prose(r, 80) for _ in range(4))
+    rows = [(1, a, "x"), (1, a, "x"), (1, a, "y"), (5, a, "x"), (1, copies(a, 1, 200, 3)[0], "x"),  # one group, its id repeated
+            (7, b, "x"), (6, b, "x"), (7, c, "x"), (8, c, "x"),  # two texts share the id 7, which one group keeps and one does not
+            *[(None, d, "x")] * 3, (None, d, "y"), (None, copies(d, 1, 200, 4)[0], None), (None, prose(r, 80), "x"),
+            (2, None, "x"), (2, None, "x"), (None, " \n", "x"), (None, " \n", "x"), (3, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _key string")
+    got = sorted(map(str, ((i, t, k) for i, t, k in count_vectors.one_of_each(docs).collect())))
+    texts = [eval(g)[:2] for g in got]
+    assert len(got) == 5 + 5 and {str(x) for x in rows} >= set(got)
+    assert (6, b) in texts and (7, c) in texts and (7, b) not in texts and (8, c) not in texts
+    assert sum(i == 1 for i, _ in texts) == 1 and (5, a) not in texts
+    assert sum(i is None and t.strip() != "" for i, t in texts) == 2
+    assert [t for t in texts if not (t[1] or "").strip()] == sorted([(2, None)] * 2 + [(None, " \n")] * 2 + [(3, "")], key=str)
+    named = spark.createDataFrame([(None, a, "x"), (9, a, "x")], docs.schema)
+    assert [row["doc_id"] for row in count_vectors.one_of_each(named).collect()] == [9]
+    assert count_vectors.one_of_each(docs.filter("false")).count() == 0
+
+
 def test_near_duplicates_on_odd_rows(odd, none):
     rows = count_vectors.near_duplicates(odd).collect()
     assert len(rows) == len(ODD) and count_vectors.near_duplicates(none).count() == 0

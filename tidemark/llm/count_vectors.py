@@ -166,7 +166,8 @@ def shared_slots(docs: DataFrame, order: np.ndarray, percent: int) -> np.ndarray
 
 
 def sets_of(docs: DataFrame, order: np.ndarray, percent: int) -> DataFrame:
-    """doc_id, set_key, n (its size), rare (shingles that spread the join, but for those of one document)."""
+    """doc_id, set_key, n (its size), rare (shingles that spread the join, but for those of one document), and ``_row`` if ``docs`` has it."""
+    more = [c for c in docs.columns if c == "_row"]
     bits = docs.sparkSession.sparkContext.broadcast(shared_slots(docs, order, percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,10 +183,11 @@ def sets_of(docs: DataFrame, order: np.ndarray, percent: int) -> DataFrame:
                 hit = (shared[(slot >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (slot & np.uint64(7)).astype(np.uint8))) & 1
                 rare.append(first[hit.astype(bool)].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(rare, pa.list_(pa.int64()))],
-                names=["doc_id", "set_key", "n", "rare"])
+                [batch.column(0), pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(rare, pa.list_(pa.int64())), *batch.columns[2:]],
+                names=["doc_id", "set_key", "n", "rare", *more])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, set_key bigint, n bigint, rare array<bigint>")
+    return docs.select("doc_id", "text", *more).mapInArrow(
+        run, "doc_id bigint, set_key bigint, n bigint, rare array<bigint>" + "".join(f", {c} bigint" for c in more))
 
 
 def _point(s: np.ndarray) -> np.ndarray:
@@ -360,10 +362,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return whole.mapInArrow(check, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
+def in_components(docs: DataFrame, percent: int, chunk: int) -> DataFrame:
+    """doc_id, n, component (of a set that is not empty) of each row of ``docs`` (doc_id, text), and ``_row`` if ``docs`` has it."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = staged(spark, sets_of(docs, fine_counts(docs), percent), "sets")
     rare = sets.select("set_key", F.explode("rare").alias("token"))
     # A token of one set only, however many copies it has, joins nothing.
@@ -396,15 +397,31 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, chunk: int = CHUNK)
         elif not more.isEmpty():
             found = components(links)
 
-    own = sets.select("doc_id", "set_key", "n").join(found.withColumnRenamed("key", "set_key"), "set_key", "left").select(
-        "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "set_key")).alias("component"))
+    more = [c for c in sets.columns if c == "_row"]
+    return sets.select("doc_id", "set_key", "n", *more).join(found.withColumnRenamed("key", "set_key"), "set_key", "left").select(
+        "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "set_key")).alias("component"), *more)
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document."""
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    own = in_components(docs, percent, chunk)
     names = own.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return own.join(names, "component", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each component, that with the smallest id; rows without an id stay."""
-    found = near_duplicates(docs, percent)
-    kept = found.filter("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
+def one_of_each(docs: DataFrame, percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest id (any id before none), of rows with one id that with the
+    smallest hash, and of copies of a whole row one. Rows without words stay. Columns with maps tell no rows apart."""
+    key, text = F.col("doc_id").cast("bigint"), F.col("text").cast("string")
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    row = F.xxhash64(F.lit(0), *[x for c in plain for x in (c, c.isNull())])
+    blank = F.translate(F.coalesce(text, F.lit("")), "\t\n\u000b\f\r ", "") == ""
+    own = in_components(docs.filter(~blank).select(key.alias("doc_id"), text.alias("text"), row.alias("_row")), percent, chunk)
+    kept = (own.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("_best"))
+            .select(F.coalesce("_best.doc_id", F.lit(0)).alias("_key"), F.col("_best._row").alias("_row")))
+    # Copies of a row meet before the join, and combine before they are shuffled.
+    rows = (docs.filter(~blank).select(F.coalesce(key, F.lit(0)).alias("_key"), row.alias("_row"), F.struct("*").alias("_doc"))
+            .groupBy("_key", "_row").agg(F.first("_doc").alias("_doc")))
+    return rows.join(kept, ["_key", "_row"], "left_semi").select("_doc.*").unionByName(docs.filter(blank))
