@@ -287,6 +287,27 @@ def test_licences_are_found_and_confirmed(spark, sf):
     assert marked.filter("family = 'none'").count() == 0 and marked.count() > 0
 
 
+def test_wrapped_licences_are_found(spark, sf):
+    import textwrap
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = licences.fit(docs)
+    rows, want = [], {}
+    for family, notices in licences.NOTICES.items():
+        for notice in notices:
+            for width, mark in ((60, "# "), (70, " * "), (80, "// "), (34, "")):
+                body = textwrap.fill(f"Copyright 2020 The authors of this file, who wrote it. {notice}", width, initial_indent=mark, subsequent_indent=mark)
+                want[len(rows)] = family
+                rows.append((len(rows), f"{mark}\n{mark} some file\n{mark}\n{body}\n{mark}\nint main() 0"))
+    long = "word " * 300 + licences.NOTICES["isc"][1] + " word" * 300 + " " + licences.NOTICES["mpl"][0]
+    n = len(rows)
+    rows += [(n, long), (n + 1, "Permission is hereby granted, free of\n\ncharge, to any person obtaining")]
+    found = {r["doc_id"]: r for r in licences.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), model).collect()}
+    missed = [(want[k], rows[k][1], found[k]["families"]) for k in want if want[k] not in found[k]["families"].split(",")]
+    assert not missed, missed
+    assert found[n]["families"] == "isc,mpl" and found[n + 1]["families"] == ""
+
+
 # -- 8 ------------------------------------------------------------------------------------------------------------
 
 

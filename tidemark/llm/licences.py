@@ -1,6 +1,8 @@
 """Licence scan: a paragraph classifier trained here, whose findings templates confirm.
 
-A paragraph is a line. Its features are its word one-, two- and three-grams (letters and digits, lower case). A multinomial logistic
+A paragraph is a line, or a line and those that follow it up to a blank one: so much of them as the longest notice has words, for
+notices that are wrapped; lines of comment marks only are blank. Of a long line also its parts are paragraphs. All bear the number
+of their first line. A paragraph's features are its word one-, two- and three-grams (letters and digits, lower case). A multinomial logistic
 regression with lasso penalty learns the families from notices with a word left out here and there, and the class ``none`` from lines
 of the corpus and from sentences that only sound like a licence. A temperature, chosen on notices held out, calibrates its
 probabilities. A family counts if its probability reaches ``MIN_PROBABILITY`` and one of its templates confirms it: ``MIN_SHARED``
@@ -69,6 +71,8 @@ LASSO = 0.0005
 LINE_WEIGHT = 0.1
 #: Lines of the corpus that teach ``none``: those of so many documents.
 CORPUS_DOCUMENTS = 200
+#: Lines that a wrapped notice takes behind its first, at most.
+FOLLOWING = 10
 _MARKS = "\t\u000b\f\r.,;:!?\"'`()[]{}<>/\\|@#$%^&*+=~-_–—’“”"
 
 
@@ -96,6 +100,28 @@ def _lines(spark: SparkSession, rows: Sequence[tuple[str, str]]) -> DataFrame:
     return spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(a).alias("family"), F.lit(t).alias("line")) for a, t in rows])).alias("r")).select("r.*")
 
 
+def paragraphs_of(lines: Column) -> Column:
+    """Structs (no, words, rest: those behind the first line) of the paragraphs of ``lines`` (words of each line), which has to be a column. Any
+    notice in a run of lines lies in one of them, if it is on ``FOLLOWING`` lines and the one before."""
+    most = max(len(_plain_words(t)) for found in NOTICES.values() for t in found)
+    empty = F.array().cast("array<string>")
+    unit = lambda w, i, rest=empty: F.struct(i.alias("no"), w.alias("words"), rest.alias("rest"))
+
+    def wrapped(w: Column, i: Column) -> Column:
+        after = F.slice(lines, i + 2, FOLLOWING)
+        blank = F.array_position(F.transform(after, lambda x: F.size(x)), 0).cast("int")
+        more = F.slice(F.flatten(F.slice(after, 1, F.when(blank > 0, blank - 1).otherwise(FOLLOWING))), 1, most)
+        own = F.slice(w, F.greatest(F.lit(1), F.size(w) - most + 1), most)
+        return F.when((F.size(w) > 0) & (F.size(more) > 0), F.array(unit(F.concat(own, more), i, more)))
+
+    def parts(w: Column, i: Column) -> Column:
+        return F.when(F.size(w) > 2 * most, F.transform(F.sequence(F.lit(1), F.size(w), F.lit(most)), lambda k: unit(F.slice(w, k, 2 * most), i)))
+
+    none = F.array().cast("array<struct<no:int,words:array<string>,rest:array<string>>>")
+    return F.flatten(F.transform(lines, lambda w, i: F.concat(
+        F.array(unit(w, i)), F.coalesce(wrapped(w, i), none), F.coalesce(parts(w, i), none))))
+
+
 def training_lines(docs: DataFrame) -> DataFrame:
     """(family, words, held_out, weight): notices whole and with each word left out, sentences that sound alike, lines of the corpus."""
     spark = docs.sparkSession
@@ -104,7 +130,8 @@ def training_lines(docs: DataFrame) -> DataFrame:
         "family", F.filter("words", lambda w, i: i + 1 != F.col("k")).alias("words"))
     alike = _lines(spark, [(NONE, t) for t in SOUNDS_LIKE]).select("family", words_of(F.col("line")).alias("words"))
     some = docs.filter("text is not null").select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(CORPUS_DOCUMENTS)
-    lines = some.select(F.explode(F.split("text", "\n")).alias("line")).select(F.lit(NONE).alias("family"), words_of(F.col("line")).alias("words"))
+    split = some.select(F.transform(F.split("text", "\n"), words_of).alias("lines"))
+    lines = split.select(F.explode(paragraphs_of(F.col("lines"))["words"]).alias("words")).select(F.lit(NONE).alias("family"), "words")
     notice = F.exists("words", lambda w: F.startswith(w, F.lit("licen")) | (w == "copyright"))
     plain = lines.filter((F.size("words") > 0) & ~notice)
     held = (F.pmod(F.xxhash64("words"), F.lit(4)) == 0) & (F.col("family") != NONE)
@@ -163,25 +190,29 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     rare = F.array(*map(F.lit, anchors()))
     read = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     hit = read.select("doc_id", F.when(F.arrays_overlap(words_of(F.col("text")), rare), F.split("text", "\n")).alias("lines"))
-    split = hit.select("doc_id", F.transform("lines", lambda x, i: F.struct(i.alias("no"), words_of(x).alias("words"))).alias("lines"))
+    split = hit.select("doc_id", F.transform("lines", words_of).alias("lines")).select("doc_id", paragraphs_of(F.col("lines")).alias("lines"))
     chosen = split.select("doc_id", F.filter("lines", lambda x: F.arrays_overlap(x["words"], rare)).alias("lines"))
     known = F.array(*map(F.lit, sorted(model.weights)))
     grams = chosen.select("doc_id", F.transform("lines", lambda x: F.struct(
-        x["no"].alias("no"), x["words"].alias("words"), F.array_intersect(grams_of(x["words"]), known).alias("grams"))).alias("lines"))
+        x["no"].alias("no"), x["words"].alias("words"), x["rest"].alias("rest"), F.array_intersect(grams_of(x["words"]), known).alias("grams"))).alias("lines"))
     table = F.create_map(*[x for g, w in sorted(model.weights.items()) for x in (F.lit(g), F.array(*map(F.lit, w)))])
     start = F.array(*map(F.lit, model.intercepts))
     raw = lambda found: F.aggregate(found, start, lambda total, g: F.zip_with(total, F.element_at(table, g), lambda a, b: a + b))
     scored = grams.select("doc_id", F.transform("lines", lambda x: F.struct(
-        x["no"].alias("no"), x["words"].alias("words"), raw(x["grams"]).alias("raw"))).alias("lines"))
+        x["no"].alias("no"), x["words"].alias("words"), x["rest"].alias("rest"), raw(x["grams"]).alias("raw"))).alias("lines"))
     shares = scored.select("doc_id", F.transform("lines", lambda x: F.struct(
-        x["no"].alias("no"), x["words"].alias("words"), (F.array_position(x["raw"], F.array_max(x["raw"])).cast("int") - 1).alias("best"),
+        x["no"].alias("no"), x["words"].alias("words"), x["rest"].alias("rest"), (F.array_position(x["raw"], F.array_max(x["raw"])).cast("int") - 1).alias("best"),
         F.aggregate(x["raw"], F.lit(0.0), lambda t, v: t + F.exp((v - F.array_max(x["raw"])) / model.temperature)).alias("total"))).alias("lines"))
     templates = F.array(*[F.array(*[F.array(*map(F.lit, sorted(set(_plain_words(t))))) for t in NOTICES.get(f, ("",))]) for f in model.families])
     names = F.array(*map(F.lit, model.families))
-    confirmed = lambda x: F.exists(F.element_at(templates, x["best"] + 1), lambda t: (
-        100 * F.size(F.array_intersect(t, x["words"])) >= MIN_SHARED * F.size(t)))
+    shared = lambda t, words: F.size(F.array_intersect(t, words))
+    template = lambda x: F.element_at(templates, x["best"] + 1)
+    confirmed = lambda x: F.exists(template(x), lambda t: 100 * shared(t, x["words"]) >= MIN_SHARED * F.size(t))
+    # A first line that adds no word of a confirmed template is not where the notice begins; paragraphs that begin with it go first.
+    begins = lambda x: F.exists(template(x), lambda t: (
+        (100 * shared(t, x["words"]) >= MIN_SHARED * F.size(t)) & (shared(t, x["words"]) > shared(t, x["rest"]))))
     judged = shares.select("doc_id", F.transform(F.filter("lines", lambda x: x["best"] > 0), lambda x: F.struct(
-        (1 / x["total"]).alias("probability"), (-x["no"]).alias("back"),
+        begins(x).alias("begins"), (1 / x["total"]).alias("probability"), (-x["no"]).alias("back"),
         F.when((1 / x["total"] >= MIN_PROBABILITY) & confirmed(x), F.element_at(names, x["best"] + 1)).alias("family"))).alias("lines"))
     found = F.filter("lines", lambda x: x["family"].isNotNull())
     best = judged.select("doc_id", found.alias("sure"), F.array_max(found).alias("top"), F.coalesce(F.size("lines") > 0, F.lit(False)).alias("some"))
