@@ -79,11 +79,16 @@ def leaf_budgets(leaves: DataFrame, weights: Mapping[str, Mapping[str, float]],
         pairs = [x for k, v in sorted(given.items()) for x in (F.lit(k), F.lit(float(v)))]
         return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(level)), F.lit(1.0)) if pairs else F.lit(1.0)
 
+    # What gets nothing by a weight on its way down holds nothing for the levels above either.
+    given = F.lit(True)
+    for level in LEVELS:
+        given = given & (weight(level) > 0)
+    room = F.when(given, F.col("tokens")).otherwise(0) * F.lit(float(max_epochs))
     total = leaves.groupBy("_root").agg(F.sum("tokens").alias("tokens"))
     budgets = total.select("_root", F.least(budget.cast("double"), F.col("tokens") * F.lit(float(max_epochs))).alias("budget"))
     for depth, level in enumerate(LEVELS):
         parent = ["_root", *LEVELS[:depth]]
-        nodes = leaves.groupBy(*parent, level).agg((F.sum("tokens") * F.lit(float(max_epochs))).alias("capacity"))
+        nodes = leaves.groupBy(*parent, level).agg(F.sum(room).alias("capacity"))
         budgets = shared_out(nodes.withColumn("weight", weight(level)), budgets, parent, level).select(*parent, level, "budget")
     return leaves.drop("_root").join(budgets.drop("_root"), list(LEVELS))
 
