@@ -1,14 +1,19 @@
 """Operators and their parts against brute force, on small fixtures."""
 
 import datetime
+import os
 import random
+import subprocess
+import sys
+import time
 
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_tree, budgets, count_vectors, feistel, induced, licences, pivots, repetition, rule_ensemble, url_rules
+from tidemark.llm import bpe_tree, budgets, count_vectors, feistel, induced, licences, pivots, repetition, rule_ensemble, url_rules, words
 from tidemark.llm.components import components
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -467,3 +472,71 @@ def test_components_of_chains(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 100), (7, 7), (200, 201), (200, 202), (202, 203)]
     got = {r["key"]: r["component"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {**{k: 0 for k in range(41)}, 100: 100, 101: 100, 200: 200, 201: 200, 202: 200, 203: 200}
+
+
+# -- words ----------------------------------------------------------------------------------------------------------
+
+
+def thue_morse(k):
+    a, b = "a", "b"
+    for _ in range(k):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_long_words_of_the_same_letters_differ(spark):
+    a, b = thue_morse(10)
+    rows = [(1, f"x y {a} z"), (2, f"x y {b} z"), (3, a), (4, b), (5, f"x y {a} z x y {b} z")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["doc_id"]: r["component_id"] for r in count_vectors.near_duplicates(docs).collect()} == {k: k for k in range(1, 6)}
+    found = {r["doc_id"]: r for r in repetition.repetition(docs).collect()}
+    assert found[5]["n_repeat_words"] == 0 and found[5]["n_longest_repeat"] == 2
+
+
+def test_words_are_hashed_alike_in_any_place(monkeypatch):
+    r = random.Random(5)
+    texts = [prose(r, r.randint(0, 50)).encode() for _ in range(30)]
+    whole = words.Words(texts).hashes()
+    monkeypatch.setattr(words, "PIECE", 7)
+    monkeypatch.setattr(words, "KEPT", 3)
+    assert words.Words(texts).hashes().tolist() == whole.tolist() == [xxhash.xxh3_64_intdigest(w) for t in texts for w in t.split()]
+
+
+def test_measures_of_a_text_of_30_mb_stay_bounded():
+    """In a process of its own, whose peak is asserted."""
+    code = (
+        "import random, resource, sys; sys.path.insert(0, sys.argv[1])\n"
+        "from tidemark.llm import repetition\n"
+        "r = random.Random(1); some = [''.join(r.choices('abcdefgh', k=5)) for _ in range(50_000)]\n"
+        "text = ' '.join(r.choices(some, k=5_000_000)).encode(); del some\n"
+        "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+        "n = repetition.measure([text], 5)[0][0]\n"
+        "print(n, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)\n")
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    n, mb = map(int, subprocess.run([sys.executable, "-c", code, root], capture_output=True, text=True, check=True, timeout=300).stdout.split())
+    assert n == 5_000_000 and mb < 1000
+
+
+# -- digits of other scripts ----------------------------------------------------------------------------------------
+
+
+def test_pseudonyms_of_digits_of_any_script():
+    r = random.Random(7)
+    for text in ("4111111111111111٣", "+١٢٣ 456 555 2186", "٤١١١ 1111 1111 1111", "+१२ (३४५) 678 9012"):
+        feistel.pseudonymised(b"k", text)
+    for _ in range(3000):
+        text = "".join(r.choice("0123456789٣१²४ -+.()/:@aAB") for _ in range(r.randint(1, 60)))
+        new, n = feistel.pseudonymised(b"k", text)
+        shape = lambda t: [feistel.DIGITS if c in feistel.DIGITS else c for c in t]
+        assert n or new == text
+        if "@" not in text and ":" not in text and "." not in text:
+            assert [c for c in shape(new) if len(c) == 1 and not c.isascii()] == [c for c in shape(text) if len(c) == 1 and not c.isascii()]
+
+
+def test_long_runs_of_digit_groups_take_time_in_proportion():
+    began = time.process_time()
+    feistel.pseudonymised(b"k", "1 " * 5_000)
+    short = time.process_time() - began
+    began = time.process_time()
+    feistel.pseudonymised(b"k", "1 " * 20_000)
+    assert time.process_time() - began < 8 * short + 1

@@ -32,6 +32,8 @@ from tidemark.llm.words import blocks
 
 LONG_BYTES = 1 << 16
 PIECE_CHARS = 1 << 14
+#: Bytes of short texts that are encoded together.
+TOGETHER = 1 << 21
 #: Tokens that have to agree on each side of a join.
 AGREE = 3
 #: Words kept encoded by a Python worker.
@@ -236,7 +238,7 @@ def encode(docs: DataFrame, path: str, long_bytes: int = LONG_BYTES, piece_chars
         enc = encoder(path)
         for batch in batches:
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            for a, b in blocks(texts):
+            for a, b in blocks(texts, TOGETHER):
                 ids, decoded = zip(*enc.short(texts[a:b]), strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array([len(i) // 4 for i in ids], pa.int64()),

@@ -101,7 +101,7 @@ def card(key: bytes, text: str) -> str | None:
     if not 13 <= len(d) <= 19 or luhn_digit(d[:-1]) != d[-1] or len(set(d)) == 1:
         return None
     payload = d[0] + shuffle(key, "card", d[1:-1], [DIGITS] * (len(d) - 2))
-    return refill(text, payload + luhn_digit(payload), str.isdigit)
+    return refill(text, payload + luhn_digit(payload), DIGITS.__contains__)
 
 
 def iban_remainder(text: str) -> int:
@@ -114,7 +114,7 @@ def iban(key: bytes, text: str) -> str | None:
         return None
     account = shuffle(key, "iban", c[4:], classes(c[4:]))
     check = 98 - iban_remainder(account + c[:2] + "00")
-    return refill(text, f"{c[:2]}{check:02d}{account}", str.isalnum)
+    return refill(text, f"{c[:2]}{check:02d}{account}", lambda ch: ch != " ")
 
 
 #: Area numbers in use: 001 ... 899 without 666.
@@ -128,19 +128,19 @@ def social_security(key: bytes, text: str) -> str | None:
     x = (_AREAS.index(area) * 99 + group - 1) * 9999 + serial - 1
     x, serial = divmod(permuted(key, "ssn", len(_AREAS) * 99 * 9999, x), 9999)
     area, group = divmod(x, 99)
-    return refill(text, f"{_AREAS[area]:03d}{group + 1:02d}{serial + 1:04d}", str.isdigit)
+    return refill(text, f"{_AREAS[area]:03d}{group + 1:02d}{serial + 1:04d}", DIGITS.__contains__)
 
 
 def phone(key: bytes, text: str) -> str | None:
     d = digits_of(text)
     if not 8 <= len(d) <= 15:
         return None
-    country = re.match(r"\+(\d{1,3})[^\d]", text)
+    country = re.match(r"\+([0-9]{1,3})[^0-9]", text)
     keep = len(country[1]) if country else 0
     alphabets = [DIGITS] * (len(d) - keep)
     if len(alphabets) == 10 and d[keep] in "23456789" and d[keep + 3] in "23456789":  # an area code and an exchange
         alphabets[0] = alphabets[3] = "23456789"
-    return refill(text, d[:keep] + shuffle(key, "phone", d[keep:], alphabets), str.isdigit)
+    return refill(text, d[:keep] + shuffle(key, "phone", d[keep:], alphabets), DIGITS.__contains__)
 
 
 def ipv4(key: bytes, text: str) -> str | None:
@@ -165,7 +165,7 @@ DAYS = (datetime.date(2100, 1, 1) - FIRST_DAY).days
 
 def date(key: bytes, text: str) -> str | None:
     """Years 1900 to 2099; year first, or day and month first with the day before the month where both fit."""
-    numbers = re.findall(r"\d+", text)
+    numbers = re.findall(r"[0-9]+", text)
     order = (0, 1, 2) if len(numbers[0]) == 4 else (2, 1, 0)
     year, month, day = (int(numbers[k]) for k in order)
     if month > 12 and order[0] == 2:
@@ -174,7 +174,7 @@ def date(key: bytes, text: str) -> str | None:
         return None
     at = FIRST_DAY + datetime.timedelta(permuted(key, "date", DAYS, (datetime.date(year, month, day) - FIRST_DAY).days))
     new = dict(zip(order, (f"{at.year:04d}", f"{at.month:02d}", f"{at.day:02d}"), strict=True))
-    separators = re.findall(r"\D", text)
+    separators = re.findall(r"[^0-9]", text)
     return new[0] + separators[0] + new[1] + separators[1] + new[2]
 
 
@@ -198,13 +198,13 @@ KINDS: list[tuple[str, str, Callable[[bytes, str], str | None]]] = [
     ("secret", r"\b(?:AKIA|ASIA)(?P<v1>[0-9A-Z]{16})\b", secret),
     ("secret", r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key))\s{0,3}[=:]\s{0,3}[\"']?(?P<v2>[A-Za-z0-9_\-./+]{8,})",
      secret),
-    ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", iban),
-    ("date", r"(?<![\w.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}|\d{2}-\d{2}-\d{4})(?:(?![\w-])|(?=[Tt]\d{2}))", date),
-    ("ssn", r"(?<![\w-])\d{3}[- ]\d{2}[- ]\d{4}(?![\w-])", social_security),
-    ("ip", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)", ipv4),
-    ("card", r"(?:(?<![\w.-])|(?<=\d-))\d(?:[ -]?\d){12,18}(?![\w])", card),
-    ("phone", r"(?<![\w.])(?:\+\d{1,3}[ .-]?)(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)"
-              r"|(?<![\w.])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?!\w)", phone),
+    ("iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", iban),
+    ("date", r"(?<![\w.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}-[0-9]{2}-[0-9]{4})(?:(?![\w-])|(?=[Tt][0-9]{2}))", date),
+    ("ssn", r"(?<![\w-])[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![\w-])", social_security),
+    ("ip", r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])", ipv4),
+    ("card", r"(?:(?<![\w.-])|(?<=[0-9]-))[0-9](?:[ -]?[0-9]){12,18}(?![\w])", card),
+    ("phone", r"(?<![\w.])(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?!\w)"
+              r"|(?<![\w.])\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?!\w)|(?<![\w.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?!\w)", phone),
 ]
 _PATTERN = re.compile("|".join(f"(?P<k{i}>{p})" for i, (_, p, _) in enumerate(KINDS)))
 _MAY_HOLD = re.compile(r"[0-9@=:]")
@@ -213,7 +213,10 @@ _MAY_HOLD = re.compile(r"[0-9@=:]")
 _ONE = [re.compile(p) for _, p, _ in KINDS]
 _NAMES = [name for name, _, _ in KINDS]
 #: A word and the marks before it; digit groups that follow one another, more of them than a card and what follows it have.
-_FIRST, _RUN = re.compile(r"\W*\w+"), re.compile(r"\d+(?:[ -]\d+){0,24}(?!\w)")
+_FIRST, _RUN = re.compile(r"\W*\w+"), re.compile(r"[0-9]+(?:[ -][0-9]+){0,24}(?!\w)")
+_DIGIT_RUN = re.compile(r"[0-9]+")
+#: What a value other than the first of a run of digit groups begins with.
+_OPENS = re.compile(r"[0-9]{3}[- ][0-9]{2}[- ]|[0-9]{3}[-.]|[0-9]{1,2}[-/.]|[0-9]{4}")
 #: Digit groups as cards are written.
 _CARD_FORMS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 3, 3, 3), (4, 4, 4, 4, 3), (6, 13), *((n,) for n in range(13, 20))}
 
@@ -224,13 +227,13 @@ def pseudonym(key: bytes, i: int, value: str) -> str | None:
 
 
 def _groups(text: str, start: int, end: int) -> list[tuple[int, int]]:
-    return [m.span() for m in re.compile(r"\d+").finditer(text, start, end)]
+    return [m.span() for m in _DIGIT_RUN.finditer(text, start, end)]
 
 
 def _before_others(key: bytes, text: str, groups: list[tuple[int, int]], others: Sequence[str]) -> list[tuple[int, int]]:
     """``groups`` up to the first, other than the first of all, at which a value of one of ``others`` begins."""
     for n, (a, _) in enumerate(groups):
-        if n and text[a - 1] == " ":
+        if n and text[a - 1] == " " and _OPENS.match(text, a):
             for k, name in enumerate(_NAMES):
                 if name in others and (m := _ONE[k].match(text, a)):
                     spans = [m.span()] if name != "card" else [s for s, rank in _cards(text, a, m.end()) if s[0] == a and not rank]
@@ -244,21 +247,25 @@ def _cards(text: str, start: int, end: int, groups: list[tuple[int, int]] | None
     if groups is None:
         m = _RUN.match(text, start)
         groups = _groups(text, start, m.end() if m else end)
-    found = []
+    found, size = [], [b - a for a, b in groups]
     for i, (a, _) in enumerate(groups):
-        total = 0
+        if a >= end:
+            break
+        if a != start and size[i] < 3:  # begins no card but the match itself
+            continue
+        total, short = 0, False
         for j in range(i, len(groups)):
-            total += groups[j][1] - groups[j][0]
-            if total > 19 or a >= end:
+            total += size[j]
+            if total > 19 or short and a != start:
                 break
-            if total >= 13:
-                form, b = tuple(y - x for x, y in groups[i:j + 1]), groups[j][1]
-                if form in _CARD_FORMS:
-                    found.append(((a, b), 0))
-                elif (a, b) == (start, end):
-                    found.append(((a, b), 1))
-                elif min(form[:-1]) >= 3:
-                    found.append(((a, b), 2))
+            b = groups[j][1]
+            if total >= 13 and not short and (form := tuple(size[i:j + 1])) in _CARD_FORMS:
+                found.append(((a, b), 0))
+            elif total >= 13 and (a, b) == (start, end):
+                found.append(((a, b), 1))
+            elif total >= 13 and not short:
+                found.append(((a, b), 2))
+            short |= size[j] < 3
     return sorted(found, key=lambda f: (f[1], f[0][0], -f[0][1]))
 
 

@@ -1,4 +1,4 @@
-"""Words of whole texts as arrays: a block of texts is hashed word by word without a Python loop over its words.
+"""Words of whole texts as arrays: a block of texts is split and hashed word by word, some words at a time.
 
 A word is a run of bytes other than ASCII white space (space, \\t, \\n, \\v, \\f, \\r) of the text's UTF-8 form.
 """
@@ -8,16 +8,17 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import xxhash
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_P = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
-_P_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_BYTES = np.random.RandomState(20).randint(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64)
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_P = np.uint64(0x9E3779B97F4A7C15)
 
-#: Bytes of text handled at once.
-BLOCK = 1 << 21
+#: Bytes of text handled at once, and words that are Python objects at once.
+BLOCK = 1 << 18
+PIECE = 1 << 15
+#: Hashes of different words that are kept.
+KEPT = 1 << 16
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -27,14 +28,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for i, base in enumerate((_P, _P_INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[i] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[0][:n], _powers[1][:n]
+class _Hashes(dict):
+    """The hash of each word asked for, kept for the next time."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KEPT:
+            self.clear()
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
 
 
 def blocks(texts: Sequence[bytes], size: int = BLOCK) -> Iterator[tuple[int, int]]:
@@ -65,10 +66,17 @@ class Words:
         self.count = np.bincount(self.doc, minlength=self.n_docs)
         self.first = np.concatenate(([0], np.cumsum(self.count)))  # of each text, its first word
 
+    def pieces(self) -> Iterator[tuple[int, int, list[bytes]]]:
+        """(first, end, words) of some words at a time."""
+        for a in range(0, len(self.start), PIECE):
+            b = min(a + PIECE, len(self.start))
+            yield a, b, self.data[self.start[a]:self.end[b - 1]].tobytes().split()
+
     def hashes(self) -> np.ndarray:
-        power, inverse = _power_tables(len(self.data))
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTES[self.data] * power, dtype=np.uint64)))
-        return mix((sums[self.end] - sums[self.start]) * inverse[self.start])
+        out, kept = np.empty(len(self.start), np.uint64), _Hashes()
+        for a, b, words in self.pieces():
+            out[a:b] = np.fromiter(map(kept.__getitem__, words), np.uint64, b - a)
+        return out
 
 
 def windows(hashes: np.ndarray, n: int) -> np.ndarray:
