@@ -150,15 +150,15 @@ def _best(query: np.ndarray, score: np.ndarray, vec_id: np.ndarray, most: int) -
     return query[keep], score[keep], vec_id[keep]
 
 
-def _packed(query: np.ndarray, score: np.ndarray, vec_id: np.ndarray) -> pd.DataFrame:
+def _packed(query: np.ndarray, score: np.ndarray, vec_id: np.ndarray) -> pa.Table:
     """One row for each query, which are next to each other."""
     first = np.concatenate(([0], np.flatnonzero(query[1:] != query[:-1]) + 1)) if len(query) else np.zeros(0, np.int64)
-    cuts = first[1:]
-    return pd.DataFrame({"query": query[first], "scores": np.split(score, cuts) if len(first) else [],
-                         "ids": np.split(vec_id, cuts) if len(first) else []})
+    ends = pa.array(np.append(first, len(query)), pa.int32())
+    lists = [pa.ListArray.from_arrays(ends, pa.array(c, kind)) for c, kind in ((score, pa.float64()), (vec_id, pa.int64()))]
+    return pa.table([pa.array(query[first], pa.int64()), *lists], names=["query", "scores", "ids"])
 
 
-def cell_best(cell: pd.DataFrame, m: int, most: int) -> Iterator[pd.DataFrame]:
+def cell_best(cell: pd.DataFrame, m: int, most: int) -> Iterator[pa.Table]:
     """Of each query of a cell its best rows there. Queries have ``radius``; the cell is that of substring ``part``."""
     part = int(cell["part"].iloc[0])
     asks = cell["radius"].notna().to_numpy()
@@ -299,9 +299,7 @@ class Index:
 
         def best(table: pa.Table) -> pa.Table:
             found = [f for _, group in table.to_pandas().groupby(cell, sort=False) for f in cell_best(group, m, self_most)]
-            whole = pd.concat(found) if found else _packed(*(np.zeros(0, np.int64),) * 3)
-            return pa.Table.from_pandas(whole, schema=pa.schema(
-                [("query", pa.int64()), ("scores", pa.list_(pa.float64())), ("ids", pa.list_(pa.int64()))]), preserve_index=False)
+            return pa.concat_tables(found) if found else _packed(*(np.zeros(0, np.int64),) * 3)
 
         self_most = self.most
         return merge(met.withColumn("_bucket", bucket).groupBy("_bucket").applyInArrow(best, FOUND), self.most, self.spark)
@@ -316,7 +314,7 @@ def merge(found: DataFrame, most: int, spark: SparkSession) -> DataFrame:
         many = np.diff(table["scores"].combine_chunks().offsets.to_numpy())
         query, score, ids = (np.repeat(table["query"].to_numpy(), many), table["scores"].combine_chunks().flatten().to_numpy(),
                              table["ids"].combine_chunks().flatten().to_numpy())
-        return pa.Table.from_pandas(_packed(*_best(query, score, ids, most)), schema=table.schema.remove(0), preserve_index=False)
+        return _packed(*_best(query, score, ids, most))
 
     bucket = F.pmod(F.xxhash64("query"), F.lit(count // BUCKET + 1)).alias("_bucket")
     return staged(spark, found.select(bucket, "*").groupBy("_bucket").applyInArrow(best, FOUND), "best")
