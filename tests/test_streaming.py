@@ -207,3 +207,154 @@ def test_dropped_dimensions_are_gone_on_read(spark):
         jobs.dim_sync(spark.readStream.text(f"{base}/topic"), lambda upto=upto: config.filter(f"ts_ms <= {upto}"), "shop", f"{base}/out", f"{base}/checkpoint")
     read = lambda upto: {r["row_key"] for r in jobs.read_dims(spark, f"{base}/out", config.filter(f"ts_ms <= {upto}")).collect()}
     assert (read(1), read(20), read(40)) == ({"1", "2"}, {"2"}, set())
+
+
+def table_stream(spark, rows, schema):
+    """Rows as a file stream that can grow: (stream, function that adds rows)."""
+    path = new_path(spark, "growing")
+    add = lambda more: spark.createDataFrame(more, schema).write.mode("append").parquet(path)
+    add(rows)
+    return spark.readStream.schema(schema).parquet(path), add
+
+
+def envelope(table, ts, **after):
+    return (None, {k: str(v) for k, v in after.items()}, {"db": "shop", "table": table}, "r", ts)
+
+
+LOG = "before map<string,string>, after map<string,string>, source map<string,string>, op string, ts_ms bigint"
+
+
+def test_order_detail_gives_nulls_on_the_watermark_and_corrects_them(spark):
+    """A line without activity goes out once the watermark has passed it; the activity that comes after that is put right on reading."""
+    base = new_path(spark, "fact")
+    line = lambda k, ts: envelope("order_detail", ts, id=f"l{k}", order_id="o", sku_id="s", create_time=ts, sku_num=1, order_price="2.5")
+    side = lambda k, ts: envelope("order_detail_activity", ts, order_detail_id=f"l{k}", activity_id="A", activity_rule_id="R")
+    ends = lambda ts: [envelope("order_info", ts, id="x", user_id="u"), envelope("order_detail", ts, id="x", order_id="none"),
+                       envelope("order_detail_activity", ts, order_detail_id="none"), envelope("order_detail_coupon", ts, order_detail_id="none")]
+    day = 86_400_000
+    slices = [[envelope("order_info", day, id="o", user_id="u1", province_id="7"), line(1, day + 1000), line(2, day + 2000), side(1, day + 1500)],
+              ends(day + 7_200_000),  # both lines are out of the joins from here on
+              [side(2, day + 8_000_000), *ends(day + 9_000_000)]]
+    seen = []
+    stream, add = None, None
+    for some in slices:
+        if stream is None:
+            stream, add = table_stream(spark, some, LOG)
+        else:
+            add(some)
+        jobs.run_order_detail(stream, f"{base}/out", f"{base}/checkpoint", tz="UTC")
+        try:
+            seen.append({(r["id"], r["user_id"], r["activity_id"], r["activity_rule_id"]) for r in jobs.read_order_detail(spark, f"{base}/out").collect()})
+        except Exception:  # nothing is written yet
+            seen.append(set())
+    assert seen[0] <= {("l1", "u1", "A", "R")}
+    assert seen[1] == {("l1", "u1", "A", "R"), ("l2", "u1", None, None)}
+    assert seen[2] == {("l1", "u1", "A", "R"), ("l2", "u1", "A", "R")}
+    assert len(jobs.read_order_detail(spark, f"{base}/out").columns) == 17
+
+
+def test_joined_rows_stay_and_idle_rows_go(spark):
+    """1,805 seconds after its last use a row is forgotten; being joined is use."""
+    at = lambda seconds: (seconds + 5_000) * 1_000
+    orders = [("a", "A", at(0)), ("b", "B", at(0)), ("z", "Z", at(9_000)), ("z", "Z", at(19_000))]
+    lines = [("a", 1, at(1_805)), ("a", 2, at(3_610)), ("a", 3, at(5_416)), ("b", 4, at(1_806)), ("z", 5, at(9_001)), ("z", 6, at(19_000))]
+    left, _ = table_stream(spark, orders, "k string, name string, a bigint")
+    right, _ = table_stream(spark, lines, "k string, nr bigint, b bigint")
+    base = new_path(spark, "idle")
+    progress = jobs.append_to(stateful.idle_join(left, right, "k", "a", "b", 1_805_000), f"{base}/out", f"{base}/checkpoint")
+    rows = {(r["name"], r["nr"]) for r in spark.read.parquet(f"{base}/out").collect()}
+    assert rows == {("A", 1), ("A", 2), ("Z", 5), ("Z", 6)}
+    held = jobs.state_rows(progress)
+    assert max(held) > held[-1]
+
+
+def test_idle_join_over_batches_equals_one_batch(spark):
+    rows = spark.range(600).select((F.col("id") % 20).cast("string").alias("k"), (F.col("id") % 3).alias("side"), F.col("id").alias("nr"),
+                                   F.pmod(F.col("id") * 7919, F.lit(100_000)).alias("ts"))
+
+    def join(s):
+        one = s.filter("side = 0").select("k", F.col("nr").alias("a"), F.col("ts").alias("a_ms"))
+        other = s.filter("side > 0").select("k", F.col("nr").alias("b"), F.col("ts").alias("b_ms"))
+        return stateful.idle_join(one, other, "k", "a_ms", "b_ms", 3_000)
+
+    found = [bag(run(spark, join(in_batches(spark, rows, "ts", n)))) for n in (1, 4)]
+    want, live = [], {}
+    for r in sorted(rows.collect(), key=lambda r: (r["ts"], min(r["side"], 1), r["nr"])):
+        side = min(r["side"], 1)
+        for e in live.get((r["k"], 1 - side), []):
+            if r["ts"] - e[0] <= 3_000:
+                e[0] = r["ts"]
+                a, b = (r, e[1]) if side == 0 else (e[1], r)
+                want.append((a["nr"], a["ts"], b["nr"], b["ts"], r["k"]))
+        live.setdefault((r["k"], side), []).append([r["ts"], r])
+    assert found[0] == found[1] == sorted(want, key=str) and want
+
+
+def test_repaired_split_writes_the_json_of_the_batch_job(spark, sf):
+    """All six outputs, text for text, over batches; texts that are no records, or have no device, pass."""
+    from tidemark.plans import jobs as batch
+
+    topic = T.raw_log(spark, sf, None, F.col("ts").alias("at"))
+    odd = spark.createDataFrame([('{"ts": 5}', 1_704_100_000_000), ("[1]", 1_704_100_000_001), ('{"common": {"mid": null, "is_new": "1"}, "ts": 7}', 1_704_100_000_002),
+                                 ("", 1_704_100_000_003)], "value string, at bigint")
+    topic = topic.unionByName(odd)
+    base = new_path(spark, "split")
+    jobs.split_repaired_log(in_batches(spark, topic, "at").select("value"), f"{base}/out", f"{base}/checkpoint", offset=0)
+    got = bag(spark.read.parquet(f"{base}/out").select("output", "value"))
+    assert got == bag(batch.dwd_base_log_outputs(topic.select("value"), "UTC").select("output", "value"))
+    assert {o for o, _ in got} == {"dirty", "err", "start", "display", "action", "page"}
+
+
+def test_windows_follow_the_time_of_the_source(spark):
+    """Payloads of one hour that the source took in two others."""
+    text = lambda word: f'{{"page": {{"last_page_id": "search", "item_type": "keyword", "item": "{word}"}}, "ts": 1000}}'
+    rows = [(text("red"), 5), (text("red"), 6), (text("blue"), 3_600_005), (text("end"), 90_000_000)]
+    path = new_path(spark, "taken")
+    spark.createDataFrame(rows, "value string, ms bigint").select("value", F.timestamp_millis("ms").alias("timestamp")).write.parquet(path)
+    out = run(spark, jobs.keyword_counts_by_source(cdc.landed_topic(spark, path, streaming=True), "1 hour", tz="UTC"))
+    assert {(r["stt"], r["keyword"], r["keyword_count"]) for r in out.collect()} == {
+        ("1970-01-01 00:00:00", "red", 2), ("1970-01-01 01:00:00", "blue", 1)}
+
+
+def test_text_files_have_the_time_they_were_written(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("one\ntwo\n")
+    import os
+
+    os.utime(tmp_path / "a.txt", (1_000_000, 1_000_000))
+    rows = cdc.landed_texts(spark, str(tmp_path)).select("value", F.unix_seconds("timestamp")).collect()
+    assert sorted(map(tuple, rows)) == [("one", 1_000_000), ("two", 1_000_000)]
+
+
+def test_landing_a_batch_twice_changes_nothing(spark, sf):
+    path, target = new_path(spark, "landed"), new_path(spark, "landed-compact")
+    values = cdc.to_values(T.change_log(spark, sf, "order_info", "cart_info"))
+    for batch_id in (0, 1, 1):
+        jobs.land_changes(values.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == batch_id), path, batch_id, "one")
+    cdc.compact_landed(spark, path, target)
+    want = bag(cdc.parse_envelopes(values).select(F.to_json(F.struct("*")).alias("v")))
+    for place in (path, target):
+        assert bag(cdc.landed_changes(spark, place).select(F.to_json(F.struct("*")).alias("v"))) == want
+
+
+def test_late_rows_are_counted(spark):
+    rows = spark.createDataFrame([(0, 1_000), (1, 100_000), (2, 100_500), (3, 2_000), (4, 3_000), (5, 200_000)], "batch bigint, ts bigint")
+    timed = cdc.with_event_time(in_batches(spark, rows, "batch", 6), "ts", "3 seconds")
+    base = new_path(spark, "late")
+    progress = jobs.append_to(timed.groupBy(F.window("et", "10 seconds")).count().select("count"), f"{base}/out", f"{base}/checkpoint")
+    assert jobs.late_rows(progress) == 2
+
+
+def test_a_hot_key_is_held_by_slices(spark, one_key, monkeypatch):
+    """No more rows than those of one slice are in a list at once."""
+    rows = one_key.select("k", "ts", "v")
+    most = rows.groupBy(F.floor(F.col("ts") / stateful.SLICE_MS)).count().agg(F.max("count")).first()[0]
+
+    class Watched(stateful.StrictlyNewer):
+        def _take(self, part):
+            found = super()._take(part)
+            assert len(found) <= most, len(found)
+            return found
+
+    monkeypatch.setattr(stateful, "StrictlyNewer", Watched)
+    out = run(spark, stateful.strictly_newer(in_batches(spark, rows, "ts", 2), "k", "v", "ts"))
+    assert bag(out) == bag(keyed.strictly_newer(rows, "k", "v", "ts")) and most < 1_000

@@ -21,8 +21,8 @@ def is_json_object(value: Column) -> Column:
     return F.coalesce(parsed.isNotNull() & F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
 
 
-def checked_log(values: DataFrame) -> DataFrame:
-    """Each text with its record ``_r`` and whether it is ``_clean``; null payloads are left out.
+def checked_log(values: DataFrame, *keep: str | Column) -> DataFrame:
+    """Each text with its record ``_r`` and whether it is ``_clean``; null payloads are left out. ``keep`` are further columns.
 
     The record parser marks what it could not read. Only those texts are parsed a second time, to keep the
     ones that are JSON objects all the same but hold a field of another type.
@@ -32,14 +32,14 @@ def checked_log(values: DataFrame) -> DataFrame:
     read = F.col(f"_r.{CORRUPT}").isNull() & F.ltrim("value").startswith("{")
     return (
         values.filter(F.col("value").isNotNull())
-        .select("value", record.alias("_r"))
+        .select("value", record.alias("_r"), *keep)
         .withColumn("_clean", F.when(read, F.lit(True)).otherwise(is_json_object(F.col("value"))))
     )
 
 
-def _records(checked: DataFrame) -> DataFrame:
+def _records(checked: DataFrame, *keep: str) -> DataFrame:
     # As a generator, not a filter: a filter would be pushed below the parsing and parse every text again.
-    record = F.struct(*[F.col(f"_r.{f.name}").alias(f.name) for f in APP_LOG.fields])
+    record = F.struct(*[F.col(f"_r.{f.name}").alias(f.name) for f in APP_LOG.fields], *keep)
     return checked.select(F.inline(F.when(F.col("_clean"), F.array(record))))
 
 
@@ -48,9 +48,9 @@ def dirty_rows(values: DataFrame) -> DataFrame:
     return checked_log(values).filter("NOT _clean").select("value")
 
 
-def parsed_log(values: DataFrame) -> DataFrame:
-    """Log records of the clean texts."""
-    return _records(checked_log(values))
+def parsed_log(values: DataFrame, *keep: str) -> DataFrame:
+    """Log records of the clean texts, with further columns of ``values``."""
+    return _records(checked_log(values, *keep), *keep)
 
 
 def with_common(log: DataFrame, name: str, value: Column) -> DataFrame:
@@ -158,6 +158,19 @@ def tagged_texts(checked: DataFrame) -> DataFrame:
     return checked.select(F.when(F.col("_clean"), _log_outputs("_r.")).otherwise(dirty).alias("_o")).select(F.inline("_o"))
 
 
+def claims(checked: DataFrame) -> DataFrame:
+    """Of each text of ``checked_log`` what its repair needs: (mid, ts, is_new, value); a dirty text has only its value."""
+    clean = lambda c: F.when(F.col("_clean"), F.col(c))
+    return checked.select(clean("_r.common.mid").alias("mid"), clean("_r.ts").alias("ts"), clean("_r.common.is_new").alias("is_new"), "value")
+
+
+def repaired_texts(claimed: DataFrame) -> DataFrame:
+    """All six outputs of ``claims`` whose ``is_new`` is repaired."""
+    checked = checked_log(claimed, F.col("is_new").alias("_is_new"))
+    common = F.when(F.col("_r.common").isNotNull(), F.col("_r.common").withField("is_new", F.col("_is_new")))
+    return tagged_texts(checked.withColumn("_r", F.col("_r").withField("common", common)))
+
+
 # -- filters and projections --------------------------------------------------------------------------
 
 def on_pages(log: DataFrame, *page_ids: str) -> DataFrame:
@@ -170,11 +183,11 @@ def logins(log: DataFrame) -> DataFrame:
     return log.filter(~S.is_empty(F.col("common.uid")) & last.isin("login", ""))
 
 
-def searches(log: DataFrame) -> DataFrame:
-    """Search texts: (fullword, ts)."""
+def searches(log: DataFrame, time: str = "ts") -> DataFrame:
+    """Search texts: (fullword, ts), or with another column of time."""
     return log.filter(
         (F.col("page.last_page_id") == "search") & (F.col("page.item_type") == "keyword") & F.col("page.item").isNotNull()
-    ).select(F.col("page.item").alias("fullword"), "ts")
+    ).select(F.col("page.item").alias("fullword"), time)
 
 
 def device_and_search(log: DataFrame) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.functions import scalars as S
 from tidemark.operators import changelog as C
@@ -11,7 +14,8 @@ from tidemark.operators import logs as L
 from tidemark.operators import windows
 from tidemark.plans import standins as T
 from tidemark.plans.catalog.changes import _CELLS, _DIM_ROWS, _MERGED
-from tidemark.plans.catalog.job_queries import _KEPT
+from tidemark.plans.catalog.fact_queries import FACT, FACT_NEEDS
+from tidemark.plans.catalog.job_queries import _FIXED, _KEPT
 from tidemark.plans.catalog.log_queries import DEVICE_SQL
 from tidemark.plans.catalog.window_queries import (
     DAY, HOME_DETAIL_SQL, LOGIN_DAYS, LOGIN_SQL, RUNNING_ORDER, TRAFFIC_SQL, VERSIONS, line_versions, running_sql,
@@ -36,21 +40,38 @@ def log_stream(spark: SparkSession, sf: str) -> DataFrame:
     return T.app_log(spark, sf, stream(spark, sf, "events"))
 
 
-def replayed(spark: SparkSession, rows: DataFrame, ms: str, later: Column | None = None, n: int = 4) -> DataFrame:
-    """``rows`` as a stream of ``n`` files in order of time, each its own batch.
+def in_slices(
+    spark: SparkSession, rows: DataFrame, ms: str, run: Callable[[DataFrame], object], later: Column | DataFrame | None = None, n: int = 3,
+    read: Callable[[str], DataFrame] | None = None,
+) -> None:
+    """``rows`` land in ``n`` slices of time, one after the other, each in as many files as it has parts; ``run`` is called with the stream
+    of what has landed once for each, and goes on where it stopped.
 
-    With ``later`` the last file also holds a copy of a row that fits it, far later than all others: it moves the watermark past
-    open windows, as the next day's rows would, and its own window is still open when the input ends.
+    With ``later`` the last slice also holds a copy of a row that fits it (or rows given), far later than all others: it moves the watermark
+    past open windows, as the next day's rows would, and its own window is still open when the input ends.
     """
-    path = new_path(spark, "replay")
+    cut, live = new_path(spark, "slices"), new_path(spark, "replay")
     low, high = rows.agg(F.min(ms), F.max(ms)).first()
-    part = F.least(F.floor((F.col(ms) - low) * n / (high - low + 1)), F.lit(n - 1))
+    part = F.least(F.floor((F.col(ms) - low) * n / (high - low + 1)), F.lit(n - 1)).cast("int")
+    rows.withColumn("_slice", part).write.partitionBy("_slice").parquet(cut)
+    slices = spark.read.schema(StructType([*rows.schema.fields, StructField("_slice", IntegerType())])).parquet(cut)
     for k in range(n):
-        some = rows.filter(part == k)
+        some = slices.filter(F.col("_slice") == k).drop("_slice")
         if later is not None and k + 1 == n:
-            some = some.unionByName(rows.filter(later).limit(1).withColumn(ms, F.lit(high + 400 * DAY).cast("bigint")))
-        some.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+            end = later if isinstance(later, DataFrame) else rows.filter(later).limit(1).withColumn(ms, F.lit(high + 400 * DAY).cast("bigint"))
+            some = some.unionByName(end)
+        some.write.mode("append").parquet(live)
+        run(read(live) if read else spark.readStream.schema(rows.schema).parquet(live))
+
+
+def over_slices(
+    spark: SparkSession, rows: DataFrame, ms: str, transform: Callable[[DataFrame], DataFrame], name: str, later: Column | DataFrame | None = None,
+    n: int = 3, read: Callable[[str], DataFrame] | None = None,
+) -> DataFrame:
+    """What ``transform`` gives for the stream of ``rows``, read when all slices are done."""
+    out, checkpoint = paths(spark, name)
+    in_slices(spark, rows, ms, lambda landed: jobs.append_to(transform(landed), out, checkpoint), later, n, read)
+    return spark.read.parquet(out)
 
 
 def paths(spark: SparkSession, name: str) -> tuple[str, str]:
@@ -107,6 +128,72 @@ def c11f_five_way_split_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).groupBy("output").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _written(outputs: DataFrame) -> DataFrame:
+    """What the JSON texts of the log outputs say."""
+    at = lambda *path: F.get_json_object("value", "$." + ".".join(path))
+    entry = lambda name, a, b: F.concat_ws("/", at(name, a), at(name, b))
+    kind = F.col("output")
+    detail = (F.when(kind == "dirty", F.col("value")).when(kind == "err", at("err", "error_code")).when(kind == "start", at("start", "loading_time"))
+              .when(kind == "display", entry("display", "item", "pos_id")).when(kind == "action", entry("action", "action_id", "item"))
+              .otherwise(at("page", "page_id")))
+    clean = lambda c: F.when(kind != "dirty", c)
+    return outputs.select("output", clean(at("common", "mid")).alias("mid"), clean(at("common", "is_new")).alias("is_new"),
+                          clean(at("ts")).cast("bigint").alias("ts"), detail.alias("detail"))
+
+
+@query("c11_repaired_split_stream", using("log", f=_FIXED, p="SELECT * FROM f WHERE NOT has_start",
+                                          e="SELECT *, unnest(range(1, entries + 1)) AS i FROM p WHERE entries > 0") + """
+SELECT 'dirty' AS output, NULL AS mid, NULL AS is_new, NULL AS ts, '{"ts": ' || ts AS detail FROM log WHERE ts % 89 <> 0 AND ts % 97 = 0
+UNION ALL SELECT 'err', mid, fixed, ts, CAST(event_id % 500 + 1000 AS VARCHAR) FROM f WHERE has_err
+UNION ALL SELECT 'start', mid, fixed, ts, CAST(event_id % 1000 AS VARCHAR) FROM f WHERE has_start
+UNION ALL SELECT 'display', mid, fixed, ts, (event_id % 100) || '/' || i FROM e
+UNION ALL SELECT 'action', mid, fixed, NULL, 'cart_add/' || i FROM e
+UNION ALL SELECT 'page', mid, fixed, ts, page_id FROM p""")
+def c11_repaired_split_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The log job as one stream: repaired first, then written to its six outputs, over slices of the raw topic."""
+    out, checkpoint = paths(spark, "repaired-split")
+    topic = T.raw_log(spark, sf, None, F.col("ts").alias("at"))
+    in_slices(spark, topic, "at", lambda s: jobs.split_repaired_log(s.select("value"), out, checkpoint, offset=0))
+    return _written(spark.read.parquet(out))
+
+
+@query("a5_source_time_stream", using("log", s="""
+  SELECT ts + 7200000 + ts % 3600000 AS at_ms, item FROM log WHERE last_page_id = 'search' AND item_type = 'keyword'""") + f"""
+SELECT {bounds('at_ms', HOUR)}, lower(item) AS keyword, count(*) AS keyword_count FROM s GROUP BY ALL""")
+def a5_source_time_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Search words in windows of the time at which the source took a record, hours after the time the record holds."""
+    log = T.app_log(spark, sf)
+    at = F.col("ts") + 7_200_000 + F.col("ts") % 3_600_000
+    records = log.select(F.to_json(F.struct(*log.columns)).alias("value"), F.timestamp_millis(at).alias("timestamp"), at.alias("at"))
+    search = F.get_json_object("value", "$.page.last_page_id") == "search"
+    end = records.filter(search).limit(1).withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 400 DAYS"))
+    return over_slices(spark, records, "at", lambda s: jobs.keyword_counts_by_source(s, "1 hour", tz="UTC"), "source-time", end,
+                       read=lambda path: cdc.landed_topic(spark, path, streaming=True))
+
+
+#: What tells the rows of a table apart, where it is not ``id``.
+_KEY_OF = {"order_detail_activity": "order_detail_id", "order_detail_coupon": "order_detail_id", "user_info_sup_msg": "uid", "payment_info": "order_id"}
+
+
+def _landed_sql(name: str) -> str:
+    op = "op" if name == "cart_info" else "'r'"
+    return (f"SELECT '{name}' AS name, {op} AS op, count(*) AS n, count(DISTINCT {_KEY_OF.get(name, 'id')}) AS n_keys, "
+            f"CAST(sum(ts_ms % 1000003) AS BIGINT) AS times FROM {name} GROUP BY ALL")
+
+
+@query("a2_land_by_table_stream", using(*T.SHOP, "cart_info") + " UNION ALL ".join(map(_landed_sql, (*T.SHOP, "cart_info"))))
+def a2_land_by_table_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """All eleven tables landed from slices of one topic, compacted, and read back by table."""
+    out, checkpoint = paths(spark, "land")
+    topic = T.change_log(spark, sf).select(F.to_json(F.struct("*")).alias("value"), "ts_ms")
+    in_slices(spark, topic, "ts_ms", lambda s: jobs.land_by_table(s.select("value"), out, checkpoint))
+    cdc.compact_landed(spark, out, f"{out}-compact")
+    name, after = F.col("source")["table"], F.col("after")
+    key = F.coalesce(*[F.when(name == table, after[column]) for table, column in _KEY_OF.items()], after["id"])
+    return cdc.landed_changes(spark, f"{out}-compact").groupBy(name.alias("name"), "op").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("n_keys"), F.sum(F.col("ts_ms") % 1_000_003).alias("times"))
+
+
 @query("b5_dim_merge_stream", using("active_config", all_rows=_DIM_ROWS, rows_=_KEPT, cells_=_CELLS) + _MERGED)
 def b5_dim_merge_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The change log as a text topic, routed batch by batch, and the dimensions read from its change folders."""
@@ -146,17 +233,43 @@ def d7_order_interval_stream(spark: SparkSession, sf: str) -> DataFrame:
     return finished(joined.drop("et"), spark, "order-interval")
 
 
-@query("d2_order_detail_stream", using("tag_order_info", "tag_order_detail") + """
-SELECT d.id, d.order_id, d.sku_id, o.user_id, strftime(make_timestamp(d.ts_ms * 1000), '%Y-%m-%d') AS date_id, d.ts_ms
-FROM tag_order_detail d JOIN tag_order_info o ON d.order_id = o.id""")
+def _marker(spark: SparkSession, ts_ms: int, *names: str) -> DataFrame:
+    """An envelope of each table at one time, of rows that nothing joins."""
+    rows = ", ".join(f"('{n}')" for n in names)
+    return spark.sql(f"""
+      SELECT CAST(NULL AS map<string,string>) AS before, map('id', 'later ' || t, 'order_id', 'none', 'order_detail_id', 'none') AS after,
+        map('db', 'shop', 'table', t) AS source, 'r' AS op, {ts_ms}L AS ts_ms FROM VALUES {rows} AS v(t)""")
+
+
+@query("d2_order_detail_stream", using(*FACT_NEEDS, **FACT) + "SELECT * FROM fact")
 def d2_order_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
-    orders = stream(spark, sf, "orders").select(
-        F.col("o_orderkey").cast("string").alias("id"), F.col("o_custkey").cast("string").alias("user_id"),
-        F.lit("0").alias("province_id"), T.tag_order_ms("o_orderkey").alias("ts_ms"))
-    details = T.lines_of(stream(spark, sf, "lineitem"), tag_month=True).select(
-        "id", "order_id", "sku_id", "create_time", "ts_ms")
-    joined = jobs.order_detail(details, orders, tz="UTC")
-    return finished(joined.select("id", "order_id", "sku_id", "user_id", "date_id", "ts_ms"), spark, "order-detail")
+    """The whole fact from four slices of the change log. In the test tables an order and its lines lie years apart."""
+    out, checkpoint = paths(spark, "order-detail")
+    later = _marker(spark, 2_000_000_000_000, *T.TRADE)
+    in_slices(spark, T.change_log(spark, sf, *T.TRADE), "ts_ms",
+              lambda log: jobs.run_order_detail(log, out, checkpoint, retention="2600 days", tz="UTC"), later, n=4)
+    return jobs.read_order_detail(spark, out)
+
+
+@query("g12_idle_join_stream", using("tag_order_info", "tag_order_detail", near="""
+  SELECT o.id AS order_id, o.user_id AS uid, d.id AS detail_id, o.ts_ms AS order_ms, d.ts_ms AS detail_ms
+  FROM tag_order_info o JOIN tag_order_detail d ON o.id = d.order_id""", after_="""
+  SELECT *, sum(pause) OVER (PARTITION BY order_id ORDER BY detail_ms RANGE UNBOUNDED PRECEDING) AS broken FROM (
+    SELECT *, CASE WHEN detail_ms - coalesce(max(detail_ms) OVER (PARTITION BY order_id ORDER BY detail_ms RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+      order_ms) > 45000 THEN 1 ELSE 0 END AS pause FROM near WHERE detail_ms >= order_ms)""") + """
+SELECT order_id, uid, detail_id, order_ms, detail_ms FROM near WHERE detail_ms < order_ms AND order_ms - detail_ms <= 45000
+UNION ALL SELECT order_id, uid, detail_id, order_ms, detail_ms FROM after_ WHERE broken = 0""")
+def g12_idle_join_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and lines that are remembered for 45 seconds after their last use: each line that joins keeps its order alive."""
+    rows = T.tag_change_log(spark, sf)
+    later = _marker(spark, T.MONTH_START_MS + 400 * DAY, "order_info", "order_detail")
+
+    def join(log: DataFrame) -> DataFrame:
+        orders = C.orders(log).select(F.col("id").alias("order_id"), F.col("user_id").alias("uid"), F.col("ts_ms").alias("order_ms"))
+        lines = C.order_details(log).select("order_id", F.col("id").alias("detail_id"), F.col("ts_ms").alias("detail_ms"))
+        return stateful.idle_join(orders, lines, "order_id", "order_ms", "detail_ms", 45_000)
+
+    return over_slices(spark, rows, "ts_ms", join, "idle", later)
 
 
 @query("f1_keyword_count_stream", using("log", k=f"""
@@ -166,7 +279,7 @@ def f1_keyword_count_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Windows are given out once the watermark has passed them."""
     log = T.app_log(spark, sf)
     search = (F.col("page.last_page_id") == "search") & (F.col("page.item_type") == "keyword")
-    return finished(jobs.keyword_counts(replayed(spark, log, "ts", search), "1 hour", tz="UTC"), spark, "keywords")
+    return over_slices(spark, log, "ts", lambda s: jobs.keyword_counts(s, "1 hour", tz="UTC"), "keywords", search)
 
 
 @query("f6_province_orders_stream", using("order_detail", "order_info", v=VERSIONS) + f"""
@@ -176,7 +289,7 @@ def f6_province_orders_stream(spark: SparkSession, sf: str) -> DataFrame:
     """All versions of the order lines, as the window before retraction sees them."""
     rows = line_versions(spark, sf).select("id", "order_id", "province_id", F.col("split_total_amount").cast("string").alias("split_total_amount"), "ts_ms")
     no_names = spark.createDataFrame([], "id string, name string")
-    out = finished(jobs.province_orders(replayed(spark, rows, "ts_ms", F.lit(True)), no_names, "1 day", tz="UTC"), spark, "province")
+    out = over_slices(spark, rows, "ts_ms", lambda s: jobs.province_orders(s, no_names, "1 day", tz="UTC"), "province", F.lit(True))
     return out.drop("province_name").withColumn("order_amount", F.col("order_amount").cast("double"))
 
 
@@ -185,7 +298,7 @@ def f3_home_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
     """First home and product-page visits of the day; the windows are summed when the result is read."""
     visits = L.on_pages(T.app_log(spark, sf), "home", "good_detail").select(
         F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"), "ts")
-    flagged = finished(stateful.flag_first_of_day(replayed(spark, visits, "ts"), ["mid", "page_id"], "first", offset=0), spark, "home")
+    flagged = over_slices(spark, visits, "ts", lambda s: stateful.flag_first_of_day(s, ["mid", "page_id"], "first", offset=0), "home")
     return windows.tumble(flagged.filter("first = 1"), F.timestamp_millis("ts"), "1 hour", [], [
         F.count_if(F.col("page_id") == "home").alias("home_uv_ct"),
         F.count_if(F.col("page_id") == "good_detail").alias("good_detail_uv_ct")], "UTC")
@@ -194,7 +307,7 @@ def f3_home_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
 @query("f4_login_users_stream", using("log", days_=LOGIN_DAYS) + LOGIN_SQL)
 def f4_login_users_stream(spark: SparkSession, sf: str) -> DataFrame:
     rows = L.logins(T.app_log(spark, sf)).select(F.col("common.uid").alias("uid"), "ts")
-    days = finished(stateful.login_days(replayed(spark, rows, "ts"), offset=0), spark, "login-users")
+    days = over_slices(spark, rows, "ts", lambda s: stateful.login_days(s, offset=0), "login-users")
     return windows.tumble(days, F.timestamp_millis("ts"), "1 hour", [], [
         F.sum("back").alias("back_ct"), F.sum("uu").alias("uu_ct")], "UTC")
 
@@ -206,20 +319,20 @@ SELECT mid, ts, CASE WHEN is_new = '1' AND ts // 86400000 <> stored THEN '0' ELS
 FROM log JOIN s USING (mid)""")
 def g1_is_new_repair_stream(spark: SparkSession, sf: str) -> DataFrame:
     rows = T.app_log(spark, sf).select(F.col("common.mid").alias("mid"), "ts", F.col("common.is_new").alias("is_new"))
-    return finished(stateful.repair_is_new(replayed(spark, rows, "ts"), offset=0), spark, "is-new")
+    return over_slices(spark, rows, "ts", lambda s: stateful.repair_is_new(s, offset=0), "is-new")
 
 
 @query("g2_first_visit_stream", using("log") + """
 SELECT mid, ts, CAST(row_number() OVER (PARTITION BY mid, ts // 86400000 ORDER BY ts) = 1 AS BIGINT) AS uv FROM log""")
 def g2_first_visit_stream(spark: SparkSession, sf: str) -> DataFrame:
     rows = T.app_log(spark, sf).select(F.col("common.mid").alias("mid"), "ts")
-    return finished(stateful.flag_first_of_day(replayed(spark, rows, "ts"), ["mid"], "uv", offset=0), spark, "first-visit")
+    return over_slices(spark, rows, "ts", lambda s: stateful.flag_first_of_day(s, ["mid"], "uv", offset=0), "first-visit")
 
 
 @query("g4_login_days_stream", using("log") + LOGIN_DAYS)
 def g4_login_days_stream(spark: SparkSession, sf: str) -> DataFrame:
     rows = L.logins(T.app_log(spark, sf)).select(F.col("common.uid").alias("uid"), "ts")
-    return finished(stateful.login_days(replayed(spark, rows, "ts"), offset=0), spark, "login-days")
+    return over_slices(spark, rows, "ts", lambda s: stateful.login_days(s, offset=0), "login-days")
 
 
 _CENTS = "SELECT id, CAST(round(CAST(split_total_amount AS DOUBLE) * 100) AS BIGINT) AS cents, ts_ms FROM order_detail"
@@ -231,7 +344,7 @@ def g5_retract_versions_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Per line what remains after all retractions, and how many records that took."""
     rows = T.lines(spark, sf).select(
         "id", F.round(F.col("split_total_amount").cast("double") * 100).cast("bigint").alias("cents"), "ts_ms")
-    out = finished(stateful.retract_versions(replayed(spark, rows, "ts_ms"), "id", "cents"), spark, "retract")
+    out = over_slices(spark, rows, "ts_ms", lambda s: stateful.retract_versions(s, "id", "cents"), "retract")
     return out.groupBy("id").agg(F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("n"))
 
 
@@ -242,16 +355,16 @@ def g6_latest_after_wait_stream(spark: SparkSession, sf: str) -> DataFrame:
     rows = T.lines(spark, sf).select("id", "sku_id", "split_total_amount", "ts_ms")
     later = spark.range(1).select(F.lit("later").alias("id"), F.lit("0").alias("sku_id"), F.lit("0").alias("split_total_amount"),
                                   F.lit(4_000_000_000_000).cast("bigint").alias("ts_ms"))
-    return finished(stateful.latest_after_wait(replayed(spark, rows.unionByName(later), "ts_ms", n=1), "id", 5_000), spark, "latest")
+    return over_slices(spark, rows, "ts_ms", lambda s: stateful.latest_after_wait(s, "id", 5_000), "latest", later, n=1)
 
 
 @query("g7_first_cart_add_stream", using("cart_info") + """
-SELECT DISTINCT user_id, strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d') AS day FROM cart_info""")
+SELECT DISTINCT user_id, strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d') AS day FROM cart_info WHERE op <> 'u' OR sku_num > old_num""")
 def g7_first_cart_add_stream(spark: SparkSession, sf: str) -> DataFrame:
-    rows = stream(spark, sf, "events").filter("event_type = 'purchase'").select(
-        F.col("user_id").cast("string").alias("user_id"), F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"))
-    firsts = jobs.first_of_day(rows, ["user_id"], "ts_ms", "UTC")
-    return finished(firsts, spark, "cart-first").select("user_id", S.ms_to_date(F.col("ts_ms"), "UTC").alias("day"))
+    """Cart additions as the batch form selects them, from slices of the cart's change log."""
+    firsts = lambda log: jobs.first_of_day(C.cart_adds(log).select("user_id", "ts_ms"), ["user_id"], "ts_ms", "UTC")
+    out = over_slices(spark, T.cart_envelopes(spark, sf), "ts_ms", firsts, "cart-first")
+    return out.select("user_id", S.ms_to_date(F.col("ts_ms"), "UTC").alias("day"))
 
 
 @query("g8_whole_record_dedup_stream", using("log") + f"SELECT DISTINCT * FROM ({DEVICE_SQL})")
@@ -266,19 +379,19 @@ SELECT uid, ts, during_time FROM (
   FROM log) WHERE m IS NULL OR during_time > m""")
 def g10_strictly_newer_stream(spark: SparkSession, sf: str) -> DataFrame:
     rows = T.app_log(spark, sf).select(F.col("common.uid").alias("uid"), "ts", "page.during_time")
-    return finished(stateful.strictly_newer(replayed(spark, rows, "ts"), "uid", "during_time", "ts"), spark, "newer")
+    return over_slices(spark, rows, "ts", lambda s: stateful.strictly_newer(s, "uid", "during_time", "ts"), "newer")
 
 
 @query("f9_running_profile_stream", using("log", d=DEVICE_SQL) + running_sql(RUNNING_ORDER, "d"))
 def f9_running_profile_stream(spark: SparkSession, sf: str) -> DataFrame:
     rows = L.device_and_search(T.app_log(spark, sf))
-    return finished(stateful.running_profile(replayed(spark, rows, "ts"), ["os", "ch", "md", "ba", "search_item"]), spark, "profile")
+    return over_slices(spark, rows, "ts", lambda s: stateful.running_profile(s, ["os", "ch", "md", "ba", "search_item"]), "profile")
 
 
 @query("f2_traffic_stream", using("log") + TRAFFIC_SQL)
 def f2_traffic_stream(spark: SparkSession, sf: str) -> DataFrame:
     """First visits are flagged and stored by the stream; the windows are summed when the result is read."""
-    flagged = finished(jobs.first_visits(replayed(spark, T.app_log(spark, sf), "ts"), offset=0), spark, "traffic")
+    flagged = over_slices(spark, T.app_log(spark, sf), "ts", lambda s: jobs.first_visits(s, offset=0), "traffic")
     return jobs.traffic_windows(flagged, "1 hour", "UTC")
 
 
@@ -289,13 +402,15 @@ def g14_watermark_stream(spark: SparkSession, sf: str) -> DataFrame:
     rows = T.app_log(spark, sf).select("ts")
     first, last = rows.agg(F.min("ts"), F.max("ts")).first()
     path = new_path(spark, "late")
+    out, checkpoint = paths(spark, "late")
     end = spark.range(1).select(F.lit(last + 400 * DAY).cast("bigint").alias("ts"))
     # A batch is checked against the watermark of the one before, so a batch without rows of its own comes between.
     for part in (rows.filter(F.col("ts") < last - DAY), rows.filter(F.col("ts") >= last - DAY).unionByName(end), end,
                  rows.filter(F.col("ts") < first + DAY).unionByName(end)):
-        part.coalesce(1).write.mode("append").parquet(path)
-    timed = cdc.with_event_time(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path), "ts", "3 seconds")
-    return finished(windows.tumble(timed, F.col("et"), "1 hour", [], [F.count(F.lit(1)).alias("n")], "UTC"), spark, "late")
+        part.write.mode("append").parquet(path)
+        timed = cdc.with_event_time(spark.readStream.schema(rows.schema).parquet(path), "ts", "3 seconds")
+        jobs.append_to(windows.tumble(timed, F.col("et"), "1 hour", [], [F.count(F.lit(1)).alias("n")], "UTC"), out, checkpoint)
+    return spark.read.parquet(out)
 
 
 @query("d12_chained_interval_stream", using("log", "tag_order_info", "user_info") + """

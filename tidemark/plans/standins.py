@@ -296,13 +296,13 @@ def app_log(spark: SparkSession, sf: str, events: DataFrame | None = None) -> Da
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in APP_LOG.fields])
 
 
-def raw_log(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
-    """The log as JSON lines. At a multiple of 89 milliseconds the payload is null, at one of 97 it is cut off."""
+def raw_log(spark: SparkSession, sf: str, events: DataFrame | None = None, *more: Column) -> DataFrame:
+    """The log as JSON lines, with further columns of its records. At a multiple of 89 milliseconds the payload is null, at one of 97 it is cut off."""
     log = app_log(spark, sf, events)
     text = F.to_json(F.struct(*[f.name for f in APP_LOG.fields]))
     broken = F.pmod(F.col("ts"), F.lit(97)) == 0
     gone = F.pmod(F.col("ts"), F.lit(89)) == 0
-    return log.select(F.when(gone, F.lit(None).cast("string")).when(broken, F.concat(F.lit("{\"ts\": "), _text("ts"))).otherwise(text).alias("value"))
+    return log.select(F.when(gone, F.lit(None).cast("string")).when(broken, F.concat(F.lit("{\"ts\": "), _text("ts"))).otherwise(text).alias("value"), *more)
 
 
 @once

@@ -55,20 +55,34 @@ def parse_envelopes(values: DataFrame) -> DataFrame:
     return values.select(F.from_json("value", ENVELOPE).alias("_e")).select("_e.*")
 
 
-def land_changes(values: DataFrame, path: str) -> None:
-    """A topic of envelopes parsed once and stored by source database and table."""
+def by_table(values: DataFrame) -> DataFrame:
+    """A topic of envelopes parsed once, with the source database and table of each as columns."""
     source = F.col("source")
-    parse_envelopes(values).select("before", "after", "op", "ts_ms", source["db"].alias("source_db"), source["table"].alias("source_table")) \
-        .write.mode("append").partitionBy("source_db", "source_table").parquet(path)
+    return parse_envelopes(values).select(
+        "before", "after", "op", "ts_ms", source["db"].alias("source_db"), source["table"].alias("source_table"))
+
+
+def land_changes(values: DataFrame, path: str, batch_id: int = 0, run: str = "batch") -> None:
+    """A topic of envelopes stored by source database and table. A batch that is written twice replaces itself, and nothing of others."""
+    by_table(values).write.mode("overwrite").partitionBy("source_db", "source_table").parquet(f"{path}/run={run}/batch_id={batch_id}")
+
+
+_LANDED = f"before {_TEXT_MAP}, after {_TEXT_MAP}, op string, ts_ms bigint, run string, batch_id bigint, source_db string, source_table string"
 
 
 def landed_changes(spark: SparkSession, path: str) -> DataFrame:
     """The envelopes behind ``land_changes``. Selecting a table reads its folders only, and parses nothing."""
-    schema = f"before {_TEXT_MAP}, after {_TEXT_MAP}, op string, ts_ms bigint, source_db string, source_table string"
-    rows = spark.read.schema(schema).parquet(path)
+    rows = spark.read.schema(_LANDED).option("basePath", path).parquet(path)
     return rows.select("before", "after", F.create_map(F.lit("db"), F.col("source_db"), F.lit("table"), F.col("source_table")).alias("source"), "op", "ts_ms")
 
 
+def compact_landed(spark: SparkSession, path: str, target: str) -> None:
+    """The landed log of many batches as one batch below ``target``: the files of a table are written anew, by Spark's own file size."""
+    rows = spark.read.schema(_LANDED).option("basePath", path).parquet(path).drop("run", "batch_id")
+    tables = rows.hint("rebalance", "source_db", "source_table")  # splits what is large, unlike a repartition by table
+    tables.write.mode("overwrite").partitionBy("source_db", "source_table").parquet(f"{target}/run=compact/batch_id=0")
+
+
 def topic_values(spark: SparkSession, servers: str, topic: str, streaming: bool = True, start: str = "earliest"):
     """Values and source timestamps of a Kafka topic. A null payload stays null. Needs the Kafka package."""
     reader = spark.readStream if streaming else spark.read
@@ -87,6 +101,18 @@ def file_values(spark: SparkSession, path: str, streaming: bool = False) -> Data
     return (spark.readStream if streaming else spark.read).text(path)
 
 
+def landed_topic(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+    """A topic that landed on storage: ``value``, and the source's own ``timestamp`` of each record, which the value does not hold."""
+    reader = spark.readStream if streaming else spark.read
+    return reader.schema("value string, timestamp timestamp").parquet(path)
+
+
+def landed_texts(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+    """The same of text files. The time at which a file was written, from the hidden ``_metadata`` column, is that of its records."""
+    lines = (spark.readStream if streaming else spark.read).text(path)
+    return lines.select("value", F.col("_metadata.file_modification_time").alias("timestamp"))
+
+
 def json_table(values: DataFrame, schema, view: str | None = None) -> DataFrame:
     """A topic of JSON records as a table with declared columns, optionally registered as a view."""
     out = values.select(F.from_json("value", schema).alias("_r")).select("_r.*")
@@ -95,6 +121,11 @@ def json_table(values: DataFrame, schema, view: str | None = None) -> DataFrame:
     return out
 
 
+def with_source_time(df: DataFrame, delay: str = "0 seconds", source: str = "timestamp", name: str = "et") -> DataFrame:
+    """Event time from the source's own timestamp instead of the payload's, plus a watermark."""
+    return df.withColumn(name, F.col(source)).withWatermark(name, delay)
+
+
 def with_event_time(df: DataFrame, ms: str, delay: str = "0 seconds", name: str = "et") -> DataFrame:
     """Event time from epoch milliseconds plus a watermark; a missing or bad time counts as 0."""
     ts = F.timestamp_millis(F.coalesce(F.col(ms).try_cast("bigint"), F.lit(0)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,25 +10,41 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.operators import changelog as C
-from tidemark.operators import logs, lookups, windows
+from tidemark.operators import facts, logs, lookups, windows
 from tidemark.operators.skew import lookup_join
 from tidemark.operators.versions import latest_by_key
 from tidemark.sources import sinks
-from tidemark.sources.cdc import parse_envelopes, with_event_time
+from tidemark.sources.cdc import land_changes, parse_envelopes, with_event_time, with_source_time
 from tidemark.streaming import stateful
 
 
-def run_once(writer, checkpoint: str) -> None:
+#: What a run reports of each of its batches.
+Progress = list[dict]
+
+
+def run_once(writer, checkpoint: str) -> Progress:
     """Process what is there, then stop. Progress is kept in ``checkpoint``, so a re-run goes on from it."""
-    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return [json.loads(p.json) if hasattr(p, "json") else dict(p) for p in query.recentProgress]
+
+
+def state_rows(progress: Progress) -> list[int]:
+    """Rows in the state of all operators after each batch."""
+    return [sum(op["numRowsTotal"] for op in batch["stateOperators"]) for batch in progress]
 
 
-def append_to(df: DataFrame, path: str, checkpoint: str) -> None:
-    run_once(df.writeStream.format("parquet").option("path", path).outputMode("append"), checkpoint)
+def late_rows(progress: Progress) -> int:
+    """Rows that came after the watermark had passed them and were dropped."""
+    return sum(op["numRowsDroppedByWatermark"] for batch in progress for op in batch["stateOperators"])
 
 
-def each_batch(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    run_once(df.writeStream.foreachBatch(write), checkpoint)
+def append_to(df: DataFrame, path: str, checkpoint: str) -> Progress:
+    return run_once(df.writeStream.format("parquet").option("path", path).outputMode("append"), checkpoint)
+
+
+def each_batch(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> Progress:
+    return run_once(df.writeStream.foreachBatch(write), checkpoint)
 
 
 # -- ingest, log split, dimensions ----------------------------------------------------------------------
@@ -39,6 +56,13 @@ def ods_ingest(envelopes: DataFrame, path: str, checkpoint: str) -> None:
     run_once(values.writeStream.format("text").option("path", path).outputMode("append"), checkpoint)
 
 
+def land_by_table(values: DataFrame, path: str, checkpoint: str) -> Progress:
+    """The ingest job's topic landed by table, exactly once: each batch writes folders of its own, which a replay of it replaces."""
+
+    run = sinks.run_of(values.sparkSession, checkpoint)
+    return each_batch(values, lambda batch, batch_id: land_changes(batch, path, batch_id, run), checkpoint)
+
+
 def split_log(values: DataFrame, path: str, checkpoint: str) -> None:
     """Dirty texts and the five log outputs, each batch read and parsed once and written by output."""
 
@@ -51,6 +75,21 @@ def split_log(values: DataFrame, path: str, checkpoint: str) -> None:
     each_batch(values, write, checkpoint)
 
 
+def split_repaired_log(
+    values: DataFrame, path: str, checkpoint: str, offset: int = stateful.BUSINESS_OFFSET_MS, delay: str = "0 seconds", keep: int | None = None
+) -> Progress:
+    """``split_log`` of records whose ``is_new`` is repaired first, in one query: the log is read once, records wait in the state as texts
+    until the watermark has passed them, and each batch writes all six outputs in one pass."""
+
+    run = sinks.run_of(values.sparkSession, checkpoint)
+    repaired = stateful.repair_texts(logs.claims(logs.checked_log(values)), offset=offset, delay=delay, keep=keep)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sinks.write_changes(logs.repaired_texts(batch), path, batch_id, "output", run)
+
+    return each_batch(repaired, write, checkpoint)
+
+
 def dim_sync(
     values: DataFrame, read_config: Callable[[], DataFrame], db: str, path: str, checkpoint: str
 ) -> None:
@@ -108,13 +147,67 @@ def chain_interval_join(
     return left.join(b, (F.col(key) == F.col("_key")) & near).drop("_key", "_et_right")
 
 
+def left_interval_join(
+    left: DataFrame, right: DataFrame, key: str, right_ms: str, bound: str, delay: str = "5 seconds"
+) -> DataFrame:
+    """``chain_interval_join`` that keeps left rows without a partner: they come with nulls once the watermark has passed the time
+    within which one could have come."""
+    b = with_event_time(right, right_ms, delay, "_et_right").withColumnRenamed(key, "_key")
+    span = F.expr(f"INTERVAL {bound}")
+    near = (F.col("_et_right") >= F.col("et") - span) & (F.col("_et_right") <= F.col("et") + span)
+    return left.join(b, (F.col(key) == F.col("_key")) & near, "leftOuter").drop("_key", "_et_right")
+
+
+#: Which of a line's rows counts: the newest line, joined with the newest of the others.
+FACT_ORDER = ["ts_ms", "order_ts_ms", "activity_ts_ms", "coupon_ts_ms"]
+
+
+def _sides(activities: DataFrame, coupons: DataFrame) -> tuple[DataFrame, DataFrame]:
+    line = F.col("order_detail_id").alias("id")
+    return (activities.select(line, "activity_id", "activity_rule_id", F.col("ts_ms").alias("activity_ts_ms")),
+            coupons.select(line, "coupon_id", F.col("ts_ms").alias("coupon_ts_ms")))
+
+
 def order_detail(
-    details: DataFrame, orders: DataFrame, retention: str = "30 minutes", delay: str = "5 seconds", tz: str = S.BUSINESS_TZ
+    details: DataFrame, orders: DataFrame, activities: DataFrame, coupons: DataFrame, retention: str = "30 minutes",
+    sides: str = "30 minutes", delay: str = "5 seconds", tz: str = S.BUSINESS_TZ
 ) -> DataFrame:
-    """Details joined to their order while both are retained. Activities and coupons join the resolved table on read."""
+    """The order-detail fact: details joined to their order while both are retained, with the activity and the coupon that come within
+    ``sides`` of them, or nulls. A line with several versions of its parts has a row for each; ``FACT_ORDER`` tells which counts."""
     right = orders.select(F.col("id").alias("order_id"), "user_id", "province_id", F.col("ts_ms").alias("order_ts_ms"))
     joined = interval_join(details, right, "order_id", "ts_ms", "order_ts_ms", retention, delay)
-    return joined.withColumn("date_id", S.date_id(F.col("create_time"), tz)).drop("order_ts_ms", "et")
+    activity, coupon = _sides(activities, coupons)
+    joined = left_interval_join(joined, activity, "id", "activity_ts_ms", sides, delay)
+    joined = left_interval_join(joined, coupon, "id", "coupon_ts_ms", sides, delay)
+    return joined.withColumn("date_id", S.date_id(F.col("create_time"), tz)).select(*facts.DETAIL_COLUMNS, *FACT_ORDER[1:])
+
+
+def run_order_detail(envelopes: DataFrame, path: str, checkpoint: str, **options) -> None:
+    """The order-detail job: facts as keyed changes, and beside them every activity and coupon by line, from one change-log stream.
+
+    A fact that went out with nulls is corrected by an activity or coupon that comes later than the join waits: both are
+    put together when the table is read.
+    """
+    activities, coupons = C.detail_activities(envelopes), C.detail_coupons(envelopes)
+    joined = order_detail(C.order_details(envelopes), C.orders(envelopes), activities, coupons, **options)
+    upsert(joined, ["id"], FACT_ORDER, f"{path}/facts", f"{checkpoint}/facts")
+    activity, coupon = _sides(activities, coupons)
+    both = activity.withColumn("kind", F.lit("activity")).unionByName(coupon.withColumn("kind", F.lit("coupon")), allowMissingColumns=True)
+    upsert(both, ["id", "kind"], FACT_ORDER[2:], f"{path}/sides", f"{checkpoint}/sides")
+
+
+def read_order_detail(spark: SparkSession, path: str) -> DataFrame:
+    """The fact table behind ``run_order_detail``: of each line the newest row, with the newest activity and coupon known by now."""
+    out = sinks.read_keyed(spark, f"{path}/facts", ["id"], FACT_ORDER)
+    sides = sinks.read_keyed(spark, f"{path}/sides", ["id", "kind"], FACT_ORDER[2:])
+    for kind, columns in (("activity", ["activity_id", "activity_rule_id"]), ("coupon", ["coupon_id"])):
+        order = f"{kind}_ts_ms"
+        side = sides.filter(F.col("kind") == kind).select("id", order, *columns)
+        own, newer = F.col(f"f.{order}"), F.col(f"s.{order}")
+        later = newer.isNotNull() & (own.isNull() | (newer >= own))
+        picked = {c: F.when(later, F.col(f"s.{c}")).otherwise(F.col(f"f.{c}")) for c in columns}
+        out = out.alias("f").join(side.alias("s"), "id", "left").select(*[picked.get(c, F.col("id" if c == "id" else f"f.{c}")).alias(c) for c in out.columns])
+    return out.select(*facts.DETAIL_COLUMNS)
 
 
 # -- windows ------------------------------------------------------------------------------------------------
@@ -138,6 +231,14 @@ def keyword_counts(log: DataFrame, size: str = "5 seconds", delay: str = "3 seco
     return windows.tumble(words, F.col("et"), size, ["keyword"], [F.count(F.lit(1)).alias("keyword_count")], tz)
 
 
+def keyword_counts_by_source(values: DataFrame, size: str = "5 seconds", delay: str = "3 seconds", tz: str = S.BUSINESS_TZ,
+                             tokens: Column | None = None) -> DataFrame:
+    """``keyword_counts`` of a topic (value, timestamp), in windows of the source's own time, whatever time the payload holds."""
+    timed = with_source_time(values, delay)
+    found = logs.words(logs.searches(logs.parsed_log(timed, "et"), "et"), "fullword", "et", tokens=tokens)
+    return windows.tumble(found, F.col("et"), size, ["keyword"], [F.count(F.lit(1)).alias("keyword_count")], tz)
+
+
 def first_of_day(df: DataFrame, keys: Sequence[str], ms: str, tz: str = S.BUSINESS_TZ) -> DataFrame:
     """One row per key and day. ``dropDuplicatesWithinWatermark`` would forget keys within the day."""
     return df.withColumn("_day", S.ms_to_day(F.col(ms), tz)).dropDuplicates([*keys, "_day"]).drop("_day")

@@ -2,8 +2,8 @@
 
 Rows are kept until the watermark has passed their time and are then handled in time order, equal times settled by
 the other columns. So the answer does not depend on how rows were cut into batches, nor on how many a key has: it is
-that of the batch form in ``operators.keyed`` for all rows that are not late. Rows wait for ``delay`` of event time,
-which bounds what is held of a key besides its state. ``keep`` milliseconds of event time after a key's last row its
+that of the batch form in ``operators.keyed`` for all rows that are not late. Rows wait for ``delay`` of event time, in slices of
+an hour: what a worker holds of a key at once is one slice, however many rows the key has. ``keep`` milliseconds of event time after a key's last row its
 state is forgotten; None keeps it for ever. The original's values are named at each operator.
 
 Days are calendar days at a fixed offset from UTC (business zone: +8 hours).
@@ -13,7 +13,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -21,8 +22,12 @@ from tidemark.sources.cdc import with_event_time
 
 DAY_MS = 86_400_000
 BUSINESS_OFFSET_MS = 8 * 3_600_000
-#: Rows handed to the state store at once.
-PIECE = 1_000
+#: Keys of rows that a processor passes on as they are begin with this.
+PASSING = "\u0000"
+#: Rows handed to the state store at once, and rows that wait in a worker for that.
+PIECE, HELD = 1_000, 10_000
+#: Rows that wait are kept and handed out by slices of event time this long.
+SLICE_MS = 3_600_000
 
 
 def _with(schema: StructType, *extra: StructField) -> StructType:
@@ -54,38 +59,65 @@ class _PerKey(StatefulProcessor):
         self.handle = handle
         self.row = Row(*self.out)
         self.input = Row(*self.held_names)
+        self.at = list(self.held_names).index(self.ms)
         self.state = handle.getValueState("state", self.state_schema)
         self.last = handle.getValueState("last", "ms bigint")
-        self.waiting = handle.getListState("waiting", self.held_schema)
+        # Of each slice the number of its pieces, and the pieces.
+        self.slices = handle.getMapState("slices", "slice bigint", "pieces bigint")
+        self.waiting = handle.getMapState("waiting", "slice bigint, piece bigint", f"rows array<struct<{self.held_schema}>>")
+
+    def _put(self, part: int, rows: list[tuple]) -> None:
+        pieces = self.slices.getValue((part,))[0] if self.slices.containsKey((part,)) else 0
+        for k in range(0, len(rows), PIECE):
+            self.waiting.updateValue((part, pieces), (rows[k:k + PIECE],))
+            pieces += 1
+        self.slices.updateValue((part,), (pieces,))
+
+    def _take(self, part: int) -> list[Row]:
+        rows: list[Row] = []
+        for piece in range(self.slices.getValue((part,))[0]):
+            rows += [self.input(*values) for values in self.waiting.getValue((part, piece))[0]]
+            self.waiting.removeKey((part, piece))
+        self.slices.removeKey((part,))
+        return rows
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        piece, newest = [], None
+        held: dict[int, list[tuple]] = {}
+        newest: dict[int, int] = {}
+        n = 0
+
+        def put_all() -> None:
+            for part, some in held.items():
+                self._put(part, some)
+            held.clear()
+
         for row in rows:
-            piece.append(tuple(row[c] for c in self.held_names))
-            newest = row[self.ms] if newest is None else max(newest, row[self.ms])
-            if len(piece) == PIECE:
-                self.waiting.appendList(piece)
-                piece = []
-        if piece:
-            self.waiting.appendList(piece)
-        if newest is not None:
-            self.handle.registerTimer(int(newest))
+            ms = row[self.ms]
+            part = ms // SLICE_MS
+            held.setdefault(part, []).append(tuple(row[c] for c in self.held_names))
+            newest[part] = max(ms, newest.get(part, ms))
+            n += 1
+            if n % HELD == 0:
+                put_all()
+        put_all()
+        for ms in newest.values():
+            self.handle.registerTimer(int(ms))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs()
-        ready, rest = [], []
-        at = list(self.held_names).index(self.ms)
-        for values in self.waiting.get() if self.waiting.exists() else ():
-            (ready if values[at] <= passed else rest).append(self.input(*values))
-        if ready:
-            if rest:
-                self.waiting.put([tuple(r) for r in rest])
-            else:
-                self.waiting.clear()
-            ready.sort(key=lambda r: [_comparable(r[c]) for c in self.order])
-            yield from self.fold(key, ready) if self.keep is None else self.fold_apart(key, ready)
-        elif self.keep is not None and self.last.exists() and self.last.get()[0] + self.keep <= passed:
+        none = True
+        for part in sorted(part for (part,) in self.slices.keys() if part * SLICE_MS <= passed):
+            ready = self._take(part)
+            rest = [tuple(r) for r in ready if r[self.at] > passed]
+            if rest:  # of the slice that the watermark is in; a timer of theirs is still to come
+                self._put(part, rest)
+                ready = [r for r in ready if r[self.at] <= passed]
+            if ready:
+                none = False
+                ready.sort(key=lambda r: [_comparable(r[c]) for c in self.order])
+                yield from self.fold(key, ready) if self.keep is None else self.fold_apart(key, ready)
+        if none and self.keep is not None and self.last.exists() and self.last.get()[0] + self.keep <= passed:
             self.last.clear()  # what still waits is later yet
             self.forget()
 
@@ -152,6 +184,61 @@ class RepairIsNew(_PerKey):
             yield self.row(*["0" if c == self.flag else row[c] for c in self.out]) if wrong else row
 
 
+class RepairTexts(RepairIsNew):
+    """The same for log records that are held as texts. What has no device or time, as texts that are no records, passes at once."""
+
+    def handleInputRows(self, key, rows, timerValues):
+        if key[0] is None or key[0].startswith(PASSING):
+            return (self.row(*[row[c] for c in self.out]) for row in rows)
+        return super().handleInputRows(key, rows, timerValues)
+
+
+class IdleJoin(_PerKey):
+    """Pairs of left and right rows. A row is forgotten when it was neither written nor joined for longer than ``idle`` milliseconds.
+
+    Rows that are still remembered of a key are held while a slice of it is joined.
+    """
+
+    def __init__(self, idle: int, left_schema: str, right_schema: str):
+        super().__init__("_ms", ["_side", "_left", "_right"])
+        self.idle, self.schemas = idle, (left_schema, right_schema)
+
+    def init(self, handle):
+        super().init(handle)
+        self.rows = [handle.getMapState(f"rows{k}", "nr bigint", f"last bigint, row struct<{s}>") for k, s in enumerate(self.schemas)]
+        self.given = handle.getValueState("given", "nr bigint")
+
+    def fold(self, key, rows):
+        live = [{nr: [last, row] for (nr,), (last, row) in side.iterator()} for side in self.rows]
+        changed: list[set[int]] = [set(), set()]
+        given = self.given.get()[0] if self.given.exists() else 0
+        newest = 0
+        for row in rows:
+            own, ms = row["_side"], row["_ms"]
+            values = row["_left"] if own == 0 else row["_right"]
+            for nr, entry in live[1 - own].items():
+                if ms - entry[0] <= self.idle:
+                    entry[0] = ms
+                    changed[1 - own].add(nr)
+                    left, right = (values, entry[1]) if own == 0 else (entry[1], values)
+                    yield self.row(key[0], *left, *right)
+            live[own][given] = [ms, values]
+            changed[own].add(given)
+            given, newest = given + 1, ms
+        for state, entries, some in zip(self.rows, live, changed, strict=True):
+            for nr in some:
+                state.updateValue((nr,), (entries[nr][0], tuple(entries[nr][1])))
+        self.given.update((given,))
+        self.handle.registerTimer(int(newest + self.idle + 1))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
+        passed = timerValues.getCurrentWatermarkInMs()
+        for state in self.rows:  # rows to come are later than the watermark
+            for nr in [nr for (nr,), (last, _) in state.iterator() if last + self.idle < passed]:
+                state.removeKey((nr,))
+
+
 class LoginDays(_PerKey):
     """The first login of each day, with a flag on those ``away`` days or more after the last."""
 
@@ -272,10 +359,13 @@ class RunningProfile(_PerKey):
 # -- the operators ------------------------------------------------------------------------------------------
 
 
-def _apply(df: DataFrame, keys: Sequence[str], processor: _PerKey, schema: StructType, delay: str, keep: int | None = None) -> DataFrame:
+def _apply(df: DataFrame, keys: Sequence[str], processor: _PerKey, schema: StructType, delay: str, keep: int | None = None,
+           more: dict[str, Column] | None = None) -> DataFrame:
+    """``more`` are further key columns, which do not come out."""
     processor.out, processor.keep = schema.names, keep
     processor.held_names, processor.held_schema = df.columns, _ddl(df)
-    return with_event_time(df, processor.ms, delay, "_et").groupBy(*keys).transformWithState(
+    more = more or {}
+    return with_event_time(df.withColumns(more), processor.ms, delay, "_et").groupBy(*keys, *more).transformWithState(
         statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="EventTime")
 
 
@@ -283,10 +373,12 @@ def flag_first_of_day(
     df: DataFrame, keys: Sequence[str], name: str, ms: str = "ts", offset: int = BUSINESS_OFFSET_MS, delay: str = "0 seconds",
     keep: int | None = DAY_MS,
 ) -> DataFrame:
-    """The original forgets a key after a day, which is enough: a later row is on another day."""
+    """The original forgets a key after a day, which is enough: a later row is on another day. State is by key and day, so the days of a
+    key with very many rows are apart."""
     schema = _with(df.schema, StructField(name, LongType()))
     ties = [c for c in df.columns if c not in (*keys, ms)]
-    return _apply(df, keys, FlagFirstOfDay(ms, offset, ties), schema, delay, keep)
+    day = F.floor((F.coalesce(F.col(ms).try_cast("bigint"), F.lit(0)) + offset) / DAY_MS)
+    return _apply(df, keys, FlagFirstOfDay(ms, offset, ties), schema, delay, keep, {"_day": day})
 
 
 def repair_is_new(df: DataFrame, key: str = "mid", flag: str = "is_new", ms: str = "ts", offset: int = BUSINESS_OFFSET_MS,
@@ -295,6 +387,43 @@ def repair_is_new(df: DataFrame, key: str = "mid", flag: str = "is_new", ms: str
     return _apply(df, [key], RepairIsNew(ms, flag, offset), df.schema, delay, keep)
 
 
+def repair_texts(df: DataFrame, flag: str = "is_new", ms: str = "ts", offset: int = BUSINESS_OFFSET_MS, delay: str = "0 seconds",
+                 keep: int | None = None) -> DataFrame:
+    """``repair_is_new`` of rows (mid, ts, is_new, value, ...); those without ``mid`` or ``ts`` pass unchanged, spread over many keys.
+
+    Such a row has no event time, so it is never late and does not move the watermark.
+    """
+    passes = F.col("mid").isNull() | F.col(ms).isNull()
+    mid = F.when(passes, F.concat(F.lit(PASSING), F.pmod(F.xxhash64(*df.columns), F.lit(1024)).cast("string"))).otherwise(F.col("mid"))
+    processor = RepairTexts(ms, flag, offset)
+    held = df.withColumn("mid", mid)
+    processor.out, processor.keep = df.columns, keep
+    processor.held_names, processor.held_schema = df.columns, _ddl(df)
+    timed = held.withColumn("_et", F.when(~passes, F.timestamp_millis(ms))).withWatermark("_et", delay)
+    out = timed.groupBy("mid").transformWithState(statefulProcessor=processor, outputStructType=df.schema, outputMode="Append", timeMode="EventTime")
+    return out.withColumn("mid", F.when(~F.col("mid").startswith(PASSING), F.col("mid")))
+
+
+def idle_join(left: DataFrame, right: DataFrame, key: str, left_ms: str, right_ms: str, idle: int, delay: str = "0 seconds") -> DataFrame:
+    """Join of two streams whose rows are remembered until they were idle for ``idle`` milliseconds: being joined counts as use.
+
+    The original keeps the rows of its joins 1,805 seconds (``idle=1_805_000``) of processing time; here it is event time. Other
+    columns than ``key`` have to differ in name.
+    """
+    sides = [[f for f in df.schema.fields if f.name != key] for df in (left, right)]
+    kinds = [StructType(fields) for fields in sides]
+
+    def tagged(df: DataFrame, ms: str, side: int) -> DataFrame:
+        row = F.struct(*[F.col(f.name) for f in sides[side]])
+        both = [row if k == side else F.lit(None).cast(kinds[k]) for k in (0, 1)]
+        return df.select(key, F.col(ms).cast("bigint").alias("_ms"), F.lit(side).cast("bigint").alias("_side"), both[0].alias("_left"), both[1].alias("_right"))
+
+    schema = StructType([left.schema[key], *sides[0], *sides[1]])
+    ddl = [", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) for fields in sides]
+    rows = tagged(left, left_ms, 0).unionByName(tagged(right, right_ms, 1))
+    return _apply(rows, [key], IdleJoin(idle, *ddl), schema, delay)
+
+
 def login_days(df: DataFrame, key: str = "uid", ms: str = "ts", offset: int = BUSINESS_OFFSET_MS, away: int = 8,
                delay: str = "0 seconds", keep: int | None = None) -> DataFrame:
     schema = _with(df.schema, StructField("uu", LongType()), StructField("back", LongType()))
