@@ -270,19 +270,19 @@ def test_joined_rows_stay_and_idle_rows_go(spark):
 
 def test_idle_join_over_batches_equals_one_batch(spark):
     rows = spark.range(600).select((F.col("id") % 20).cast("string").alias("k"), (F.col("id") % 3).alias("side"), F.col("id").alias("nr"),
-                                   F.pmod(F.col("id") * 7919, F.lit(100_000)).alias("ts"))
+                                   (F.pmod(F.col("id") * 7919, F.lit(100_000)) + 1_000_000).alias("ts"))
 
     def join(s):
         one = s.filter("side = 0").select("k", F.col("nr").alias("a"), F.col("ts").alias("a_ms"))
         other = s.filter("side > 0").select("k", F.col("nr").alias("b"), F.col("ts").alias("b_ms"))
-        return stateful.idle_join(one, other, "k", "a_ms", "b_ms", 3_000)
+        return stateful.idle_join(one, other, "k", "a_ms", "b_ms", 8_000)
 
     found = [bag(run(spark, join(in_batches(spark, rows, "ts", n)))) for n in (1, 4)]
     want, live = [], {}
     for r in sorted(rows.collect(), key=lambda r: (r["ts"], min(r["side"], 1), r["nr"])):
         side = min(r["side"], 1)
         for e in live.get((r["k"], 1 - side), []):
-            if r["ts"] - e[0] <= 3_000:
+            if r["ts"] - e[0] <= 8_000:
                 e[0] = r["ts"]
                 a, b = (r, e[1]) if side == 0 else (e[1], r)
                 want.append((a["nr"], a["ts"], b["nr"], b["ts"], r["k"]))

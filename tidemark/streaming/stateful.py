@@ -43,6 +43,13 @@ def _comparable(value):
     return value is not None, value
 
 
+def _plain(value):
+    """``value`` with plain tuples for rows, as the state store takes them."""
+    if isinstance(value, tuple):
+        return tuple(map(_plain, value))
+    return [_plain(v) for v in value] if isinstance(value, list) else value
+
+
 class _PerKey(StatefulProcessor):
     """Rows of a key are held back until the watermark has passed them, then folded in time order."""
 
@@ -94,7 +101,7 @@ class _PerKey(StatefulProcessor):
         for row in rows:
             ms = row[self.ms]
             part = ms // SLICE_MS
-            held.setdefault(part, []).append(tuple(row[c] for c in self.held_names))
+            held.setdefault(part, []).append(tuple(_plain(row[c]) for c in self.held_names))
             newest[part] = max(ms, newest.get(part, ms))
             n += 1
             if n % HELD == 0:
@@ -109,7 +116,7 @@ class _PerKey(StatefulProcessor):
         none = True
         for part in sorted(part for (part,) in self.slices.keys() if part * SLICE_MS <= passed):
             ready = self._take(part)
-            rest = [tuple(r) for r in ready if r[self.at] > passed]
+            rest = [_plain(r) for r in ready if r[self.at] > passed]
             if rest:  # of the slice that the watermark is in; a timer of theirs is still to come
                 self._put(part, rest)
                 ready = [r for r in ready if r[self.at] <= passed]
@@ -227,7 +234,7 @@ class IdleJoin(_PerKey):
             given, newest = given + 1, ms
         for state, entries, some in zip(self.rows, live, changed, strict=True):
             for nr in some:
-                state.updateValue((nr,), (entries[nr][0], tuple(entries[nr][1])))
+                state.updateValue((nr,), (entries[nr][0], _plain(entries[nr][1])))
         self.given.update((given,))
         self.handle.registerTimer(int(newest + self.idle + 1))
 
