@@ -7,6 +7,8 @@ import subprocess
 import sys
 import time
 
+import check
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bpe_tree, budgets, count_vectors, feistel, induced, licences, pivots, repetition, rule_ensemble, url_rules, words
 from tidemark.llm.components import components
+from tidemark.llm.queries import QUERIES, SQL
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 ODD = [(1, None), (2, ""), (3, " \n\t "), (4, "one"), (4, "one"), (None, "no id here"), (5, "x" * 3000), (6, "word " * 2000), (7, "é日本🙂 ' <|endoftext|>")]
@@ -410,23 +413,50 @@ URLS = [(1, "https://www.Example.com/en/a?x=1", "www.example.com", "/en/a", "www
 
 def test_url_rules_by_hand(spark):
     pages = spark.createDataFrame([(i, u, "x") for i, u, *_ in URLS], "page_id bigint, url string, host string")
-    mined = [("host:spam", "path:0")]
+    mined = url_rules.rule_table(spark, [("host:spam", "path:0")])
     got = {(r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in url_rules.judge(pages, url_rules.RULES, mined).collect()}
     assert got == {(i, *rest) for i, _, *rest in URLS}
-    assert url_rules.judge(pages.filter("false"), url_rules.RULES, []).count() == 0
+    assert url_rules.judge(pages.filter("false"), url_rules.RULES, url_rules.rule_table(spark, [])).count() == 0
 
 
 def test_mined_rules_match_counting(spark):
     r = random.Random(5)
     rows = [(f"https://{'win' if k % 4 == 0 else 'sh'}.{r.choice(['a', 'b'])}.org/{r.choice(['en', 'de'])}/{k}", (k % 4 == 0 and r.random() < 0.9) or r.random() < 0.1)
             for k in range(400)]
-    mined = url_rules.mine(spark.createDataFrame([*rows, (None, True)], "url string, blocked boolean"))
+    mined = {tuple(m["tokens"]) for m in url_rules.mine(spark.createDataFrame([*rows, (None, True)], "url string, blocked boolean")).collect()}
     assert ("host:win",) in mined and ("host:sh",) not in mined
     for rule in mined:
         hit = [b for u, b in rows if {t.split(":")[1] for t in rule if t != "scheme:https"} <= set(u.replace("/", ".").replace(u.split("/")[-1], "0").split(".")) | {"0"}]
         assert sum(hit) >= url_rules.MIN_COUNT and sum(hit) / len(hit) >= url_rules.MIN_CONFIDENCE, rule
-    assert url_rules.mine(spark.createDataFrame([], "url string, blocked boolean")) == []
-
+    assert url_rules.mine(spark.createDataFrame([], "url string, blocked boolean")).count() == 0
+
+
+def test_no_rule_is_lost_among_many(spark):
+    """40 hosts that always block, each with many combinations of tokens, and one that blocks in four of five."""
+    rows = [(f"https://bad{chr(97 + h // 26)}{chr(97 + h % 26)}.example.org/en/a/b/c?x=1&y=2", True) for h in range(40) for _ in range(25)]
+    rows += [("https://mixed.example.org/en", k % 5 > 0) for k in range(60)] + [(f"https://good{k % 9}.example.org/en/a/b/c?x=1&y=2", False) for k in range(2000)]
+    mined = url_rules.mine(spark.createDataFrame(rows, "url string, blocked boolean"))
+    rules = {tuple(m["tokens"]) for m in mined.collect()}
+    assert ("host:mixed",) in rules and sum(len(r) == 1 for r in rules) == 41
+    assert not any(set(a) < set(b) for a in rules for b in rules)
+    pages = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(rows)] + [(-1, "https://mixed.other.net/x"), (-2, "https://none.org/")], "page_id bigint, url string")
+    judged = {r["page_id"]: r["verdict"] for r in url_rules.judge(pages, url_rules.RULES[:0], mined).collect()}
+    assert judged == {**{k: "block" if "bad" in u or "mixed" in u else "allow" for k, (u, _) in enumerate(rows)}, -1: "block", -2: "allow"}
+
+
+def test_url_query_with_rules_that_decide_matches_sql(spark, tmp_path):
+    """Labels that follow a host: the query's verdicts come from mined rules, and SQL that counts all token sets agrees."""
+    pages = [(k, f"https://{'spam' if k % 3 == 0 else 'fine'}.site{k % 2}.org/{'es' if k % 5 else 'fr'}/{k}?q=1", "") for k in range(300)]
+    pages += [(1000, None, ""), (1001, "no scheme", ""), (1002, "HTTP://Sub.EXAMPLE.com/en/x", ""), (1003, "ftp://a.net/fr/1#x", ""), (3, pages[3][1], "")]
+    labels = [(k, int(k % 3 > 0 or k % 30 == 0), 0) for k in range(300)]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    ok, message, rows, _ = check.compare(spark, con, "op9", QUERIES["op9_url_rules"], SQL["op9_url_rules"], str(tmp_path))
+    assert ok and rows == 305, message
+    assert sum(r["verdict"] == "block" for r in QUERIES["op9_url_rules"](spark, str(tmp_path)).collect()) > 100
 
 # -- 10 -----------------------------------------------------------------------------------------------------------
 

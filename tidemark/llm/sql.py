@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import repetition
+from tidemark.llm import repetition, url_rules
 from tidemark.llm.budgets import MAX_EPOCHS, PERCENT, SEED, WEIGHTS
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -199,8 +199,37 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id, qe ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 20
 """
 
+_RULES = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in url_rules.RULES)
+
+
+def _named(prefix: str, parts: str) -> str:
+    return f"list_transform(list_filter({parts}, lambda x: x <> ''), lambda x: '{prefix}' || regexp_replace(x, '[0-9]+', '0', 'g'))"
+
+
+#: Every subset of the tokens of a labelled URL is counted, and a rule is one that enough blocked URLs have.
+URL_RULES = rf"""
+WITH p AS (SELECT row_number() OVER () AS r, page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT *, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) AS query FROM p),
+t AS (SELECT *, CASE WHEN contains(url, '://') THEN list_distinct(['scheme:' || split_part(url, '://', 1)] || {_named('host:', "string_split(host, '.')")}
+        || {_named('path:', "string_split(path, '/')")}
+        || {_named('query:', "list_transform(string_split(query, '&'), lambda y: split_part(y, '=', 1))")}) ELSE [] END AS tokens FROM h),
+shown AS (SELECT t.r, list_sort(tokens) AS tokens, l.toxic = 1 OR l.quality = 0 AS blocked
+  FROM t JOIN labels l ON l.doc_id = TRY_CAST(regexp_extract(path, '([0-9]{{1,18}})[^0-9]*$', 1) AS BIGINT)),
+sets AS (SELECT blocked, list_transform(list_filter(range(1, len(tokens) + 1), lambda i: (mask >> (i - 1)) & 1 = 1), lambda i: tokens[i]) AS s
+  FROM (SELECT blocked, tokens, unnest(range(1, 1 << len(tokens))) AS mask FROM shown WHERE blocked IS NOT NULL)),
+mined AS (SELECT s FROM sets GROUP BY s HAVING count_if(blocked) >= {url_rules.MIN_COUNT} AND count_if(blocked) >= {url_rules.MIN_CONFIDENCE} * count(*)),
+hit AS (SELECT DISTINCT r FROM t, mined WHERE list_has_all(t.tokens, mined.s)),
+rules(verdict, host, path) AS (VALUES {_RULES}),
+best AS (SELECT r, arg_max(rules, (length(rules.host) + length(rules.path), rules.host, rules.path)) AS b FROM h JOIN rules
+  ON (h.host = rules.host OR ends_with(h.host, '.' || rules.host)) AND starts_with(h.path, rules.path) GROUP BY r)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, b.host || b.path AS rule,
+       coalesce(b.verdict, CASE WHEN hit.r IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, hit.r IS NOT NULL AS mined_block
+FROM h LEFT JOIN best USING (r) LEFT JOIN hit USING (r)
+"""
+
 SQL = {
     "op1_suffix_repetition": REPETITION, "op3_hierarchical_budget": BUDGETS, "op6_induced_sorting": REPEATS,
-    "op8_count_vector_join": NEAR_DUPLICATES, "op10_pivot_index": NEAR_VECTORS, "op11_multi_index_hashing": NEAREST,
+    "op8_count_vector_join": NEAR_DUPLICATES, "op9_url_rules": URL_RULES, "op10_pivot_index": NEAR_VECTORS, "op11_multi_index_hashing": NEAREST,
     "op12_merkle_manifest": MERKLE,
 }

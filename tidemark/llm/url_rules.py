@@ -1,12 +1,13 @@
 """URL filter: explicit host and path rules, and association rules that FP-growth mines from labelled URLs.
 
 A URL's tokens are its scheme, the parts of its host, the segments of its path (digits as ``0``) and the names in its query.
-Labelled URLs are transactions of their tokens and their label. Of the association rules that lead to ``block`` those with
-enough support and confidence are kept, but for rules that a shorter one at least as confident covers. Kept rules
-are indexed by token: a URL looks up its own tokens only, and is blocked if all tokens of a rule found there are its own.
-The number of rules kept is bounded by ``max_rules``, so they are part of the expression and nothing is shuffled to match.
+Labelled URLs are transactions of their tokens and their label. Of the association rules that lead to ``block`` those that rest on
+enough URLs and are confident enough are kept, but for rules that a shorter one at least as confident covers. All of these are a table,
+however many: an inverted index by each rule's rarest token. Each distinct set of tokens among the URLs looks up its own tokens there, and its
+URLs are blocked if all tokens of a rule found are in the set.
 
-Null URLs and URLs without ``://`` have an empty host and path, no rule and verdict ``allow``. Repeated rows give repeated
+Equally rare tokens are told apart by name; of mined rules it does not matter which one blocks. Long URLs have many tokens and nothing
+else about them. Null URLs and URLs without ``://`` have an empty host and path, no rule and verdict ``allow``. Repeated rows give repeated
 results, an empty table an empty one; without labelled URLs no rule is mined.
 """
 
@@ -16,9 +17,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.stage import staged
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -35,13 +38,13 @@ class Rule:
 RULES = (Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("allow", "www.example.com", "/en/"),
          Rule("block", "net", "/es/"), Rule("block", "net", "/fr/"))
 
-MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.5
-#: Labelled URLs that a rule has to rest on, however small the table.
+#: Blocked URLs that a rule has to rest on, whatever the size of the table.
 MIN_COUNT = 20
-MAX_RULES = 1000
 BLOCK = "label:block"
 
+MINED = "tokens array<string>, confidence double, token string"
+
 
 def rest_of(url: Column) -> Column:
     """What follows the first ``://``; empty if there is none."""
@@ -88,47 +91,51 @@ def tokens_of(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-         min_count: int = MIN_COUNT, max_rules: int = MAX_RULES) -> list[tuple[str, ...]]:
-    """Token combinations that lead to ``block``, of ``labelled`` (url, blocked: boolean)."""
+def mine(labelled: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_count: int = MIN_COUNT) -> DataFrame:
+    """Token combinations that lead to ``block`` (tokens, confidence, and token, the rarest of them), of ``labelled`` (url, blocked: boolean)."""
+    spark = labelled.sparkSession
     marked = F.when(F.col("blocked"), F.array_append(tokens_of(F.col("url")), F.lit(BLOCK))).otherwise(tokens_of(F.col("url")))
-    transactions = labelled.filter(F.col("url").isNotNull() & F.col("blocked").isNotNull()).select(marked.alias("items"))
+    transactions = staged(spark, labelled.filter(F.col("url").isNotNull() & F.col("blocked").isNotNull()).select(marked.alias("items")), "transactions")
     n = transactions.count()
     if n < min_count:
-        return []
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_count / n), minConfidence=min_confidence).fit(transactions)
-    found = (model.associationRules.filter(F.element_at("consequent", 1) == BLOCK)
-             .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
-             .orderBy(F.desc("confidence"), F.size("tokens"), F.desc("support"), "tokens").limit(max_rules).collect())
-    kept: list[tuple[str, ...]] = []
-    for row in found:  # in order of confidence, so what covers a rule comes before it
-        if not any(set(k) <= set(row["tokens"]) for k in kept):
-            kept.append(tuple(row["tokens"]))
-    return kept
-
-
-def matches(tokens: Column, mined: Sequence[tuple[str, ...]]) -> Column:
-    """Whether all tokens of some mined rule are there."""
-    if not mined:
-        return F.lit(False)
-    index: dict[str, list[tuple[str, ...]]] = {}
-    for rule in mined:
-        index.setdefault(max(rule, key=len), []).append(rule)  # long tokens are the rarest as a rule
-    lookup = F.create_map(*[x for t, found in sorted(index.items())
-                            for x in (F.lit(t), F.array(*[F.array(*map(F.lit, r)) for r in found]))])
-    here = F.flatten(F.filter(F.transform(tokens, lambda t: F.try_element_at(lookup, t)), lambda x: x.isNotNull()))
-    return F.exists(here, lambda rule: F.forall(rule, lambda t: F.array_contains(tokens, t)))
-
-
-def judge(pages: DataFrame, rules: Sequence[Rule], mined: Sequence[tuple[str, ...]]) -> DataFrame:
-    """page_id, host, path, rule, verdict and the mined part of it."""
+        return spark.createDataFrame([], MINED)
+    # Half a URL less, so that no rounding asks for one more.
+    model = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / n, minConfidence=min_confidence).fit(transactions)
+    rules = model.associationRules.filter(F.element_at("consequent", 1) == BLOCK).select(F.array_sort("antecedent").alias("tokens"), "confidence")
+    seen = transactions.select(F.explode("items").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    each = rules.select("tokens", "confidence", F.explode("tokens").alias("token")).join(seen, "token")
+    rarest = each.groupBy("tokens", "confidence").agg(F.min(F.struct("n", "token"))["token"].alias("token"))
+    rules = staged(spark, rarest, "rules")
+    wide = rules.select(F.col("tokens").alias("wide"), F.col("confidence").alias("_confidence"), F.explode("tokens").alias("token"))
+    covers = ((F.size("tokens") < F.size("wide")) & (F.col("confidence") >= F.col("_confidence"))
+              & (F.size(F.array_except("tokens", "wide")) == 0))
+    covered = wide.join(rules, "token").filter(covers).select(F.col("wide").alias("tokens")).distinct()
+    return staged(spark, rules.join(covered, "tokens", "left_anti"), "mined")
+
+
+def rule_table(spark: SparkSession, rules: Sequence[Sequence[str]]) -> DataFrame:
+    """Rules given by hand, as ``mine`` gives them; long tokens are the rarest as a rule."""
+    return spark.createDataFrame([(sorted(r), 1.0, max(r, key=len)) for r in rules], MINED)
+
+
+def matched(tokens: DataFrame, mined: DataFrame) -> DataFrame:
+    """The distinct token sets of ``tokens`` that hold all tokens of some mined rule."""
+    rules = mined.select("token", F.col("tokens").alias("_rule"))
+    sets = tokens.select("tokens").distinct()
+    return sets.withColumn("token", F.explode("tokens")).join(rules, "token").filter(
+        F.size(F.array_except("_rule", "tokens")) == 0).select("tokens").distinct()
+
+
+def judge(pages: DataFrame, rules: Sequence[Rule], mined: DataFrame) -> DataFrame:
+    """page_id, host, path, rule, verdict and whether a mined rule blocks."""
     url = F.col("url")
     read = pages.select(F.col("page_id").cast("bigint").alias("page_id"), url.cast("string").alias("url"))
     # Tokens are a column of their own: inside a lambda an expression would be evaluated for each element.
-    found = (read.select("page_id", F.coalesce(host_of(url), F.lit("")).alias("host"), F.coalesce(path_of(url), F.lit("")).alias("path"),
-                         tokens_of(url).alias("tokens"))
-             .withColumn("mined_block", F.coalesce(matches(F.col("tokens"), mined), F.lit(False))))
-    ruled = found.withColumn("r", longest_rule(F.col("host"), F.col("path"), rules))
+    found = read.select("page_id", F.coalesce(host_of(url), F.lit("")).alias("host"), F.coalesce(path_of(url), F.lit("")).alias("path"),
+                        F.coalesce(tokens_of(url), F.array().cast("array<string>")).alias("tokens"))
+    hits = matched(found, mined).withColumn("_hit", F.lit(True))
+    ruled = found.join(hits, "tokens", "left").withColumn("mined_block", F.coalesce("_hit", F.lit(False))).withColumn(
+        "r", longest_rule(F.col("host"), F.col("path"), rules))
     return ruled.select(
         "page_id", "host", "path", F.concat(F.col("r.host"), F.col("r.path")).alias("rule"),
         F.coalesce(F.col("r.verdict"), F.when(F.col("mined_block"), "block").otherwise("allow")).alias("verdict"), "mined_block")
