@@ -395,6 +395,27 @@ def f2_traffic_stream(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.traffic_windows(flagged, "1 hour", "UTC")
 
 
+def _windows_closed(spark: SparkSession, sf: str, job: Callable[..., DataFrame], name: str, like: Column) -> DataFrame:
+    """The windows that ``job`` gives out over slices of the log, whose last row is a copy of one ``like`` this, much later."""
+    return over_slices(spark, T.app_log(spark, sf), "ts", lambda s: job(s, "1 hour", offset=0, tz="UTC"), name, like)
+
+
+@query("f2_traffic_windows_stream", using("log") + TRAFFIC_SQL)
+def f2_traffic_windows_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """First visits and their windows in one query."""
+    return _windows_closed(spark, sf, jobs.traffic, "traffic-windows", F.lit(True))
+
+
+@query("f3_home_detail_windows_stream", using("log") + HOME_DETAIL_SQL)
+def f3_home_detail_windows_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return _windows_closed(spark, sf, jobs.home_detail, "home-windows", F.col("page.page_id") == "home")
+
+
+@query("f4_login_users_windows_stream", using("log", days_=LOGIN_DAYS) + LOGIN_SQL)
+def f4_login_users_windows_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return _windows_closed(spark, sf, jobs.login_users, "login-windows", F.col("page.last_page_id") == "login")
+
+
 @query("g14_watermark_stream", using("log") + f"""
 SELECT {bounds('ts', HOUR)}, count(*) AS n FROM log GROUP BY ALL""")
 def g14_watermark_stream(spark: SparkSession, sf: str) -> DataFrame:

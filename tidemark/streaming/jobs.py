@@ -213,18 +213,42 @@ def read_order_detail(spark: SparkSession, path: str) -> DataFrame:
 # -- windows ------------------------------------------------------------------------------------------------
 
 
-def first_visits(log: DataFrame, delay: str = "0 seconds", offset: int = stateful.BUSINESS_OFFSET_MS) -> DataFrame:
-    """Page measures with a 1 in ``uv`` on the first of each device and day. The windows are summed when the result is read:
-    a row that has waited for the watermark would be late for a window behind it in the same query."""
-    return stateful.flag_first_of_day(logs.page_measures(log), ["mid"], "uv", "ts", offset, delay)
+def first_visits(log: DataFrame, delay: str = "0 seconds", offset: int = stateful.BUSINESS_OFFSET_MS, hand_on: str | None = None) -> DataFrame:
+    """Page measures with a 1 in ``uv`` on the first of each device and day. By default a row waits for the watermark, so it would be late for
+    a window behind it in the same query, and the windows are summed when the result is read. With ``hand_on`` it does not wait."""
+    return stateful.flag_first_of_day(logs.page_measures(log), ["mid"], "uv", "ts", offset, delay, hand_on=hand_on)
 
 
-def traffic_windows(flagged: DataFrame, size: str = "10 seconds", tz: str = S.BUSINESS_TZ) -> DataFrame:
-    """The window measures of stored ``first_visits``."""
-    return windows.tumble(flagged, F.timestamp_millis("ts"), size, windows.TRAFFIC_KEYS, [
+def traffic_windows(flagged: DataFrame, size: str = "10 seconds", tz: str = S.BUSINESS_TZ, time: Column | None = None) -> DataFrame:
+    """The window measures of ``first_visits``, stored or (with ``time``, the event time handed on) in the same query."""
+    return windows.tumble(flagged, F.timestamp_millis("ts") if time is None else time, size, windows.TRAFFIC_KEYS, [
         F.sum("uv").alias("uv_ct"), F.sum("sv").alias("sv_ct"), F.sum("pv").alias("pv_ct"), F.sum("dur").alias("dur_sum")], tz)
 
 
+def traffic(log: DataFrame, size: str = "10 seconds", delay: str = "0 seconds", offset: int = stateful.BUSINESS_OFFSET_MS,
+            tz: str = S.BUSINESS_TZ) -> DataFrame:
+    """The traffic job as one query: first visits are flagged as they come, and each window is given out once the watermark has passed it.
+    Records that come out of order in different batches are flagged in the order they came, as in the original."""
+    return traffic_windows(first_visits(log, delay, offset, "et"), size, tz, F.col("et"))
+
+
+def login_users(log: DataFrame, size: str = "10 seconds", delay: str = "0 seconds", offset: int = stateful.BUSINESS_OFFSET_MS,
+                tz: str = S.BUSINESS_TZ) -> DataFrame:
+    """The login job as one query, like ``traffic``."""
+    rows = logs.logins(log).select(F.col("common.uid").alias("uid"), "ts")
+    days = stateful.login_days(rows, offset=offset, delay=delay, hand_on="et")
+    return windows.tumble(days, F.col("et"), size, [], [F.sum("back").alias("back_ct"), F.sum("uu").alias("uu_ct")], tz)
+
+
+def home_detail(log: DataFrame, size: str = "10 seconds", delay: str = "0 seconds", offset: int = stateful.BUSINESS_OFFSET_MS,
+                tz: str = S.BUSINESS_TZ) -> DataFrame:
+    """The home and product page job as one query, like ``traffic``."""
+    visits = logs.on_pages(log, "home", "good_detail").select(F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"), "ts")
+    firsts = stateful.flag_first_of_day(visits, ["mid", "page_id"], "first", "ts", offset, delay, hand_on="et").filter("first = 1")
+    return windows.tumble(firsts, F.col("et"), size, [], [
+        F.count_if(F.col("page_id") == "home").alias("home_uv_ct"), F.count_if(F.col("page_id") == "good_detail").alias("good_detail_uv_ct")], tz)
+
+
 def keyword_counts(log: DataFrame, size: str = "5 seconds", delay: str = "3 seconds", tz: str = S.BUSINESS_TZ,
                    tokens: Column | None = None) -> DataFrame:
     words = with_event_time(logs.words(logs.searches(log), "fullword", "ts", tokens=tokens), "ts", delay)

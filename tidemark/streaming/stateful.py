@@ -12,11 +12,12 @@ Days are calendar days at a fixed offset from UTC (business zone: +8 hours).
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from tidemark.sources.cdc import with_event_time
 
@@ -58,6 +59,8 @@ class _PerKey(StatefulProcessor):
     held_schema = ""
     held_names: Sequence[str] = ()
     keep: int | None = None
+    #: Rows of a batch are folded at once instead of waiting, and come with this column, their event time, for what follows.
+    hand_on: str | None = None
 
     def __init__(self, ms: str, ties: Sequence[str] = ()):
         self.ms, self.order = ms, [ms, *ties]
@@ -107,10 +110,20 @@ class _PerKey(StatefulProcessor):
             if n % HELD == 0:
                 put_all()
         put_all()
+        if self.hand_on:
+            return self._fold_now(key, sorted(newest))
         for ms in newest.values():
             self.handle.registerTimer(int(ms))
         return iter(())
 
+    def _fold_now(self, key, parts: Sequence[int]) -> Iterator[Row]:
+        timed = Row(*self.out, self.hand_on)
+        at = list(self.out).index(self.ms)
+        for part in parts:
+            ready = sorted(self._take(part), key=lambda r: [_comparable(r[c]) for c in self.order])
+            for row in self.fold(key, ready) if self.keep is None else self.fold_apart(key, ready):
+                yield timed(*row, datetime.fromtimestamp(row[at] / 1000, timezone.utc))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs()
         none = True
@@ -367,25 +380,29 @@ class RunningProfile(_PerKey):
 
 
 def _apply(df: DataFrame, keys: Sequence[str], processor: _PerKey, schema: StructType, delay: str, keep: int | None = None,
-           more: dict[str, Column] | None = None) -> DataFrame:
-    """``more`` are further key columns, which do not come out."""
-    processor.out, processor.keep = schema.names, keep
+           more: dict[str, Column] | None = None, hand_on: str | None = None) -> DataFrame:
+    """``more`` are further key columns, which do not come out. ``hand_on`` names the event time of what comes out, if windows or joins
+    follow in the same query; then rows are folded in the order of their batches, and only within a batch by time."""
+    processor.out, processor.keep, processor.hand_on = schema.names, keep, hand_on
     processor.held_names, processor.held_schema = df.columns, _ddl(df)
     more = more or {}
-    return with_event_time(df.withColumns(more), processor.ms, delay, "_et").groupBy(*keys, *more).transformWithState(
-        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="EventTime")
+    keyed = with_event_time(df.withColumns(more), processor.ms, delay, "_et").groupBy(*keys, *more)
+    if hand_on:
+        return keyed.transformWithState(statefulProcessor=processor, outputStructType=_with(schema, StructField(hand_on, TimestampType())),
+                                        outputMode="Append", timeMode="EventTime", eventTimeColumnName=hand_on)
+    return keyed.transformWithState(statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="EventTime")
 
 
 def flag_first_of_day(
     df: DataFrame, keys: Sequence[str], name: str, ms: str = "ts", offset: int = BUSINESS_OFFSET_MS, delay: str = "0 seconds",
-    keep: int | None = DAY_MS,
+    keep: int | None = DAY_MS, hand_on: str | None = None,
 ) -> DataFrame:
     """The original forgets a key after a day, which is enough: a later row is on another day. State is by key and day, so the days of a
     key with very many rows are apart."""
     schema = _with(df.schema, StructField(name, LongType()))
     ties = [c for c in df.columns if c not in (*keys, ms)]
     day = F.floor((F.coalesce(F.col(ms).try_cast("bigint"), F.lit(0)) + offset) / DAY_MS)
-    return _apply(df, keys, FlagFirstOfDay(ms, offset, ties), schema, delay, keep, {"_day": day})
+    return _apply(df, keys, FlagFirstOfDay(ms, offset, ties), schema, delay, keep, {"_day": day}, hand_on)
 
 
 def repair_is_new(df: DataFrame, key: str = "mid", flag: str = "is_new", ms: str = "ts", offset: int = BUSINESS_OFFSET_MS,
@@ -432,9 +449,9 @@ def idle_join(left: DataFrame, right: DataFrame, key: str, left_ms: str, right_m
 
 
 def login_days(df: DataFrame, key: str = "uid", ms: str = "ts", offset: int = BUSINESS_OFFSET_MS, away: int = 8,
-               delay: str = "0 seconds", keep: int | None = None) -> DataFrame:
+               delay: str = "0 seconds", keep: int | None = None, hand_on: str | None = None) -> DataFrame:
     schema = _with(df.schema, StructField("uu", LongType()), StructField("back", LongType()))
-    return _apply(df, [key], LoginDays(ms, offset, away), schema, delay, keep)
+    return _apply(df, [key], LoginDays(ms, offset, away), schema, delay, keep, hand_on=hand_on)
 
 
 def retract_versions(df: DataFrame, key: str, amount: str, ms: str = "ts_ms", delay: str = "0 seconds", keep: int | None = None) -> DataFrame:
