@@ -358,3 +358,36 @@ def test_a_hot_key_is_held_by_slices(spark, one_key, monkeypatch):
     monkeypatch.setattr(stateful, "StrictlyNewer", Watched)
     out = run(spark, stateful.strictly_newer(in_batches(spark, rows, "ts", 2), "k", "v", "ts"))
     assert bag(out) == bag(keyed.strictly_newer(rows, "k", "v", "ts")) and most < 1_000
+
+
+def test_daily_deduplication_keeps_a_day_of_state(spark):
+    """Thirty days of rows, each twice on its day: the state never holds more than two days of them."""
+    n = F.col("id")
+    rows = spark.range(30 * 40).select((n % 40).alias("v"), (F.expr("id div 40") * 86_400_000 + 86_400_000 + n % 40 * 1_000).alias("ts"))
+    twice = rows.unionByName(rows.withColumn("ts", F.col("ts") + 3_600_000))
+    base = new_path(spark, "daily")
+    progress = jobs.append_to(jobs.drop_repeats(in_batches(spark, twice, "ts", 10), ["v"], "ts", "UTC"), f"{base}/out", f"{base}/checkpoint")
+    assert spark.read.parquet(f"{base}/out").count() == 30 * 40
+    held = jobs.state_rows(progress)
+    assert max(held) <= 4 * 40 and held[-1] <= 40
+
+
+def test_days_of_deduplication_are_those_of_the_zone(spark):
+    rows = spark.createDataFrame([("a", 86_400_000 + 57_599_000), ("a", 86_400_000 + 57_600_000), ("a", 86_400_000 + 60_000_000)], "k string, ts bigint")
+    out = run(spark, jobs.drop_repeats(in_batches(spark, rows, "ts", 3), ["k"], "ts", "Asia/Shanghai"))
+    assert sorted(r["ts"] for r in out.collect()) == [86_400_000 + 57_599_000, 86_400_000 + 57_600_000]
+
+
+def test_rows_are_routed_by_the_configuration_of_their_time(spark):
+    fields = ["source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key"]
+    versions = [("t", "old", "id", "info", "id", "r", 10), ("t", "new", "id,name", "info", "id", "u", 20), ("t", "new", "id,name", "info", "id", "d", 40)]
+    config = spark.createDataFrame(versions, [*fields, "op", "ts_ms"])
+    envelope_of = lambda k, ts: spark.sql(
+        f"SELECT CAST(NULL AS map<string,string>) before, map('id', '{k}', 'name', 'n') after, map('db', 'shop', 'table', 't') source, 'c' op, {ts}L ts_ms")
+    base = new_path(spark, "as-of")
+    for batch in ([(1, 5), (4, 25)], [(2, 19), (3, 20), (5, 40), (6, 50)]):
+        for k, ts in batch:
+            sinks.append_values(cdc.to_values(envelope_of(k, ts)), f"{base}/topic")
+        jobs.dim_sync(spark.readStream.text(f"{base}/topic"), lambda: config, "shop", f"{base}/out", f"{base}/checkpoint", as_of=True)
+    rows = spark.read.option("basePath", f"{base}/out").parquet(f"{base}/out").collect()
+    assert {(r["row_key"], r["sink_table"], len(r["cells"])) for r in rows} == {("1", "old", 1), ("2", "old", 1), ("3", "new", 2), ("4", "new", 2)}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
@@ -163,11 +163,42 @@ def active_config(changes: DataFrame) -> DataFrame:
     )
 
 
+def config_versions(changes: DataFrame) -> DataFrame:
+    """Every configuration there was, with the time it holds: from ``valid_from`` until before ``valid_to``.
+
+    A snapshot holds for all time before it, too; the last version has no end, and a deleted table no version from then on. Of changes at one
+    time the greatest counts. A source table has few versions, which one task sorts.
+    """
+    newest = changes.groupBy("source_table", "ts_ms").agg(F.max(F.struct(*CONFIG_FIELDS[1:], "op")).alias("_c"))
+    following = F.lead("ts_ms").over(Window.partitionBy("source_table").orderBy("ts_ms"))
+    versions = newest.select("source_table", *[F.col(f"_c.{n}").alias(n) for n in CONFIG_FIELDS[1:]], F.col("_c.op").alias("_op"),
+                             F.col("ts_ms").alias("valid_from"), following.alias("valid_to"))
+    return versions.filter(F.col("_op") != DELETE).withColumn("_ever", F.col("_op") == READ).drop("_op")
+
+
+def _tagged(envelopes: DataFrame) -> DataFrame:
+    row = F.when(F.col("op") == DELETE, F.col("before")).otherwise(F.col("after"))
+    return envelopes.select(F.col("source")["table"].alias("source_table"), row.alias("_row"), "op", "ts_ms")
+
+
 def route(envelopes: DataFrame, config: DataFrame) -> DataFrame:
     """Rows of configured tables, cut to the configured columns, with their configuration."""
-    row = F.when(F.col("op") == DELETE, F.col("before")).otherwise(F.col("after"))
-    tagged = envelopes.select(F.col("source")["table"].alias("source_table"), row.alias("_row"), "op", "ts_ms")
-    joined = lookup_join(tagged, config, ["source_table"])
+    return _routed(lookup_join(_tagged(envelopes), config, ["source_table"]))
+
+
+def route_as_of(envelopes: DataFrame, versions: DataFrame) -> DataFrame:
+    """``route`` by the configuration that was in force at each row's own time, so that a replay gives the same whenever it runs.
+
+    Spark broadcasts the versions by its own threshold and splits hot tables beyond it.
+    """
+    rows, v = _tagged(envelopes).alias("r"), versions.alias("v")
+    holds = ((F.col("r.source_table") == F.col("v.source_table")) & (F.col("_ever") | (F.col("ts_ms") >= F.col("valid_from")))
+             & (F.col("valid_to").isNull() | (F.col("ts_ms") < F.col("valid_to"))))
+    joined = rows.join(v, holds).select("r.*", *[F.col(c) for c in CONFIG_FIELDS[1:]], "valid_from")
+    return _routed(joined)
+
+
+def _routed(joined: DataFrame) -> DataFrame:
     wanted = F.split("sink_columns", ",")
     return joined.withColumn("cells", F.map_filter("_row", lambda k, _: F.array_contains(wanted, k))).withColumn(
         "row_key", F.col("_row")[F.col("sink_row_key")]).drop("_row")

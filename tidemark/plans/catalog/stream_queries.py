@@ -362,7 +362,7 @@ def g6_latest_after_wait_stream(spark: SparkSession, sf: str) -> DataFrame:
 SELECT DISTINCT user_id, strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d') AS day FROM cart_info WHERE op <> 'u' OR sku_num > old_num""")
 def g7_first_cart_add_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Cart additions as the batch form selects them, from slices of the cart's change log."""
-    firsts = lambda log: jobs.first_of_day(C.cart_adds(log).select("user_id", "ts_ms"), ["user_id"], "ts_ms", "UTC")
+    firsts = lambda log: jobs.first_of_day(C.cart_adds(log).select("user_id", "ts_ms"), ["user_id"], "ts_ms", "UTC", "0 seconds")
     out = over_slices(spark, T.cart_envelopes(spark, sf), "ts_ms", firsts, "cart-first")
     return out.select("user_id", S.ms_to_date(F.col("ts_ms"), "UTC").alias("day"))
 
@@ -373,6 +373,39 @@ def g8_whole_record_dedup_stream(spark: SparkSession, sf: str) -> DataFrame:
     return finished(rows.unionByName(L.device_and_search(log_stream(spark, sf))).dropDuplicates(), spark, "dedup")
 
 
+@query("g8_daily_dedup_stream", using("log") + f"SELECT DISTINCT uid, ts, vc, ch, ar, os, md, ba, search_item FROM ({DEVICE_SQL})")
+def g8_daily_dedup_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Each record twice, an hour's part of a day apart at most: repeats go by the hash of the record, days are forgotten in turn."""
+    rows = L.device_and_search(T.app_log(spark, sf))
+    again = rows.unionByName(rows).withColumn("_hash", F.xxhash64(*rows.columns))
+    return over_slices(spark, again, "ts", lambda s: jobs.drop_repeats(s, ["_hash"], "ts", "UTC"), "daily-dedup").drop("_hash")
+
+
+_AS_OF = """
+  SELECT r.*, c.sink_table, c.valid_from FROM rows_ r JOIN (
+    SELECT *, ts_ms AS valid_from, lead(ts_ms) OVER (PARTITION BY source_table ORDER BY ts_ms) AS valid_to FROM config) c
+  ON r.source_table = c.source_table AND (c.op = 'r' OR r.ts_ms >= c.valid_from) AND (valid_to IS NULL OR r.ts_ms < valid_to) WHERE c.op <> 'd'"""
+_AS_OF_ROWS = "SELECT sink_table, row_key, op, CAST(ts_ms AS BIGINT) AS ts_ms, CAST(valid_from AS BIGINT) AS valid_from FROM (SELECT *, id AS row_key FROM a_)"
+
+
+@query("d17_config_as_of", using("config", rows_=_DIM_ROWS, a_=_AS_OF) + _AS_OF_ROWS)
+def d17_config_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes routed by the configuration of their own time."""
+    versions = C.config_versions(C.config_changes(T.config_envelopes(spark, sf)))
+    routed = C.route_as_of(C.valid_changes(T.dim_envelopes(spark, sf), "shop"), versions)
+    return routed.select("sink_table", "row_key", "op", "ts_ms", "valid_from")
+
+
+@query("d17_config_as_of_stream", using("config", rows_=_DIM_ROWS, a_=_AS_OF) + _AS_OF_ROWS)
+def d17_config_as_of_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from slices of the change log, all of them run long after the last change of the configuration."""
+    out, checkpoint = paths(spark, "as-of")
+    topic = T.dim_envelopes(spark, sf).select(F.to_json(F.struct("*")).alias("value"), F.col("ts_ms").cast("bigint").alias("at"))
+    config = C.config_changes(T.config_envelopes(spark, sf))
+    in_slices(spark, topic, "at", lambda s: jobs.dim_sync(s.select("value"), lambda: config, "shop", out, checkpoint, as_of=True))
+    return spark.read.option("basePath", out).parquet(out).select("sink_table", "row_key", "op", "ts_ms", "valid_from")
+
+
 @query("g10_strictly_newer_stream", using("log") + """
 SELECT uid, ts, during_time FROM (
   SELECT *, max(during_time) OVER (PARTITION BY uid ORDER BY ts, during_time ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m

@@ -91,17 +91,26 @@ def split_repaired_log(
 
 
 def dim_sync(
-    values: DataFrame, read_config: Callable[[], DataFrame], db: str, path: str, checkpoint: str
+    values: DataFrame, read_config: Callable[[], DataFrame], db: str, path: str, checkpoint: str, as_of: bool = False
 ) -> None:
-    """Route every batch by the configuration in force when it runs and add it to the dimension change log."""
+    """Route every batch by the configuration in force when it runs and add it to the dimension change log.
+
+    ``as_of``: by the configuration in force at each row's time instead, which a replay finds again as long as the configuration's own change
+    log is there. Rows from before a table was last emptied then stay in the log, and are left out when it is read.
+    """
 
     run = sinks.run_of(values.sparkSession, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        routed = C.route(C.valid_changes(parse_envelopes(batch), db), C.active_config(read_config()))
-        kept = routed.filter(F.col("emptied_at").isNull() | (F.col("ts_ms") > F.col("emptied_at")))
+        changes = C.valid_changes(parse_envelopes(batch), db)
+        if as_of:
+            kept = C.route_as_of(changes, C.config_versions(read_config()))
+        else:
+            routed = C.route(changes, C.active_config(read_config()))
+            kept = routed.filter(F.col("emptied_at").isNull() | (F.col("ts_ms") > F.col("emptied_at")))
+        version = ["valid_from"] if as_of else []
         sinks.write_changes(
-            kept.select("sink_table", "sink_family", "row_key", "cells", "op", "ts_ms"), path, batch_id, run=run)
+            kept.select("sink_table", "sink_family", "row_key", "cells", "op", "ts_ms", *version), path, batch_id, run=run)
 
     each_batch(values, write, checkpoint)
 
@@ -263,11 +272,30 @@ def keyword_counts_by_source(values: DataFrame, size: str = "5 seconds", delay:
     return windows.tumble(found, F.col("et"), size, ["keyword"], [F.count(F.lit(1)).alias("keyword_count")], tz)
 
 
-def first_of_day(df: DataFrame, keys: Sequence[str], ms: str, tz: str = S.BUSINESS_TZ) -> DataFrame:
-    """One row per key and day. ``dropDuplicatesWithinWatermark`` would forget keys within the day."""
+def first_of_day(df: DataFrame, keys: Sequence[str], ms: str, tz: str = S.BUSINESS_TZ, delay: str | None = None) -> DataFrame:
+    """One row per key and day. ``dropDuplicatesWithinWatermark`` would forget keys within the day.
+
+    With ``delay`` a day's keys are forgotten once the watermark has passed the day, as nothing of it comes any more; else they are kept.
+    """
+    if delay is not None:
+        return drop_repeats(df, keys, ms, tz, delay)
     return df.withColumn("_day", S.ms_to_day(F.col(ms), tz)).dropDuplicates([*keys, "_day"]).drop("_day")
 
 
+def drop_repeats(df: DataFrame, keys: Sequence[str], ms: str, tz: str = S.BUSINESS_TZ, delay: str = "0 seconds") -> DataFrame:
+    """One row per value of ``keys`` and day, with a state of the days that the watermark has not passed.
+
+    The original keeps whole records for ever. Here repeats within a day are dropped, and one of another day counts as new. Pass a
+    record's hash as key to keep the state narrow.
+    """
+    ahead = F.to_utc_timestamp(F.lit("1970-01-02 00:00:00"), tz)  # where a day of the zone starts, in UTC
+    start = F.pmod(F.unix_seconds(ahead), F.lit(86_400))
+    timed = with_event_time(df, ms, delay, "_et")
+    offset = df.sparkSession.range(1).select(start).first()[0]
+    day = F.window("_et", "1 day", "1 day", f"{offset} seconds")
+    return timed.withColumn("_day", day).dropDuplicates([*keys, "_day"]).drop("_day", "_et")
+
+
 def province_orders(
     details: DataFrame, provinces: DataFrame, size: str = "1 second", delay: str = "0 seconds", tz: str = S.BUSINESS_TZ
 ) -> DataFrame:
