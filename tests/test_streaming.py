@@ -391,3 +391,23 @@ def test_rows_are_routed_by_the_configuration_of_their_time(spark):
         jobs.dim_sync(spark.readStream.text(f"{base}/topic"), lambda: config, "shop", f"{base}/out", f"{base}/checkpoint", as_of=True)
     rows = spark.read.option("basePath", f"{base}/out").parquet(f"{base}/out").collect()
     assert {(r["row_key"], r["sink_table"], len(r["cells"])) for r in rows} == {("1", "old", 1), ("2", "old", 1), ("3", "new", 2), ("4", "new", 2)}
+
+
+def test_dimensions_are_read_from_a_snapshot_and_the_changes_after_it(spark, sf):
+    base, log = new_path(spark, "snapshots"), T.dim_envelopes(spark, sf)
+    config = C.config_changes(T.config_envelopes(spark, sf))
+    pick = lambda df: bag(df.select("sink_table", "row_key", F.to_json("cells").alias("cells")))
+    for k, part in enumerate(("ts_ms < 100", "ts_ms = 100", "ts_ms = 200", "ts_ms >= 300")):
+        sinks.append_values(cdc.to_values(log.filter(part)), f"{base}/topic")
+        jobs.dim_sync(spark.readStream.text(f"{base}/topic"), lambda: config, "shop", f"{base}/out", f"{base}/checkpoint")
+        if k in (1, 2):
+            jobs.snapshot_dims(spark, f"{base}/out", f"{base}/snapshots")
+    whole = pick(jobs.read_dims(spark, f"{base}/out", config))
+    assert pick(jobs.read_dims(spark, f"{base}/out", config, f"{base}/snapshots")) == whole == pick(dim_sync(cdc.to_values(log), config, "shop"))
+    # A snapshot without its manifest, as one that was cut off, does not count.
+    spark.range(1).write.parquet(f"{base}/snapshots/rows/snapshot=9")
+    read = jobs._dim_changes(spark, f"{base}/out", f"{base}/snapshots")
+    assert pick(jobs.read_dims(spark, f"{base}/out", config, f"{base}/snapshots")) == whole
+    assert {r["batch_id"] for r in read.select("batch_id").distinct().collect()} == {None, 3}
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "batch_id" in plan

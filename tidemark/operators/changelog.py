@@ -215,6 +215,17 @@ def dim_cells(routed: DataFrame) -> DataFrame:
     )
 
 
+def last_changes(routed: DataFrame) -> DataFrame:
+    """Routed rows that are enough for ``merge_dims``, also together with later ones: of each cell the last, and the last delete of a row."""
+    last = dim_cells(routed).groupBy("sink_table", "row_key", "name").agg(F.max(F.struct("ts_ms", "value", "sink_family")).alias("_c"))
+    gone = F.col("name").isNull()
+    cells = last.select("sink_table", F.col("_c.sink_family").alias("sink_family"), "row_key", "name", F.col("_c.value").alias("value"),
+                        F.when(gone, F.lit(DELETE)).otherwise(F.lit(UPDATE)).alias("op"), F.col("_c.ts_ms").alias("ts_ms"))
+    # At most one entry per configured column.
+    entries = F.collect_list(F.when(F.col("name").isNotNull(), F.struct("name", "value")))
+    return cells.groupBy("sink_table", "sink_family", "row_key", "op", "ts_ms").agg(F.map_from_entries(F.array_sort(entries)).alias("cells"))
+
+
 def merge_dims(routed: DataFrame) -> DataFrame:
     """The dimension tables after all routed rows: one row per (sink table, row key) with its cells.
 

@@ -206,6 +206,25 @@ def b5_dim_merge_stream(spark: SparkSession, sf: str) -> DataFrame:
     return merged.select("sink_table", "row_key", F.explode("cells").alias("name", "value"))
 
 
+@query("b5_dim_snapshot_stream", using("active_config", all_rows=_DIM_ROWS, rows_=_KEPT, cells_=_CELLS) + _MERGED)
+def b5_dim_snapshot_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The dimensions from a snapshot that is renewed after each slice but the last, and the changes after it."""
+    out, checkpoint = paths(spark, "dims-snapshot")
+    config = C.config_changes(T.config_envelopes(spark, sf))
+    topic = T.dim_envelopes(spark, sf).select(F.to_json(F.struct("*")).alias("value"), F.col("ts_ms").cast("bigint").alias("at"))
+    done = []
+
+    def run(landed: DataFrame) -> None:
+        if done:
+            jobs.snapshot_dims(spark, out, f"{out}-snapshots")
+        jobs.dim_sync(landed.select("value"), lambda: config, "shop", out, checkpoint)
+        done.append(1)
+
+    in_slices(spark, topic, "at", run)
+    merged = jobs.read_dims(spark, out, config, f"{out}-snapshots")
+    return merged.select("sink_table", "row_key", F.explode("cells").alias("name", "value"))
+
+
 @query("b6_dim_lifecycle_stream", using("active_config", all_rows=_DIM_ROWS, rows_=_KEPT, cells_=_CELLS) + _MERGED)
 def b6_dim_lifecycle_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Early changes are routed before any table is re-created or deleted, later ones after; what is read at the end is what

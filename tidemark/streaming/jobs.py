@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,13 +116,57 @@ def dim_sync(
     each_batch(values, write, checkpoint)
 
 
-def read_dims(spark: SparkSession, path: str, config_changes: DataFrame) -> DataFrame:
+#: Columns of the dimension change log that its tables come from.
+DIM_CHANGES = ["sink_table", "sink_family", "row_key", "cells", "op", "ts_ms"]
+
+
+def _manifest(spark: SparkSession, snapshots: str) -> tuple[str | None, dict[str, int]]:
+    """The newest whole snapshot's folder, and up to which batch of each run it holds the changes."""
+    try:
+        rows = spark.read.option("basePath", f"{snapshots}/manifest").schema("run string, upto bigint, snapshot bigint").parquet(f"{snapshots}/manifest")
+        newest = rows.agg(F.max("snapshot")).first()[0]
+    except AnalysisException:  # none yet
+        newest = None
+    if newest is None:
+        return None, {}
+    held = rows.filter(F.col("snapshot") == newest).collect()  # a row for each run
+    return f"{snapshots}/rows/snapshot={newest}", {r["run"]: r["upto"] for r in held}
+
+
+def _dim_changes(spark: SparkSession, path: str, snapshots: str | None) -> DataFrame:
+    """All changes, or those of the newest snapshot and of the batches after it: the folders of others are not read."""
+    changes = spark.read.option("basePath", path).parquet(path)
+    folder, held = _manifest(spark, snapshots) if snapshots else (None, {})
+    if folder is None:
+        return changes.select(*DIM_CHANGES, "run", "batch_id")
+    for run, upto in held.items():
+        changes = changes.filter((F.col("run") != run) | (F.col("batch_id") > upto))
+    old = spark.read.parquet(folder).withColumn("run", F.lit(None).cast("string")).withColumn("batch_id", F.lit(None).cast("int"))
+    return changes.select(*DIM_CHANGES, "run", "batch_id").unionByName(old.select(*DIM_CHANGES, "run", "batch_id"))
+
+
+def snapshot_dims(spark: SparkSession, path: str, snapshots: str) -> None:
+    """Write what the dimension changes so far come to, from the snapshot before and the batches after it.
+
+    The manifest, which says what a snapshot holds, is written last: without it a snapshot does not count, so one that was cut off
+    does no harm. Run it when no batch is being written.
+    """
+    batches = spark.read.option("basePath", path).parquet(path).groupBy("run").agg(F.max("batch_id").cast("bigint").alias("upto"))
+    batches = spark.createDataFrame(batches.collect(), "run string, upto bigint")  # as it is now; a row for each run
+    folder, _ = _manifest(spark, snapshots)
+    number = int(folder.rpartition("=")[2]) + 1 if folder else 0
+    C.last_changes(_dim_changes(spark, path, snapshots)).select(*DIM_CHANGES).write.mode("overwrite").parquet(f"{snapshots}/rows/snapshot={number}")
+    batches.write.mode("overwrite").parquet(f"{snapshots}/manifest/snapshot={number}")
+
+
+def read_dims(spark: SparkSession, path: str, config_changes: DataFrame, snapshots: str | None = None) -> DataFrame:
     """The dimension tables behind ``dim_sync`` under the configuration as it now is: tables no longer configured are gone,
-    and so are rows from before their table was last dropped or re-created, whichever batch wrote them."""
+    and so are rows from before their table was last dropped or re-created, whichever batch wrote them. With ``snapshots`` only the newest
+    snapshot and the changes after it are read."""
     config = C.active_config(config_changes).select("sink_table", "emptied_at")
-    changes = lookup_join(spark.read.option("basePath", path).parquet(path), config, ["sink_table"])
+    changes = lookup_join(_dim_changes(spark, path, snapshots).drop("run", "batch_id"), config, ["sink_table"])
     alive = changes.filter(F.col("emptied_at").isNull() | (F.col("ts_ms") > F.col("emptied_at")))
-    return C.merge_dims(alive.drop("emptied_at", "run", "batch_id"))
+    return C.merge_dims(alive.drop("emptied_at"))
 
 
 def upsert(df: DataFrame, keys: Sequence[str], order: Sequence[str], path: str, checkpoint: str) -> None:
