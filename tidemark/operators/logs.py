@@ -74,6 +74,16 @@ def repair_is_new(log: DataFrame, tz: str = S.BUSINESS_TZ, limit: int | None = N
     return with_common(joined, "is_new", fixed).select(*log.columns)
 
 
+def repaired_checked(checked: DataFrame, tz: str = S.BUSINESS_TZ, limit: int | None = None) -> DataFrame:
+    """``repair_is_new`` of the records of ``checked_log``; dirty texts stay among them."""
+    mid = F.when(F.col("_clean"), F.col("_r.common.mid"))
+    joined = lookup_join(checked.withColumn("mid", mid), stored_dates(_records(checked), tz), ["mid"], "left", limit)
+    wrong = (F.col("_r.common.is_new") == "1") & (S.ms_to_day(F.col("_r.ts"), tz) != F.col("stored"))
+    fixed = F.when(wrong, F.lit("0")).otherwise(F.col("_r.common.is_new"))
+    common = F.when(F.col("_r.common").isNotNull(), F.col("_r.common").withField("is_new", fixed))
+    return joined.withColumn("_r", F.col("_r").withField("common", common)).select(*checked.columns)
+
+
 # -- five-way split -----------------------------------------------------------------------------------
 
 def error_log(log: DataFrame) -> DataFrame:

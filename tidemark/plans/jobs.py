@@ -44,10 +44,9 @@ def dwd_base_log(values: DataFrame, tz: str = S.BUSINESS_TZ) -> dict[str, DataFr
 
 
 def dwd_base_log_outputs(values: DataFrame, tz: str = S.BUSINESS_TZ) -> DataFrame:
-    """The same as one table (output, value), to be written by ``output``: the log is parsed and repaired once."""
-    repaired = logs.repair_is_new(logs.parsed_log(values), tz)
-    dirty = logs.dirty_rows(values).select(F.lit("dirty").alias("output"), "value")
-    return logs.tagged_outputs(repaired).unionByName(dirty)
+    """The same as one table (output, value), to be written by ``output``. The log is read twice: once for the first day of each
+    device, for which only three fields are parsed, and once for all outputs, dirty texts among them."""
+    return logs.tagged_texts(logs.repaired_checked(logs.checked_log(values), tz))
 
 
 def dwd_comment(topic_db: DataFrame, dictionary: DataFrame) -> DataFrame:
