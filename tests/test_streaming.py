@@ -350,8 +350,8 @@ def test_a_hot_key_is_held_by_slices(spark, one_key, monkeypatch):
     most = rows.groupBy(F.floor(F.col("ts") / stateful.SLICE_MS)).count().agg(F.max("count")).first()[0]
 
     class Watched(stateful.StrictlyNewer):
-        def _take(self, part):
-            found = super()._take(part)
+        def _take(self, part, pieces):
+            found = super()._take(part, pieces)
             assert len(found) <= most, len(found)
             return found
 

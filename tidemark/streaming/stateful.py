@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from datetime import datetime, timezone
+from random import getrandbits
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -72,23 +73,25 @@ class _PerKey(StatefulProcessor):
         self.at = list(self.held_names).index(self.ms)
         self.state = handle.getValueState("state", self.state_schema)
         self.last = handle.getValueState("last", "ms bigint")
-        # Of each slice the number of its pieces, and the pieces.
-        self.slices = handle.getMapState("slices", "slice bigint", "pieces bigint")
+        # A slice's rows in pieces, whose numbers only tell them apart.
         self.waiting = handle.getMapState("waiting", "slice bigint, piece bigint", f"rows array<struct<{self.held_schema}>>")
 
     def _put(self, part: int, rows: list[tuple]) -> None:
-        pieces = self.slices.getValue((part,))[0] if self.slices.containsKey((part,)) else 0
         for k in range(0, len(rows), PIECE):
-            self.waiting.updateValue((part, pieces), (rows[k:k + PIECE],))
-            pieces += 1
-        self.slices.updateValue((part,), (pieces,))
+            self.waiting.updateValue((part, getrandbits(62)), (rows[k:k + PIECE],))
 
-    def _take(self, part: int) -> list[Row]:
+    def _slices(self) -> dict[int, list[int]]:
+        """The pieces of each slice."""
+        found: dict[int, list[int]] = {}
+        for part, piece in self.waiting.keys():
+            found.setdefault(part, []).append(piece)
+        return found
+
+    def _take(self, part: int, pieces: Sequence[int]) -> list[Row]:
         rows: list[Row] = []
-        for piece in range(self.slices.getValue((part,))[0]):
+        for piece in pieces:
             rows += [self.input(*values) for values in self.waiting.getValue((part, piece))[0]]
             self.waiting.removeKey((part, piece))
-        self.slices.removeKey((part,))
         return rows
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
@@ -111,24 +114,24 @@ class _PerKey(StatefulProcessor):
                 put_all()
         put_all()
         if self.hand_on:
-            return self._fold_now(key, sorted(newest))
+            return self._fold_now(key)
         for ms in newest.values():
             self.handle.registerTimer(int(ms))
         return iter(())
 
-    def _fold_now(self, key, parts: Sequence[int]) -> Iterator[Row]:
+    def _fold_now(self, key) -> Iterator[Row]:
         timed = Row(*self.out, self.hand_on)
         at = list(self.out).index(self.ms)
-        for part in parts:
-            ready = sorted(self._take(part), key=lambda r: [_comparable(r[c]) for c in self.order])
+        for part, pieces in sorted(self._slices().items()):
+            ready = sorted(self._take(part, pieces), key=lambda r: [_comparable(r[c]) for c in self.order])
             for row in self.fold(key, ready) if self.keep is None else self.fold_apart(key, ready):
                 yield timed(*row, datetime.fromtimestamp(row[at] / 1000, timezone.utc))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs()
         none = True
-        for part in sorted(part for (part,) in self.slices.keys() if part * SLICE_MS <= passed):
-            ready = self._take(part)
+        for part, pieces in sorted((part, pieces) for part, pieces in self._slices().items() if part * SLICE_MS <= passed):
+            ready = self._take(part, pieces)
             rest = [_plain(r) for r in ready if r[self.at] > passed]
             if rest:  # of the slice that the watermark is in; a timer of theirs is still to come
                 self._put(part, rest)
