@@ -17,8 +17,8 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of text handled at once, and words that are Python objects at once.
 BLOCK = 1 << 18
 PIECE = 1 << 15
-#: Hashes of different words that are kept.
-KEPT = 1 << 16
+#: Hashes that are kept by a Python worker: of so many different words, none of more bytes than this.
+KEPT, KEPT_BYTES = 1 << 16, 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -32,12 +32,17 @@ class _Hashes(dict):
     """The hash of each word asked for, kept for the next time."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= KEPT_BYTES:
+            if len(self) >= KEPT:
+                self.clear()
+            self[word] = h
         return h
 
 
+_kept = _Hashes()
+
+
 def blocks(texts: Sequence[bytes], size: int = BLOCK) -> Iterator[tuple[int, int]]:
     """Ranges of texts with about ``size`` bytes in each; a longer text is a block of its own."""
     start = held = 0
@@ -73,9 +78,9 @@ class Words:
             yield a, b, self.data[self.start[a]:self.end[b - 1]].tobytes().split()
 
     def hashes(self) -> np.ndarray:
-        out, kept = np.empty(len(self.start), np.uint64), _Hashes()
+        out = np.empty(len(self.start), np.uint64)
         for a, b, words in self.pieces():
-            out[a:b] = np.fromiter(map(kept.__getitem__, words), np.uint64, b - a)
+            out[a:b] = np.fromiter(map(_kept.__getitem__, words), np.uint64, b - a)
         return out
 
 
