@@ -323,6 +323,27 @@ def test_wrapped_licences_are_found(spark, sf):
     assert found[n]["families"] == "isc,mpl" and found[n + 1]["families"] == ""
 
 
+def test_other_licences_are_unknown_and_denied_ones_none(spark, sf):
+    model = licences.fit(spark.read.parquet(f"{sf}/documents.parquet"))
+    want = {
+        "Licensed under the Eclipse Public License 2.0": "unknown", "SPDX-License-Identifier: EPL-2.0": "unknown", "Released under the zlib license": "unknown",
+        "Licensed under the EUPL": "unknown", "Distributed under the Boost Software License": "unknown", "Licensed under CC BY-NC-SA 4.0.": "unknown",
+        "Licensed under the Made Up Public License 2.0.": "unknown", "SPDX-License-Identifier: Madeup-2.0": "unknown",
+        "Not licensed under the MIT License.": "none", "This work is not licensed under the GNU General Public License, version 3.": "none",
+        "This file is no longer licensed under the Mozilla Public License 2.0.": "none", "He showed a driver license at the gate.": "none",
+        "\n".join(licences.NOTICES["mit"][3].split()): "mit", "\n".join(["// x y", *("// " + w for w in licences.NOTICES["bsd"][0].split())]): "bsd",
+        "a b c\n" * 20_000 + licences.NOTICES["cc0"][0]: "cc0",
+    }
+    want.update({t: family for family, found in licences.NOTICES.items() for t in found})
+    rows = list(enumerate(want))
+    got = {r["doc_id"]: r["family"] for r in licences.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), model).collect()}
+    wrong = [(t[:80], want[t], got[k]) for k, t in rows if got[k] != want[t]]
+    assert not wrong, wrong
+    # Every notice's own words in another order are confirmed by nothing.
+    turned = [(k, " ".join(reversed(t.split()))) for k, t in enumerate(t for f in licences.NOTICES.values() for t in f if len(t.split()) > 6)]
+    assert {r["families"] for r in licences.scan(spark.createDataFrame(turned, "doc_id bigint, text string"), model).collect()} == {""}
+
+
 # -- 8 ------------------------------------------------------------------------------------------------------------
 
 
