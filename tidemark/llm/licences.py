@@ -141,11 +141,22 @@ def _lines(spark: SparkSession, rows: Sequence[tuple[str, str]]) -> DataFrame:
     return spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(a).alias("family"), F.lit(t).alias("line")) for a, t in rows])).alias("r")).select("r.*")
 
 
-def paragraphs_of(lines: Column) -> Column:
-    """Structs (no, words, rest: those behind the first line) of the paragraphs of ``lines`` (words of each line), which has to be a column. Any
-    notice in a run of lines lies in one of them: lines up to a blank one have a word each, so as many lines as the longest notice has words
-    hold all of it."""
-    most = max(len(_plain_words(t)) for found in (*NOTICES.values(), OTHER_NOTICES) for t in found)
+def longest() -> int:
+    """Words of the longest notice."""
+    return max(len(_plain_words(t)) for found in (*NOTICES.values(), OTHER_NOTICES) for t in found)
+
+
+def starts_of(marked: Column) -> Column:
+    """Numbers of the lines whose paragraphs can hold a marked line. ``marked`` has to be a column, not an expression."""
+    return F.when(F.size(marked) > 0, F.filter(
+        F.sequence(F.lit(0), F.size(marked) - 1), lambda i: F.exists(F.slice(marked, i + 1, longest() + 1), lambda m: m)))
+
+
+def paragraphs_of(lines: Column, starts: Column) -> Column:
+    """Structs (no, words, rest: those behind the first line) of the paragraphs that begin at the lines ``starts`` of ``lines`` (words of each
+    line), which has to be a column. Any notice in a run of lines lies in one of them: lines up to a blank one have a word each, so as many
+    lines as the longest notice has words hold all of it."""
+    most = longest()
     empty = F.array().cast("array<string>")
     unit = lambda w, i, rest=empty: F.struct(i.alias("no"), w.alias("words"), rest.alias("rest"))
     bound = lambda column, make: F.flatten(F.transform(F.array(column), make))  # noqa: E731  (computes the column once)
@@ -169,8 +180,9 @@ def paragraphs_of(lines: Column) -> Column:
         return F.when(F.size(w) > 2 * most, F.transform(F.sequence(F.lit(1), F.size(w), F.lit(most)), lambda k: unit(F.slice(w, k, 2 * most), i)))
 
     none = F.array().cast("array<struct<no:int,words:array<string>,rest:array<string>>>")
-    return F.flatten(F.transform(lines, lambda w, i: F.concat(
-        F.array(unit(w, i)), F.coalesce(wrapped(w, i), none), F.coalesce(parts(w, i), none))))
+    line = lambda i: F.element_at(lines, i + 1)
+    return F.flatten(F.transform(starts, lambda i: F.concat(
+        F.array(unit(line(i), i)), F.coalesce(wrapped(line(i), i), none), F.coalesce(parts(line(i), i), none))))
 
 
 def pairs_of(words: Column) -> Column:
@@ -192,7 +204,7 @@ def training_lines(docs: DataFrame) -> DataFrame:
         "family", F.filter("words", lambda w, i: i + 1 != F.col("k")).alias("words"), "held_out")
     some = docs.filter("text is not null").select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(CORPUS_DOCUMENTS)
     split = some.select(F.transform(F.split("text", "\n"), words_of).alias("lines"))
-    lines = split.select(F.explode(paragraphs_of(F.col("lines"))["words"]).alias("words")).select(F.lit(NONE).alias("family"), "words")
+    lines = split.select(F.explode(paragraphs_of(F.col("lines"), F.sequence(F.lit(0), F.size("lines") - 1))["words"]).alias("words")).select(F.lit(NONE).alias("family"), "words")
     notice = F.exists("words", lambda w: F.startswith(w, F.lit("licen")) | (w == "copyright"))
     shares = [100 * F.size(F.array_intersect(F.array(*map(F.lit, t.words)), F.col("words"))) >= MIN_SHARED * len(t.words) for found in templates().values() for t in found]
     plain = lines.filter((F.size("words") > 0) & ~notice).filter(~F.array_contains(F.array(*shares), True))
@@ -275,7 +287,9 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     rare = F.array(*map(F.lit, anchors()))
     read = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     hit = read.select("doc_id", F.when(F.arrays_overlap(words_of(F.col("text")), rare), F.split("text", "\n")).alias("lines"))
-    split = hit.select("doc_id", F.transform("lines", words_of).alias("lines")).select("doc_id", paragraphs_of(F.col("lines")).alias("lines"))
+    split = hit.select("doc_id", F.transform("lines", words_of).alias("lines")).select(
+        "doc_id", "lines", F.transform("lines", lambda w: F.arrays_overlap(w, rare)).alias("marked")).select(
+        "doc_id", paragraphs_of(F.col("lines"), starts_of(F.col("marked"))).alias("lines"))
     chosen = split.select("doc_id", F.filter("lines", lambda x: F.arrays_overlap(x["words"], rare)).alias("lines"))
     known = F.array(*map(F.lit, sorted(model.weights)))
     grams = chosen.select("doc_id", F.transform("lines", lambda x: F.struct(
