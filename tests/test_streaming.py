@@ -360,6 +360,15 @@ def test_a_hot_key_is_held_by_slices(spark, one_key, monkeypatch):
     assert bag(out) == bag(keyed.strictly_newer(rows, "k", "v", "ts")) and most < 1_000
 
 
+def test_state_is_kept_for_many_keys_at_once(spark):
+    """Keys and hours of one row each do not cost a state row each, while they wait or after."""
+    rows = spark.range(6_000).select(F.col("id").cast("string").alias("k"), (F.col("id") * 3_600_000 + 86_400_000).alias("ts"), F.col("id").alias("v"))
+    base = new_path(spark, "many")
+    progress = jobs.append_to(stateful.strictly_newer(in_batches(spark, rows, "ts", 2), "k", "v", "ts"), f"{base}/out", f"{base}/checkpoint")
+    assert spark.read.parquet(f"{base}/out").count() == 6_000
+    assert max(jobs.state_rows(progress)) < 6_000
+
+
 def test_daily_deduplication_keeps_a_day_of_state(spark):
     """Thirty days of rows, each twice on its day: the state never holds more than two days of them."""
     n = F.col("id")
