@@ -1,14 +1,17 @@
 """Streaming forms over several micro-batches, late rows, and replayed batches."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from tidemark.operators import changelog as C
 from tidemark.operators import keyed, logs
 from tidemark.operators.intervals import interval_join
 from tidemark.plans import standins as T
 from tidemark.plans.jobs import dim_sync
-from tidemark.session import new_path
+from tidemark.session import new_path, shared_dir
 from tidemark.sources import cdc, sinks
 from tidemark.streaming import jobs, stateful
 
@@ -336,6 +339,33 @@ def test_landing_a_batch_twice_changes_nothing(spark, sf):
         assert bag(cdc.landed_changes(spark, place).select(F.to_json(F.struct("*")).alias("v"))) == want
 
 
+def test_slices_are_stored_once(spark):
+    """What lands for a stream is not stored a second time, and all of it is read."""
+    from tidemark.plans.catalog.stream_queries import in_slices
+
+    base = Path(shared_dir(spark)) / "tidemark"
+    before = set(base.glob("*"))
+    seen = []
+    rows = spark.range(300).select((F.col("id") * 1_000).alias("ts"))
+    in_slices(spark, rows, "ts", lambda s: seen.append(s.isStreaming))
+    stored = [spark.read.parquet(str(p)).count() for p in set(base.glob("*")) - before]
+    assert seen == [True] * 3 and sum(stored) == 300
+
+
+def test_compaction_needs_no_shuffle(spark, monkeypatch):
+    """Tables are read one by one; what is written has no exchange, and writing by table no sort."""
+    rows = spark.range(40).select(F.col("id").cast("string").alias("id"), F.col("id").alias("ts_ms"))
+    path = new_path(spark, "landing")
+    for batch, name in enumerate(("order_info", "cart_info", "order_info")):
+        cdc.land_changes(cdc.to_values(cdc.cdc_snapshot(rows, name)), path, batch)
+    plans = []
+    write = DataFrame.write.fget
+    monkeypatch.setattr(DataFrame, "write", property(lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df)))
+    cdc.compact_landed(spark, path, f"{path}-compact")
+    assert plans and not any("Exchange" in plan for plan in plans)
+    assert cdc.landed_changes(spark, f"{path}-compact").count() == 120
+
+
 def test_late_rows_are_counted(spark):
     rows = spark.createDataFrame([(0, 1_000), (1, 100_000), (2, 100_500), (3, 2_000), (4, 3_000), (5, 200_000)], "batch bigint, ts bigint")
     timed = cdc.with_event_time(in_batches(spark, rows, "batch", 6), "ts", "3 seconds")
