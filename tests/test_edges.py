@@ -285,3 +285,72 @@ def test_landed_changes_are_selected_by_folder_and_not_parsed(spark, sf):
     plan = C.order_details(landed(spark, sf))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "order_detail" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
     assert "from_json" not in plan and C.order_details(landed(spark, sf)).count() > 0
+
+
+def test_copied_side_of_an_interval_join_does_not_matter(spark):
+    left = spark.range(200).select((F.col("id") % 7).alias("k"), F.when(F.col("id") % 11 > 0, F.col("id") * 13 % 997 - 300).alias("a"))
+    right = spark.range(300).select((F.col("id") % 9).alias("k"), F.when(F.col("id") % 13 > 0, F.col("id") * 17 % 997 - 300).alias("b"))
+    near = F.col("b").between(F.col("a") - 40, F.col("a") + 25)
+    want = sorted(map(tuple, left.join(right, "k").filter(near).select("k", "a", "b").collect()))
+    assert want
+    for copied, span in (("right", 1), ("left", 1), ("left", 4), ("right", 4)):
+        out = intervals.interval_join(left, right, "k", "a", "b", 40, 25, copied, span)
+        assert sorted(map(tuple, out.select("k", "a", "b").collect())) == want
+
+
+def _below(plan, name):
+    """The lines of a plan's text below the first node of that name."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if name in line)
+    depth = lines[at].index(name)
+    rest = lines[at + 1:]
+    end = next((i for i, line in enumerate(rest) if len(line) - len(line.lstrip(" :+-")) <= depth), len(rest))
+    return "\n".join(rest[:end])
+
+
+def test_orders_are_copied_and_not_their_lines(spark):
+    """Each order has several lines, so the lines go to one slice only."""
+    orders = spark.sql("SELECT 'o' id, 'u' uid, 'c' consignee, 0L create_time, '1' original_total_amount, '1' total_amount, 1L province_id, '' pay_time_slot, 0L ts_ms")
+    lines = spark.sql("SELECT 'o' order_id, 'd' id, 1L sku_num, 1L sku_id, 's' sku_name, '1' order_price, '0' split_activity_amount, '0' split_coupon_amount, '1' split_total_amount, 5L ts_ms")
+    joined = intervals.order_with_details(orders, lines)
+    assert joined.count() == 1
+    copied = _below(joined._jdf.queryExecution().analyzed().toString(), "Generate explode")
+    assert "consignee" in copied and "sku_name" not in copied
+
+
+def test_strictly_newer_sends_no_first_slices_to_the_join(spark):
+    """Rows without key or time are left out; a key with a null value first keeps it; later slices see what earlier ones had."""
+    rows = spark.sql("""SELECT * FROM VALUES ('k', 5L, 1L), ('k', 4L, 11L), ('k', 6L, 21L), ('k', 6L, 22L), ('n', NULL, 1L), ('n', NULL, 15L),
+        ('n', 1L, 25L), ('n', NULL, 35L), (NULL, 9L, 1L), ('t', 9L, NULL) AS t(k, v, at)""")
+    out = keyed.strictly_newer(rows, "k", "v", "at", slice_ms=10)
+    assert sorted((r.k, r.at) for r in out.collect()) == [("k", 1), ("k", 21), ("n", 1), ("n", 15), ("n", 25)]
+    assert "isnotnull(_carried" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _scored_sides(spark):
+    models = {"left": tags.LOG_MODELS, "right": tags.ORDER_MODELS}
+    def scores(side, n):
+        return {f"{m}_{b}": F.when((F.col("id") + i + j) % n > 0, F.col("id") * (i + 2) % 5 * 0.1 + j * 0.015).cast("decimal(4,3)")
+                for i, m in enumerate(models[side]) for j, b in enumerate(M.BANDS)}
+    texts = lambda names: {c: F.lit(c) for c in names}
+    ids = spark.range(20)
+    logs_ = ids.select(F.lit("u").alias("uid"), (F.col("id") * 10).alias("ts_ms"), *[v.alias(c) for c, v in {**texts(tags._LOG_COLUMNS), **scores("left", 3)}.items()])
+    orders = ids.select(F.lit("u").alias("uid"), (F.col("id") * 10 + 3).alias("ts_ms"), *[v.alias(c) for c, v in {**texts(tags._ORDER_COLUMNS), **scores("right", 4)}.items()])
+    return logs_, orders
+
+
+def test_pairs_bring_half_sums(spark):
+    """A band is summed on each side before the join; the sums, the best and the level are those of the single scores."""
+    pairs = tags.join_log_and_orders(*_scored_sides(spark), 25)
+    plain = pairs.drop(*[f"{half}_{b}" for half in ("_log", "_order") for b in M.BANDS])
+    for compat in (False, True):
+        fast, slow = (tags.age_level(tags.max_score(tags.band_sums(df, compat))) for df in (pairs, plain))
+        names = [*[f"sum_{b}_score" for b in M.BANDS], "ageLevel", "calculate_age"]
+        rows = sorted(fast.select(names).collect(), key=str)
+        assert len(rows) > 50 and rows == sorted(slow.select(names).collect(), key=str)
+        for r in rows:
+            sums = [r[f"sum_{b}_score"] for b in M.BANDS]
+            assert r.calculate_age == ({f"sum_{M.BANDS[sums.index(max(sums))]}_score": max(sums)} if max(sums) > 0 else {})
+    shown = tags.band_sums(pairs).select("uid", "sum_50_score")._jdf.queryExecution().optimizedPlan().toString()
+    above = shown[:shown.index("Join")]
+    assert "device_" not in above and "amount_" not in above

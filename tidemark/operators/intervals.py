@@ -1,6 +1,6 @@
 """Interval joins: rows of two keyed streams whose times lie within a bound of each other.
 
-In batch the time axis is cut into slices as wide as the interval and the slice is part of the join key.
+In batch the time axis is cut into slices at least as wide as the interval and the slice is part of the join key.
 Each pair meets in exactly one slice, a key's rows spread over the slices, and no task ever sees all
 rows of a hot key.
 """
@@ -17,22 +17,34 @@ DAY = 24 * HOUR
 
 
 def interval_join(
-    left: DataFrame, right: DataFrame, key: str, left_ms: str, right_ms: str, before: int, after: int
+    left: DataFrame, right: DataFrame, key: str, left_ms: str, right_ms: str, before: int, after: int, copied: str = "right",
+    span: int = 1,
 ) -> DataFrame:
     """Inner join on ``key`` where right time is in [left time - before, left time + after] (milliseconds).
 
-    Both bounds are inclusive. ``key`` is named alike on both sides; all other columns must differ.
+    Both bounds are inclusive. ``key`` is named alike on both sides; all other columns must differ. Rows of the ``copied`` side go to all
+    slices they can meet rows in, so name the smaller one. Slices are ``span`` intervals wide: the wider, the fewer copies (1 + 1 / span of
+    a row on average) and the more rows of a key in a slice.
     """
-    width = max(before + after, 1)
-    a = left.withColumn("_slice", F.floor(F.col(left_ms) / F.lit(width)))
-    # Slices of the left times this right row can meet: at most two.
-    low = F.floor((F.col(right_ms) - after) / F.lit(width))
-    high = F.floor((F.col(right_ms) + before) / F.lit(width))
-    b = right.filter(F.col(right_ms).isNotNull()).withColumn("_slice", F.explode(F.sequence(low, high)))
+    width = F.lit(max(before + after, 1) * span)
+    slice_of = lambda at: F.floor(at / width)
+    # Slices of the times that a copied row can meet: at most two.
+    if copied == "right":
+        a = left.withColumn("_slice", slice_of(F.col(left_ms)))
+        met = F.sequence(slice_of(F.col(right_ms) - after), slice_of(F.col(right_ms) + before))
+        b = right.filter(F.col(right_ms).isNotNull()).withColumn("_slice", F.explode(met))
+    else:
+        met = F.sequence(slice_of(F.col(left_ms) - before), slice_of(F.col(left_ms) + after))
+        a = left.filter(F.col(left_ms).isNotNull()).withColumn("_slice", F.explode(met))
+        b = right.withColumn("_slice", slice_of(F.col(right_ms)))
     in_bounds = F.col(right_ms).between(F.col(left_ms) - before, F.col(left_ms) + after)
     return a.join(b, [key, "_slice"]).filter(in_bounds).drop("_slice")
 
 
+#: Slices of an order's join with its lines, in intervals: an order has few lines.
+ORDER_SPAN = 4
+
+
 def order_with_details(
     orders: DataFrame, details: DataFrame, bound: int = 2 * MINUTE, compat: bool = False
 ) -> DataFrame:
@@ -47,7 +59,7 @@ def order_with_details(
     right = details.select(
         "order_id", F.col("id").alias("detail_id"), "sku_num", "sku_id", "sku_name", "order_price",
         "split_activity_amount", "split_coupon_amount", "split_total_amount", F.col("ts_ms").alias("detail_ts_ms"))
-    out = interval_join(left, right, "order_id", "ts_ms", "detail_ts_ms", bound, bound).drop("detail_ts_ms")
+    out = interval_join(left, right, "order_id", "ts_ms", "detail_ts_ms", bound, bound, "left", ORDER_SPAN).drop("detail_ts_ms")
     if compat:
         for name in ("split_activity_amount", "split_total_amount"):
             out = out.withColumn(name, F.col(name).try_cast("double").cast("bigint").cast("string"))
@@ -83,4 +95,4 @@ def trimmed_details(envelopes: DataFrame) -> DataFrame:
 
 
 def trimmed_order_join(orders: DataFrame, details: DataFrame, bound: int = 5 * MINUTE) -> DataFrame:
-    return interval_join(orders, details, "order_id", "ts_ms", "detail_ts_ms", bound, bound).drop("detail_ts_ms")
+    return interval_join(orders, details, "order_id", "ts_ms", "detail_ts_ms", bound, bound, "left", ORDER_SPAN).drop("detail_ts_ms")

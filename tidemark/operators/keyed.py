@@ -69,14 +69,15 @@ def _sliced(df: DataFrame, order_ms: str, width: int) -> DataFrame:
 def strictly_newer(
     df: DataFrame, key: str, value: str, arrival_ms: str, slice_ms: int = HOUR, ties: Sequence[str] | None = None
 ) -> DataFrame:
-    """Rows whose ``value`` exceeds every earlier one of their key, in order of arrival."""
+    """Rows whose ``value`` exceeds every earlier one of their key, in order of arrival. Rows without a key or a time are left out."""
     rest = list(ties) if ties is not None else [c for c in df.columns if c not in (key, arrival_ms)]
-    cut = _sliced(df, arrival_ms, slice_ms)
+    cut = _sliced(df, arrival_ms, slice_ms).filter(F.col(key).isNotNull() & F.col("_slice").isNotNull())
     totals = cut.groupBy(key, "_slice").agg(F.max(value).alias("_m"))
     before = W.partitionBy(key).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    carried = totals.select(key, "_slice", F.max("_m").over(before).alias("_carried"))
+    # Nothing is carried into a key's first slice, so most keys send no row to the join.
+    carried = totals.select(key, "_slice", F.max("_m").over(before).alias("_carried")).filter(F.col("_carried").isNotNull())
     inside = W.partitionBy(key, "_slice").orderBy(arrival_ms, *rest).rowsBetween(W.unboundedPreceding, -1)
-    joined = cut.withColumn("_inside", F.max(value).over(inside)).join(carried, [key, "_slice"])
+    joined = cut.withColumn("_inside", F.max(value).over(inside)).join(carried, [key, "_slice"], "left")
     earlier = F.greatest("_inside", "_carried")  # ignores nulls
     return joined.filter(earlier.isNull() | (F.col(value) > earlier)).select(*df.columns)
 

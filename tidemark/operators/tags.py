@@ -100,38 +100,53 @@ def _sum(models: list[str], band: str) -> Column:
     return F.expr(f"CAST({parts} AS decimal(6,3))")
 
 
+#: The two halves of a band's sum, by the record they come from.
+_HALVES = {"_log": LOG_MODELS, "_order": ORDER_MODELS}
+
+
+def _half_sums(half: str) -> list[Column]:
+    return [_sum(_HALVES[half], band).alias(f"{half}_{band}") for band in M.BANDS]
+
+
+def _band_sum(df: DataFrame, band: str, halves: list[str] | None = None) -> Column:
+    """A band's sum, from its half sums where the rows hold them, else from the single scores."""
+    halves = halves or list(_HALVES)
+    if all(f"{half}_{band}" in df.columns for half in _HALVES):
+        return F.expr(f"CAST({' + '.join(f'`{half}_{band}`' for half in halves)} AS decimal(6,3))")
+    return _sum([model for half in halves for model in _HALVES[half]], band)
+
+
 def band_sums(df: DataFrame, compat: bool = False) -> DataFrame:
     """Add ``sum_<band>_score`` over the six models; ``compat`` leaves out what mixed key spelling misses."""
     sums = {}
     for band in M.BANDS:
-        models = LOG_MODELS + ORDER_MODELS
+        halves = list(_HALVES)
         if compat and band in ORDER_ONLY_BANDS:
-            models = ORDER_MODELS
+            halves = ["_order"]
         elif compat and band in LOG_ONLY_BANDS:
-            models = LOG_MODELS
-        sums[f"sum_{band}_score"] = _sum(models, band)
+            halves = ["_log"]
+        sums[f"sum_{band}_score"] = _band_sum(df, band, halves)
     return df.withColumns(sums)
 
 
+def _highest(totals: dict[str, Column]) -> Column:
+    """(total, name) of the highest total; the first one wins ties."""
+    return F.greatest(*[
+        F.struct(total.alias("total"), F.lit(-i).alias("place"), F.lit(name).alias("name")) for i, (name, total) in enumerate(totals.items())])
+
+
 def age_level(df: DataFrame) -> DataFrame:
     """The band with the highest sum; the first one wins ties."""
-    sums = [_sum(LOG_MODELS + ORDER_MODELS, band) for band in M.BANDS]
-    best = F.greatest(*sums)
-    level = F.lit(None).cast("string")
-    for band, total in reversed(list(zip(M.BANDS, sums))):
-        level = F.when(total == best, F.lit(band)).otherwise(level)
-    return df.withColumn("ageLevel", level)
+    return df.withColumn("ageLevel", _highest({band: _band_sum(df, band) for band in M.BANDS})["name"])
 
 
 def max_score(df: DataFrame) -> DataFrame:
     """Add ``calculate_age``: {name: value} of the highest positive band sum, or an empty map."""
-    names = [f"sum_{band}_score" for band in M.BANDS]
-    best = F.greatest(*names)
-    name = F.lit(None).cast("string")
-    for n in reversed(names):
-        name = F.when(F.col(n) == best, F.lit(n)).otherwise(name)
+    best = F.col("_best")
     empty = F.create_map().cast("map<string,decimal(6,3)>")
-    return df.withColumn("calculate_age", F.when(best > 0, F.create_map(name, best)).otherwise(empty))
+    picked = df.withColumn("_best", _highest({n: F.col(n) for n in (f"sum_{band}_score" for band in M.BANDS)}))
+    age = F.when(best["total"] > 0, F.create_map(best["name"], best["total"])).otherwise(empty)
+    return picked.withColumn("calculate_age", age).drop("_best")
 
 
 # -- fusion -------------------------------------------------------------------------------------------------
@@ -146,12 +161,16 @@ _USER_COLUMNS = [
 
 
 def join_log_and_orders(base2: DataFrame, base4: DataFrame, bound: int) -> DataFrame:
-    """Scored log rows joined to scored order rows of the same user within ``bound``; the time is the log row's."""
-    left = base2.select("uid", "ts_ms", *_LOG_COLUMNS, *[c for c in _SCORE_COLUMNS if c.startswith(("device", "search"))])
+    """Scored log rows joined to scored order rows of the same user within ``bound``; the time is the log row's.
+
+    Each side brings its half of the band sums, which are then not added up anew for each pair, nor are the scores behind them moved.
+    """
+    left = base2.select(
+        "uid", "ts_ms", *_LOG_COLUMNS, *[c for c in _SCORE_COLUMNS if c.startswith(("device", "search"))], *_half_sums("_log"))
     right = base4.select(
         "uid", F.col("ts_ms").alias("order_ts_ms"), *_ORDER_COLUMNS,
-        *[c for c in _SCORE_COLUMNS if not c.startswith(("device", "search"))])
-    return interval_join(left, right, "uid", "ts_ms", "order_ts_ms", bound, bound)
+        *[c for c in _SCORE_COLUMNS if not c.startswith(("device", "search"))], *_half_sums("_order"))
+    return interval_join(left, right, "uid", "ts_ms", "order_ts_ms", bound, bound, "left")
 
 
 def user_age_levels(base2: DataFrame, base4: DataFrame, base6: DataFrame, bound: int = 24 * HOUR) -> DataFrame:
