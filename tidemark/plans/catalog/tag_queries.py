@@ -237,8 +237,9 @@ def h9_band_sums_as_written(spark: SparkSession, sf: str) -> DataFrame:
 SELECT uid, ts_ms, sku_id, {BEST_NAME} AS name, CAST({_BEST} AS INT) AS best FROM pairs WHERE {_BEST} > 0""")
 def h10_max_score(spark: SparkSession, sf: str) -> DataFrame:
     best = tags.max_score(tags.band_sums(pairs(spark, sf)))
-    return best.select("uid", "ts_ms", "sku_id", F.explode("calculate_age").alias("name", "_v")).select(
-        "uid", "ts_ms", "sku_id", "name", (F.col("_v") * 1000).cast("int").alias("best"))
+    # An outer one: of the other, Spark makes a filter of the join that works out the highest sum for each pair once more.
+    named = best.select("uid", "ts_ms", "sku_id", F.explode_outer("calculate_age").alias("name", "_v")).filter("name IS NOT NULL")
+    return named.select("uid", "ts_ms", "sku_id", "name", (F.col("_v") * 1000).cast("int").alias("best"))
 
 
 LABEL_SQL = using(*_ALL, **FUSED) + f"""
