@@ -156,6 +156,53 @@ def test_interval_join_over_batches(spark, sf):
     assert bag(run(spark, joined)) == bag(interval_join(orders, lines, "k", "a", "b", 2_000, 2_000))
 
 
+def near_sides(spark):
+    """Rows of 20 keys and of none, the right ones with several types of columns."""
+    n = F.col("id")
+    key = F.when(n % 20 > 0, (n % 20).cast("string"))
+    left = spark.range(300).select(key.alias("k"), n.alias("l"), (n * 1_000 + 1_000_000).alias("a"))
+    right = spark.range(400).select(
+        key.alias("k"), (n + 9_007_199_254_740_993).alias("r"), (n * 750 + 1_000_000).alias("b"), F.when(n % 3 > 0, F.concat(F.lit('"\\\n'), n)).alias("t"),
+        F.when(n % 7 > 0, n.cast("decimal(20,4)") / 8).cast("decimal(20,4)").alias("d"), F.timestamp_micros(n * 1_000_001).alias("at"))
+    return left, right
+
+
+@pytest.mark.parametrize("copied", ["left", "right"])
+def test_stream_interval_join_keeps_rows_in_pieces(spark, copied, monkeypatch):
+    """Keys and rows of a group share state rows, whichever side is copied, and what the watermark has passed is forgotten."""
+    monkeypatch.setattr(stateful, "JOIN_BUCKETS", 4)
+    left, right = near_sides(spark)
+    joined = jobs.interval_join(in_batches(spark, left, "a"), in_batches(spark, right, "b"), "k", "a", "b", "20 seconds", "1 second", copied)
+    base = new_path(spark, "pieces")
+    progress = jobs.append_to(joined.drop("et"), f"{base}/out", f"{base}/checkpoint")
+    found = spark.read.parquet(f"{base}/out")
+    assert found.schema == joined.drop("et").schema
+    assert bag(found) == bag(interval_join(left, right, "k", "a", "b", 20_000, 20_000)) and found.count() > 300
+    held = jobs.state_rows(progress)
+    assert max(held) < 100 and held[-1] < 40
+
+
+def test_stream_left_joins_follow_an_inner_join(spark):
+    """Left rows alone come once, with nulls; a join after that takes its rows although they come behind the watermark."""
+    left, right = near_sides(spark)
+    other = right.select("k", (F.col("b") + 5).alias("c"), F.col("r").alias("s")).filter("s % 2 = 0")
+    sides = [in_batches(spark, df, at) for df, at in ((left, "a"), (right, "b"), (other, "c"))]
+    first = jobs.interval_join(sides[0], sides[1].select("k", "b", "r"), "k", "a", "b", "20 seconds", "1 second")
+    both = jobs.left_interval_join(first, sides[2], "k", "c", "2 seconds", "1 second", left_ms="a", lag="20 seconds")
+    third = sides[1].select("k", F.col("b").alias("e"), F.col("r").alias("u")).filter("u % 5 = 0")
+    out = jobs.left_interval_join(both, third, "k", "e", "3 seconds", "1 second", left_ms="a", lag="20 seconds")
+    inner = interval_join(left, right.select("k", "b", "r"), "k", "a", "b", 20_000, 20_000)
+    near = lambda ms, by: F.col(ms).between(F.col("a") - by, F.col("a") + by)
+    want = inner.alias("x").join(other.withColumnRenamed("k", "k2"), (F.col("k") == F.col("k2")) & near("c", 2_000), "left").drop("k2")
+    late = right.select(F.col("k").alias("k3"), F.col("b").alias("e"), F.col("r").alias("u")).filter("u % 5 = 0")
+    want = want.join(late, (F.col("k") == F.col("k3")) & near("e", 3_000), "left").drop("k3")
+    # What the last watermark has passed: the times of the last rows may still wait.
+    end = 1_000_000 + 299_000 - 30_000
+    found = run(spark, out).drop("et")
+    assert bag(found.filter(F.col("a") < end)) == bag(want.filter(F.col("a") < end))
+    assert found.filter("s is null").count() > 0 and found.filter("u is null").count() > 0 and found.filter("s is not null").count() > 0
+
+
 def test_a_batch_written_twice_counts_once(spark):
     path = new_path(spark, "keyed")
     rows = spark.createDataFrame([("a", 1, 1), ("b", 1, 1)], "id string, v bigint, ts_ms bigint")
