@@ -123,8 +123,35 @@ def _slots(rare: np.ndarray) -> np.ndarray:
     return (rare >> np.uint64(8)) & np.uint64((1 << SLOT_BITS) - 1)
 
 
-def shared_slots(docs: DataFrame, order: np.ndarray, percent: int) -> np.ndarray:
-    """A bit per slot: whether two documents or more have rare shingles there. The result has a fixed size."""
+def _more(docs: DataFrame) -> list[str]:
+    return [c for c in docs.columns if c == "_row"]
+
+
+def rare_sets(docs: DataFrame, order: np.ndarray, percent: int) -> DataFrame:
+    """doc_id, set_key, n (its size), rare (its rare shingles), text_key (a hash of the text), and ``_row`` if ``docs`` has it."""
+    more = _more(docs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, n, rare = [], [], []
+            for s in shingle_sets(_texts(batch, 1)):
+                key.append(set_key(s))
+                n.append(len(s))
+                rare.append(rare_first(s, order, percent).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(rare, pa.list_(pa.int64())), *batch.columns[2:]],
+                names=["doc_id", "set_key", "n", "rare", "text_key", *more])
+
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"), *more).mapInArrow(
+        run, "doc_id bigint, set_key bigint, n bigint, rare array<bigint>, text_key bigint" + "".join(f", {c} bigint" for c in more))
+
+
+def _flat(lists: pa.ListArray) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+
+
+def shared_slots(sets: DataFrame) -> np.ndarray:
+    """A bit per slot: whether two rows or more have rare shingles there. The result has a fixed size."""
     wide = np.uint64(SLOT_BITS - (SLOT_RANGES - 1).bit_length())
     per_range = 1 << int(wide)
 
@@ -140,7 +167,7 @@ def shared_slots(docs: DataFrame, order: np.ndarray, percent: int) -> np.ndarray
                 [pa.array(at, pa.int32()), pa.array([low[cuts[k]:cuts[k + 1]].tobytes() for k in at], pa.binary())], names=["r", "low"])
 
         for batch in batches:
-            held += [_slots(rare_first(s, order, percent)) for s in shingle_sets(_texts(batch, 0)) if len(s)]
+            held.append(_slots(_flat(batch.column(0))))
             if sum(map(len, held)) > 2_000_000:
                 yield flush()
                 held.clear()
@@ -158,36 +185,31 @@ def shared_slots(docs: DataFrame, order: np.ndarray, percent: int) -> np.ndarray
         yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array([np.packbits(again).tobytes() for _, again in met.values()], pa.binary())],
                                          names=["r", "bits"])
 
-    found = docs.select("text").mapInArrow(slots, "r int, low binary").repartition("r").mapInArrow(twice, "r int, bits binary").collect()
+    found = sets.select("rare").mapInArrow(slots, "r int, low binary").repartition("r").mapInArrow(twice, "r int, bits binary").collect()
     bits = np.zeros((SLOT_RANGES, per_range // 8), np.uint8)
     for row in found:
         bits[row["r"]] = np.frombuffer(row["bits"], np.uint8)
     return bits.reshape(-1)
 
 
-def sets_of(docs: DataFrame, order: np.ndarray, percent: int) -> DataFrame:
-    """doc_id, set_key, n (its size), rare (shingles that spread the join, but for those of one document), and ``_row`` if ``docs`` has it."""
-    more = [c for c in docs.columns if c == "_row"]
-    bits = docs.sparkSession.sparkContext.broadcast(shared_slots(docs, order, percent))
+def spread_sets(sets: DataFrame) -> DataFrame:
+    """``rare_sets`` with the rare shingles that spread the join: but for those of one document."""
+    bits = sets.sparkSession.sparkContext.broadcast(shared_slots(sets))
+    at = sets.columns.index("rare")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = bits.value
         for batch in batches:
-            key, n, rare = [], [], []
-            for s in shingle_sets(_texts(batch, 1)):
-                key.append(set_key(s))
-                n.append(len(s))
-                first = rare_first(s, order, percent)
-                slot = _slots(first)
-                # packbits puts the first of eight slots into the highest bit.
-                hit = (shared[(slot >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (slot & np.uint64(7)).astype(np.uint8))) & 1
-                rare.append(first[hit.astype(bool)].view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(rare, pa.list_(pa.int64())), *batch.columns[2:]],
-                names=["doc_id", "set_key", "n", "rare", *more])
+            rare = batch.column(at)
+            flat, offsets = _flat(rare), rare.offsets.to_numpy()
+            slot = _slots(flat)
+            # packbits puts the first of eight slots into the highest bit.
+            hit = ((shared[(slot >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (slot & np.uint64(7)).astype(np.uint8))) & 1).astype(bool)
+            ends = np.concatenate(([0], np.cumsum(hit)))[offsets - offsets[0]]
+            kept = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[hit].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], kept, *batch.columns[at + 1:]], names=batch.schema.names)
 
-    return docs.select("doc_id", "text", *more).mapInArrow(
-        run, "doc_id bigint, set_key bigint, n bigint, rare array<bigint>" + "".join(f", {c} bigint" for c in more))
+    return sets.mapInArrow(run, sets.schema)
 
 
 def _point(s: np.ndarray) -> np.ndarray:
@@ -301,32 +323,41 @@ def block_pairs(table: pa.Table, starts: np.ndarray, percent: int, best: bool) -
 # -- the join --------------------------------------------------------------------------------------------------------
 
 
-def _active_filter(keys: DataFrame) -> np.ndarray:
-    """A fixed-size bit array with the hashed places of ``keys`` set."""
-    places = keys.select(F.pmod("set_key", F.lit(FILTER_BITS)).cast("int").alias("p")).distinct().toPandas()["p"].to_numpy()
+def _active_filter(texts: DataFrame) -> np.ndarray:
+    """A fixed-size bit array with the hashed places of ``texts`` (text_key) set."""
+    places = texts.select(F.pmod("text_key", F.lit(FILTER_BITS)).cast("int").alias("p")).distinct().toPandas()["p"].to_numpy()
     bits = np.zeros(FILTER_BITS, bool)
     bits[places] = True
     return np.packbits(bits)
 
 
-def active_sets(docs: DataFrame, active: DataFrame) -> DataFrame:
-    """set_key, n, counts and packed text of the sets in ``active`` (set_key), each once. A packed text is smaller than its set."""
-    bits = docs.sparkSession.sparkContext.broadcast(_active_filter(active))
+def active_sets(docs: DataFrame, sets: DataFrame, active: DataFrame) -> DataFrame:
+    """set_key, n, counts and packed text of the sets in ``active`` (set_key), each once. A packed text is smaller than its set.
+    Only texts that ``sets`` (set_key, text_key) gives for one of them are looked at."""
+    bits = docs.sparkSession.sparkContext.broadcast(_active_filter(sets.join(active, "set_key", "left_semi")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(bits.value).astype(bool)
-        seen: set[int] = set()  # of this task: of many copies each task gives one
+        texts_seen: set[int] = set()  # of this task: of many copies each task gives one
+        seen: set[int] = set()
         for batch in batches:
-            texts = _texts(batch, 0)
+            keys = batch.column(1).to_numpy()
+            at = []
+            for i in np.flatnonzero(wanted[np.mod(keys, FILTER_BITS)]).tolist():
+                if (text := int(keys[i])) not in texts_seen:
+                    texts_seen.add(text)
+                    at.append(i)
+            texts = _texts(batch.take(pa.array(at, pa.int64())), 0)
             found = {k: (len(s), _point(s), t) for t, s in zip(texts, shingle_sets(texts), strict=True)
-                     if len(s) and wanted[(k := set_key(s)) % FILTER_BITS] and k not in seen}
+                     if len(s) and (k := set_key(s)) not in seen}
             seen.update(found)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found.keys(), pa.int64()), pa.array([n for n, _, _ in found.values()], pa.int64()),
                  pa.array([c for _, c, _ in found.values()], pa.list_(pa.int32())),
                  pa.array([zlib.compress(t, 1) for _, _, t in found.values()], pa.binary())], names=["set_key", "n", "counts", "packed"])
 
-    found = docs.select("text").mapInArrow(run, "set_key bigint, n bigint, counts array<int>, packed binary")
+    texts = docs.select("text", F.xxhash64("text").alias("text_key"))
+    found = texts.mapInArrow(run, "set_key bigint, n bigint, counts array<int>, packed binary")
     return found.join(active, "set_key", "left_semi").dropDuplicates(["set_key"])
 
 
@@ -365,13 +396,14 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def in_components(docs: DataFrame, percent: int, chunk: int) -> DataFrame:
     """doc_id, n, component (of a set that is not empty) of each row of ``docs`` (doc_id, text), and ``_row`` if ``docs`` has it."""
     spark = docs.sparkSession
-    sets = staged(spark, sets_of(docs, fine_counts(docs), percent), "sets")
+    # Stored with all rare shingles first: what is shared is counted, and then dropped, without going through the texts again.
+    sets = staged(spark, spread_sets(staged(spark, rare_sets(docs, fine_counts(docs), percent), "rare")), "sets")
     rare = sets.select("set_key", F.explode("rare").alias("token"))
     # A token of one set only, however many copies it has, joins nothing.
     shared = rare.groupBy("token").agg(F.min("set_key").alias("hub"), F.max("set_key").alias("_most")).filter("hub <> _most").select("token", "hub")
     members = staged(spark, rare.join(shared, "token").select("token", "set_key", "hub").distinct(), "members")
     active = members.select("set_key").distinct()
-    points = staged(spark, active_sets(docs, active), "points")
+    points = staged(spark, active_sets(docs, sets, active), "points")
 
     hubs = members.groupBy(F.col("set_key").alias("a")).agg(F.min("hub").alias("b")).filter("a <> b")
     links = staged(spark, verified(hubs, points, percent), "links")
@@ -397,7 +429,7 @@ def in_components(docs: DataFrame, percent: int, chunk: int) -> DataFrame:
         elif not more.isEmpty():
             found = components(links)
 
-    more = [c for c in sets.columns if c == "_row"]
+    more = _more(sets)
     return sets.select("doc_id", "set_key", "n", *more).join(found.withColumnRenamed("key", "set_key"), "set_key", "left").select(
         "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "set_key")).alias("component"), *more)
 
