@@ -37,7 +37,9 @@ TOGETHER = 1 << 21
 #: Tokens that have to agree on each side of a join.
 AGREE = 3
 #: Words kept encoded by a Python worker.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 100_000
+#: Words that the library gets together.
+BATCH = 4096
 #: A cut keeps so far away from what may start a special token or a contraction.
 MARGIN = 16
 
@@ -59,6 +61,10 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """The library's tokenizer with words kept encoded."""
 
@@ -73,30 +79,30 @@ class Encoder:
             raise ValueError(f"{path}: its words depend on each other")
         self.text_of = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())]
         self.letters = byte_letters()
-        self.known: dict[bytes, tuple[bytes, str]] = {}
-        self.stems: dict[str, list[int]] = {}
+        #: Packed ids of words, and of what they consist of: a few bytes each, as there are many.
+        self.known: dict[bytes, bytes] = {}
+        self.stems: dict[str, bytes] = {}
 
     def direct(self, text: str) -> tuple[list[int], list[tuple[int, int]]]:
         e = self.tokenizer.encode(text, add_special_tokens=False)
         return e.ids, e.offsets
 
-    def stem(self, text: str) -> list[int] | None:
-        """Ids of a word of Latin letters, straight from the model: nothing before it would change or split it."""
+    def stem(self, text: str) -> bytes | None:
+        """Packed ids of a word of Latin letters, straight from the model: nothing before it would change or split it."""
         if not text.isalpha() or max(text) >= "\u0180" or not (low := text.lower()).isalpha():
             return None
         if (ids := self.stems.get(low)) is None:
             letters = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
-            ids = self.stems[low] = [t.id for t in self.tokenizer.model.tokenize(letters)]
+            ids = self.stems[low] = packed([t.id for t in self.tokenizer.model.tokenize(letters)])
         return ids
 
     def learn(self, words: set[bytes]) -> None:
-        """Encode words not yet known."""
+        """Encode words not yet known. When too many are, those that come again are kept: most words come once."""
         if len(self.known) > KEPT_WORDS:
-            self.known.clear()
+            self.known = {word: self.known[word] for word in words.intersection(self.known)}
             self.stems.clear()
-        found: dict[bytes, list[int]] = {}
-        rest = []
-        for word in words.difference(self.known):
+        known, rest = self.known, []
+        for word in words.difference(known):
             text = word.decode()
             letters = text.rstrip(MARKS)
             marks = text[len(letters):]
@@ -104,16 +110,15 @@ class Encoder:
             if ids is None:
                 rest.append(word)
             else:
-                found[word] = ids + self.marks(marks) if marks else ids
-        for word, e in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False), strict=True):
-            found[word] = e.ids
-        text_of = self.text_of
-        for word, ids in found.items():
-            self.known[word] = struct.pack(f"<{len(ids)}I", *ids), " ".join([text_of[i] for i in ids])
-
-    def marks(self, marks: str) -> list[int]:
+                known[word] = ids + self.marks(marks) if marks else ids
+        for a in range(0, len(rest), BATCH):
+            some = rest[a:a + BATCH]
+            for word, e in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
+                known[word] = packed(e.ids)
+
+    def marks(self, marks: str) -> bytes:
         if (ids := self.stems.get(marks)) is None:
-            ids = self.stems[marks] = self.direct(marks)[0]
+            ids = self.stems[marks] = packed(self.direct(marks)[0])
         return ids
 
     def short(self, texts: list[bytes]) -> Iterator[tuple[bytes, str]]:
@@ -121,11 +126,11 @@ class Encoder:
         split = [t.split() for t in texts]
         self.learn(set().union(*split))
         for words in split:
-            found = [self.known[w] for w in words]
-            yield b"".join([ids for ids, _ in found]), " ".join([text for _, text in found if text])
+            ids = b"".join(map(self.known.__getitem__, words))
+            yield ids, self.decode(memoryview(ids).cast("I").tolist())
 
     def decode(self, ids: list[int]) -> str:
-        return " ".join([self.text_of[i] for i in ids])
+        return " ".join(map(self.text_of.__getitem__, ids))
 
 
 @cache
