@@ -50,6 +50,7 @@ BUCKET = 5_000
 ROWS = 256
 #: Bits of the filter that keeps sets without candidates out of a shuffle: 1 MB.
 FILTER_BITS = 1 << 23
+FILTER_RANGES = 16
 #: Slots that rare shingles are counted in, to drop those of one set before they are shuffled: a bit each, 32 MB. With far more
 #: shingles than slots it drops few, and the join still finds all.
 SLOT_BITS = 28
@@ -63,12 +64,13 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> Iterator[np.ndarray
     """Sorted distinct shingle hashes of each text; A-Z count as a-z."""
     for first, last in blocks(texts):
         w = Words([t.lower() for t in texts[first:last]])  # of bytes: ASCII letters only
-        word = w.hashes()
+        word = w.numbers()
         long = windows(word, size)
         for k in range(last - first):
             a, b = w.first[k], w.first[k + 1]
             if b - a >= size:
-                yield np.unique(long[a:b - size + 1])
+                s = np.sort(long[a:b - size + 1])
+                yield s[np.concatenate(([True], s[1:] != s[:-1]))]
             elif b > a:
                 yield windows(word[a:b], b - a) ^ np.uint64(b - a)
             else:
@@ -94,7 +96,7 @@ def fine_counts(docs: DataFrame) -> np.ndarray:
             texts = _texts(batch, 0)
             for first, last in blocks(texts):
                 w = Words([t.lower() for t in texts[first:last]])
-                long = windows(w.hashes(), SHINGLE)
+                long = windows(w.numbers(), SHINGLE)
                 inside = w.doc[:len(long)] == w.doc[SHINGLE - 1:]  # does not run on into the next text
                 counts += np.bincount((long[inside] >> np.uint64(64 - FINE_BITS)).astype(np.int64), minlength=1 << FINE_BITS)
         at = np.flatnonzero(counts)
@@ -324,11 +326,24 @@ def block_pairs(table: pa.Table, starts: np.ndarray, percent: int, best: bool) -
 
 
 def _active_filter(texts: DataFrame) -> np.ndarray:
-    """A fixed-size bit array with the hashed places of ``texts`` (text_key) set."""
-    places = texts.select(F.pmod("text_key", F.lit(FILTER_BITS)).cast("int").alias("p")).distinct().toPandas()["p"].to_numpy()
-    bits = np.zeros(FILTER_BITS, bool)
-    bits[places] = True
-    return np.packbits(bits)
+    """A fixed-size bit array with the hashed places of ``texts`` (text_key) set. The driver gets it as bits, by range."""
+    per_range = FILTER_BITS // FILTER_RANGES
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at, place = (batch.column(k).to_numpy() for k in (0, 1))
+            for r in np.unique(at).tolist():
+                met.setdefault(r, np.zeros(per_range, bool))[place[at == r]] = True
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array([np.packbits(x).tobytes() for x in met.values()], pa.binary())],
+                                         names=["r", "bits"])
+
+    places = texts.select(F.pmod("text_key", F.lit(FILTER_BITS)).cast("int").alias("p")).distinct()
+    ranges = places.select(F.expr(f"p div {per_range}").cast("int").alias("r"), F.expr(f"p % {per_range}").alias("place")).repartition("r")
+    bits = np.zeros((FILTER_RANGES, per_range // 8), np.uint8)
+    for row in ranges.mapInArrow(pack, "r int, bits binary").collect():
+        bits[row["r"]] = np.frombuffer(row["bits"], np.uint8)
+    return bits.reshape(-1)
 
 
 def active_sets(docs: DataFrame, sets: DataFrame, active: DataFrame) -> DataFrame:
