@@ -15,8 +15,10 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """The session with the settings that these operators rely on. Whole texts are long, so fewer of them go to Python at once."""
+    """The session with the settings that these operators rely on. Whole texts are long, so fewer of them go to Python at once. Many tables
+    are staged in turn: the shuffle files of a finished one go at once, not when the driver happens to collect its garbage."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return tune(spark)
 
 
