@@ -3,13 +3,16 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.functions import scores as M
 from tidemark.operators import changelog as C
 from tidemark.operators import intervals, keyed, logs, tags, windows
+from tidemark.plans import jobs
 from tidemark.schemas import ENVELOPE
+from tidemark.sources.cdc import cdc_snapshot
 
 DAY = 86_400_000
 
@@ -354,3 +357,48 @@ def test_pairs_bring_half_sums(spark):
     shown = tags.band_sums(pairs).select("uid", "sum_50_score")._jdf.queryExecution().optimizedPlan().toString()
     above = shown[:shown.index("Join")]
     assert "device_" not in above and "amount_" not in above
+
+
+def _tag_topic(spark):
+    """Lines with one version, two of one time, and versions of another order or another hour; all meet several versions of their order."""
+    orders = [(o, f"u{o}", "c", str(created), "5", "5", "1", ms) for o, hour in (("a", 0), ("b", 1), ("c", 30))
+              for created, ms in ((5, hour * 3_600_000 + 600_000), (5, hour * 3_600_000 + 610_000), (9, hour * 3_600_000 + 620_000), (7, hour * 3_600_000 + 630_000))]
+    orders.append(("a", "ua", "c", "8", "5", "5", "1", 4_200_000))
+    line = lambda id, order, total, ms: (id, order, "1", "s", "2", "1.0", total, "0", "0", "1", ms)
+    lines = [line("one", "a", "3.0", 600_000), line("same", "b", "4.0", 4_200_000), line("same", "b", "2.0", 4_200_000),
+             line("moved", "a", "6.0", 600_000), line("moved", "b", "1.0", 4_200_000), line("hours", "a", "6.0", 600_000),
+             line("hours", "a", "1.0", 4_200_000), line("hours", "a", "0.5", 600_000), line(None, "a", "1.0", 600_000)]
+    names = ["id", "user_id", "consignee", "create_time", "original_total_amount", "total_amount", "province_id", "ts_ms"]
+    parts = ["id", "order_id", "sku_id", "sku_name", "sku_num", "order_price", "split_total_amount", "split_activity_amount", "split_coupon_amount", "create_time", "ts_ms"]
+    frame = lambda rows, names: spark.createDataFrame(rows, ", ".join(f"{n} {'bigint' if n == 'ts_ms' else 'string'}" for n in names))
+    return cdc_snapshot(frame(orders, names), "order_info").unionByName(cdc_snapshot(frame(lines, parts), "order_detail"))
+
+
+def test_newest_lines_are_found_where_they_are_joined(spark):
+    """Versions of a line that lie together are not shuffled by line; those of another order or hour are, and all give what one window gives."""
+    brands = spark.sql("SELECT '2' skuid, '3' c3id, 'TCL' tname")
+    tree = spark.sql("SELECT '3' id, 'b3' b3name, 'b2' b2name, 'b1' b1name")
+    topic = _tag_topic(spark)
+    columns = ["detail_id", "uid", "ts_ms", "create_time", "split_total_amount"]
+    out = jobs.tag_orders(topic, brands, tree, "UTC").select(columns)
+    joined = intervals.order_with_details(tags.order_rows(topic, "UTC"), tags.detail_rows(topic))
+    ties = ["split_total_amount", "sku_id", "sku_num", "order_price", "sku_name", "split_activity_amount", "split_coupon_amount"]
+    before = Window.partitionBy("detail_id").orderBy("ts_ms", *ties).rowsBetween(Window.unboundedPreceding, -1)
+    plain = joined.filter("detail_id IS NOT NULL").withColumn("_m", F.max("create_time").over(before)).filter("_m IS NULL OR create_time > _m")
+    want = sorted(map(tuple, plain.select(columns).collect()))
+    assert sorted(map(tuple, out.collect())) == want and {r[0] for r in want} == {"one", "same", "moved", "hours"}
+    assert ("same", "ub", 4_200_000, 5, "2.0") in want and ("same", "ub", 4_200_000, 5, "4.0") not in want
+    near, apart, needed = keyed.by_agreement(tags.detail_rows(topic), "id", F.col("order_id"), intervals.line_slice(F.col("ts_ms"), 120_000))
+    assert {r.id for r in near.collect()} == {"one", "same", None} and {r.id for r in apart.collect()} == {"moved", "hours"}
+    assert needed(topic).count() == topic.count()
+    agreeing = topic.filter("coalesce(after['id'], '') NOT IN ('moved', 'hours')")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = jobs.tag_orders(agreeing, brands, tree, "UTC").select(columns)
+        rows = sorted(map(tuple, out.collect()))
+        ran = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert rows == [r for r in want if r[0] in ("one", "same")]
+    assert "Window [max(create_time" in ran and "hashpartitioning(detail_id" not in ran

@@ -7,7 +7,7 @@ rows of a hot key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SECOND = 1_000
@@ -18,13 +18,14 @@ DAY = 24 * HOUR
 
 def interval_join(
     left: DataFrame, right: DataFrame, key: str, left_ms: str, right_ms: str, before: int, after: int, copied: str = "right",
-    span: int = 1,
+    span: int = 1, sliced: bool = False,
 ) -> DataFrame:
     """Inner join on ``key`` where right time is in [left time - before, left time + after] (milliseconds).
 
     Both bounds are inclusive. ``key`` is named alike on both sides; all other columns must differ. Rows of the ``copied`` side go to all
     slices they can meet rows in, so name the smaller one. Slices are ``span`` intervals wide: the wider, the fewer copies (1 + 1 / span of
-    a row on average) and the more rows of a key in a slice.
+    a row on average) and the more rows of a key in a slice. ``sliced`` keeps the slice that a pair met in as ``_slice``: pairs lie together by
+    ``key`` and ``_slice``.
     """
     width = F.lit(max(before + after, 1) * span)
     slice_of = lambda at: F.floor(at / width)
@@ -38,15 +39,21 @@ def interval_join(
         a = left.filter(F.col(left_ms).isNotNull()).withColumn("_slice", F.explode(met))
         b = right.withColumn("_slice", slice_of(F.col(right_ms)))
     in_bounds = F.col(right_ms).between(F.col(left_ms) - before, F.col(left_ms) + after)
-    return a.join(b, [key, "_slice"]).filter(in_bounds).drop("_slice")
+    pairs = a.join(b, [key, "_slice"]).filter(in_bounds)
+    return pairs if sliced else pairs.drop("_slice")
 
 
 #: Slices of an order's join with its lines, in intervals: an order has few lines.
 ORDER_SPAN = 4
 
 
+def line_slice(ms: Column, bound: int) -> Column:
+    """The slice of an order's join with its lines that a line's time is in."""
+    return F.floor(ms / F.lit(max(2 * bound, 1) * ORDER_SPAN))
+
+
 def order_with_details(
-    orders: DataFrame, details: DataFrame, bound: int = 2 * MINUTE, compat: bool = False
+    orders: DataFrame, details: DataFrame, bound: int = 2 * MINUTE, compat: bool = False, sliced: bool = False
 ) -> DataFrame:
     """Orders joined to their details within ``bound``.
 
@@ -59,7 +66,7 @@ def order_with_details(
     right = details.select(
         "order_id", F.col("id").alias("detail_id"), "sku_num", "sku_id", "sku_name", "order_price",
         "split_activity_amount", "split_coupon_amount", "split_total_amount", F.col("ts_ms").alias("detail_ts_ms"))
-    out = interval_join(left, right, "order_id", "ts_ms", "detail_ts_ms", bound, bound, "left", ORDER_SPAN).drop("detail_ts_ms")
+    out = interval_join(left, right, "order_id", "ts_ms", "detail_ts_ms", bound, bound, "left", ORDER_SPAN, sliced).drop("detail_ts_ms")
     if compat:
         for name in ("split_activity_amount", "split_total_amount"):
             out = out.withColumn(name, F.col(name).try_cast("double").cast("bigint").cast("string"))

@@ -8,7 +8,7 @@ from slice totals, so a key with a third of all rows is spread over its slices.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -66,11 +66,39 @@ def _sliced(df: DataFrame, order_ms: str, width: int) -> DataFrame:
     return df.withColumn("_slice", F.floor(F.col(order_ms) / F.lit(width)))
 
 
+#: Keys whose rows disagree are known by buckets of their hashes. At most so many numbers, a power of two, are broadcast.
+DISAGREEING = 1 << 20
+
+
+def by_agreement(df: DataFrame, key: str, *shared: Column) -> tuple[DataFrame, DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The rows of keys whose rows all agree in ``shared``, and all others: those of the other keys, and the few whose hashes are in a bucket
+    with one. Also a function for what the others are joined with: all of it, or nothing if all keys agree.
+
+    Only hashes are shuffled. Where all keys agree, adaptive execution leaves out whatever is to be done for the others.
+    """
+    hashed = df.select(F.xxhash64(key).alias("_key"), F.xxhash64(*shared).alias("_at"))
+    spread = hashed.groupBy("_key").agg(F.min("_at").alias("_low"), F.max("_at").alias("_high")).filter("_low <> _high")
+    bucket = lambda at: at.bitwiseAND(F.lit(DISAGREEING - 1))
+    buckets = spread.select(bucket(F.col("_key")).alias("_bucket")).distinct()
+    marked = df.withColumn("_bucket", bucket(F.xxhash64(key)))
+    near, apart = (marked.join(F.broadcast(buckets), "_bucket", how).drop("_bucket") for how in ("left_anti", "left_semi"))
+    return near, apart, lambda other: other.join(F.broadcast(buckets), F.lit(True), "left_semi")
+
+
 def strictly_newer(
-    df: DataFrame, key: str, value: str, arrival_ms: str, slice_ms: int = HOUR, ties: Sequence[str] | None = None
+    df: DataFrame, key: str, value: str, arrival_ms: str, slice_ms: int = HOUR, ties: Sequence[str] | None = None,
+    within: Sequence[str] = (),
 ) -> DataFrame:
-    """Rows whose ``value`` exceeds every earlier one of their key, in order of arrival. Rows without a key or a time are left out."""
+    """Rows whose ``value`` exceeds every earlier one of their key, in order of arrival. Rows without a key or a time are left out.
+
+    ``within`` names columns that all rows of a key agree in and by which the rows lie together already, as a join leaves them: nothing is
+    shuffled then, and nothing cut into slices.
+    """
     rest = list(ties) if ties is not None else [c for c in df.columns if c not in (key, arrival_ms)]
+    if within:
+        before = W.partitionBy(*within, key).orderBy(arrival_ms, *rest).rowsBetween(W.unboundedPreceding, -1)
+        known = df.filter(F.col(key).isNotNull() & F.col(arrival_ms).isNotNull()).withColumn("_earlier", F.max(value).over(before))
+        return known.filter(F.col("_earlier").isNull() | (F.col(value) > F.col("_earlier"))).select(*df.columns)
     cut = _sliced(df, arrival_ms, slice_ms).filter(F.col(key).isNotNull() & F.col("_slice").isNotNull())
     totals = cut.groupBy(key, "_slice").agg(F.max(value).alias("_m"))
     before = W.partitionBy(key).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)

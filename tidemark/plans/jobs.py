@@ -151,14 +151,21 @@ def tag_orders(
     topic_db: DataFrame, brands: DataFrame, tree: DataFrame, tz: str = S.BUSINESS_TZ, bound: int = TWO_MINUTES,
     compat: bool = False, skus: DataFrame | None = None,
 ) -> DataFrame:
-    """Order lines joined to their order, newest first time seen, scored by time, amount, brand and category."""
+    """Order lines joined to their order, newest first time seen, scored by time, amount, brand and category.
+
+    The versions of a line are of one order and time, mostly: then they meet their orders in one slice of the join, and the newest are found
+    there. Lines with versions further apart are brought together anew.
+    """
     orders = logs.not_empty(tags.order_rows(topic_db, tz), "id")
     details = logs.not_empty(tags.detail_rows(topic_db), "order_id")
-    joined = intervals.order_with_details(orders, details, bound, compat)
+    ties = ["split_total_amount", "sku_id", "sku_num", "order_price", "sku_name", "split_activity_amount", "split_coupon_amount"]
+    near, apart, needed = keyed.by_agreement(details, "id", F.col("order_id"), intervals.line_slice(F.col("ts_ms"), bound))
     newest = keyed.strictly_newer(
-        joined, "detail_id", "create_time", "ts_ms",
-        ties=["split_total_amount", "sku_id", "sku_num", "order_price", "sku_name", "split_activity_amount",
-              "split_coupon_amount"])
+        intervals.order_with_details(orders, near, bound, compat, sliced=True), "detail_id", "create_time", "ts_ms", ties=ties,
+        within=["order_id", "_slice"]).drop("_slice")
+    others = keyed.strictly_newer(
+        intervals.order_with_details(needed(orders), apart, bound, compat), "detail_id", "create_time", "ts_ms", ties=ties)
+    newest = newest.unionByName(others)
     return tags.score_orders(lookups.brand_and_category(newest, brands, tree, skus))
 
 
