@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as S
 from tidemark.functions import scores as M
 from tidemark.operators import changelog as C
-from tidemark.operators import intervals, keyed, logs, tags, windows
+from tidemark.operators import facts, intervals, keyed, logs, tags, windows
 from tidemark.plans import jobs
 from tidemark.schemas import ENVELOPE
 from tidemark.sources.cdc import cdc_snapshot
@@ -402,3 +402,25 @@ def test_newest_lines_are_found_where_they_are_joined(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert rows == [r for r in want if r[0] in ("one", "same")]
     assert "Window [max(create_time" in ran and "hashpartitioning(detail_id" not in ran
+
+
+def test_lines_go_whole_to_their_id_only(spark):
+    """Only the keys of lines are shuffled by order. A line without id has its buyer all the same, one without order has none."""
+    line = lambda id, order, ms: (id, order, "1", "s", "9", "8", "7", "2", "1.0", "2.0", "0", "0", ms)
+    frame = lambda rows, names: spark.createDataFrame(rows, ", ".join(f"{n} {'bigint' if n == 'ts_ms' else 'string'}" for n in names))
+    parts = ["id", "order_id", "sku_id", "sku_name", "create_time", "source_id", "source_type", "sku_num", "order_price", "split_total_amount", "split_activity_amount", "split_coupon_amount", "ts_ms"]
+    log = cdc_snapshot(frame([line("a", "o", 1), line("a", "p", 2), line(None, "o", 3), line("", "p", 3), line(".", "o", 3), line("x", "gone", 3), line("y", None, 3)], parts), "order_detail")
+    log = log.unionByName(cdc_snapshot(frame([("o", "u1", "1", 1), ("p", "u2", "1", 1), ("p", "u3", "2", 5), (None, "u4", "1", 1)], ["id", "user_id", "province_id", "ts_ms"]), "order_info"))
+    log = log.unionByName(cdc_snapshot(frame([("a", "A", "R", 1), (None, "B", "R", 1)], ["order_detail_id", "activity_id", "activity_rule_id", "ts_ms"]), "order_detail_activity"))
+    log = log.unionByName(cdc_snapshot(frame([("", "C", 1), (None, "D", 1)], ["order_detail_id", "coupon_id", "ts_ms"]), "order_detail_coupon"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = facts.order_detail_facts(log, "UTC")
+        rows = {(r.id, r.order_id, r.user_id, r.province_id, r.activity_id, r.coupon_id) for r in out.collect()}
+        plan = facts.order_detail_facts(log, "UTC")._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert rows == {("a", "p", "u3", "2", "A", None), (None, "o", "u1", "1", None, None), ("", "p", "u3", "2", None, "C"), (".", "o", "u1", "1", None, None)}
+    by_order = [below for line, below in zip(plan, plan[1:]) if "Exchange hashpartitioning(order_id" in line]
+    assert by_order and not any("sku_name" in below for below in by_order)
