@@ -497,3 +497,16 @@ def test_dimensions_are_read_from_a_snapshot_and_the_changes_after_it(spark, sf)
     assert {r["batch_id"] for r in read.select("batch_id").distinct().collect()} == {None, 3}
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "batch_id" in plan
+
+
+def test_a_topic_goes_when_it_has_landed(spark):
+    """What lands for a stream can go once all of it has been run; what the stream wrote stays."""
+    from tidemark.plans.catalog.stream_queries import in_slices
+
+    base = Path(shared_dir(spark)) / "tidemark"
+    before = set(base.glob("*"))
+    out, checkpoint = new_path(spark, "passed"), new_path(spark, "passed-checkpoint")
+    rows = spark.range(300).select((F.col("id") * 1_000).alias("ts"))
+    in_slices(spark, rows, "ts", lambda s: jobs.append_to(s, out, checkpoint), drop=True)
+    assert {p.name for p in set(base.glob("*")) - before} == {Path(out).name, Path(checkpoint).name}
+    assert spark.read.parquet(out).count() == 300
