@@ -11,7 +11,7 @@ from tidemark.functions import scores as M
 from tidemark.operators import changelog as C
 from tidemark.operators import facts, intervals, keyed, logs, tags, windows
 from tidemark.plans import jobs
-from tidemark.schemas import ENVELOPE
+from tidemark.schemas import APP_LOG, ENVELOPE
 from tidemark.sources.cdc import cdc_snapshot
 
 DAY = 86_400_000
@@ -424,3 +424,14 @@ def test_lines_go_whole_to_their_id_only(spark):
     assert rows == {("a", "p", "u3", "2", "A", None), (None, "o", "u1", "1", None, None), ("", "p", "u3", "2", None, "C"), (".", "o", "u1", "1", None, None)}
     by_order = [below for line, below in zip(plan, plan[1:]) if "Exchange hashpartitioning(order_id" in line]
     assert by_order and not any("sku_name" in below for below in by_order)
+
+
+def test_texts_are_parsed_once_for_all_outputs(spark):
+    """No filter parses the texts again, and a record without fields is still a record."""
+    values = log_of(spark, "{}", "bad", None, '{"ts": 1}', '[1]')
+    out = logs.tagged_texts(logs.checked_log(values))
+    assert sorted((r.output, r.value) for r in out.collect()) == [("dirty", "[1]"), ("dirty", "bad"), ("page", '{"ts":1}'), ("page", "{}")]
+    records = logs.parsed_log(values)
+    assert sorted(str(r.ts) for r in records.collect()) == ["1", "None"] and records.columns == [f.name for f in APP_LOG.fields]
+    for df in (out, records):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") <= 1

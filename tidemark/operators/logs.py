@@ -39,8 +39,15 @@ def checked_log(values: DataFrame, *keep: str | Column) -> DataFrame:
 
 def _records(checked: DataFrame, *keep: str) -> DataFrame:
     # As a generator, not a filter: a filter would be pushed below the parsing and parse every text again.
-    record = F.struct(*[F.col(f"_r.{f.name}").alias(f.name) for f in APP_LOG.fields], *keep)
-    return checked.select(F.inline(F.when(F.col("_clean"), F.array(record))))
+    names = [f.name for f in APP_LOG.fields]
+    record = F.struct(*[F.col(f"_r.{n}").alias(n) for n in names], *keep, F.lit(True).alias("_is"))
+    return _each(checked.select(F.when(F.col("_clean"), F.array(record)).alias("_o")), "_is").select(*names, *keep)
+
+
+def _each(lists: DataFrame, never_null: str) -> DataFrame:
+    """The entries of the lists ``_o``. As an outer generator: of an inner one Spark makes a filter of the rows that have entries, which works out
+    the lists, and parses the texts behind them, once more for each field they hold."""
+    return lists.select(F.inline_outer("_o")).filter(F.col(never_null).isNotNull())
 
 
 def dirty_rows(values: DataFrame) -> DataFrame:
@@ -159,13 +166,13 @@ def tagged_outputs(log: DataFrame) -> DataFrame:
 
     Each record is read once and gives one row per output record, ready to be written by ``output``.
     """
-    return log.select(F.inline(_log_outputs()))
+    return _each(log.select(_log_outputs().alias("_o")), "output")
 
 
 def tagged_texts(checked: DataFrame) -> DataFrame:
     """The same straight from ``checked_log``, with the dirty texts as a sixth output."""
     dirty = F.array(F.struct(F.lit("dirty").alias("output"), F.col("value").alias("value")))
-    return checked.select(F.when(F.col("_clean"), _log_outputs("_r.")).otherwise(dirty).alias("_o")).select(F.inline("_o"))
+    return _each(checked.select(F.when(F.col("_clean"), _log_outputs("_r.")).otherwise(dirty).alias("_o")), "output")
 
 
 def claims(checked: DataFrame) -> DataFrame:
